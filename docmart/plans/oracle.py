@@ -221,3 +221,133 @@ ORACLE_SQL["film_cast_ordered"] = _with() + """
 SELECT l.film_work_id, l.person_id, p.full_name, l.role
 FROM person_film_work l LEFT JOIN person p ON p.id = l.person_id"""
 ORACLE_SQL["films_by_title"] = _with() + "SELECT id, title FROM film_work"
+
+
+# ---- data quality --------------------------------------------------------------
+FILM_ROW_COLS = """id, title, description, CAST(creation_date AS VARCHAR) AS creation_date, rating, type,
+  CAST(created AS VARCHAR) AS created, CAST(modified AS VARCHAR) AS modified"""
+ORACLE_SQL["valid_films"] = _with() + f"SELECT {FILM_ROW_COLS} FROM valid_film"
+ORACLE_SQL["rejected_films"] = _with() + f"""
+SELECT {FILM_ROW_COLS},
+  concat_ws(',', CASE WHEN id IS NULL THEN 'id is null' END, CASE WHEN title IS NULL THEN 'title is null' END,
+    CASE WHEN type IS NULL THEN 'type is null' END, CASE WHEN created IS NULL THEN 'created is null' END,
+    CASE WHEN modified IS NULL THEN 'modified is null' END) AS reasons
+FROM film_work
+WHERE id IS NULL OR title IS NULL OR type IS NULL OR created IS NULL OR modified IS NULL"""
+
+_lo, _hi = P.RATING_RANGE
+_types = ", ".join(f"'{t}'" for t in P.FILM_TYPES)
+ORACLE_SQL["constraint_violations"] = _with() + f"""
+SELECT 'film_work' AS table_name, CAST(id AS VARCHAR) AS key, 'title not null' AS rule FROM film_work WHERE title IS NULL
+UNION ALL SELECT 'film_work', CAST(id AS VARCHAR), 'rating between {_lo:g} and {_hi:g}' FROM film_work
+  WHERE NOT (rating BETWEEN {_lo} AND {_hi})
+UNION ALL SELECT 'film_work', CAST(id AS VARCHAR), 'type in allowed set' FROM film_work WHERE type NOT IN ({_types})
+UNION ALL SELECT 'film_work', CAST(id AS VARCHAR), 'type length <= 32' FROM film_work WHERE length(type) > 32
+UNION ALL SELECT 'film_work', CAST(id AS VARCHAR), 'certificate length <= 512' FROM film_work WHERE length(certificate) > 512
+UNION ALL SELECT 'person', CAST(id AS VARCHAR), 'full_name not null' FROM person WHERE full_name IS NULL
+UNION ALL SELECT 'genre', CAST(id AS VARCHAR), 'name not null' FROM genre WHERE name IS NULL
+UNION ALL SELECT 'genre', CAST(id AS VARCHAR), 'name length <= {P.GENRE_NAME_MAX}' FROM genre WHERE length(name) > {P.GENRE_NAME_MAX}
+UNION ALL SELECT 'person_film_work', CAST(film_work_id AS VARCHAR) || '|' || CAST(person_id AS VARCHAR) || '|' || coalesce(role, ''),
+  'role in allowed set' FROM person_film_work WHERE role NOT IN ('actor', 'producer', 'director')
+UNION ALL SELECT 'film_work', CAST(id AS VARCHAR), 'primary key unique' FROM film_work GROUP BY id HAVING count(*) > 1
+UNION ALL SELECT 'person', CAST(id AS VARCHAR), 'primary key unique' FROM person GROUP BY id HAVING count(*) > 1
+UNION ALL SELECT 'genre', CAST(id AS VARCHAR), 'primary key unique' FROM genre GROUP BY id HAVING count(*) > 1"""
+
+ORACLE_SQL["duplicate_links"] = _with() + """
+SELECT 'genre_film_work' AS table_name, film_work_id, genre_id AS other_id, CAST(NULL AS VARCHAR) AS role, count(*) AS n
+FROM genre_film_work_raw GROUP BY film_work_id, genre_id HAVING count(*) > 1
+UNION ALL
+SELECT 'person_film_work', film_work_id, person_id, role, count(*)
+FROM person_film_work_raw WHERE role IS NOT NULL GROUP BY film_work_id, person_id, role HAVING count(*) > 1"""
+
+ORACLE_SQL["orphan_links"] = _with() + """
+SELECT 'person_film_work' AS table_name, film_work_id, person_id AS other_id, 'person' AS missing
+FROM person_film_work WHERE person_id NOT IN (SELECT id FROM person)
+UNION ALL SELECT 'person_film_work', film_work_id, person_id, 'film_work'
+FROM person_film_work WHERE film_work_id NOT IN (SELECT id FROM film_work)
+UNION ALL SELECT 'genre_film_work', film_work_id, genre_id, 'genre'
+FROM genre_film_work WHERE genre_id NOT IN (SELECT id FROM genre)
+UNION ALL SELECT 'genre_film_work', film_work_id, genre_id, 'film_work'
+FROM genre_film_work WHERE film_work_id NOT IN (SELECT id FROM film_work)"""
+
+_keys = ", ".join(f"'{k}'" for k in P.EVENT_KEYS)
+_unknown = f"list_sort(list_distinct(list_filter(json_keys(props), lambda k: NOT list_contains([{_keys}], k))))"
+ORACLE_SQL["strict_check"] = f"""
+SELECT event_id, array_to_string({_unknown}, ',') AS unknown_keys, len({_unknown}) = 0 AS valid FROM events"""
+ORACLE_SQL["strict_violations"] = f"SELECT * FROM ({ORACLE_SQL['strict_check']}) WHERE NOT valid"
+
+
+# ---- sinks and streaming ---------------------------------------------------------
+ORACLE_SQL["bulk_actions"] = _with("""
+pdoc AS (
+  SELECT p.id, p.full_name AS name,
+    list(DISTINCT l.role ORDER BY l.role) AS role,
+    list(DISTINCT l.film_work_id ORDER BY l.film_work_id) AS film_ids
+  FROM person p JOIN person_film_work l ON l.person_id = p.id
+  WHERE p.full_name IS NOT NULL GROUP BY 1, 2)""") + """
+SELECT 'persons' AS _index, CAST(id AS VARCHAR) AS _id,
+  CAST(to_json({'id': id, 'name': name, 'role': role, 'film_ids': film_ids}) AS VARCHAR) AS _source
+FROM pdoc"""
+
+ORACLE_SQL["latest_documents"] = """
+SELECT user_id, event_id, CAST(ts AS VARCHAR) AS ts, event_type, value, props FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events)
+WHERE rn = 1"""
+
+
+def _stream_changed_ctes() -> list[str]:
+    return [
+        f"changed_genre AS (SELECT id FROM genre WHERE {_win('modified', P.GENRE_LO, None)})",
+        f"changed_person AS (SELECT id FROM person WHERE {_win('modified', P.PERSON_LO, None)})",
+        """changed_films AS (
+  SELECT film_work_id AS id FROM genre_film_work WHERE genre_id IN (SELECT id FROM changed_genre)
+  UNION SELECT film_work_id FROM person_film_work WHERE person_id IN (SELECT id FROM changed_person)
+  UNION SELECT id FROM film_work WHERE """ + _win('modified', P.FILM_LO, None) + ")",
+    ]
+
+
+ORACLE_SQL["stream_documents"] = _with(
+    *_stream_changed_ctes(), *film_docs_ctes("AND {fw} IN (SELECT id FROM changed_films)")) + \
+    "SELECT * FROM film_docs"
+
+
+# ---- text ------------------------------------------------------------------------
+from ..operators.text_index import ENGLISH_STOP, POSSESSIVE_PATTERN, RUSSIAN_STOP, TOKEN_PATTERN  # noqa: E402
+
+
+def _sql_list(words) -> str:
+    return ", ".join("'" + w.replace("'", "''") + "'" for w in words)
+
+
+def text_ctes(rus: str) -> list[str]:
+    tok = TOKEN_PATTERN.replace("'", "''")
+    poss = POSSESSIVE_PATTERN.replace("'", "''")
+    return [
+        f"""raw_tokens AS (
+  SELECT doc_id, unnest(range(len(toks))) AS pos, unnest(toks) AS token
+  FROM (SELECT doc_id, regexp_extract_all(lower(text), '{tok}') AS toks FROM documents))""",
+        f"""tokens AS (
+  SELECT doc_id, pos, token FROM (
+    SELECT doc_id, pos, regexp_replace(token, '{poss}', '') AS token FROM raw_tokens
+    WHERE token NOT IN ({_sql_list(ENGLISH_STOP)}))
+  WHERE token NOT IN ({rus}) AND token <> '')""",
+    ]
+
+
+TEXT = text_ctes(_sql_list(RUSSIAN_STOP))
+ORACLE_SQL["analysed_tokens"] = "WITH " + ",\n".join(TEXT) + "\nSELECT doc_id, pos, token FROM tokens"
+ORACLE_SQL["term_postings"] = "WITH " + ",\n".join(TEXT) + """,
+postings AS (SELECT token AS term, doc_id, count(*) AS tf FROM tokens GROUP BY 1, 2)
+SELECT term, doc_id, tf, count(*) OVER (PARTITION BY term) AS df FROM postings"""
+
+ORACLE_SQL["nested_match"] = _with(*film_docs_ctes()) + f"""
+SELECT f.id, f.title,
+  string_agg(CAST(p.id AS VARCHAR) || ':' || p.name, ',' ORDER BY p.name, p.id) AS matched
+FROM valid_film f JOIN people p ON p.film_work_id = f.id
+WHERE p.role = 'actor' AND lower(p.name) LIKE '%{P.NESTED_NAME_TERM}%' AND CAST(p.id AS VARCHAR) LIKE '%{P.NESTED_ID_TERM}%'
+GROUP BY 1, 2"""
+
+ORACLE_SQL["films_of_person"] = _with(*film_docs_ctes()) + """
+SELECT p.id AS person_id, p.film_work_id AS film_id,
+  CASE p.role WHEN 'actor' THEN 'actors' WHEN 'producer' THEN 'writers' ELSE 'directors' END AS "group"
+FROM people p JOIN valid_film f ON f.id = p.film_work_id"""

@@ -176,3 +176,132 @@ def film_cast_ordered(spark, sf_dir):
 @query
 def films_by_title(spark, sf_dir):
     return K.films_by_title(load_test_catalog(spark, sf_dir))
+
+
+# ---- data quality --------------------------------------------------------------
+from ..operators import quality as Q  # noqa: E402
+
+
+def _film_rows(df: DataFrame) -> DataFrame:
+    return df.select("id", "title", "description", F.col("creation_date").cast("string").alias("creation_date"),
+                     "rating", "type", F.col("created").cast("string").alias("created"),
+                     F.col("modified").cast("string").alias("modified"),
+                     *([F.array_join("reasons", ",").alias("reasons")] if "reasons" in df.columns else []))
+
+
+@query
+def valid_films(spark, sf_dir):
+    return _film_rows(Q.valid_films(load_test_catalog(spark, sf_dir).film_work))
+
+
+@query
+def rejected_films(spark, sf_dir):
+    return _film_rows(Q.rejected_films(load_test_catalog(spark, sf_dir).film_work))
+
+
+@query
+def constraint_violations(spark, sf_dir):
+    return Q.constraint_violations(load_test_catalog(spark, sf_dir), rating_range=P.RATING_RANGE,
+                                   film_types=P.FILM_TYPES, max_len={"genre.name": P.GENRE_NAME_MAX})
+
+
+@query
+def duplicate_links(spark, sf_dir):
+    return Q.duplicate_links(load_test_catalog(spark, sf_dir))
+
+
+@query
+def orphan_links(spark, sf_dir):
+    return Q.orphan_links(load_test_catalog(spark, sf_dir))
+
+
+def _events(spark, sf_dir):
+    return spark.read.parquet(f"{sf_dir}/events.parquet")
+
+
+@query
+def strict_check(spark, sf_dir):
+    unknown = Q.strict_check(F.col("props"), list(P.EVENT_KEYS))
+    return _events(spark, sf_dir).select(
+        "event_id", F.array_join(unknown, ",").alias("unknown_keys"), (F.size(unknown) == 0).alias("valid"))
+
+
+@query
+def strict_violations(spark, sf_dir):
+    return strict_check(spark, sf_dir).where(~F.col("valid"))
+
+
+# ---- sinks and streaming ---------------------------------------------------------
+from ..sources import sinks as SK  # noqa: E402
+
+
+@query
+def bulk_actions(spark, sf_dir):
+    docs = D.person_documents(load_test_catalog(spark, sf_dir))
+    return SK.bulk_actions(docs, "persons")
+
+
+@query
+def latest_documents(spark, sf_dir):
+    """Current version per key of a change log (latest event per user)."""
+    latest = SK.latest_by_key(_events(spark, sf_dir), "user_id", ["ts", "event_id"])
+    return latest.withColumn("ts", F.col("ts").cast("string"))
+
+
+@query
+def stream_documents(spark, sf_dir):
+    """File-source streams over the three entity tables -> foreachBatch document
+    rebuild -> versioned sink; returns the sink's current film documents."""
+    import uuid
+
+    from ..session import subdir
+    from ..sources.tables import TEST_MAPPING
+    from ..streaming.incremental import DocumentSinks, start_document_stream
+
+    run = subdir(spark, "stream_documents", uuid.uuid4().hex)
+    marks = {"film_work": P.FILM_LO, "person": P.PERSON_LO, "genre": P.GENRE_LO}
+
+    def stream_of(table: str) -> DataFrame:
+        source, mapping = TEST_MAPPING[table]
+        raw = (spark.readStream.schema(spark.read.parquet(f"{sf_dir}/{table}.parquet").schema)
+               .option("pathGlobFilter", f"{table}.parquet").option("maxFilesPerTrigger", 1)
+               .parquet(sf_dir))
+        return (mapping(raw).where(C.in_window("modified", marks[source], None))
+                .select(F.lit(source).alias("source"), "id"))
+
+    changes = stream_of("orders").unionByName(stream_of("supplier")).unionByName(stream_of("part"))
+    sinks = DocumentSinks(f"{run}/indexes")
+    q = start_document_stream(spark, changes, lambda: load_test_catalog(spark, sf_dir), sinks,
+                              checkpoint=f"{run}/checkpoint", trigger={"availableNow": True})
+    q.awaitTermination()
+    return flat_film_documents(SK.current_view(spark, sinks.path("movies")).drop("batch_id"))
+
+
+# ---- text ------------------------------------------------------------------------
+from ..operators import text_index as TX  # noqa: E402
+
+
+def _documents(spark, sf_dir):
+    return spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+
+
+@query
+def analysed_tokens(spark, sf_dir):
+    return TX.analysed_tokens(_documents(spark, sf_dir))
+
+
+@query
+def term_postings(spark, sf_dir):
+    return TX.term_postings(TX.analysed_tokens(_documents(spark, sf_dir)))
+
+
+@query
+def nested_match(spark, sf_dir):
+    docs = D.film_documents(load_test_catalog(spark, sf_dir))
+    m = TX.nested_match(docs, "actors", P.NESTED_NAME_TERM, P.NESTED_ID_TERM)
+    return m.select("id", "title", join_refs("matched").alias("matched"))
+
+
+@query
+def films_of_person(spark, sf_dir):
+    return TX.films_of_person(D.film_documents(load_test_catalog(spark, sf_dir)))

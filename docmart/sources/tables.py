@@ -72,12 +72,8 @@ def role_from_returnflag(flag: Column) -> Column:
     return expr.when(flag == "N", F.lit(RETURNFLAG_ROLE["N"])).otherwise(F.lit("director"))
 
 
-def load_test_catalog(spark: SparkSession, sf_dir: str) -> Catalog:
-    def t(name):
-        return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-    orders, supplier, part, lineitem = t("orders"), t("supplier"), t("part"), t("lineitem")
-    film_work = orders.select(
+def map_film_work(orders: DataFrame) -> DataFrame:
+    return orders.select(
         F.col("o_orderkey").alias("id"),
         F.col("o_orderpriority").alias("title"),
         F.lit(None).cast("string").alias("description"),
@@ -89,19 +85,31 @@ def load_test_catalog(spark: SparkSession, sf_dir: str) -> Catalog:
         F.col("o_orderdate").alias("created"),
         F.col("o_orderdate").alias("modified"),
     )
-    person = supplier.select(
-        F.col("s_suppkey").alias("id"),
-        F.col("s_name").alias("full_name"),
-        _days_after_epoch(F.col("s_nationkey") * PERSON_MODIFIED_DAYS_PER_NATION).alias("created"),
-        _days_after_epoch(F.col("s_nationkey") * PERSON_MODIFIED_DAYS_PER_NATION).alias("modified"),
-    )
-    genre = part.select(
-        F.col("p_partkey").alias("id"),
-        F.col("p_name").alias("name"),
-        F.lit(None).cast("string").alias("description"),
-        _days_after_epoch(F.col("p_size") * GENRE_MODIFIED_DAYS_PER_SIZE).alias("created"),
-        _days_after_epoch(F.col("p_size") * GENRE_MODIFIED_DAYS_PER_SIZE).alias("modified"),
-    )
+
+
+def map_person(supplier: DataFrame) -> DataFrame:
+    modified = _days_after_epoch(F.col("s_nationkey") * PERSON_MODIFIED_DAYS_PER_NATION)
+    return supplier.select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("full_name"),
+                           modified.alias("created"), modified.alias("modified"))
+
+
+def map_genre(part: DataFrame) -> DataFrame:
+    modified = _days_after_epoch(F.col("p_size") * GENRE_MODIFIED_DAYS_PER_SIZE)
+    return part.select(F.col("p_partkey").alias("id"), F.col("p_name").alias("name"),
+                       F.lit(None).cast("string").alias("description"),
+                       modified.alias("created"), modified.alias("modified"))
+
+
+# raw test table -> mapped entity
+TEST_MAPPING = {"orders": ("film_work", map_film_work), "supplier": ("person", map_person),
+                "part": ("genre", map_genre)}
+
+
+def load_test_catalog(spark: SparkSession, sf_dir: str) -> Catalog:
+    def t(name):
+        return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+    lineitem = t("lineitem")
     pfw_raw = lineitem.select(
         F.col("l_orderkey").alias("film_work_id"),
         F.col("l_suppkey").alias("person_id"),
@@ -112,9 +120,9 @@ def load_test_catalog(spark: SparkSession, sf_dir: str) -> Catalog:
         F.col("l_partkey").alias("genre_id"),
     )
     return Catalog(
-        film_work=film_work,
-        person=person,
-        genre=genre,
+        film_work=map_film_work(t("orders")),
+        person=map_person(t("supplier")),
+        genre=map_genre(t("part")),
         person_film_work=pfw_raw.distinct(),
         genre_film_work=gfw_raw.distinct(),
         person_film_work_raw=pfw_raw,
