@@ -40,8 +40,9 @@ def ensure_table(spark: SparkSession, path: str, schema: T.StructType) -> None:
         return
     except Exception:  # AnalysisException: path missing or empty
         pass
-    empty = spark.createDataFrame([], schema).withColumn("batch_id", F.lit(0).cast("long"))
-    empty.write.mode("overwrite").partitionBy("batch_id").parquet(path)
+    # an empty partitioned write leaves no file; write the schema-only file
+    # straight into the version-0 folder so partition discovery finds it
+    spark.createDataFrame([], schema).coalesce(1).write.mode("overwrite").parquet(f"{path}/batch_id=0")
 
 
 def upsert(docs: DataFrame, path: str, batch_id: int) -> None:
