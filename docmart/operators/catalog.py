@@ -32,6 +32,7 @@ def api_films(cat, film_ids: DataFrame | None = None) -> DataFrame:
 
     A film without genre links gets genres=[NULL]; without people of a role, [].
     """
+    cat = cat.set_links()
     films = cat.film_work.select(*API_COLUMNS)
     pfw, gfw = cat.person_film_work, cat.genre_film_work
     if film_ids is not None:

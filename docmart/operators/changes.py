@@ -60,6 +60,7 @@ def film_ids_for(link: DataFrame, changed: DataFrame, key: str, film_work: DataF
 def changed_film_ids(cat, film_window=(None, None), person_window=(None, None),
                      genre_window=(None, None)) -> DataFrame:
     """Union of the three change routes (genre -> film, person -> film, film), distinct."""
+    cat = cat.set_links()
     routes = [
         film_ids_for(cat.genre_film_work, changed_ids(cat.genre, *genre_window), "genre_id", cat.film_work),
         film_ids_for(cat.person_film_work, changed_ids(cat.person, *person_window), "person_id", cat.film_work),

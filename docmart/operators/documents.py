@@ -61,6 +61,7 @@ def film_documents(cat, film_ids: DataFrame | None = None) -> DataFrame:
     tables before any aggregation (left-semi joins), so an incremental rebuild
     only touches the links of the changed films.
     """
+    cat = cat.set_links()
     films = valid_films(cat.film_work)
     pfw, gfw = cat.person_film_work, cat.genre_film_work
     if film_ids is not None:
@@ -85,6 +86,7 @@ def film_documents(cat, film_ids: DataFrame | None = None) -> DataFrame:
 def person_documents(cat, person_ids: DataFrame | None = None) -> DataFrame:
     """person (left) links: distinct roles and film ids; NULL kept, so a person
     without links gets role=[NULL], film_ids=[NULL]."""
+    cat = cat.set_links()
     people = cat.person.where(F.col("id").isNotNull() & F.col("full_name").isNotNull())
     links = cat.person_film_work.select(F.col("person_id").alias("id"), "role", "film_work_id")
     if person_ids is not None:
@@ -106,6 +108,7 @@ def person_documents(cat, person_ids: DataFrame | None = None) -> DataFrame:
 
 def genre_documents(cat, genre_ids: DataFrame | None = None) -> DataFrame:
     """genre (inner) links: genres without films produce no document."""
+    cat = cat.set_links()
     genres = cat.genre.where(F.col("id").isNotNull() & F.col("name").isNotNull())
     links = cat.genre_film_work.where(F.col("film_work_id").isNotNull()) \
         .select(F.col("genre_id").alias("id"), "film_work_id")

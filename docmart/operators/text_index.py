@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 # Token pattern: runs of letters/digits, inner apostrophes followed by letters kept.
 TOKEN_PATTERN = r"[\p{L}\p{N}]+(?:['’]\p{L}+)*"
-POSSESSIVE_PATTERN = r"['’][sS]$"
+POSSESSIVE_PATTERN = r"['’]s$"   # applied after lowercasing
 
 # ---- fixed values: the default English stop set of the standard analysers ----
 ENGLISH_STOP = (
@@ -62,7 +62,11 @@ def analysed_tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.regexp_extract_all(F.lower(F.col(text_col)), F.lit(TOKEN_PATTERN), 0)).alias("pos", "token"))
     toks = toks.where(~F.col("token").isin(list(english_stop)))
     toks = _apply_stems(toks, english_stems)
-    toks = toks.withColumn("token", F.regexp_replace("token", POSSESSIVE_PATTERN, ""))
+    # possessive: drop a trailing 's / ’s (plain string ops, no per-token regex)
+    tok = F.col("token")
+    possessive = tok.endswith("'s") | tok.endswith("’s")
+    toks = toks.withColumn("token", F.when(possessive, F.expr("substring(token, 1, char_length(token) - 2)"))
+                                     .otherwise(tok))
     toks = toks.where(~F.col("token").isin(rus) & (F.col("token") != ""))
     toks = _apply_stems(toks, russian_stems)
     return toks.select(id_col, "pos", "token")
@@ -96,11 +100,11 @@ def flat_names_match(docs: DataFrame, group: str, term: str) -> DataFrame:
 
 
 def films_of_person(docs: DataFrame, groups=("actors", "writers", "directors")) -> DataFrame:
-    """Keyword lookup rows (person id, film id, group) from the nested documents."""
-    parts = [docs.select(F.explode(g).alias("p"), F.col("id").alias("film_id"))
-                 .select(F.col("p.id").alias("person_id"), "film_id", F.lit(g).alias("group"))
-             for g in groups]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """Keyword lookup rows (person id, film id, group) from the nested documents,
+    in one pass over the documents (one explode of the concatenated groups)."""
+    def tagged(group):
+        return F.transform(group, lambda p: F.struct(p["id"].alias("person_id"), F.lit(group).alias("group")))
+
+    entries = F.flatten(F.array(*[tagged(g) for g in groups]))
+    return (docs.select(F.col("id").alias("film_id"), F.explode(entries).alias("e"))
+                .select("e.person_id", "film_id", "e.group"))

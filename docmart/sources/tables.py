@@ -30,6 +30,19 @@ class Catalog:
     person_film_work_raw: DataFrame | None = None
     genre_film_work_raw: DataFrame | None = None
 
+    def set_links(self) -> "Catalog":
+        """Catalog whose link frames are the rows as stored.
+
+        For consumers with set semantics only (min / collect_set per key),
+        duplicate link rows cannot change the result, so the de-dup shuffle of
+        the link tables is skipped.
+        """
+        def pick(raw, unique):
+            return raw if raw is not None else unique
+
+        return replace(self, person_film_work=pick(self.person_film_work_raw, self.person_film_work),
+                       genre_film_work=pick(self.genre_film_work_raw, self.genre_film_work))
+
     def with_(self, **frames: DataFrame) -> "Catalog":
         return replace(self, **frames)
 

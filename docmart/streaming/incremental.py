@@ -44,6 +44,7 @@ def process_changes(cat, changes: DataFrame, sinks: DocumentSinks, batch_id: int
     films; film_work -> the films.  Films reached by several routes are
     rebuilt once (union + distinct).
     """
+    cat = cat.set_links()
     genre_ids = changes.where(F.col("source") == "genre").select("id")
     person_ids = changes.where(F.col("source") == "person").select("id")
     film_ids = (
