@@ -25,7 +25,7 @@ def main() -> None:
     from docmart.plans import QUERIES
     from docmart.session import local_session
 
-    spark = local_session(cpus, shuffle_partitions=max(8, 2 * cpus), app="docmart-bench")
+    spark = local_session(cpus, shuffle_partitions=cpus, app="docmart-bench")
     names = only or list(QUERIES)
 
     def run(name: str) -> float:

@@ -110,8 +110,11 @@ def changed_film_ids(spark, sf_dir):
 
 @query
 def incremental_film_documents(spark, sf_dir):
+    from ..session import materialize
+
     cat = load_test_catalog(spark, sf_dir)
-    return flat_film_documents(D.film_documents(cat, C.changed_film_ids(cat, **_windows())))
+    changed = materialize(C.changed_film_ids(cat, **_windows()), "changed-film-ids")
+    return flat_film_documents(D.film_documents(cat, changed))
 
 
 # ---- catalogue ---------------------------------------------------------------

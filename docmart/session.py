@@ -59,3 +59,19 @@ def work_dir(spark: SparkSession) -> str:
 def subdir(spark: SparkSession, *parts: str) -> str:
     base = work_dir(spark)
     return "/".join([base, *parts]) if "://" in base else os.path.join(base, *parts)
+
+
+def materialize(df, name: str):
+    """Write ``df`` as parquet under the shared work folder and read it back.
+
+    Cuts lineage (a lost executor does not recompute the upstream plan),
+    lets several consumers share one computation, and gives the planner the
+    real size on disk for its broadcast decision.  Never a machine-local
+    folder on a cluster: the location comes from the session.
+    """
+    import uuid
+
+    spark = df.sparkSession
+    path = subdir(spark, "materialized", f"{name}-{uuid.uuid4().hex}")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from ..operators import documents as D
 from ..operators.changes import changed_ids, film_ids_for
 from ..schemas import INDEX_GENRES, INDEX_MOVIES, INDEX_PERSONS
+from ..session import materialize
 from ..sources.sinks import ProgressLog, upsert
 
 CHANGE_SOURCES = ("genre", "person", "film_work")
@@ -53,6 +54,8 @@ def process_changes(cat, changes: DataFrame, sinks: DocumentSinks, batch_id: int
         .unionByName(changes.where(F.col("source") == "film_work").select("id"))
         .distinct()
     )
+    # three consumers (film scan and both link scans): compute the keys once
+    film_ids = materialize(film_ids, f"changed-films-{batch_id}")
     upsert(D.genre_documents(cat, genre_ids), sinks.path(INDEX_GENRES), batch_id)
     upsert(D.person_documents(cat, person_ids), sinks.path(INDEX_PERSONS), batch_id)
     upsert(D.film_documents(cat, film_ids), sinks.path(INDEX_MOVIES), batch_id)
