@@ -1,12 +1,13 @@
 """Nested document builders: film, person and genre documents.
 
-Plan shape (the point of this module): each M:N branch is aggregated to film
+Plan shape (the point of this module): each M:N branch is reduced to film
 grain *before* it meets the film table, so the person x genre fan-out of the
 naive five-table join is never materialised.  Every aggregate is partial
 (map-side combine); the de-duplication step groups by (film, role, name) so a
-film with a huge cast is spread over many tasks before the final per-film
-collect, which only sees already-distinct names.  The final joins are 1:1 on
-film id, so neither side can be skewed.
+film with a huge cast is spread over many tasks before the final collect,
+which only sees already-distinct names, and at most ``max_items`` of them per
+document part (hot keys are split, see ``skew``).  The final join to the film
+table is on film id with one row per part, so neither side is skewed.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from pyspark.sql import functions as F
 from ..functions.sets import empty_if_null, null_keeping_set, ref_names, sorted_refs
 from ..schemas import ROLE_GROUPS
 from .quality import valid_films
+from .skew import DEFAULT_MAX_ITEMS, hot_keys, with_parts
 
 
 def _people(person: DataFrame) -> DataFrame:
@@ -25,36 +27,36 @@ def _people(person: DataFrame) -> DataFrame:
                   .select(F.col("id").alias("person_id"), F.col("full_name").alias("name")))
 
 
-def people_branch(person_film_work: DataFrame, person: DataFrame, groups=ROLE_GROUPS) -> DataFrame:
-    """film_work_id -> actors/writers/directors (+ *_names), pre-aggregated.
+def people_entries(person_film_work: DataFrame, person: DataFrame, groups=ROLE_GROUPS) -> DataFrame:
+    """(film_work_id, group, name, id): one entry per film, role group and name.
 
     Links without a known role are ignored; links to a missing person are
     skipped (inner join).  People of one role sharing a name collapse to one
-    entry, the smallest id wins; entries are sorted by name.
+    entry, the smallest id wins.  Grouping by (film, role, name) spreads a
+    film with a huge cast over many tasks; ``min`` combines map-side.
     """
+    role_to_group = F.create_map(*[x for g, r in groups.items() for x in (F.lit(r), F.lit(g))])
     links = person_film_work.where(F.col("role").isin(list(groups.values())))
     named = links.join(_people(person), "person_id")
     dedup = named.groupBy("film_work_id", "role", "name").agg(F.min("person_id").alias("id"))
-    aggs = []
-    for group, role in groups.items():
-        refs = F.collect_list(F.when(F.col("role") == role, F.struct(F.col("name"), F.col("id"))))
-        aggs.append(sorted_refs(refs).alias(group))
-    per_film = dedup.groupBy("film_work_id").agg(*aggs)
-    return per_film.select("film_work_id", *[c for g in groups for c in (F.col(g), ref_names(F.col(g)).alias(f"{g}_names"))])
+    return dedup.select("film_work_id", role_to_group[F.col("role")].alias("group"), "name", "id")
 
 
-def genres_branch(genre_film_work: DataFrame, genre: DataFrame) -> DataFrame:
-    """film_work_id -> genres (+ genres_names); empty/NULL names skipped, by-name de-dup."""
+def genre_entries(genre_film_work: DataFrame, genre: DataFrame) -> DataFrame:
+    """(film_work_id, 'genres', name, id): empty/NULL names skipped, by-name de-dup."""
     g = (genre.where(F.col("id").isNotNull() & F.col("name").isNotNull() & (F.col("name") != ""))
               .select(F.col("id").alias("genre_id"), "name"))
     dedup = (genre_film_work.join(g, "genre_id")
              .groupBy("film_work_id", "name").agg(F.min("genre_id").alias("id")))
-    per_film = dedup.groupBy("film_work_id").agg(sorted_refs(F.collect_list(F.struct("name", "id"))).alias("genres"))
-    return per_film.select("film_work_id", "genres", ref_names(F.col("genres")).alias("genres_names"))
+    return dedup.select("film_work_id", F.lit("genres").alias("group"), "name", "id")
 
 
-def film_documents(cat, film_ids: DataFrame | None = None) -> DataFrame:
-    """One nested document per valid film.
+DOC_GROUPS = ("actors", "writers", "directors", "genres")
+
+
+def film_documents(cat, film_ids: DataFrame | None = None, max_items: int = DEFAULT_MAX_ITEMS) -> DataFrame:
+    """Nested documents of valid films: one row per (film, part); part 0 unless
+    the film has more than ``max_items`` links (see ``skew``).
 
     ``film_ids`` (a one-column DataFrame of ids) restricts the build to those
     films; the restriction is applied to the film table *and* to both link
@@ -69,23 +71,41 @@ def film_documents(cat, film_ids: DataFrame | None = None) -> DataFrame:
         films = films.join(keys.withColumnRenamed("film_work_id", "id"), "id", "left_semi")
         pfw = pfw.join(keys, "film_work_id", "left_semi")
         gfw = gfw.join(keys, "film_work_id", "left_semi")
+    # stored link rows per film bound its entries from above: hot films by that count
+    hot = hot_keys(pfw.select("film_work_id").unionByName(gfw.select("film_work_id")), "film_work_id", max_items)
+    entries = people_entries(pfw, cat.person).unionByName(genre_entries(gfw, cat.genre))
+    parted = with_parts(entries, "film_work_id", hot, ["name"])
+    aggs = [sorted_refs(F.collect_list(F.when(F.col("group") == g, F.struct("name", "id")))).alias(g)
+            for g in DOC_GROUPS]
+    per_part = parted.groupBy(F.col("film_work_id").alias("id"), "part").agg(*aggs)
     base = films.select("id", "title", "description", F.col("rating").alias("imdb_rating"))
+    docs = base.join(per_part, "id", "left")
     id_type = dict(cat.film_work.dtypes)["id"]
-    ref_t = f"struct<id:{dict(cat.person.dtypes)['id']},name:string>"
-    gref_t = f"struct<id:{dict(cat.genre.dtypes)['id']},name:string>"
-    people = people_branch(pfw, cat.person).withColumnRenamed("film_work_id", "id")
-    genres = genres_branch(gfw, cat.genre).withColumnRenamed("film_work_id", "id")
-    docs = base.join(people, "id", "left").join(genres, "id", "left")
-    cols = [F.col("id").cast(id_type).alias("id"), "title", "description", "imdb_rating"]
-    for group, t in [("actors", ref_t), ("writers", ref_t), ("directors", ref_t), ("genres", gref_t)]:
-        cols += [empty_if_null(F.col(group), t).alias(group),
-                 empty_if_null(F.col(f"{group}_names"), "string").alias(f"{group}_names")]
+    ref_t = {g: f"struct<id:{dict(cat.person.dtypes)['id']},name:string>" for g in DOC_GROUPS}
+    ref_t["genres"] = f"struct<id:{dict(cat.genre.dtypes)['id']},name:string>"
+    cols = [F.col("id").cast(id_type).alias("id"), F.coalesce("part", F.lit(0)).alias("part"),
+            "title", "description", "imdb_rating"]
+    for g in DOC_GROUPS:
+        arr = empty_if_null(F.col(g), ref_t[g])
+        cols += [arr.alias(g), ref_names(arr).alias(f"{g}_names")]
     return docs.select(*cols)
 
 
-def person_documents(cat, person_ids: DataFrame | None = None) -> DataFrame:
+def _film_id_parts(links: DataFrame, key: str, max_items: int) -> DataFrame:
+    """(key, part, film_ids) from link rows (key, film_work_id): distinct pairs
+    first (shuffled on both columns), hot keys split into parts."""
+    pairs = links.select(key, "film_work_id").distinct()
+    hot = hot_keys(links.select(key), key, max_items)
+    parted = with_parts(pairs, key, hot, ["film_work_id"])
+    # struct wrapper keeps a NULL film id (a person without links)
+    return parted.groupBy(key, "part").agg(
+        F.array_sort(F.transform(F.collect_list(F.struct(F.col("film_work_id").alias("v"))),
+                                 lambda s: s["v"])).alias("film_ids"))
+
+
+def person_documents(cat, person_ids: DataFrame | None = None, max_items: int = DEFAULT_MAX_ITEMS) -> DataFrame:
     """person (left) links: distinct roles and film ids; NULL kept, so a person
-    without links gets role=[NULL], film_ids=[NULL]."""
+    without links gets role=[NULL], film_ids=[NULL].  One row per (person, part)."""
     cat = cat.set_links()
     people = cat.person.where(F.col("id").isNotNull() & F.col("full_name").isNotNull())
     links = cat.person_film_work.select(F.col("person_id").alias("id"), "role", "film_work_id")
@@ -93,21 +113,21 @@ def person_documents(cat, person_ids: DataFrame | None = None) -> DataFrame:
         keys = person_ids.select(F.col(person_ids.columns[0]).alias("id"))
         people = people.join(keys, "id", "left_semi")
         links = links.join(keys, "id", "left_semi")
-    # distinct roles / films per person are tiny after partial aggregation,
-    # so the hot-person case collapses map-side before the shuffle
-    per_person = links.groupBy("id").agg(null_keeping_set("role").alias("role"),
-                                         null_keeping_set("film_work_id").alias("film_ids"))
-    joined = people.select("id", F.col("full_name").alias("name")).join(per_person, "id", "left")
+    # a person's role set has at most four values: partial aggregation keeps it tiny
+    roles = links.groupBy("id").agg(null_keeping_set("role").alias("role"))
+    films = _film_id_parts(links, "id", max_items)
+    joined = (people.select("id", F.col("full_name").alias("name"))
+              .join(roles, "id", "left").join(films, "id", "left"))
     none = F.array(F.lit(None))
     id_t = dict(cat.film_work.dtypes)["id"]
     return joined.select(
-        "id", "name",
+        "id", F.coalesce("part", F.lit(0)).alias("part"), "name",
         F.coalesce(F.col("role"), none.cast("array<string>")).alias("role"),
         F.coalesce(F.col("film_ids"), none.cast(f"array<{id_t}>")).alias("film_ids"))
 
 
-def genre_documents(cat, genre_ids: DataFrame | None = None) -> DataFrame:
-    """genre (inner) links: genres without films produce no document."""
+def genre_documents(cat, genre_ids: DataFrame | None = None, max_items: int = DEFAULT_MAX_ITEMS) -> DataFrame:
+    """genre (inner) links: genres without films produce no document.  One row per (genre, part)."""
     cat = cat.set_links()
     genres = cat.genre.where(F.col("id").isNotNull() & F.col("name").isNotNull())
     links = cat.genre_film_work.where(F.col("film_work_id").isNotNull()) \
@@ -116,8 +136,9 @@ def genre_documents(cat, genre_ids: DataFrame | None = None) -> DataFrame:
         keys = genre_ids.select(F.col(genre_ids.columns[0]).alias("id"))
         genres = genres.join(keys, "id", "left_semi")
         links = links.join(keys, "id", "left_semi")
-    per_genre = links.groupBy("id").agg(F.array_sort(F.collect_set("film_work_id")).alias("film_ids"))
-    return genres.select("id", "name", "description").join(per_genre, "id", "inner")
+    films = _film_id_parts(links, "id", max_items)
+    return genres.select("id", "name", "description").join(films, "id", "inner") \
+        .select("id", "part", "name", "description", "film_ids")
 
 
 def film_link_rows(cat, film_ids: DataFrame | None = None) -> DataFrame:

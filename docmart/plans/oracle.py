@@ -72,7 +72,7 @@ def film_docs_ctes(film_filter: str = "") -> list[str]:
     string_agg(name, ',' ORDER BY name) AS genres_names
   FROM genres GROUP BY 1)""",
         f"""film_docs AS (
-  SELECT f.id, f.title, f.description, f.rating AS imdb_rating,
+  SELECT f.id, 0 AS part, f.title, f.description, f.rating AS imdb_rating,
     coalesce(pa.actors, '') AS actors, coalesce(pa.actors_names, '') AS actors_names,
     coalesce(pa.writers, '') AS writers, coalesce(pa.writers_names, '') AS writers_names,
     coalesce(pa.directors, '') AS directors, coalesce(pa.directors_names, '') AS directors_names,
@@ -101,14 +101,14 @@ films AS (
   FROM person p
   LEFT JOIN (SELECT DISTINCT person_id, film_work_id FROM person_film_work) f ON f.person_id = p.id
   WHERE p.full_name IS NOT NULL GROUP BY 1)""") + """
-SELECT r.id, r.name, r.role, f.film_ids FROM roles r JOIN films f ON f.id = r.id"""
+SELECT r.id, 0 AS part, r.name, r.role, f.film_ids FROM roles r JOIN films f ON f.id = r.id"""
 
 ORACLE_SQL["genre_documents"] = _with() + """
-SELECT g.id, g.name, g.description,
+SELECT g.id, 0 AS part, g.name, g.description,
   string_agg(CAST(l.film_work_id AS VARCHAR), ',' ORDER BY l.film_work_id) AS film_ids
 FROM genre g JOIN (SELECT DISTINCT genre_id, film_work_id FROM genre_film_work) l ON l.genre_id = g.id
 WHERE g.name IS NOT NULL
-GROUP BY 1, 2, 3"""
+GROUP BY g.id, g.name, g.description"""
 
 ORACLE_SQL["film_wide_rows"] = _with("""
 links AS (

@@ -31,7 +31,7 @@ def run_query(spark: SparkSession, name: str, sf_dir: str) -> DataFrame:
 
 
 def flat_film_documents(docs: DataFrame) -> DataFrame:
-    cols = [F.col("id"), "title", "description", "imdb_rating"]
+    cols = [F.col("id"), "part", "title", "description", "imdb_rating"]
     for g in ("actors", "writers", "directors", "genres"):
         cols += [join_refs(g).alias(g), F.array_join(f"{g}_names", ",").alias(f"{g}_names")]
     return docs.select(*cols)
@@ -45,13 +45,14 @@ def film_documents(spark, sf_dir):
 @query
 def person_documents(spark, sf_dir):
     docs = D.person_documents(load_test_catalog(spark, sf_dir))
-    return docs.select("id", "name", join_values("role").alias("role"), join_values("film_ids").alias("film_ids"))
+    return docs.select("id", "part", "name", join_values("role").alias("role"),
+                       join_values("film_ids").alias("film_ids"))
 
 
 @query
 def genre_documents(spark, sf_dir):
     docs = D.genre_documents(load_test_catalog(spark, sf_dir))
-    return docs.select("id", "name", "description", join_values("film_ids").alias("film_ids"))
+    return docs.select("id", "part", "name", "description", join_values("film_ids").alias("film_ids"))
 
 
 @query

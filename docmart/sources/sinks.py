@@ -18,12 +18,20 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def bulk_actions(docs: DataFrame, index: str, key: str = "id") -> DataFrame:
-    """Bulk index actions: _index, _id, _source (JSON, NULL fields kept)."""
+def bulk_actions(docs: DataFrame, index: str, key: str = "id", part: str = "part") -> DataFrame:
+    """Bulk index actions: _index, _id, _source (JSON, NULL fields kept).
+
+    A document split into parts (hot keys) gets ``_id`` = ``id#part`` for parts
+    above 0; the part number itself is not a document field.
+    """
+    _id = F.col(key).cast("string")
+    fields = [c for c in docs.columns if c != part]
+    if part in docs.columns:
+        _id = F.when(F.col(part) == 0, _id).otherwise(F.concat(_id, F.lit("#"), F.col(part).cast("string")))
     return docs.select(
         F.lit(index).alias("_index"),
-        F.col(key).cast("string").alias("_id"),
-        F.to_json(F.struct(*[F.col(c) for c in docs.columns]), {"ignoreNullFields": "false"}).alias("_source"),
+        _id.alias("_id"),
+        F.to_json(F.struct(*[F.col(c) for c in fields]), {"ignoreNullFields": "false"}).alias("_source"),
     )
 
 
@@ -62,8 +70,12 @@ def latest_by_key(df: DataFrame, key: str, version_cols: list[str]) -> DataFrame
 
 
 def current_view(spark: SparkSession, path: str, key: str = "id") -> DataFrame:
-    """Current documents of a versioned table: latest ``batch_id`` per key."""
-    return latest_by_key(spark.read.parquet(path), key, ["batch_id"])
+    """Current documents of a versioned table: every row (all parts) of the
+    latest ``batch_id`` per key, so a document that shrank to fewer parts
+    leaves no stale part behind."""
+    versions = spark.read.parquet(path)
+    newest = versions.groupBy(key).agg(F.max("batch_id").alias("batch_id"))
+    return versions.join(newest, [key, "batch_id"], "left_semi")
 
 
 def compact(spark: SparkSession, path: str, out: str, key: str = "id") -> None:

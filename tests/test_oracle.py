@@ -27,5 +27,5 @@ def test_query_matches_oracle(spark, name):
 def test_entry_smoke(spark):
     import __spark_entry__ as E
     df = E.entry(spark)
-    assert df.columns[:4] == ["id", "title", "description", "imdb_rating"]
+    assert df.columns[:5] == ["id", "part", "title", "description", "imdb_rating"]
     assert df.count() > 0
