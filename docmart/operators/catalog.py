@@ -2,8 +2,9 @@
 filters and orderings.
 
 The API row is a film with name sets per genre and per role.  As in the
-documents, each branch is aggregated to film grain before joining, so the
-genre x person product is never built.  Pages select their 50 film ids
+documents, the branches are reduced to distinct (film, group, name) entries
+before joining, so the genre x person product is never built, and a hot
+film is split into parts.  Pages select their 50 film ids
 first (a top-k over the film table), then aggregate only those films' links.
 """
 
@@ -13,24 +14,28 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.search import all_terms_match
-from ..functions.sets import null_keeping_set
 from ..schemas import PAGE_SIZE, ROLE_ACTOR, ROLE_DIRECTOR, ROLE_WRITER
+from .skew import DEFAULT_MAX_ITEMS, hot_keys, with_parts
 
 API_COLUMNS = ("id", "title", "description", "creation_date", "rating", "type")
 API_ROLE_GROUPS = {"actors": ROLE_ACTOR, "directors": ROLE_DIRECTOR, "writers": ROLE_WRITER}
 
 
-def _role_names(role: str):
-    # distinct names of one role; NULL name (dangling person) is kept, no match -> []
+def _name_set(group: str):
+    # distinct names of one group; a NULL name (dangling link, or the unlinked
+    # film's genre) is kept; no entry -> []
     return F.array_sort(F.transform(
-        F.collect_set(F.when(F.col("role") == role, F.struct(F.col("full_name").alias("v")))),
+        F.collect_list(F.when(F.col("group") == group, F.struct(F.col("name").alias("v")))),
         lambda s: s["v"]))
 
 
-def api_films(cat, film_ids: DataFrame | None = None) -> DataFrame:
-    """API rows: film columns + genres, actors, directors, writers name sets.
+def api_films(cat, film_ids: DataFrame | None = None, max_items: int = DEFAULT_MAX_ITEMS) -> DataFrame:
+    """API rows: film columns + genres, actors, directors, writers name sets,
+    one row per (film, part) (part 0 unless the film is a hot key, see ``skew``).
 
-    A film without genre links gets genres=[NULL]; without people of a role, [].
+    As with the SQL left joins, a film without genre links gets genres=[NULL];
+    without people of a role, [].  Names are distinct (entries are de-duplicated
+    on (film, group, name) before collecting).
     """
     cat = cat.set_links()
     films = cat.film_work.select(*API_COLUMNS)
@@ -40,19 +45,28 @@ def api_films(cat, film_ids: DataFrame | None = None) -> DataFrame:
         films = films.join(keys.withColumnRenamed("film_work_id", "id"), "id", "left_semi")
         pfw = pfw.join(keys, "film_work_id", "left_semi")
         gfw = gfw.join(keys, "film_work_id", "left_semi")
-    person = cat.person.select(F.col("id").alias("person_id"), "full_name")
+    person = cat.person.select(F.col("id").alias("person_id"), F.col("full_name").alias("name"))
     genre = cat.genre.select(F.col("id").alias("genre_id"), "name")
-    people = (pfw.join(person, "person_id", "left")
-                 .groupBy(F.col("film_work_id").alias("id"))
-                 .agg(*[_role_names(r).alias(g) for g, r in API_ROLE_GROUPS.items()]))
-    genres = (gfw.join(genre, "genre_id", "left")
-                 .groupBy(F.col("film_work_id").alias("id"))
-                 .agg(null_keeping_set("name").alias("genres")))
-    rows = films.join(genres, "id", "left").join(people, "id", "left")
+    role_to_group = F.create_map(*[x for g, r in API_ROLE_GROUPS.items() for x in (F.lit(r), F.lit(g))])
+    people = (pfw.where(F.col("role").isin(list(API_ROLE_GROUPS.values())))
+                 .join(person, "person_id", "left")
+                 .select("film_work_id", role_to_group[F.col("role")].alias("group"), "name"))
+    genres = gfw.join(genre, "genre_id", "left").select("film_work_id", F.lit("genres").alias("group"), "name")
+    # the left join's NULL row for a film without genre links, without a
+    # film-preserving join on the (possibly hot) link side
+    unlinked = (films.select(F.col("id").alias("film_work_id"))
+                .join(gfw.select("film_work_id").distinct(), "film_work_id", "left_anti")
+                .select("film_work_id", F.lit("genres").alias("group"), F.lit(None).cast("string").alias("name")))
+    entries = people.unionByName(genres).unionByName(unlinked).distinct()
+    hot = hot_keys(pfw.select("film_work_id").unionByName(gfw.select("film_work_id")), "film_work_id", max_items)
+    parted = with_parts(entries, "film_work_id", hot, ["name"])
+    per_part = parted.groupBy(F.col("film_work_id").alias("id"), "part").agg(
+        _name_set("genres").alias("genres"), *[_name_set(g).alias(g) for g in API_ROLE_GROUPS])
+    rows = films.join(per_part, "id", "left")
     empty = F.array().cast("array<string>")
     return rows.select(
-        *API_COLUMNS,
-        F.coalesce("genres", F.array(F.lit(None).cast("string"))).alias("genres"),
+        *API_COLUMNS[:1], F.coalesce("part", F.lit(0)).alias("part"), *API_COLUMNS[1:],
+        F.coalesce("genres", empty).alias("genres"),
         *[F.coalesce(g, empty).alias(g) for g in API_ROLE_GROUPS])
 
 
@@ -65,7 +79,7 @@ def catalog_page(cat, page: int = 1, size: int = PAGE_SIZE) -> DataFrame:
     """``results`` of GET /movies/?page=N: the page's films, ordered by id."""
     ids = page_ids(cat.film_work, page, size)
     # the page is at most `size` ids: a proven bound, safe to broadcast
-    return api_films(cat, F.broadcast(ids)).orderBy("id")
+    return api_films(cat, F.broadcast(ids)).orderBy("id", "part")
 
 
 def catalog_page_meta(cat, page: int = 1, size: int = PAGE_SIZE) -> DataFrame:

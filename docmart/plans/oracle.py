@@ -180,7 +180,7 @@ API_CTES = [
         FROM genre_film_work l LEFT JOIN genre g ON g.id = l.genre_id)
   GROUP BY id)""",
     """api AS (
-  SELECT f.id, f.title, f.description, CAST(f.creation_date AS VARCHAR) AS creation_date, f.rating, f.type,
+  SELECT f.id, 0 AS part, f.title, f.description, CAST(f.creation_date AS VARCHAR) AS creation_date, f.rating, f.type,
     coalesce(ag.genres, '<null>') AS genres, coalesce(ap.actors, '') AS actors,
     coalesce(ap.directors, '') AS directors, coalesce(ap.writers, '') AS writers
   FROM film_work f LEFT JOIN api_genres ag ON ag.id = f.id LEFT JOIN api_people ap ON ap.id = f.id)""",

@@ -123,7 +123,8 @@ from ..operators import catalog as K  # noqa: E402
 
 
 def flat_api(rows: DataFrame) -> DataFrame:
-    return rows.select("id", "title", "description", F.col("creation_date").cast("string").alias("creation_date"),
+    return rows.select("id", "part", "title", "description",
+                       F.col("creation_date").cast("string").alias("creation_date"),
                        "rating", "type", *[join_values(c).alias(c) for c in ("genres", "actors", "directors", "writers")])
 
 
