@@ -25,7 +25,7 @@ def _name_set(group: str):
     # distinct names of one group; a NULL name (dangling link, or the unlinked
     # film's genre) is kept; no entry -> []
     return F.array_sort(F.transform(
-        F.collect_list(F.when(F.col("group") == group, F.struct(F.col("name").alias("v")))),
+        F.collect_set(F.when(F.col("group") == group, F.struct(F.col("name").alias("v")))),
         lambda s: s["v"]))
 
 
@@ -34,8 +34,7 @@ def api_films(cat, film_ids: DataFrame | None = None, max_items: int = DEFAULT_M
     one row per (film, part) (part 0 unless the film is a hot key, see ``skew``).
 
     As with the SQL left joins, a film without genre links gets genres=[NULL];
-    without people of a role, [].  Names are distinct (entries are de-duplicated
-    on (film, group, name) before collecting).
+    without people of a role, [].  Names are distinct sets.
     """
     cat = cat.set_links()
     films = cat.film_work.select(*API_COLUMNS)
@@ -57,7 +56,8 @@ def api_films(cat, film_ids: DataFrame | None = None, max_items: int = DEFAULT_M
     unlinked = (films.select(F.col("id").alias("film_work_id"))
                 .join(gfw.select("film_work_id").distinct(), "film_work_id", "left_anti")
                 .select("film_work_id", F.lit("genres").alias("group"), F.lit(None).cast("string").alias("name")))
-    entries = people.unionByName(genres).unionByName(unlinked).distinct()
+    # duplicates collapse map-side in the partial collect_set (no distinct shuffle)
+    entries = people.unionByName(genres).unionByName(unlinked)
     hot = hot_keys(pfw.select("film_work_id").unionByName(gfw.select("film_work_id")), "film_work_id", max_items)
     parted = with_parts(entries, "film_work_id", hot, ["name"])
     per_part = parted.groupBy(F.col("film_work_id").alias("id"), "part").agg(

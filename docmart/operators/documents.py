@@ -92,15 +92,13 @@ def film_documents(cat, film_ids: DataFrame | None = None, max_items: int = DEFA
 
 
 def _film_id_parts(links: DataFrame, key: str, max_items: int) -> DataFrame:
-    """(key, part, film_ids) from link rows (key, film_work_id): distinct pairs
-    first (shuffled on both columns), hot keys split into parts."""
-    pairs = links.select(key, "film_work_id").distinct()
+    """(key, part, film_ids) from link rows (key, film_work_id); hot keys are
+    split into parts, duplicates collapse map-side in the partial set."""
+    pairs = links.select(key, "film_work_id")
     hot = hot_keys(links.select(key), key, max_items)
     parted = with_parts(pairs, key, hot, ["film_work_id"])
     # struct wrapper keeps a NULL film id (a person without links)
-    return parted.groupBy(key, "part").agg(
-        F.array_sort(F.transform(F.collect_list(F.struct(F.col("film_work_id").alias("v"))),
-                                 lambda s: s["v"])).alias("film_ids"))
+    return parted.groupBy(key, "part").agg(null_keeping_set("film_work_id").alias("film_ids"))
 
 
 def person_documents(cat, person_ids: DataFrame | None = None, max_items: int = DEFAULT_MAX_ITEMS) -> DataFrame:

@@ -37,7 +37,10 @@ def part_of(salt: list[str]) -> Column:
 
 def with_parts(entries: DataFrame, key: str, hot: DataFrame, salt: list[str]) -> DataFrame:
     """Add ``part`` to every entry: 0 for ordinary keys, a hash bucket for hot ones."""
-    side = F.broadcast(hot) if hot.count() <= HOT_BROADCAST_MAX_ROWS else hot
+    n_hot = hot.count()
+    if n_hot == 0:               # the usual case: no join at all
+        return entries.withColumn("part", F.lit(0))
+    side = F.broadcast(hot) if n_hot <= HOT_BROADCAST_MAX_ROWS else hot
     return entries.join(side, key, "left").withColumn("part", part_of(salt)).drop("_parts")
 
 
