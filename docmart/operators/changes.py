@@ -10,6 +10,7 @@ driver: changed keys stay DataFrames and restrict the rebuild by semi joins.
 
 from __future__ import annotations
 
+from datetime import datetime
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -67,3 +68,9 @@ def changed_film_ids(cat, film_window=(None, None), person_window=(None, None),
         changed_ids(cat.film_work, *film_window),
     ]
     return reduce(DataFrame.unionByName, [r.select("id") for r in routes]).distinct()
+
+
+def current_mark(spark) -> datetime:
+    """Now, truncated to whole seconds (the next high-water mark); one scalar."""
+    row = spark.range(1).select(F.date_trunc("second", F.current_timestamp()).alias("now")).first()
+    return row["now"]

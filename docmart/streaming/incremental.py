@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import documents as D
-from ..operators.changes import changed_ids, film_ids_for
+from ..operators.changes import changed_ids, current_mark, film_ids_for
 from ..schemas import INDEX_GENRES, INDEX_MOVIES, INDEX_PERSONS
 from ..session import materialize
 from ..sources.sinks import ProgressLog, upsert
@@ -72,13 +72,15 @@ def change_rows(cat, windows: dict[str, tuple]) -> DataFrame:
 
 
 def run_incremental(spark: SparkSession, catalog_loader: Callable[[], object], sinks: DocumentSinks,
-                    progress: ProgressLog, now: datetime, lookback: timedelta = timedelta(seconds=1),
+                    progress: ProgressLog, now: datetime | None = None,
+                    lookback: timedelta = timedelta(seconds=1),
                     default_start: datetime | None = None) -> int:
     """One batch run: read each table's window [mark - lookback, now), write, commit.
 
     ``now`` (the new high mark) is fixed before the scan, so a row committed
     during the run with an older ``modified`` is read by the next run.
     """
+    now = now or current_mark(spark)
     cat = catalog_loader()
     start = default_start or datetime(2021, 6, 13)
     windows = {}

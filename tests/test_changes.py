@@ -140,3 +140,24 @@ def test_ensure_table(spark, scratch):
     SK.ensure_table(spark, path, genre_document_schema())
     assert spark.read.parquet(path).count() == 0
     SK.ensure_table(spark, path, genre_document_schema())
+
+
+def test_h1_mark_is_whole_seconds(spark):
+    mark = C.current_mark(spark)
+    assert mark.microsecond == 0
+
+
+def test_h5_ingest_defaults(spark):
+    from docmart.sources.tables import with_ingest_defaults
+    existing = make_catalog(spark, genres=[genre("g1", "Drama")]).genre
+    rows = make_catalog(spark, genres=[genre("g1", "Drama2"), genre(None, "New")]).genre \
+        .withColumn("created", F.lit(None).cast("timestamp"))
+    out = {r["name"]: r for r in with_ingest_defaults(rows, existing).collect()}
+    assert out["Drama2"]["created"] == T0 and out["Drama2"]["modified"] > T0
+    assert out["New"]["id"] and len(out["New"]["id"]) == 36 and out["New"]["created"] is not None
+
+
+def test_jdbc_hash_predicates_cover_once():
+    from docmart.sources.tables import hash_predicates
+    preds = hash_predicates("id", 4)
+    assert len(preds) == 4 and "IS NULL" in preds[0] and all("= %d" % i in p for i, p in enumerate(preds))
