@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.search import all_terms_match
 from ..schemas import PAGE_SIZE, ROLE_ACTOR, ROLE_DIRECTOR, ROLE_WRITER
-from .skew import DEFAULT_MAX_ITEMS, hot_keys, with_parts
+from .skew import DEFAULT_MAX_ITEMS, group_parts, hot_keys, with_parts
 
 API_COLUMNS = ("id", "title", "description", "creation_date", "rating", "type")
 API_ROLE_GROUPS = {"actors": ROLE_ACTOR, "directors": ROLE_DIRECTOR, "writers": ROLE_WRITER}
@@ -59,9 +59,10 @@ def api_films(cat, film_ids: DataFrame | None = None, max_items: int = DEFAULT_M
     # duplicates collapse map-side in the partial collect_set (no distinct shuffle)
     entries = people.unionByName(genres).unionByName(unlinked)
     hot = hot_keys(pfw.select("film_work_id").unionByName(gfw.select("film_work_id")), "film_work_id", max_items)
-    parted = with_parts(entries, "film_work_id", hot, ["name"])
-    per_part = parted.groupBy(F.col("film_work_id").alias("id"), "part").agg(
-        _name_set("genres").alias("genres"), *[_name_set(g).alias(g) for g in API_ROLE_GROUPS])
+    parted, split = with_parts(entries.withColumnRenamed("film_work_id", "id"), "id", hot.withColumnRenamed(
+        "film_work_id", "id"), ["name"])
+    per_part = group_parts(parted, "id", split,
+                           _name_set("genres").alias("genres"), *[_name_set(g).alias(g) for g in API_ROLE_GROUPS])
     rows = films.join(per_part, "id", "left")
     empty = F.array().cast("array<string>")
     return rows.select(

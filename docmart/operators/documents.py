@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from ..functions.sets import empty_if_null, null_keeping_set, ref_names, sorted_refs
 from ..schemas import ROLE_GROUPS
 from .quality import valid_films
-from .skew import DEFAULT_MAX_ITEMS, hot_keys, with_parts
+from .skew import DEFAULT_MAX_ITEMS, group_parts, hot_keys, with_parts
 
 
 def _people(person: DataFrame) -> DataFrame:
@@ -74,10 +74,11 @@ def film_documents(cat, film_ids: DataFrame | None = None, max_items: int = DEFA
     # stored link rows per film bound its entries from above: hot films by that count
     hot = hot_keys(pfw.select("film_work_id").unionByName(gfw.select("film_work_id")), "film_work_id", max_items)
     entries = people_entries(pfw, cat.person).unionByName(genre_entries(gfw, cat.genre))
-    parted = with_parts(entries, "film_work_id", hot, ["name"])
+    parted, split = with_parts(entries, "film_work_id", hot, ["name"])
     aggs = [sorted_refs(F.collect_list(F.when(F.col("group") == g, F.struct("name", "id")))).alias(g)
             for g in DOC_GROUPS]
-    per_part = parted.groupBy(F.col("film_work_id").alias("id"), "part").agg(*aggs)
+    per_part = group_parts(parted.withColumnRenamed("film_work_id", "fid"), "fid", split, *aggs) \
+        .withColumnRenamed("fid", "id")
     base = films.select("id", "title", "description", F.col("rating").alias("imdb_rating"))
     docs = base.join(per_part, "id", "left")
     id_type = dict(cat.film_work.dtypes)["id"]
@@ -96,9 +97,9 @@ def _film_id_parts(links: DataFrame, key: str, max_items: int) -> DataFrame:
     split into parts, duplicates collapse map-side in the partial set."""
     pairs = links.select(key, "film_work_id")
     hot = hot_keys(links.select(key), key, max_items)
-    parted = with_parts(pairs, key, hot, ["film_work_id"])
+    parted, split = with_parts(pairs, key, hot, ["film_work_id"])
     # struct wrapper keeps a NULL film id (a person without links)
-    return parted.groupBy(key, "part").agg(null_keeping_set("film_work_id").alias("film_ids"))
+    return group_parts(parted, key, split, null_keeping_set("film_work_id").alias("film_ids"))
 
 
 def person_documents(cat, person_ids: DataFrame | None = None, max_items: int = DEFAULT_MAX_ITEMS) -> DataFrame:

@@ -35,13 +35,25 @@ def part_of(salt: list[str]) -> Column:
         F.pmod(F.xxhash64(*[F.col(c) for c in salt]), F.col("_parts")).cast("int"))
 
 
-def with_parts(entries: DataFrame, key: str, hot: DataFrame, salt: list[str]) -> DataFrame:
-    """Add ``part`` to every entry: 0 for ordinary keys, a hash bucket for hot ones."""
+def with_parts(entries: DataFrame, key: str, hot: DataFrame, salt: list[str]) -> tuple[DataFrame, bool]:
+    """Add ``part`` to every entry: 0 for ordinary keys, a hash bucket for hot ones.
+
+    Returns (entries, split).  When no key is hot (``split`` False) callers
+    group by the key alone, so the aggregate keeps the key's hash
+    partitioning and the following join on the key needs no extra shuffle.
+    """
     n_hot = hot.count()
     if n_hot == 0:               # the usual case: no join at all
-        return entries.withColumn("part", F.lit(0))
+        return entries.withColumn("part", F.lit(0)), False
     side = F.broadcast(hot) if n_hot <= HOT_BROADCAST_MAX_ROWS else hot
-    return entries.join(side, key, "left").withColumn("part", part_of(salt)).drop("_parts")
+    return entries.join(side, key, "left").withColumn("part", part_of(salt)).drop("_parts"), True
+
+
+def group_parts(parted: DataFrame, key, split: bool, *aggs: Column) -> DataFrame:
+    """Aggregate per (key, part), or per key when nothing was split."""
+    if split:
+        return parted.groupBy(key, "part").agg(*aggs)
+    return parted.groupBy(key).agg(*aggs).withColumn("part", F.lit(0))
 
 
 def max_part_size(docs: DataFrame, array_cols: list[str]) -> DataFrame:
