@@ -45,13 +45,18 @@ def work_dir(spark: SparkSession) -> str:
     checkpoint dir).  Only when neither is set - local tests - a scratch
     folder is created and registered, so later calls agree.
     """
-    sc = spark.sparkContext
-    path = sc.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no context, configuration only
+        sc = None
+    path = sc.getCheckpointDir() if sc is not None else None
     if not path:
         path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         path = tempfile.mkdtemp(prefix="docmart-")
-    if sc.getCheckpointDir() is None:
+        if sc is None:
+            spark.conf.set("spark.checkpoint.dir", path)
+    if sc is not None and sc.getCheckpointDir() is None:
         sc.setCheckpointDir(path)
     return path.rstrip("/")
 
