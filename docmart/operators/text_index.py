@@ -94,6 +94,16 @@ def nested_match(docs: DataFrame, group: str, name_term: str, id_term: str) -> D
                 .select("id", "title", F.filter(group, hit).alias("matched")))
 
 
+def same_person_in(docs: DataFrame, group: str, other: str) -> DataFrame:
+    """Nested match across two arrays: films where an element of ``group`` equals an
+    element of ``other`` on id AND name together (e.g. actors who also direct)."""
+    def both(x):
+        return F.exists(other, lambda y: (y["id"] == x["id"]) & (y["name"] == x["name"]))
+
+    return (docs.where(F.exists(group, both))
+                .select("id", "part", "title", F.filter(group, both).alias("matched")))
+
+
 def flat_names_match(docs: DataFrame, group: str, term: str) -> DataFrame:
     """Flattened `*_names` search: any name containing ``term`` (case-insensitive)."""
     return docs.where(F.exists(f"{group}_names", lambda n: F.lower(n).contains(term.lower())))

@@ -340,12 +340,13 @@ ORACLE_SQL["term_postings"] = "WITH " + ",\n".join(TEXT) + """,
 postings AS (SELECT token AS term, doc_id, count(*) AS tf FROM tokens GROUP BY 1, 2)
 SELECT term, doc_id, tf, count(*) OVER (PARTITION BY term) AS df FROM postings"""
 
-ORACLE_SQL["nested_match"] = _with(*film_docs_ctes()) + f"""
-SELECT f.id, f.title,
-  string_agg(CAST(p.id AS VARCHAR) || ':' || p.name, ',' ORDER BY p.name, p.id) AS matched
-FROM valid_film f JOIN people p ON p.film_work_id = f.id
-WHERE p.role = 'actor' AND lower(p.name) LIKE '%{P.NESTED_NAME_TERM}%' AND CAST(p.id AS VARCHAR) LIKE '%{P.NESTED_ID_TERM}%'
-GROUP BY 1, 2"""
+ORACLE_SQL["nested_match"] = _with(*film_docs_ctes()) + """
+SELECT f.id, 0 AS part, f.title,
+  string_agg(CAST(a.id AS VARCHAR) || ':' || a.name, ',' ORDER BY a.name, a.id) AS matched
+FROM valid_film f
+JOIN people a ON a.film_work_id = f.id AND a.role = 'actor'
+JOIN people d ON d.film_work_id = f.id AND d.role = 'director' AND d.id = a.id AND d.name = a.name
+GROUP BY 1, 2, 3"""
 
 ORACLE_SQL["films_of_person"] = _with(*film_docs_ctes()) + """
 SELECT p.id AS person_id, p.film_work_id AS film_id,

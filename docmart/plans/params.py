@@ -26,7 +26,3 @@ GENRE_NAME_MAX = 9
 
 # strict body keys for the events feed
 EVENT_KEYS = ("k",)
-
-# nested match: one actor whose name contains NAME_TERM and whose id contains ID_TERM
-NESTED_NAME_TERM = "supplier#00000004"
-NESTED_ID_TERM = "7"

@@ -302,9 +302,11 @@ def term_postings(spark, sf_dir):
 
 @query
 def nested_match(spark, sf_dir):
+    """Nested match: films with an actor who also directs them (same id and name
+    on one element of each array)."""
     docs = D.film_documents(load_test_catalog(spark, sf_dir))
-    m = TX.nested_match(docs, "actors", P.NESTED_NAME_TERM, P.NESTED_ID_TERM)
-    return m.select("id", "title", join_refs("matched").alias("matched"))
+    m = TX.same_person_in(docs, "actors", "directors")
+    return m.select("id", "part", "title", join_refs("matched").alias("matched"))
 
 
 @query

@@ -101,3 +101,13 @@ def test_nested_vs_flat(spark):
     # f1 has a "bob" and an id with 7, but not on the same element
     assert [r.id for r in TX.nested_match(docs, "actors", "bob", "7").collect()] == ["f2"]
     assert sorted(r.id for r in TX.flat_names_match(docs, "actors", "bob").collect()) == ["f1", "f2"]
+
+
+def test_same_person_in_two_arrays(spark):
+    from docmart.operators import documents as D
+    cat = make_catalog(spark, films=[film("f1"), film("f2")],
+                       persons=[person("p1", "Ann"), person("p2", "Bob")],
+                       plinks=[plink("f1", "p1", "actor"), plink("f1", "p1", "director"),
+                               plink("f2", "p1", "actor"), plink("f2", "p2", "director")])
+    got = [(r.id, [m.id for m in r.matched]) for r in TX.same_person_in(D.film_documents(cat), "actors", "directors").collect()]
+    assert got == [("f1", ["p1"])]
