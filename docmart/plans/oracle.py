@@ -327,7 +327,7 @@ def text_ctes(rus: str) -> list[str]:
   SELECT doc_id, unnest(range(len(toks))) AS pos, unnest(toks) AS token
   FROM (SELECT doc_id, regexp_extract_all(lower(text), '{tok}') AS toks FROM documents))""",
         f"""tokens AS (
-  SELECT doc_id, pos, token FROM (
+  SELECT doc_id, CAST(pos AS INTEGER) AS pos, token FROM (
     SELECT doc_id, pos, regexp_replace(token, '{poss}', '') AS token FROM raw_tokens
     WHERE token NOT IN ({_sql_list(ENGLISH_STOP)}))
   WHERE token NOT IN ({rus}) AND token <> '')""",

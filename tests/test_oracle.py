@@ -20,7 +20,7 @@ def test_registry_complete():
 def test_query_matches_oracle(spark, name):
     r = compare(spark, name, SF)
     assert r["spark_rows"] == r["oracle_rows"], r
-    assert r["cols_match"] and r["hash_match"], r
+    assert r["cols_match"] and r["types_match"] and r["hash_match"], r
 
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="test tables not present")
