@@ -153,3 +153,22 @@ def unknown_fields(df: DataFrame, schema) -> list[str]:
         return out
 
     return walk(df.schema, schema, "")
+
+
+def drop_orphans(cat):
+    """Cascade rule: the catalog without link rows whose film, person or genre
+    is missing (semi joins; the parents are never collected)."""
+    films = cat.film_work.select(F.col("id").alias("film_work_id"))
+    people = cat.person.select(F.col("id").alias("person_id"))
+    genres = cat.genre.select(F.col("id").alias("genre_id"))
+
+    def keep(links, other, parents):
+        return links.join(films, "film_work_id", "left_semi").join(parents, other, "left_semi")
+
+    pfw = keep(cat.person_film_work, "person_id", people)
+    gfw = keep(cat.genre_film_work, "genre_id", genres)
+    return cat.with_(person_film_work=pfw, genre_film_work=gfw,
+                     person_film_work_raw=None if cat.person_film_work_raw is None
+                     else keep(cat.person_film_work_raw, "person_id", people),
+                     genre_film_work_raw=None if cat.genre_film_work_raw is None
+                     else keep(cat.genre_film_work_raw, "genre_id", genres))

@@ -52,13 +52,14 @@ def _apply_stems(tokens: DataFrame, stems: DataFrame | None, col: str = "token")
     return tokens.join(mapped, col).drop(col).withColumnRenamed("_stemmed", col)
 
 
-def analysed_tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+def analysed_tokens(docs: DataFrame, id_col: str | list[str] = "doc_id", text_col: str = "text",
                     english_stop=ENGLISH_STOP, russian_stop=None,
                     english_stems: DataFrame | None = None,
                     russian_stems: DataFrame | None = None) -> DataFrame:
-    """(id, pos, token) for every analysed token of every document."""
+    """(id..., pos, token) for every analysed token of every document."""
     rus = list(russian_stop) if russian_stop is not None else russian_stop_words()
-    toks = docs.select(F.col(id_col), F.posexplode(
+    ids = [id_col] if isinstance(id_col, str) else list(id_col)
+    toks = docs.select(*ids, F.posexplode(
         F.regexp_extract_all(F.lower(F.col(text_col)), F.lit(TOKEN_PATTERN), 0)).alias("pos", "token"))
     toks = toks.where(~F.col("token").isin(list(english_stop)))
     toks = _apply_stems(toks, english_stems)
@@ -69,7 +70,32 @@ def analysed_tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                                      .otherwise(tok))
     toks = toks.where(~F.col("token").isin(rus) & (F.col("token") != ""))
     toks = _apply_stems(toks, russian_stems)
-    return toks.select(id_col, "pos", "token")
+    return toks.select(*ids, "pos", "token")
+
+
+ANALYSED_FILM_FIELDS = ("title", "description", "actors_names", "writers_names", "directors_names",
+                        "genres_names")
+
+
+def film_field_tokens(docs: DataFrame, fields=ANALYSED_FILM_FIELDS, **analyser) -> DataFrame:
+    """Analysed tokens of the film index's text fields: (id, field, value_index, pos, token).
+
+    Each value of a multi-valued field (a name list) is analysed on its own;
+    ``value_index`` is its place in the list, ``pos`` the position inside it.
+    """
+    parts = []
+    for f in fields:
+        if dict(docs.dtypes)[f].startswith("array"):
+            parts.append(docs.select("id", F.lit(f).alias("field"),
+                                     F.posexplode(f).alias("value_index", "value")))
+        else:
+            parts.append(docs.select("id", F.lit(f).alias("field"), F.lit(0).alias("value_index"),
+                                     F.col(f).alias("value")))
+    values = parts[0]
+    for p in parts[1:]:
+        values = values.unionByName(p)
+    return analysed_tokens(values.where(F.col("value").isNotNull()), ["id", "field", "value_index"],
+                           "value", **analyser)
 
 
 def term_postings(tokens: DataFrame, id_col: str = "doc_id") -> DataFrame:

@@ -319,16 +319,16 @@ def _sql_list(words) -> str:
     return ", ".join("'" + w.replace("'", "''") + "'" for w in words)
 
 
-def text_ctes(rus: str) -> list[str]:
+def text_ctes(rus: str, source: str = "documents", ids: str = "doc_id", text: str = "text") -> list[str]:
     tok = TOKEN_PATTERN.replace("'", "''")
     poss = POSSESSIVE_PATTERN.replace("'", "''")
     return [
         f"""raw_tokens AS (
-  SELECT doc_id, unnest(range(len(toks))) AS pos, unnest(toks) AS token
-  FROM (SELECT doc_id, regexp_extract_all(lower(text), '{tok}') AS toks FROM documents))""",
+  SELECT {ids}, unnest(range(len(toks))) AS pos, unnest(toks) AS token
+  FROM (SELECT {ids}, regexp_extract_all(lower({text}), '{tok}') AS toks FROM {source}))""",
         f"""tokens AS (
-  SELECT doc_id, CAST(pos AS INTEGER) AS pos, token FROM (
-    SELECT doc_id, pos, regexp_replace(token, '{poss}', '') AS token FROM raw_tokens
+  SELECT {ids}, CAST(pos AS INTEGER) AS pos, token FROM (
+    SELECT {ids}, pos, regexp_replace(token, '{poss}', '') AS token FROM raw_tokens
     WHERE token NOT IN ({_sql_list(ENGLISH_STOP)}))
   WHERE token NOT IN ({rus}) AND token <> '')""",
     ]
@@ -352,3 +352,20 @@ ORACLE_SQL["films_of_person"] = _with(*film_docs_ctes()) + """
 SELECT p.id AS person_id, p.film_work_id AS film_id,
   CASE p.role WHEN 'actor' THEN 'actors' WHEN 'producer' THEN 'writers' ELSE 'directors' END AS "group"
 FROM people p JOIN valid_film f ON f.id = p.film_work_id"""
+
+
+_FIELD_VALUES = """field_values AS (
+  SELECT id, 'title' AS field, 0 AS value_index, title AS value FROM valid_film
+  UNION ALL SELECT id, 'description', 0, description FROM valid_film
+  UNION ALL
+  SELECT p.film_work_id, CASE p.role WHEN 'actor' THEN 'actors_names' WHEN 'producer' THEN 'writers_names'
+                                     ELSE 'directors_names' END,
+    CAST(row_number() OVER (PARTITION BY p.film_work_id, p.role ORDER BY p.name) - 1 AS INTEGER), p.name
+  FROM people p WHERE p.film_work_id IN (SELECT id FROM valid_film)
+  UNION ALL
+  SELECT g.film_work_id, 'genres_names',
+    CAST(row_number() OVER (PARTITION BY g.film_work_id ORDER BY g.name) - 1 AS INTEGER), g.name
+  FROM genres g WHERE g.film_work_id IN (SELECT id FROM valid_film))"""
+ORACLE_SQL["film_field_tokens"] = _with(*film_docs_ctes(), _FIELD_VALUES, *text_ctes(
+    _sql_list(RUSSIAN_STOP), "(SELECT * FROM field_values WHERE value IS NOT NULL)", "id, field, value_index",
+    "value")) + "SELECT id, field, value_index, pos, token FROM tokens"

@@ -300,6 +300,12 @@ def term_postings(spark, sf_dir):
     return TX.term_postings(TX.analysed_tokens(_documents(spark, sf_dir)))
 
 
+@query
+def film_field_tokens(spark, sf_dir):
+    """Analysis of the film index's own fields (title, description, name lists)."""
+    return TX.film_field_tokens(D.film_documents(load_test_catalog(spark, sf_dir)))
+
+
 @query
 def nested_match(spark, sf_dir):
     """Nested match: films with an actor who also directs them (same id and name

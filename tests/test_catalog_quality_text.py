@@ -111,3 +111,21 @@ def test_same_person_in_two_arrays(spark):
                                plink("f2", "p1", "actor"), plink("f2", "p2", "director")])
     got = [(r.id, [m.id for m in r.matched]) for r in TX.same_person_in(D.film_documents(cat), "actors", "directors").collect()]
     assert got == [("f1", ["p1"])]
+
+
+def test_k7_cascade_drops_orphans(spark):
+    cat = make_catalog(spark, films=[film("f1")], persons=[person("p1", "Ann")],
+                       plinks=[plink("f1", "p1", "actor"), plink("f1", "p404", "actor"), plink("f404", "p1", "actor")])
+    kept = Q.drop_orphans(cat)
+    assert [(r.film_work_id, r.person_id) for r in kept.person_film_work.collect()] == [("f1", "p1")]
+    assert Q.orphan_links(kept).count() == 0
+
+
+def test_l2_film_fields_analysed(spark):
+    from docmart.operators import documents as D
+    cat = make_catalog(spark, films=[film("f1", title="The Fox's Tale")], persons=[person("p1", "Ann Lee")],
+                       plinks=[plink("f1", "p1", "actor")])
+    got = [(r.field, r.value_index, r.pos, r.token)
+           for r in TX.film_field_tokens(D.film_documents(cat)).orderBy("field", "value_index", "pos").collect()]
+    assert got == [("actors_names", 0, 0, "ann"), ("actors_names", 0, 1, "lee"),
+                   ("title", 0, 1, "fox"), ("title", 0, 2, "tale")]
