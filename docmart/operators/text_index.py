@@ -107,7 +107,10 @@ def term_postings(tokens: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """
     postings = tokens.groupBy(F.col("token").alias("term"), F.col(id_col)).agg(F.count(F.lit(1)).alias("tf"))
     dfreq = postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    return postings.join(dfreq, "term")
+    # the vocabulary grows with the corpus and the planner's size estimate does
+    # not see the explode, so no static broadcast: a sort-merge join, which
+    # AQE's skew handling splits for very frequent terms
+    return postings.join(dfreq.hint("merge"), "term")
 
 
 def nested_match(docs: DataFrame, group: str, name_term: str, id_term: str) -> DataFrame:

@@ -15,8 +15,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.sets import join_refs, join_values
+from ..operators import catalog as K
+from ..operators import changes as C
 from ..operators import documents as D
+from ..operators import quality as Q
+from ..operators import text_index as TX
+from ..session import materialize
+from ..sources import sinks as SK
 from ..sources.tables import load_test_catalog
+from . import params as P
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -65,8 +72,6 @@ def film_wide_rows(spark, sf_dir):
 
 
 # ---- change detection -------------------------------------------------------
-from ..operators import changes as C  # noqa: E402
-from . import params as P  # noqa: E402
 
 
 def _windows():
@@ -111,15 +116,12 @@ def changed_film_ids(spark, sf_dir):
 
 @query
 def incremental_film_documents(spark, sf_dir):
-    from ..session import materialize
-
     cat = load_test_catalog(spark, sf_dir)
     changed = materialize(C.changed_film_ids(cat, **_windows()), "changed-film-ids")
     return flat_film_documents(D.film_documents(cat, changed))
 
 
 # ---- catalogue ---------------------------------------------------------------
-from ..operators import catalog as K  # noqa: E402
 
 
 def flat_api(rows: DataFrame) -> DataFrame:
@@ -184,7 +186,6 @@ def films_by_title(spark, sf_dir):
 
 
 # ---- data quality --------------------------------------------------------------
-from ..operators import quality as Q  # noqa: E402
 
 
 def _film_rows(df: DataFrame) -> DataFrame:
@@ -237,7 +238,6 @@ def strict_violations(spark, sf_dir):
 
 
 # ---- sinks and streaming ---------------------------------------------------------
-from ..sources import sinks as SK  # noqa: E402
 
 
 @query
@@ -283,7 +283,6 @@ def stream_documents(spark, sf_dir):
 
 
 # ---- text ------------------------------------------------------------------------
-from ..operators import text_index as TX  # noqa: E402
 
 
 def _documents(spark, sf_dir):

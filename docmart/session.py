@@ -17,6 +17,22 @@ JOB_CONF = {
 }
 
 
+# Suggested settings for a large cluster (applied by the deployment, not by
+# this library): AQE sizes shuffle partitions from runtime statistics, so the
+# initial count is generous; skewed join partitions are split; scans are cut
+# into 256 MB splits.
+CLUSTER_CONF = {
+    **JOB_CONF,
+    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+}
+
+
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
                   app: str = "docmart") -> SparkSession:
     """Session for tests and the local bench (never used on a cluster)."""
