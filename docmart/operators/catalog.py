@@ -76,15 +76,25 @@ def page_ids(film_work: DataFrame, page: int, size: int = PAGE_SIZE) -> DataFram
     return film_work.select("id").orderBy("id").offset((page - 1) * size).limit(size)
 
 
-def catalog_page(cat, page: int = 1, size: int = PAGE_SIZE) -> DataFrame:
-    """``results`` of GET /movies/?page=N: the page's films, ordered by id."""
+def resolve_page(cat, page: int | str, size: int = PAGE_SIZE) -> int:
+    """A page number, or "last" (the count decides; one scalar to the driver)."""
+    if page == "last":
+        n = cat.film_work.count()
+        return max(1, -(-n // size))
+    return int(page)
+
+
+def catalog_page(cat, page: int | str = 1, size: int = PAGE_SIZE) -> DataFrame:
+    """``results`` of GET /movies/?page=N (or page=last): the page's films, ordered by id."""
+    page = resolve_page(cat, page, size)
     ids = page_ids(cat.film_work, page, size)
     # the page is at most `size` ids: a proven bound, safe to broadcast
     return api_films(cat, F.broadcast(ids)).orderBy("id", "part")
 
 
-def catalog_page_meta(cat, page: int = 1, size: int = PAGE_SIZE) -> DataFrame:
+def catalog_page_meta(cat, page: int | str = 1, size: int = PAGE_SIZE) -> DataFrame:
     """count, total_pages (>= 1), page, prev, next (NULL at the ends), exists."""
+    page = resolve_page(cat, page, size)
     n = cat.film_work.agg(F.count(F.lit(1)).alias("count"))
     total = F.greatest(F.lit(1), F.ceil(F.col("count") / F.lit(size))).cast("int")
     p = F.lit(page)

@@ -6,9 +6,10 @@ of all films) is split into parts: entries of a key with more than
 hash of the entry, so no task ever collects more than about ``max_items``
 values for one output row.  Ordinary keys keep a single part 0.
 
-The hot-key table has at most ``rows / max_items`` rows by construction; it
-is written once to the shared work folder and broadcast only after its
-actual row count has been checked (otherwise it is shuffle-joined).
+The hot-key table has at most ``rows / max_items`` rows by construction.  It
+is counted first; when some key is hot it is written once to the shared work
+folder and broadcast only after that count has been checked (otherwise it is
+shuffle-joined).  When no key is hot, nothing is joined or written.
 """
 
 from __future__ import annotations
@@ -23,11 +24,10 @@ HOT_BROADCAST_MAX_ROWS = 1_000_000  # hot-key rows (key, parts) allowed in a bro
 
 
 def hot_keys(rows: DataFrame, key: str, max_items: int = DEFAULT_MAX_ITEMS) -> DataFrame:
-    """(key, _parts) for keys with more than ``max_items`` rows (partial count, written once)."""
+    """(key, _parts) for keys with more than ``max_items`` rows (partial count; lazy)."""
     counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    hot = counts.where(F.col("_n") > max_items).select(
+    return counts.where(F.col("_n") > max_items).select(
         key, F.ceil(F.col("_n") / F.lit(max_items)).cast("int").alias("_parts"))
-    return materialize(hot, f"hot-{key}")
 
 
 def part_of(salt: list[str]) -> Column:
@@ -43,8 +43,9 @@ def with_parts(entries: DataFrame, key: str, hot: DataFrame, salt: list[str]) ->
     partitioning and the following join on the key needs no extra shuffle.
     """
     n_hot = hot.count()
-    if n_hot == 0:               # the usual case: no join at all
+    if n_hot == 0:               # the usual case: no join, nothing written
         return entries.withColumn("part", F.lit(0)), False
+    hot = materialize(hot, f"hot-{key}")   # computed once, size now known
     side = F.broadcast(hot) if n_hot <= HOT_BROADCAST_MAX_ROWS else hot
     return entries.join(side, key, "left").withColumn("part", part_of(salt)).drop("_parts"), True
 

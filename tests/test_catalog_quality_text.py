@@ -129,3 +129,18 @@ def test_l2_film_fields_analysed(spark):
            for r in TX.film_field_tokens(D.film_documents(cat)).orderBy("field", "value_index", "pos").collect()]
     assert got == [("actors_names", 0, 0, "ann"), ("actors_names", 0, 1, "lee"),
                    ("title", 0, 1, "fox"), ("title", 0, 2, "tale")]
+
+
+def test_api_dangling_link_and_null_role(spark):
+    cat = make_catalog(spark, films=[film("f1")], persons=[person("p1", "Ann")],
+                       plinks=[plink("f1", "p404", "actor"), plink("f1", "p1", "actor"), plink("f1", "p1", None)])
+    row = K.api_films(cat).collect()[0]
+    # the left join keeps the dangling actor as a NULL name, sorted last; the NULL role is in no list
+    assert row["actors"] == ["Ann", None] and row["directors"] == [] and row["writers"] == []
+
+
+def test_last_page(spark):
+    cat = make_catalog(spark, films=[film(f"f{i:03d}") for i in range(120)])
+    assert [r.id for r in K.catalog_page(cat, "last").collect()] == [f"f{i:03d}" for i in range(100, 120)]
+    m = K.catalog_page_meta(cat, "last").collect()[0]
+    assert (m["page"], m["prev"], m["next"], m["total_pages"]) == (3, 2, None, 3)
