@@ -161,3 +161,14 @@ def test_jdbc_hash_predicates_cover_once():
     from docmart.sources.tables import hash_predicates
     preds = hash_predicates("id", 4)
     assert len(preds) == 4 and "IS NULL" in preds[0] and all("= %d" % i in p for i, p in enumerate(preds))
+
+
+def test_full_then_incremental_jobs(spark, scratch):
+    from docmart.streaming.jobs import full_rebuild
+    state = {"cat": _catalog(spark)}
+    sinks = DocumentSinks(f"{scratch}/idx")
+    progress = SK.ProgressLog(spark, f"{scratch}/progress")
+    b1 = full_rebuild(spark, lambda: state["cat"], sinks, progress)
+    assert b1 == 1 and ids(SK.current_view(spark, sinks.path("movies"))) == ["f1", "f2"]
+    assert ids(SK.current_view(spark, sinks.path("persons"))) == ["p1", "p2"]
+    assert progress.next_batch_id() == 2 and progress.last_mark("genre") is not None
