@@ -56,18 +56,18 @@ def _ref(id_type):
 
 def film_document_schema(id_type: T.DataType = S) -> T.StructType:
     arr_ref, arr_s = T.ArrayType(_ref(id_type)), T.ArrayType(S)
-    fields = [_f("id", id_type, False), _f("title", S), _f("description", S),
-              _f("imdb_rating", T.DoubleType())]
+    fields = [_f("id", id_type, False), _f("part", T.IntegerType(), False), _f("title", S),
+              _f("description", S), _f("imdb_rating", T.DoubleType())]
     for group in ("actors", "writers", "directors", "genres"):
         fields += [_f(group, arr_ref), _f(f"{group}_names", arr_s)]
     return T.StructType(fields)
 
 
 def person_document_schema(id_type: T.DataType = S) -> T.StructType:
-    return T.StructType([_f("id", id_type, False), _f("name", S), _f("role", T.ArrayType(S)),
-                         _f("film_ids", T.ArrayType(id_type))])
+    return T.StructType([_f("id", id_type, False), _f("part", T.IntegerType(), False), _f("name", S),
+                         _f("role", T.ArrayType(S)), _f("film_ids", T.ArrayType(id_type))])
 
 
 def genre_document_schema(id_type: T.DataType = S) -> T.StructType:
-    return T.StructType([_f("id", id_type, False), _f("name", S), _f("description", S),
-                         _f("film_ids", T.ArrayType(id_type))])
+    return T.StructType([_f("id", id_type, False), _f("part", T.IntegerType(), False), _f("name", S),
+                         _f("description", S), _f("film_ids", T.ArrayType(id_type))])

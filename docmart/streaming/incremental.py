@@ -37,6 +37,17 @@ class DocumentSinks:
     def path(self, index: str) -> str:
         return f"{self.base}/{index}"
 
+    def ensure(self, spark: SparkSession, id_type=None) -> None:
+        """Create each index with its declared schema when missing."""
+        from pyspark.sql import types as T
+
+        from ..schemas import film_document_schema, genre_document_schema, person_document_schema
+        from ..sources.sinks import ensure_table
+        t = id_type or T.StringType()
+        for index, schema in ((INDEX_MOVIES, film_document_schema(t)), (INDEX_PERSONS, person_document_schema(t)),
+                              (INDEX_GENRES, genre_document_schema(t))):
+            ensure_table(spark, self.path(index), schema)
+
 
 def process_changes(cat, changes: DataFrame, sinks: DocumentSinks, batch_id: int) -> None:
     """Rebuild and write every document touched by ``changes`` (source, id).

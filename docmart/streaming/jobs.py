@@ -63,6 +63,9 @@ def main(argv=None) -> None:
     sinks = DocumentSinks(f"{args.out}/indexes")
     progress = ProgressLog(spark, f"{args.out}/progress")
     loader = _loader(spark, args)
+    id_type = dict(loader().film_work.dtypes)["id"]
+    from pyspark.sql.types import _parse_datatype_string
+    sinks.ensure(spark, _parse_datatype_string(id_type))
     if args.command == "full":
         batch = full_rebuild(spark, loader, sinks, progress)
         print(json.dumps({"batch_id": batch}))

@@ -172,3 +172,17 @@ def test_full_then_incremental_jobs(spark, scratch):
     assert b1 == 1 and ids(SK.current_view(spark, sinks.path("movies"))) == ["f1", "f2"]
     assert ids(SK.current_view(spark, sinks.path("persons"))) == ["p1", "p2"]
     assert progress.next_batch_id() == 2 and progress.last_mark("genre") is not None
+
+
+def test_documents_fit_declared_schemas(spark, scratch):
+    from docmart.operators.quality import unknown_fields
+    from docmart.schemas import film_document_schema, genre_document_schema, person_document_schema
+    cat = _catalog(spark)
+    for docs, schema in ((D.film_documents(cat), film_document_schema()),
+                         (D.person_documents(cat), person_document_schema()),
+                         (D.genre_documents(cat), genre_document_schema())):
+        assert unknown_fields(docs, schema) == []
+        assert [f.name for f in docs.schema.fields] == [f.name for f in schema.fields]
+    sinks = DocumentSinks(f"{scratch}/idx")
+    sinks.ensure(spark)
+    assert spark.read.parquet(sinks.path("movies")).count() == 0
