@@ -186,3 +186,22 @@ def test_documents_fit_declared_schemas(spark, scratch):
     sinks = DocumentSinks(f"{scratch}/idx")
     sinks.ensure(spark)
     assert spark.read.parquet(sinks.path("movies")).count() == 0
+
+
+def test_change_scan_layout(spark, scratch):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    from docmart.sources.tables import write_for_change_scans
+    films = [film(f"f{i:03d}", modified=T0 + timedelta(days=i)) for i in range(60)]
+    write_for_change_scans(make_catalog(spark, films=films).film_work, f"{scratch}/fw", files=4)
+    ranges = []
+    for f in sorted(glob.glob(f"{scratch}/fw/*.parquet")):
+        col = pq.read_table(f, columns=["modified"]).column(0).to_pylist()
+        ranges.append((min(col), max(col)))
+    ranges.sort()
+    # files cover disjoint, ordered ranges of `modified`
+    assert all(a[1] < b[0] for a, b in zip(ranges, ranges[1:])) and len(ranges) > 1
+    got = C.changed_ids(spark.read.parquet(f"{scratch}/fw"), "2021-08-01 00:00:00", "2021-08-05 00:00:00")
+    assert got.count() == 4
