@@ -7,7 +7,7 @@ from docmart.operators import quality as Q
 from docmart.operators import text_index as TX
 from docmart.schemas import film_document_schema
 
-from .fixtures import film, make_catalog, person, plink, rows_by_id
+from .fixtures import film, make_catalog, person, plink
 
 
 def test_e19_page_edges(spark):
