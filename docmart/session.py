@@ -82,17 +82,19 @@ def subdir(spark: SparkSession, *parts: str) -> str:
     return "/".join([base, *parts]) if "://" in base else os.path.join(base, *parts)
 
 
-def materialize(df, name: str):
-    """Write ``df`` as parquet under the shared work folder and read it back.
+def materialize(df, name: str, path: str | None = None):
+    """Write ``df`` as parquet and read it back.
 
     Cuts lineage (a lost executor does not recompute the upstream plan),
     lets several consumers share one computation, and gives the planner the
-    real size on disk for its broadcast decision.  Never a machine-local
-    folder on a cluster: the location comes from the session.
+    real size on disk for its broadcast decision.  The default location is a
+    fresh folder under the session's shared work folder (never a machine-local
+    one on a cluster); a caller with a natural key (e.g. a batch id) passes a
+    fixed ``path`` so a replay overwrites instead of adding a folder.
     """
     import uuid
 
     spark = df.sparkSession
-    path = subdir(spark, "materialized", f"{name}-{uuid.uuid4().hex}")
+    path = path or subdir(spark, "materialized", f"{name}-{uuid.uuid4().hex}")
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)

@@ -66,7 +66,7 @@ def process_changes(cat, changes: DataFrame, sinks: DocumentSinks, batch_id: int
         .distinct()
     )
     # three consumers (film scan and both link scans): compute the keys once
-    film_ids = materialize(film_ids, f"changed-films-{batch_id}")
+    film_ids = materialize(film_ids, "changed-films", f"{sinks.base}/_work/changed_films/batch_id={batch_id}")
     upsert(D.genre_documents(cat, genre_ids), sinks.path(INDEX_GENRES), batch_id)
     upsert(D.person_documents(cat, person_ids), sinks.path(INDEX_PERSONS), batch_id)
     upsert(D.film_documents(cat, film_ids), sinks.path(INDEX_MOVIES), batch_id)
