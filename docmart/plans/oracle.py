@@ -88,6 +88,26 @@ ORACLE_SQL: dict[str, str] = {}
 
 ORACLE_SQL["film_documents"] = _with(*film_docs_ctes()) + "SELECT * FROM film_docs"
 
+ORACLE_SQL["document_array_metrics"] = _with(*film_docs_ctes(), """
+film_counts AS (
+  SELECT f.id,
+    count(p.id) FILTER (WHERE p.role = 'actor') AS actors,
+    count(p.id) FILTER (WHERE p.role = 'producer') AS writers,
+    count(p.id) FILTER (WHERE p.role = 'director') AS directors
+  FROM valid_film f LEFT JOIN people p ON p.film_work_id = f.id GROUP BY f.id)""", """
+genre_counts AS (
+  SELECT f.id, count(g.id) AS genres FROM valid_film f LEFT JOIN genres g ON g.film_work_id = f.id GROUP BY f.id)""") + """
+SELECT 'film.actors' AS metric, CAST(max(actors) AS INTEGER) AS value FROM film_counts
+UNION ALL SELECT 'film.writers', CAST(max(writers) AS INTEGER) FROM film_counts
+UNION ALL SELECT 'film.directors', CAST(max(directors) AS INTEGER) FROM film_counts
+UNION ALL SELECT 'film.genres', CAST(max(genres) AS INTEGER) FROM genre_counts
+UNION ALL SELECT 'person.film_ids', CAST(max(n) AS INTEGER) FROM (
+  SELECT p.id, greatest(count(DISTINCT l.film_work_id), 1) AS n
+  FROM person p LEFT JOIN person_film_work l ON l.person_id = p.id WHERE p.full_name IS NOT NULL GROUP BY p.id)
+UNION ALL SELECT 'genre.film_ids', CAST(max(n) AS INTEGER) FROM (
+  SELECT g.id, count(DISTINCT l.film_work_id) AS n
+  FROM genre g JOIN genre_film_work l ON l.genre_id = g.id WHERE g.name IS NOT NULL GROUP BY g.id)"""
+
 ORACLE_SQL["person_documents"] = _with("""
 roles AS (
   SELECT p.id, p.full_name AS name,

@@ -71,6 +71,22 @@ def film_wide_rows(spark, sf_dir):
                        "kind", "role", "person_id", "full_name", "genre_id", "name")
 
 
+@query
+def document_array_metrics(spark, sf_dir):
+    """Skew metric: the largest array of each document kind (per part), as rows."""
+    from functools import reduce
+
+    from ..operators.skew import max_part_size
+
+    cat = load_test_catalog(spark, sf_dir)
+    groups = ["actors", "writers", "directors", "genres"]
+    parts = [(D.film_documents(cat), groups, "film"), (D.person_documents(cat), ["film_ids"], "person"),
+             (D.genre_documents(cat), ["film_ids"], "genre")]
+    rows = [max_part_size(docs, cols).select(F.lit(f"{kind}.{c}").alias("metric"), F.col(f"max_{c}").alias("value"))
+            for docs, cols, kind in parts for c in cols]
+    return reduce(DataFrame.unionByName, rows)
+
+
 # ---- change detection -------------------------------------------------------
 
 
