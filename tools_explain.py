@@ -16,7 +16,13 @@ for name, fn in QUERIES.items():
     with contextlib.redirect_stdout(buf):
         fn(spark, sf).explain("formatted")
     lines = buf.getvalue().splitlines()
-    tree = [ln for ln in lines if ln.startswith(("+-", " ", ":")) and ln.strip() and "(" in ln][:60]
+    start = lines.index("== Physical Plan ==") + 1 if "== Physical Plan ==" in lines else 0
+    tree = []
+    for ln in lines[start:]:
+        if not ln.strip():
+            break
+        tree.append(ln)
+    tree = tree[:60]
     scans = [ln.strip() for ln in lines if ln.startswith(("PushedFilters", "ReadSchema"))]
     out += [f"## {name}", "", "```", *tree, *scans, "```", ""]
 open("PLANS.md", "w").write("\n".join(out))
