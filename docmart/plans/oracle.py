@@ -389,3 +389,28 @@ _FIELD_VALUES = """field_values AS (
 ORACLE_SQL["film_field_tokens"] = _with(*film_docs_ctes(), _FIELD_VALUES, *text_ctes(
     _sql_list(RUSSIAN_STOP), "(SELECT * FROM field_values WHERE value IS NOT NULL)", "id, field, value_index",
     "value")) + "SELECT id, field, value_index, pos, token FROM tokens"
+
+
+# ---- API detail body as JSON ---------------------------------------------------
+def _api_list(group: str, role: str) -> str:
+    return (f"coalesce(list(DISTINCT full_name ORDER BY full_name NULLS LAST) "
+            f"FILTER (WHERE role = '{role}'), []::VARCHAR[]) AS {group}")
+
+
+ORACLE_SQL["catalog_detail_json"] = _with(f"""
+api_people_l AS (
+  SELECT id, {_api_list('actors', 'actor')}, {_api_list('directors', 'director')},
+    {_api_list('writers', 'producer')}
+  FROM (SELECT DISTINCT l.film_work_id AS id, l.role, p.full_name
+        FROM person_film_work l LEFT JOIN person p ON p.id = l.person_id)
+  GROUP BY id)""", """
+api_genres_l AS (
+  SELECT id, list(DISTINCT name ORDER BY name NULLS LAST) AS genres
+  FROM (SELECT DISTINCT l.film_work_id AS id, g.name
+        FROM genre_film_work l LEFT JOIN genre g ON g.id = l.genre_id)
+  GROUP BY id)""") + """
+SELECT f.id, 0 AS part, CAST(to_json({'id': f.id, 'part': 0, 'title': f.title, 'description': f.description,
+  'creation_date': f.creation_date, 'rating': f.rating, 'type': f.type,
+  'genres': coalesce(ag.genres, [NULL]::VARCHAR[]), 'actors': coalesce(ap.actors, []::VARCHAR[]),
+  'directors': coalesce(ap.directors, []::VARCHAR[]), 'writers': coalesce(ap.writers, []::VARCHAR[])}) AS VARCHAR) AS body
+FROM film_work f LEFT JOIN api_genres_l ag ON ag.id = f.id LEFT JOIN api_people_l ap ON ap.id = f.id"""

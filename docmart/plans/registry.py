@@ -333,3 +333,9 @@ def nested_match(spark, sf_dir):
 @query
 def films_of_person(spark, sf_dir):
     return TX.films_of_person(D.film_documents(load_test_catalog(spark, sf_dir)))
+
+
+@query
+def catalog_detail_json(spark, sf_dir):
+    """The API detail body of every film as JSON text (NULLs kept)."""
+    return K.catalog_detail(load_test_catalog(spark, sf_dir)).select("id", "part", "body")
