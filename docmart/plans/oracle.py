@@ -414,3 +414,37 @@ SELECT f.id, 0 AS part, CAST(to_json({'id': f.id, 'part': 0, 'title': f.title, '
   'genres': coalesce(ag.genres, [NULL]::VARCHAR[]), 'actors': coalesce(ap.actors, []::VARCHAR[]),
   'directors': coalesce(ap.directors, []::VARCHAR[]), 'writers': coalesce(ap.writers, []::VARCHAR[])}) AS VARCHAR) AS body
 FROM film_work f LEFT JOIN api_genres_l ag ON ag.id = f.id LEFT JOIN api_people_l ap ON ap.id = f.id"""
+
+
+# ---- bulk actions of the movies index (nested structs) ---------------------------
+def _ref_list(role: str) -> str:
+    return (f"coalesce(list({{'id': id, 'name': name}} ORDER BY name, id) FILTER (WHERE role = '{role}'), "
+            f"[]::STRUCT(id BIGINT, name VARCHAR)[])")
+
+
+def _name_list(role: str) -> str:
+    return f"coalesce(list(name ORDER BY name) FILTER (WHERE role = '{role}'), []::VARCHAR[])"
+
+
+ORACLE_SQL["bulk_actions_movies"] = _with(*film_docs_ctes(), f"""
+people_l AS (
+  SELECT film_work_id,
+    {_ref_list('actor')} AS actors, {_name_list('actor')} AS actors_names,
+    {_ref_list('producer')} AS writers, {_name_list('producer')} AS writers_names,
+    {_ref_list('director')} AS directors, {_name_list('director')} AS directors_names
+  FROM people GROUP BY 1)""", """
+genres_l AS (
+  SELECT film_work_id, list({'id': id, 'name': name} ORDER BY name, id) AS genres,
+    list(name ORDER BY name) AS genres_names
+  FROM genres GROUP BY 1)""") + """
+SELECT 'movies' AS _index, CAST(f.id AS VARCHAR) AS _id,
+  CAST(to_json({'id': f.id, 'title': f.title, 'description': f.description, 'imdb_rating': f.rating,
+    'actors': coalesce(p.actors, []::STRUCT(id BIGINT, name VARCHAR)[]),
+    'actors_names': coalesce(p.actors_names, []::VARCHAR[]),
+    'writers': coalesce(p.writers, []::STRUCT(id BIGINT, name VARCHAR)[]),
+    'writers_names': coalesce(p.writers_names, []::VARCHAR[]),
+    'directors': coalesce(p.directors, []::STRUCT(id BIGINT, name VARCHAR)[]),
+    'directors_names': coalesce(p.directors_names, []::VARCHAR[]),
+    'genres': coalesce(g.genres, []::STRUCT(id BIGINT, name VARCHAR)[]),
+    'genres_names': coalesce(g.genres_names, []::VARCHAR[])}) AS VARCHAR) AS _source
+FROM valid_film f LEFT JOIN people_l p ON p.film_work_id = f.id LEFT JOIN genres_l g ON g.film_work_id = f.id"""

@@ -339,3 +339,9 @@ def films_of_person(spark, sf_dir):
 def catalog_detail_json(spark, sf_dir):
     """The API detail body of every film as JSON text (NULLs kept)."""
     return K.catalog_detail(load_test_catalog(spark, sf_dir)).select("id", "part", "body")
+
+
+@query
+def bulk_actions_movies(spark, sf_dir):
+    """Bulk index actions of the movies index: nested documents as JSON bodies."""
+    return SK.bulk_actions(D.film_documents(load_test_catalog(spark, sf_dir)), "movies")
