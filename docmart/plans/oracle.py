@@ -108,28 +108,35 @@ UNION ALL SELECT 'genre.film_ids', CAST(max(n) AS INTEGER) FROM (
   SELECT g.id, count(DISTINCT l.film_work_id) AS n
   FROM genre g JOIN genre_film_work l ON l.genre_id = g.id WHERE g.name IS NOT NULL GROUP BY g.id)"""
 
-ORACLE_SQL["person_documents"] = _with("""
+def person_docs_sql(person_filter: str = "", ctes=()) -> str:
+    return _with(*ctes, f"""
 roles AS (
   SELECT p.id, p.full_name AS name,
     string_agg(coalesce(r.role, '<null>'), ',' ORDER BY r.role NULLS LAST) AS role
   FROM person p
   LEFT JOIN (SELECT DISTINCT person_id, role FROM person_film_work) r ON r.person_id = p.id
-  WHERE p.full_name IS NOT NULL GROUP BY 1, 2)""", """
+  WHERE p.full_name IS NOT NULL {person_filter} GROUP BY 1, 2)""", f"""
 films AS (
   SELECT p.id,
     string_agg(coalesce(CAST(f.film_work_id AS VARCHAR), '<null>'), ',' ORDER BY f.film_work_id NULLS LAST) AS film_ids
   FROM person p
   LEFT JOIN (SELECT DISTINCT person_id, film_work_id FROM person_film_work) f ON f.person_id = p.id
-  WHERE p.full_name IS NOT NULL GROUP BY 1)""") + """
+  WHERE p.full_name IS NOT NULL {person_filter} GROUP BY 1)""") + """
 SELECT r.id, 0 AS part, r.name, r.role, f.film_ids FROM roles r JOIN films f ON f.id = r.id"""
 
-ORACLE_SQL["genre_documents"] = _with() + """
+
+def genre_docs_sql(genre_filter: str = "", ctes=()) -> str:
+    return _with(*ctes) + f"""
 SELECT g.id, 0 AS part, g.name, g.description,
   string_agg(CAST(l.film_work_id AS VARCHAR), ',' ORDER BY l.film_work_id) AS film_ids
 FROM genre g JOIN (SELECT DISTINCT genre_id, film_work_id FROM genre_film_work) l ON l.genre_id = g.id
-WHERE g.name IS NOT NULL
+WHERE g.name IS NOT NULL {genre_filter}
 GROUP BY g.id, g.name, g.description"""
 
+
+ORACLE_SQL["person_documents"] = person_docs_sql()
+ORACLE_SQL["genre_documents"] = genre_docs_sql()
+
 ORACLE_SQL["film_wide_rows"] = _with("""
 links AS (
   SELECT l.film_work_id AS fw_id, 'person' AS kind, l.role, l.person_id, p.full_name,
@@ -176,6 +183,10 @@ ORACLE_SQL["film_ids_for_genre"] = _with(*CHANGED_CTES) + \
 ORACLE_SQL["film_ids_for_person"] = _with(*CHANGED_CTES) + \
     "SELECT id, CAST(modified AS VARCHAR) AS modified FROM films_for_person"
 ORACLE_SQL["changed_film_ids"] = _with(*CHANGED_CTES) + "SELECT id FROM changed_films"
+ORACLE_SQL["incremental_person_documents"] = person_docs_sql(
+    "AND p.id IN (SELECT id FROM changed_person)", CHANGED_CTES[:2])
+ORACLE_SQL["incremental_genre_documents"] = genre_docs_sql(
+    "AND g.id IN (SELECT id FROM changed_genre)", CHANGED_CTES[:2])
 ORACLE_SQL["incremental_film_documents"] = _with(
     *CHANGED_CTES, *film_docs_ctes("AND {fw} IN (SELECT id FROM changed_films)")) + "SELECT * FROM film_docs"
 

@@ -137,6 +137,23 @@ def incremental_film_documents(spark, sf_dir):
     return flat_film_documents(D.film_documents(cat, changed))
 
 
+@query
+def incremental_person_documents(spark, sf_dir):
+    """Side output of a run: documents of the people changed in the window."""
+    cat = load_test_catalog(spark, sf_dir)
+    docs = D.person_documents(cat, C.changed_ids(cat.person, P.PERSON_LO, P.PERSON_HI).select("id"))
+    return docs.select("id", "part", "name", join_values("role").alias("role"),
+                       join_values("film_ids").alias("film_ids"))
+
+
+@query
+def incremental_genre_documents(spark, sf_dir):
+    """Side output of a run: documents of the genres changed in the window."""
+    cat = load_test_catalog(spark, sf_dir)
+    docs = D.genre_documents(cat, C.changed_ids(cat.genre, P.GENRE_LO, P.GENRE_HI).select("id"))
+    return docs.select("id", "part", "name", "description", join_values("film_ids").alias("film_ids"))
+
+
 # ---- catalogue ---------------------------------------------------------------
 
 
