@@ -57,6 +57,7 @@ def main(argv=None) -> None:
     p.add_argument("--changes", help="stream: folder with one sub-folder of (id) change files per table")
     p.add_argument("--trigger-seconds", type=int, default=60)
     p.add_argument("--available-now", action="store_true")
+    p.add_argument("--id-type", default="string", help="stream: type of the id column in change files")
     args = p.parse_args(argv)
 
     spark = SparkSession.builder.appName(f"docmart-{args.command}").getOrCreate()
@@ -75,7 +76,7 @@ def main(argv=None) -> None:
     else:
         if not args.changes:
             p.error("stream needs --changes")
-        parts = [spark.readStream.schema("id string").parquet(f"{args.changes}/{t}")
+        parts = [spark.readStream.schema(f"id {args.id_type}").parquet(f"{args.changes}/{t}")
                  .select(F.lit(t).alias("source"), "id") for t in ("film_work", "person", "genre")]
         changes = parts[0].unionByName(parts[1]).unionByName(parts[2])
         trigger = {"availableNow": True} if args.available_now else {"processingTime": f"{args.trigger_seconds} seconds"}
