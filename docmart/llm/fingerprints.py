@@ -103,10 +103,13 @@ def with_next_tail(docs: DataFrame) -> DataFrame:
     firsts = meta.groupBy(F.col("doc_id").alias("next_doc_id")).agg(F.min("h").alias("next_h"))
     need = stored(meta.join(after, "doc_id").join(firsts, "next_doc_id"), "needs")
     named = texts.where("doc_id is not null")
-    tails = (named.withColumnsRenamed({"doc_id": "next_doc_id", "h": "next_h"})
-             .join(need, ["next_doc_id", "next_h"])
-             .select("doc_id", "h", "next_doc_id", "next_h", F.expr("substring(text, 1, cut)").alias("tail"))
-             .dropDuplicates(["doc_id", "h"]))
+    # the texts keep their names on both joins, so one shuffle of them serves both
+    need = need.select(F.col("doc_id").alias("own_id"), F.col("h").alias("own_h"), "cut",
+                       F.col("next_doc_id").alias("doc_id"), F.col("next_h").alias("h"))
+    tails = (named.join(need, ["doc_id", "h"])
+             .select(F.col("own_id"), F.col("own_h"), F.col("doc_id").alias("next_doc_id"),
+                     F.col("h").alias("next_h"), F.expr("substring(text, 1, cut)").alias("tail"))
+             .dropDuplicates(["own_id", "own_h"]).withColumnsRenamed({"own_id": "doc_id", "own_h": "h"}))
     rest = texts.where("doc_id is null").select(
         "doc_id", "h", "text", F.lit(None).cast("long").alias("next_doc_id"),
         F.lit(None).cast("long").alias("next_h"), F.lit("").alias("tail"))
