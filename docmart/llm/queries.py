@@ -6,9 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import read
+from .decontam import leaks
 from .fingerprints import edited_fingerprints
 from .jaccard import jaccard_groups
 from .mixing import mix
+from .secrets import scan
 from .url_rules import judge
 
 
@@ -16,6 +18,14 @@ def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edited_fingerprints(read(spark, sf_dir, "documents"))
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan(read(spark, sf_dir, "documents"))
+
+
 def op6_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(read(spark, sf_dir, "pages")).drop("url")
 
@@ -29,5 +39,5 @@ def op8_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken", "copies")
 
 
-QUERIES = {f.__name__: f for f in (op1_fingerprints, op6_url_rules, op7_jaccard_groups, op8_mix)}
+QUERIES = {f.__name__: f for f in (op1_fingerprints, op2_decontamination, op4_secrets, op6_url_rules, op7_jaccard_groups, op8_mix)}
 ORACLE_SQL: dict[str, str] = {}
