@@ -10,7 +10,9 @@ from .decontam import leaks
 from .fingerprints import edited_fingerprints
 from .jaccard import jaccard_groups
 from .mixing import mix
+from .quality import quality
 from .secrets import scan
+from .toxicity import toxicity
 from .url_rules import judge
 
 
@@ -22,6 +24,10 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(read(spark, sf_dir, "documents"))
 
@@ -39,5 +45,11 @@ def op8_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken", "copies")
 
 
-QUERIES = {f.__name__: f for f in (op1_fingerprints, op2_decontamination, op4_secrets, op6_url_rules, op7_jaccard_groups, op8_mix)}
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_fingerprints, op2_decontamination, op3_quality, op4_secrets, op6_url_rules, op7_jaccard_groups, op8_mix,
+    op10_toxicity)}
 ORACLE_SQL: dict[str, str] = {}
