@@ -5,11 +5,13 @@ text is cut into blocks of ``BLOCK`` bytes over its whole length and each block
 is compressed with either dictionary; the normalised difference of the total
 sizes, (bad - good) / mean, is positive where the good dictionary helps more.
 A logistic curve, fitted on labelled documents that built no dictionary, turns
-it into the probability of label 1.
+it into the probability of label 1.  Where both compressors shrink a text to
+almost nothing (a word repeated on and on) their difference says little, so the
+curve also sees the logarithm of the compression ratio and its square.
 
 Fitting reads at most ``PER_CLASS`` documents of each label (chosen by hash),
 and at most ``BLOCKS`` blocks of each, spread over the whole text.  Scoring
-reads every whole text.  Null and empty texts have difference 0.  With too
+reads every whole text.  Null and empty texts have difference and logarithm 0.  With too
 little labelled text for trained dictionaries the text itself is the
 dictionary; without any text of a label the score is the share of label 1.
 """
@@ -70,9 +72,13 @@ class Difference:
         d.precompute_compress(level=LEVEL)
         return zstandard.ZstdCompressor(dict_data=d, write_dict_id=False, write_content_size=False)
 
-    def of(self, blocks: list[bytes]) -> float:
+    def of(self, blocks: list[bytes]) -> tuple[float, float, float]:
+        """Ten times the normalised difference; one more than the logarithm of the ratio, and its square."""
+        if not blocks:
+            return 0.0, 0.0, 0.0
         good, bad = (sum(len(c.compress(b)) for b in blocks) for c in self.both)
-        return 2.0 * (bad - good) / (bad + good) if blocks else 0.0
+        ratio = 1.0 + float(np.log(good / sum(map(len, blocks))))
+        return 20.0 * (bad - good) / (bad + good), ratio, ratio * ratio
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e-3) -> np.ndarray:
@@ -127,9 +133,9 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", mod: int = 5
     points = [(diff.of(b), c) for c in part for b in part[c][1::2]]
     y = np.array([c for _, c in points], float)
     weight, share = class_weights(y, labels, label, mod, held_out)
-    curve = [0.0, float(np.log(share / (1 - share)))]
+    curve = [0.0, 0.0, 0.0, float(np.log(share / (1 - share)))]
     if 0 < y.sum() < len(y):
-        x = np.array([[d * 10, 1.0] for d, _ in points])
+        x = np.array([[*d, 1.0] for d, _ in points])
         curve = fit_logistic(x, y, weight, 1e-5).tolist()
     return {"good": dictionaries[1], "bad": dictionaries[0], "curve": curve}
 
@@ -140,10 +146,10 @@ def score(docs: DataFrame, model: dict, name: str = "score") -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         diff = Difference(model["good"], model["bad"])
-        a, b = model["curve"]
+        curve = np.array(model["curve"])
         for batch in batches:
-            d = np.array([diff.of(_blocks(t)) for t in batch["text"]], float)
-            yield batch.assign(**{name: 1 / (1 + np.exp(-np.clip(a * 10 * d + b, -30, 30)))})[schema.names]
+            x = np.array([diff.of(_blocks(t)) for t in batch["text"]], float).reshape(-1, 3)
+            yield batch.assign(**{name: 1 / (1 + np.exp(-np.clip(x @ curve[:3] + curve[3], -30, 30)))})[schema.names]
 
     return docs.mapInPandas(run, schema)
 

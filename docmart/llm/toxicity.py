@@ -1,8 +1,9 @@
 """Toxic spans by a linear-chain conditional random field.
 
 Labels mark documents; the tokens of labelled documents get theirs from a
-lexicon: words whose document frequency in toxic documents exceeds that in
-clean ones beyond chance, in a document labelled toxic.  The field has two states (toxic,
+lexicon: words, or beginnings of words (5 to 9 letters, for inflected forms),
+whose document frequency in toxic documents exceeds that in clean ones beyond
+chance, in a document labelled toxic.  The field has two states (toxic,
 other), weights for a word, its neighbours and its shape, and transitions; it
 is trained by gradient steps on exact forward-backward marginals.  Every whole text is
 then tagged; the marginals give the spans, and their largest and their sum give,
@@ -32,6 +33,8 @@ PER_CLASS, WINDOWS, RADIUS, VOCABULARY = 1500, 4, 12, 4000
 _STRIP = b".,!?;:\"'()[]{}<>*#%$&|-_~`"
 _TOKEN = re.compile(r"[^\x20\x09-\x0d]+")
 _STEPS = 80
+_SHORTEST, _LONGEST = 5, 9
+_REMEMBERED = 300_000      # tokens of a task's cache
 _CELLS = 400_000      # of a padded block of texts in a task's memory
 
 
@@ -39,9 +42,16 @@ def _tokens(text: str | None) -> list[bytes]:
     return [w.strip(_STRIP) for w in text.encode("utf-8", "surrogatepass").lower().split()] if text else []
 
 
+def _beginnings(w: bytes) -> list[bytes]:
+    """The word's beginnings, marked, longest first."""
+    text = w.decode("utf-8", "replace") if len(w) > _SHORTEST else ""
+    return [text[:n].encode("utf-8", "replace") + b"*" for n in range(min(_LONGEST, len(text) - 1), _SHORTEST - 1, -1)]
+
+
 def _distinct(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        words = [sorted(set(_tokens(t))) for t in batch["text"]]
+        words = [set(_tokens(t)) for t in batch["text"]]
+        words = [sorted(ws.union(*map(_beginnings, ws))) for ws in words]
         yield pd.DataFrame({"word": [w for ws in words for w in ws],
                             "label": np.repeat(batch["label"].to_numpy(np.int32), [len(ws) for ws in words])})
 
@@ -54,33 +64,46 @@ def _lexicon(sample: DataFrame) -> tuple[list[bytes], list[bytes]]:
             .groupBy("word").agg(F.sum("label").alias("t"), F.sum(1 - F.col("label")).alias("c")))
     odds = F.log((F.col("t") + 0.5) / (n1 + 1.0)) - F.log((F.col("c") + 0.5) / (n0 + 1.0))
     sure = odds - 2.0 * F.sqrt(1 / (F.col("t") + 0.5) + 1 / (F.col("c") + 0.5))
+    begins = F.substring("word", -1, 1) == F.lit(b"*")
     best = (freq.withColumn("toxic", (F.col("t") >= max(3.0, 0.005 * n1)) & (sure >= np.log(4.0)))
-            .orderBy(F.desc("toxic"), F.desc(F.col("t") + F.col("c")), "word").limit(VOCABULARY).collect())
+            .where(F.col("toxic") | ~begins).orderBy(F.desc("toxic"), F.desc(F.col("t") + F.col("c")), "word").limit(VOCABULARY).collect())
     return [bytes(r["word"]) for r in best if r["toxic"]], [bytes(r["word"]) for r in best]
 
 
-def _features(text: str | None, ids: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
+class Ids(dict):
+    """token as written (bytes) -> id of its word, else of its longest known beginning, else 0."""
+
+    def __init__(self, known: dict[bytes, int]) -> None:
+        super().__init__()
+        self.known = known
+
+    def __missing__(self, raw: bytes) -> int:
+        w = raw.lower().strip(_STRIP)
+        id_ = self.known.get(w, 0) or next((self.known[b] for b in _beginnings(w) if b in self.known), 0)
+        if len(self) < _REMEMBERED:
+            self[raw] = id_
+        return id_
+
+
+def _features(text: str | None, ids: Ids) -> tuple[np.ndarray, np.ndarray]:
     """Of every token: its word (0: unknown) and its shape (0 plain, 1 upper case, 2 with digits or marks)."""
     if not text:
         return np.zeros(0, np.int32), np.zeros(0, np.int8)
     raw = text.encode("utf-8", "surrogatepass").split()
-    word = np.fromiter((ids.get(w, 0) for w in map(_core, raw)), np.int32, len(raw))
+    word = np.fromiter(map(ids.__getitem__, raw), np.int32, len(raw))
     shape = np.fromiter((1 if w.isupper() and len(w) > 1 else 0 if w.isalpha() else 2 for w in raw), np.int8, len(raw))
     return word, shape
 
 
-def _core(w: bytes) -> bytes:
-    return w.lower().strip(_STRIP)
-
-
 def _training_windows(toxic: list[bytes], ids: dict[bytes, int]):
     bad = np.array(sorted(ids[w] for w in toxic), np.int32)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        table = Ids(ids)
         for batch in batches:
             out = []
             for doc_id, text, label in zip(batch["doc_id"], batch["text"], batch["label"]):
-                word, shape = _features(text, ids)
+                word, shape = _features(text, table)
                 if not len(word):
                     continue
                 marked = np.isin(word, bad) if label else np.zeros(len(word), bool)
@@ -168,7 +191,7 @@ def _train(windows: list, size: int) -> dict:
     return m
 
 
-def _tagged(texts: list, m: dict, ids: dict[bytes, int]) -> Iterator[tuple[int, np.ndarray]]:
+def _tagged(texts: list, m: dict, ids: Ids) -> Iterator[tuple[int, np.ndarray]]:
     """(place, marginals) of every text; texts of like length share a padded block of bounded size."""
     feats = [_features(t, ids) for t in texts]
     order = sorted(range(len(feats)), key=lambda i: len(feats[i][0]))
@@ -223,8 +246,9 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", mod: int = 4,
         field["bias"][:] = -12.0
 
     def summaries(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        table = Ids(ids)
         for batch in batches:
-            out = [(float(batch["label"].iloc[k]), *_summary(p)) for k, p in _tagged(list(batch["text"]), field, ids)]
+            out = [(float(batch["label"].iloc[k]), *_summary(p)) for k, p in _tagged(list(batch["text"]), field, table)]
             yield pd.DataFrame(out, columns=["y", "top", "mass"])
 
     points = np.array([tuple(r) for r in sample.mapInPandas(summaries, "y double, top double, mass double").collect()]) \
@@ -242,11 +266,11 @@ def tag(docs: DataFrame, model: dict, score: str = "score", spans: str = "spans"
     schema = StructType([f for f in docs.schema if f.name not in (score, spans)]).add(score, DoubleType()).add(spans, StringType())
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        curve = np.array(model["curve"])
+        curve, table = np.array(model["curve"]), Ids(model["ids"])
         for batch in batches:
             texts = list(batch["text"])
             points, found = np.zeros((len(texts), 2)), [""] * len(texts)
-            for k, p in _tagged(texts, model["field"], model["ids"]):
+            for k, p in _tagged(texts, model["field"], table):
                 points[k] = _summary(p)
                 found[k] = _spans(texts[k] or "", p)
             z = np.clip(points @ curve[:2] + curve[2], -30, 30)
