@@ -33,38 +33,48 @@ from pyspark.sql import functions as F
 from .common import components, stored
 from .tokens import WordHashes, mix, windows, words
 
-_SKETCH = ("doc_id long, n_shingles long, sig string, pa array<long>, pb array<long>, "
-           "b0 long, b1 long, b2 long, b3 long")
+_SKETCH = "doc_id long, n_shingles long, sig string, pa array<long>, b0 long, b1 long, b2 long, b3 long"
+_SET = "doc_id long, pb array<long>, counts array<int>, tokens array<long>"
 _SECOND = np.uint64(0x5851F42D4C957F2D)
 PIVOTS, PARTNERS = 4, 2     # first pass: pivots of a bucket, partners checked for a document
+_BUCKETS = 512
+
+
+def _prefix(n: int, percent: int) -> int:
+    return n - (percent * n + 99) // 100 + 1 if n else 0
 
 
 def _sketcher(k: int, percent: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """Size, signature, prefix under the first order and parity bitmap of every set."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hashes = WordHashes()
         for batch in batches:
             out = []
             for doc_id, text in zip(batch["doc_id"], batch["text"]):
                 s = np.unique(windows(hashes.of(words(text)), k))
-                n = len(s)
-                p = n - (percent * n + 99) // 100 + 1 if n else 0
-                second = mix(s ^ _SECOND)
-                pb = s[np.argpartition(second, p - 1)[:p]] if n else s
                 odd = np.bincount((s & np.uint64(255)).astype(np.int64), minlength=256).astype(np.uint8) & 1
                 bits = np.packbits(odd).view(np.int64)
-                out.append((doc_id, n, xxhash.xxh3_128_hexdigest(s.tobytes()) if n else None,
-                            s[:p].view(np.int64), pb.view(np.int64), *bits.tolist()))
-            yield pd.DataFrame(out, columns=["doc_id", "n_shingles", "sig", "pa", "pb", "b0", "b1", "b2", "b3"]) \
+                out.append((doc_id, len(s), xxhash.xxh3_128_hexdigest(s.tobytes()) if len(s) else None,
+                            s[:_prefix(len(s), percent)].view(np.int64), *bits.tolist()))
+            yield pd.DataFrame(out, columns=["doc_id", "n_shingles", "sig", "pa", "b0", "b1", "b2", "b3"]) \
                 .astype({"doc_id": "Int64"})
     return run
 
 
-def _sets(k: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+def _sets(k: int, percent: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """Prefix under the second order, counts per bucket, and the set itself."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hashes = WordHashes()
         for batch in batches:
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "tokens": [
-                np.unique(windows(hashes.of(words(t)), k)).view(np.int64) for t in batch["text"]]})
+            out = []
+            for doc_id, text in zip(batch["doc_id"], batch["text"]):
+                s = np.unique(windows(hashes.of(words(text)), k))
+                p = _prefix(len(s), percent)
+                pb = s[np.argpartition(mix(s ^ _SECOND), p - 1)[:p]] if p else s
+                buckets = ((s >> np.uint64(8)) & np.uint64(_BUCKETS - 1)).astype(np.int64)
+                counts = np.bincount(buckets, minlength=_BUCKETS).astype(np.int32)
+                out.append((doc_id, pb.view(np.int64), counts, s.view(np.int64)))
+            yield pd.DataFrame(out, columns=["doc_id", "pb", "counts", "tokens"])
     return run
 
 
@@ -76,18 +86,30 @@ def _may_link(percent: int) -> Column:
             & ((100 - percent) * (nx + ny) >= (100 + percent) * apart))
 
 
-def _verified(pairs: DataFrame, sketches: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """The pairs (a, b) that also share a prefix token under the second order and whose whole sets link."""
+def _verified(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
+    """The pairs (a, b) that also share a prefix token under the second order and whose whole sets link.
+
+    Small columns are compared first: the counts of both sets' tokens in 512
+    buckets differ by no more than the sets do.  Whole sets travel only for
+    the pairs that are left.
+    """
     pairs = stored(pairs, "candidates")
     ids = pairs.select("a").union(pairs.select("b")).toDF("doc_id").distinct()
-    # a document's row of the sketch table names the text that made its set, should the id repeat
-    seconds = sketches.select("doc_id", "pb").join(ids, "doc_id", "left_semi")
-    near = (pairs.join(seconds.toDF("a", "pa"), "a").join(seconds.toDF("b", "pb"), "b")
-            .where(F.arrays_overlap("pa", "pb")).select("a", "b"))
     texts = docs.select("doc_id", "text").join(ids, "doc_id", "left_semi")
-    sets = stored(texts.mapInPandas(_sets(k), "doc_id long, tokens array<long>"), "sets")
+    sets = stored(texts.mapInPandas(_sets(k, percent), _SET), "sets")
+    counts, prefixes = sets.select("doc_id", "counts"), sets.select("doc_id", "pb")
+    apart = F.aggregate(F.zip_with("ca", "cb", lambda x, y: F.abs(x - y).cast("long")), F.lit(0).cast("long"),
+                        lambda t, d: t + d)
+    total = F.aggregate(F.zip_with("ca", "cb", lambda x, y: (x + y).cast("long")), F.lit(0).cast("long"),
+                        lambda t, d: t + d)
+    near = (pairs.join(counts.toDF("a", "ca"), "a").join(counts.toDF("b", "cb"), "b")
+            .where((100 - percent) * total >= (100 + percent) * apart).select("a", "b").distinct())
+    near = (near.join(prefixes.toDF("a", "pa"), "a").join(prefixes.toDF("b", "pb"), "b")
+            .where(F.arrays_overlap("pa", "pb")).select("a", "b").distinct())
+    near = stored(near, "near")
+    tokens = sets.select("doc_id", "tokens")
     both = F.size(F.array_intersect("ta", "tb"))
-    return (near.join(sets.toDF("a", "ta"), "a").join(sets.toDF("b", "tb"), "b")
+    return (near.join(tokens.toDF("a", "ta"), "a").join(tokens.toDF("b", "tb"), "b")
             .where(100 * both >= percent * (F.size("ta") + F.size("tb") - both))
             .select("a", "b").distinct())
 
@@ -113,16 +135,15 @@ def _links(reps: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
     nearest = Window.partitionBy("x").orderBy("apart", "y")       # at most PIVOTS * prefix rows each
     first = (met.withColumn("_r", F.row_number().over(nearest)).where(F.col("_r") <= PARTNERS)
              .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
-    first = stored(_verified(first, reps, docs, k, percent), "first_links")
+    first = stored(_verified(first, docs, k, percent), "first_links")
 
     part = components(first).toDF("doc_id", "component")
-    rows = stored(rows.join(part, "doc_id", "left")
-                  .withColumn("component", F.coalesce("component", "doc_id")), "prefixes2")
+    rows = rows.join(part, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
     x, y = rows.alias("x"), rows.alias("y")
     rest = (x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.doc_id") < F.col("y.doc_id"))
                    & (F.col("x.component") != F.col("y.component")) & _may_link(percent))
             .select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b")).distinct())
-    return first.union(_verified(rest, reps, docs, k, percent))
+    return first.union(_verified(rest, docs, k, percent))
 
 
 def jaccard_groups(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
@@ -130,12 +151,10 @@ def jaccard_groups(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long"), "text")
     sketches = stored(docs.mapInPandas(_sketcher(k, percent), _SKETCH), "sketches")
     named = sketches.where("doc_id is not null and n_shingles > 0")
-    classes = named.groupBy("sig").agg(F.min("doc_id").alias("rep"))
-    member = stored(named.select("doc_id", "sig").join(classes, "sig").select("doc_id", "rep", "sig").distinct(),
-                    "members")
-    reps = (sketches.join(classes.select("sig", F.col("rep").alias("doc_id")), ["sig", "doc_id"], "left_semi")
-            .dropDuplicates(["sig"]))
-    reps = stored(reps, "reps")
+    whole = F.struct("doc_id", "n_shingles", "pa", "b0", "b1", "b2", "b3")
+    reps = stored(named.groupBy("sig").agg(F.min_by(whole, "doc_id").alias("r")).select("sig", "r.*"), "reps")
+    member = stored(named.select("doc_id", "sig").join(reps.select("sig", F.col("doc_id").alias("rep")), "sig")
+                    .select("doc_id", "rep").distinct(), "members")
     # an id with several texts joins their classes
     twice = (member.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b"))
              .where("a <> b").select("doc_id"))
