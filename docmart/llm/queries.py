@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import gru_lm
 from .common import read
 from .decontam import leaks
 from .fingerprints import edited_fingerprints
@@ -32,6 +33,10 @@ def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(read(spark, sf_dir, "documents"))
 
 
+def op5_gru_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gru_lm.score(read(spark, sf_dir, "documents"))
+
+
 def op6_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(read(spark, sf_dir, "pages")).drop("url")
 
@@ -50,6 +55,6 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_fingerprints, op2_decontamination, op3_quality, op4_secrets, op6_url_rules, op7_jaccard_groups, op8_mix,
+    op1_fingerprints, op2_decontamination, op3_quality, op4_secrets, op5_gru_scores, op6_url_rules, op7_jaccard_groups, op8_mix,
     op10_toxicity)}
 ORACLE_SQL: dict[str, str] = {}
