@@ -10,6 +10,7 @@ from .common import read
 from .decontam import leaks
 from .fingerprints import edited_fingerprints
 from .jaccard import jaccard_groups
+from .license_scan import scan as license_scan
 from .mixing import mix
 from .quality import quality
 from .secrets import scan
@@ -50,11 +51,15 @@ def op8_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken", "copies")
 
 
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan(read(spark, sf_dir, "documents"))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
 QUERIES = {f.__name__: f for f in (
     op1_fingerprints, op2_decontamination, op3_quality, op4_secrets, op5_gru_scores, op6_url_rules, op7_jaccard_groups, op8_mix,
-    op10_toxicity)}
+    op9_license_scan, op10_toxicity)}
 ORACLE_SQL: dict[str, str] = {}
