@@ -68,6 +68,15 @@ def _bands(shingles: str) -> Column:
     return F.array(*[F.struct(F.lit(i).alias("band"), smallest(i).alias("value")) for i in range(BANDS)])
 
 
+def _around(size: int) -> Column:
+    """array<struct<size, at, width>>: the windows for templates of a size that hold one of the ``places``."""
+    width, step = size + size // 2 - (K - 1), size // 4
+    starts = F.array_distinct(F.flatten(F.transform("places", lambda p: F.sequence(
+        F.greatest(F.lit(0), F.ceil((p - width + 1) / step)).cast("int"), F.floor(p / step).cast("int")))))
+    return F.transform(starts, lambda j: F.struct(
+        F.lit(size).alias("size"), (j * step).alias("at"), F.lit(width).alias("width")))
+
+
 def scan(docs: DataFrame, licenses: dict[str, str] | None = None) -> DataFrame:
     """(doc_id, license, containment, first_word, last_word, n_windows): one row per license found in a document."""
     licenses = LICENSES if licenses is None else licenses
@@ -95,16 +104,10 @@ def scan(docs: DataFrame, licenses: dict[str, str] | None = None) -> DataFrame:
     marked = marked.select("doc_id", "shingles", F.filter(
         F.transform("shingles", lambda x, i: F.when(F.array_contains(F.col("held"), x), i)),
         lambda i: i.isNotNull()).alias("places"))
-    windows = None
-    for size in sorted({size_of(len(w)) for _, w in listed}):
-        width, step = size + size // 2 - (K - 1), size // 4
-        # windows [j * step, j * step + width) around a place
-        starts = F.array_distinct(F.flatten(F.transform("places", lambda p: F.sequence(
-            F.greatest(F.lit(0), F.ceil((p - width + 1) / step)).cast("int"), F.floor(p / step).cast("int")))))
-        part = marked.select("doc_id", "shingles", F.explode(starts).alias("j")).select(
-            "doc_id", F.lit(size).alias("size"), (F.col("j") * step).alias("at"),
-            F.array_distinct(F.slice("shingles", F.col("j") * step + 1, width)).alias("window"))
-        windows = part if windows is None else windows.unionByName(part)
+    # windows [j * step, j * step + width) around a place, of every size in one pass over the texts
+    cuts = [_around(size) for size in sorted({size_of(len(w)) for _, w in listed})]
+    windows = marked.select("doc_id", "shingles", F.explode(F.concat(*cuts)).alias("c")).select(
+        "doc_id", "c.size", "c.at", F.array_distinct(F.slice("shingles", F.col("c.at") + 1, F.col("c.width"))).alias("window"))
     windows = windows.where(F.size("window") > 0).withColumn("b", F.explode(_bands("window"))).select(
         "doc_id", "size", "at", "window", "b.band", "b.value")
     met = (windows.join(F.broadcast(table), ["size", "band", "value"])
