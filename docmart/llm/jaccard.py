@@ -37,6 +37,7 @@ _SKETCH = "doc_id long, n_shingles long, sig string, pa array<long>, b0 long, b1
 _SET = "doc_id long, pb array<long>, counts array<int>, tokens array<long>"
 _SECOND = np.uint64(0x5851F42D4C957F2D)
 PIVOTS, PARTNERS = 4, 2     # first pass: pivots of a bucket, partners checked for a document
+BROADCAST_IDS = 2_000_000   # candidate documents (16 MB of ids) up to which their texts are picked without a shuffle
 _BUCKETS = 512
 
 
@@ -95,6 +96,9 @@ def _verified(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFr
     """
     pairs = stored(pairs, "candidates")
     ids = pairs.select("a").union(pairs.select("b")).toDF("doc_id").distinct()
+    ids = stored(ids, "candidate_ids")
+    if ids.count() <= BROADCAST_IDS:
+        ids = F.broadcast(ids)
     texts = docs.select("doc_id", "text").join(ids, "doc_id", "left_semi")
     sets = stored(texts.mapInPandas(_sets(k, percent), _SET), "sets")
     counts, prefixes = sets.select("doc_id", "counts"), sets.select("doc_id", "pb")
