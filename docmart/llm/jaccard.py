@@ -34,11 +34,11 @@ from .common import components, stored
 from .tokens import WordHashes, mix, windows, words
 
 _SKETCH = "doc_id long, n_shingles long, sig string, pa array<long>, b0 long, b1 long, b2 long, b3 long"
-_SET = "doc_id long, pb array<long>, counts array<int>, tokens array<long>"
+_SET = "doc_id long, n long, pb array<long>, counts array<short>, tokens array<long>"
 _SECOND = np.uint64(0x5851F42D4C957F2D)
 PIVOTS, PARTNERS = 4, 2     # first pass: pivots of a bucket, partners checked for a document
 BROADCAST_IDS = 2_000_000   # candidate documents (16 MB of ids) up to which their texts are picked without a shuffle
-_BUCKETS = 512
+_BUCKETS = 128
 
 
 def _prefix(n: int, percent: int) -> int:
@@ -73,9 +73,10 @@ def _sets(k: int, percent: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[p
                 p = _prefix(len(s), percent)
                 pb = s[np.argpartition(mix(s ^ _SECOND), p - 1)[:p]] if p else s
                 buckets = ((s >> np.uint64(8)) & np.uint64(_BUCKETS - 1)).astype(np.int64)
-                counts = np.bincount(buckets, minlength=_BUCKETS).astype(np.int32)
-                out.append((doc_id, pb.view(np.int64), counts, s.view(np.int64)))
-            yield pd.DataFrame(out, columns=["doc_id", "pb", "counts", "tokens"])
+                # cut counts lie no farther apart than whole ones, so the filter stays lossless
+                counts = np.minimum(np.bincount(buckets, minlength=_BUCKETS), 32_767).astype(np.int16)
+                out.append((doc_id, len(s), pb.view(np.int64), counts, s.view(np.int64)))
+            yield pd.DataFrame(out, columns=["doc_id", "n", "pb", "counts", "tokens"])
     return run
 
 
@@ -90,7 +91,7 @@ def _may_link(percent: int) -> Column:
 def _verified(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
     """The pairs (a, b) that also share a prefix token under the second order and whose whole sets link.
 
-    Small columns are compared first: the counts of both sets' tokens in 512
+    Small columns are compared first: the counts of both sets' tokens in 128
     buckets differ by no more than the sets do.  Whole sets travel only for
     the pairs that are left.
     """
@@ -101,13 +102,11 @@ def _verified(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFr
         ids = F.broadcast(ids)
     texts = docs.select("doc_id", "text").join(ids, "doc_id", "left_semi")
     sets = stored(texts.mapInPandas(_sets(k, percent), _SET), "sets")
-    counts, prefixes = sets.select("doc_id", "counts"), sets.select("doc_id", "pb")
+    counts, prefixes = sets.select("doc_id", "n", "counts"), sets.select("doc_id", "pb")
     apart = F.aggregate(F.zip_with("ca", "cb", lambda x, y: F.abs(x - y).cast("long")), F.lit(0).cast("long"),
                         lambda t, d: t + d)
-    total = F.aggregate(F.zip_with("ca", "cb", lambda x, y: (x + y).cast("long")), F.lit(0).cast("long"),
-                        lambda t, d: t + d)
-    near = (pairs.join(counts.toDF("a", "ca"), "a").join(counts.toDF("b", "cb"), "b")
-            .where((100 - percent) * total >= (100 + percent) * apart).select("a", "b").distinct())
+    near = (pairs.join(counts.toDF("a", "na", "ca"), "a").join(counts.toDF("b", "nb", "cb"), "b")
+            .where((100 - percent) * (F.col("na") + F.col("nb")) >= (100 + percent) * apart).select("a", "b").distinct())
     near = (near.join(prefixes.toDF("a", "pa"), "a").join(prefixes.toDF("b", "pb"), "b")
             .where(F.arrays_overlap("pa", "pb")).select("a", "b").distinct())
     near = stored(near, "near")
