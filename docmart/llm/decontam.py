@@ -55,21 +55,21 @@ class _Words(dict):
     def forget(self) -> None:
         self.clear()
         self.cores: list[str] = []
-        self.hashes: list[int] = []
-        self.kinds: list[int] = []
-        self.ends: list[bool] = []
-        self.arrays = None
+        self.hashes, self.kinds, self.ends = np.zeros(1 << 12, np.uint64), np.zeros(1 << 12, np.int8), np.zeros(1 << 12, bool)
 
     def __missing__(self, word: str) -> int:
         core = _EDGE.sub("", word)
         low = core.lower()
-        kind = _NUM if _NUMBER.fullmatch(core) else _UNIT if low in UNITS else _CAP \
+        row = len(self.cores)
+        if row == len(self.hashes):
+            self.hashes, self.kinds, self.ends = (np.concatenate([a, np.zeros_like(a)])
+                                                  for a in (self.hashes, self.kinds, self.ends))
+        self.kinds[row] = _NUM if _NUMBER.fullmatch(core) else _UNIT if low in UNITS else _CAP \
             if core[:1].isupper() and core[1:].islower() else _LIT
         self.cores.append(low)
-        self.hashes.append(xxhash.xxh3_64_intdigest(low.encode("utf-8", "surrogatepass")) if low else 0)
-        self.kinds.append(kind)
-        self.ends.append(word[-1] in ".!?:;" or not core)
-        self[word] = row = len(self.cores) - 1
+        self.hashes[row] = xxhash.xxh3_64_intdigest(low.encode("utf-8", "surrogatepass")) if low else 0
+        self.ends[row] = word[-1] in ".!?:;" or not core
+        self[word] = row
         return row
 
     def capital(self, row: int) -> bool:
@@ -80,10 +80,7 @@ class _Words(dict):
         if len(self) > _KEEP:
             self.forget()
         rows = np.fromiter(map(self.__getitem__, text.split()), np.int64)
-        if self.arrays is None or len(self.arrays[0]) < len(self.cores):
-            self.arrays = (np.array(self.hashes, np.uint64), np.array(self.kinds, np.int8), np.array(self.ends, bool))
-        hashes, kinds, ends = (a[rows] for a in self.arrays)
-        kinds = kinds.copy()
+        hashes, kinds, ends = self.hashes[rows], self.kinds[rows], self.ends[rows]
         start = np.ones(len(rows), bool)            # of a sentence: a capital says nothing there
         start[1:] = ends[:-1]
         kinds[(kinds == _CAP) & start] = _LIT
