@@ -3,7 +3,8 @@
 Texts and templates become words ([a-z0-9]+ of the lower-cased text) and runs
 of ``K`` words (shingles).  For every size of template (8, 16, 32, ... words) a
 text is cut into windows half as long again as that size, starting every quarter
-of it, so a whole template of the size lies in some window and makes up over
+of it.  Only texts that hold one of a few long words without which no template
+can be contained are cut at all.  A whole template of the size lies in some window and makes up over
 half of the template's window or nearly so.  Windows without any shingle of a
 template cannot contain one and are skipped.  The others get ``BANDS`` MinHash
 values of one row each; equal values retrieve templates.  With likeness J a
@@ -24,7 +25,7 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import lower_az, stored
+from .common import stored
 
 K, BANDS, CONTAINED = 3, 24, 0.8
 MOST_TEMPLATE_WORDS = 200_000      # of all templates together
@@ -68,6 +69,17 @@ def _bands(shingles: str) -> Column:
     return F.array(*[F.struct(F.lit(i).alias("band"), smallest(i).alias("value")) for i in range(BANDS)])
 
 
+def _needed(w: list[str]) -> list[str]:
+    """Words of a template of which every match holds at least one: without them, over a fifth of its shingles is missing."""
+    runs = {tuple(w[i:i + K]) for i in range(len(w) - K + 1)}
+    chosen: list[str] = []
+    for word in sorted(set(w), key=lambda x: (-len(x), x)):
+        if sum(bool(set(r) & set(chosen)) for r in runs) > (1 - CONTAINED) * len(runs):
+            break
+        chosen.append(word)
+    return chosen
+
+
 def _around(size: int) -> Column:
     """array<struct<size, at, width>>: the windows for templates of a size that hold one of the ``places``."""
     width, step = size + size // 2 - (K - 1), size // 4
@@ -95,8 +107,12 @@ def scan(docs: DataFrame, licenses: dict[str, str] | None = None) -> DataFrame:
     known = sorted(r["s"] for r in table.select(F.explode("own").alias("s")).distinct().collect())
     literal = F.array(*[F.lit(x) for x in known])
 
-    texts = docs.select("doc_id", F.array_remove(
-        F.split(lower_az(F.coalesce("text", F.lit(""))), "[^a-z0-9]+"), "").alias("words"))
+    needed = sorted({word for _, w in listed for word in _needed(w)})
+    holds = F.lit(False)
+    for word in needed:
+        holds = holds | F.contains(F.col("lowered"), F.lit(word))
+    texts = docs.select("doc_id", F.lower(F.coalesce("text", F.lit(""))).alias("lowered")).where(holds)
+    texts = texts.select("doc_id", F.array_remove(F.split("lowered", "[^a-z0-9]+"), "").alias("words"))
     marked = texts.select("doc_id", _shingles(F.col("words")).alias("shingles")).where(
         F.arrays_overlap("shingles", literal))
     # from here on only texts that hold a shingle of a template
