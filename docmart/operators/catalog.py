@@ -114,7 +114,8 @@ def catalog_detail(cat, film_id=None) -> DataFrame:
     if film_id is not None:
         films = films.where(F.col("id") == F.lit(film_id))
     rows = api_films(cat.with_(film_work=films), films.select("id") if film_id is not None else None)
-    return rows.withColumn("body", F.to_json(F.struct(*rows.columns), {"ignoreNullFields": "false"}))
+    fields = [c for c in rows.columns if c != "part"]
+    return rows.withColumn("body", F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}))
 
 
 FILM_SEARCH_FIELDS = ("title", "description", "id")

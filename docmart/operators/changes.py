@@ -71,6 +71,9 @@ def changed_film_ids(cat, film_window=(None, None), person_window=(None, None),
 
 
 def current_mark(spark) -> datetime:
-    """Now, truncated to whole seconds (the next high-water mark); one scalar."""
-    row = spark.range(1).select(F.date_trunc("second", F.current_timestamp()).alias("now")).first()
+    """Now in the session's zone, truncated to whole seconds (the next high-water mark); one scalar.
+
+    Without a zone, so the zone of the driver process cannot shift it on its way.
+    """
+    row = spark.range(1).select(F.date_trunc("second", F.current_timestamp()).cast("timestamp_ntz").alias("now")).first()
     return row["now"]

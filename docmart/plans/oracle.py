@@ -420,7 +420,7 @@ api_genres_l AS (
   FROM (SELECT DISTINCT l.film_work_id AS id, g.name
         FROM genre_film_work l LEFT JOIN genre g ON g.id = l.genre_id)
   GROUP BY id)""") + """
-SELECT f.id, 0 AS part, CAST(to_json({'id': f.id, 'part': 0, 'title': f.title, 'description': f.description,
+SELECT f.id, 0 AS part, CAST(to_json({'id': f.id, 'title': f.title, 'description': f.description,
   'creation_date': f.creation_date, 'rating': f.rating, 'type': f.type,
   'genres': coalesce(ag.genres, [NULL]::VARCHAR[]), 'actors': coalesce(ap.actors, []::VARCHAR[]),
   'directors': coalesce(ap.directors, []::VARCHAR[]), 'writers': coalesce(ap.writers, []::VARCHAR[])}) AS VARCHAR) AS body

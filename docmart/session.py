@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -58,8 +57,8 @@ def work_dir(spark: SparkSession) -> str:
     """Shared folder for written tables and checkpoints.
 
     Read from the session (``spark.checkpoint.dir`` or the context's
-    checkpoint dir).  Only when neither is set - local tests - a scratch
-    folder is created and registered, so later calls agree.
+    checkpoint dir); when neither is set, a folder of the session's warehouse
+    (``spark.sql.warehouse.dir``), which a deployment points at shared storage.
     """
     try:
         sc = spark.sparkContext
@@ -69,9 +68,7 @@ def work_dir(spark: SparkSession) -> str:
     if not path:
         path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
-        path = tempfile.mkdtemp(prefix="docmart-")
-        if sc is None:
-            spark.conf.set("spark.checkpoint.dir", path)
+        path = spark.conf.get("spark.sql.warehouse.dir").removeprefix("file:").rstrip("/") + "/_work"
     if sc is not None and sc.getCheckpointDir() is None:
         sc.setCheckpointDir(path)
     return path.rstrip("/")

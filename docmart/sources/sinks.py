@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from datetime import datetime, timezone
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -41,16 +42,23 @@ def write_bulk_ndjson(actions: DataFrame, path: str) -> None:
     actions.select(F.concat_ws("\n", meta, F.col("_source")).alias("value")).write.mode("overwrite").text(path)
 
 
+def read_if_there(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table, or None where no path or no file exists yet; any other failure to read is raised."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+
+
 def ensure_table(spark: SparkSession, path: str, schema: T.StructType) -> None:
     """Create an empty versioned table with ``schema`` when ``path`` holds none."""
-    try:
-        spark.read.parquet(path)
+    if read_if_there(spark, path) is not None:
         return
-    except Exception:  # AnalysisException: path missing or empty
-        pass
     # an empty partitioned write leaves no file; write the schema-only file
-    # straight into the version-0 folder so partition discovery finds it
-    spark.createDataFrame([], schema).coalesce(1).write.mode("overwrite").parquet(f"{path}/batch_id=0")
+    # into a folder that no batch owns (batches count from 0) so partition discovery finds it
+    spark.createDataFrame([], schema).coalesce(1).write.mode("overwrite").parquet(f"{path}/batch_id=-1")
 
 
 def upsert(docs: DataFrame, path: str, batch_id: int) -> None:
@@ -83,7 +91,9 @@ def compact(spark: SparkSession, path: str, out: str, key: str = "id") -> None:
     if out.rstrip("/") == path.rstrip("/"):
         raise ValueError("compact must write to a new path")
     view = current_view(spark, path, key)
-    view.write.mode("overwrite").partitionBy("batch_id").parquet(out)
+    newest = view.agg(F.max("batch_id")).first()[0]
+    if newest is not None:
+        upsert(view.drop("batch_id"), out, newest)
 
 
 PROGRESS_SCHEMA = T.StructType([
@@ -105,16 +115,15 @@ class ProgressLog:
 
     def last_mark(self, table_name: str, default: datetime | None = None) -> datetime | None:
         """Highest committed ``hi`` for a table (one scalar to the driver)."""
-        try:
-            df = self.spark.read.parquet(self.path)
-        except Exception:
+        df = read_if_there(self.spark, self.path)
+        if df is None:
             return default
         row = df.where(F.col("table_name") == table_name).agg(F.max("hi").alias("hi")).first()
         return row["hi"] if row and row["hi"] is not None else default
 
     def next_batch_id(self) -> int:
-        try:
-            row = self.spark.read.parquet(self.path).agg(F.max("batch_id").alias("b")).first()
-        except Exception:
+        df = read_if_there(self.spark, self.path)
+        if df is None:
             return 1
+        row = df.agg(F.max("batch_id").alias("b")).first()
         return (row["b"] or 0) + 1

@@ -24,6 +24,7 @@ from ..schemas import INDEX_GENRES, INDEX_MOVIES, INDEX_PERSONS
 from ..sources.sinks import ProgressLog, upsert
 from ..sources.tables import load_catalog, load_test_catalog
 from ..operators.changes import current_mark
+from ..session import JOB_CONF
 from .incremental import CHANGE_SOURCES, DocumentSinks, run_incremental, start_document_stream
 
 
@@ -61,12 +62,14 @@ def main(argv=None) -> None:
     args = p.parse_args(argv)
 
     spark = SparkSession.builder.appName(f"docmart-{args.command}").getOrCreate()
+    for key, value in JOB_CONF.items():
+        spark.conf.set(key, value)
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(f"{args.out}/_work")     # shared, like the output
     sinks = DocumentSinks(f"{args.out}/indexes")
     progress = ProgressLog(spark, f"{args.out}/progress")
     loader = _loader(spark, args)
-    id_type = dict(loader().film_work.dtypes)["id"]
-    from pyspark.sql.types import _parse_datatype_string
-    sinks.ensure(spark, _parse_datatype_string(id_type))
+    sinks.ensure(spark, loader().film_work.schema["id"].dataType)
     if args.command == "full":
         batch = full_rebuild(spark, loader, sinks, progress)
         print(json.dumps({"batch_id": batch}))

@@ -228,3 +228,32 @@ def test_i8_lookback_rereads_late_rows(spark, scratch):
     cat = _catalog(spark, f1_mod=late)
     b = run_incremental(spark, lambda: cat, sinks, progress, now=mark + timedelta(hours=1))
     assert ids(spark.read.parquet(sinks.path("movies")).where(F.col("batch_id") == b)) == ["f1"]
+
+
+def test_mark_is_in_the_session_zone(spark):
+    from datetime import datetime, timezone
+
+    from docmart.operators.changes import current_mark
+
+    now = datetime.now(timezone.utc).replace(tzinfo=None)       # the session is in UTC
+    assert abs((current_mark(spark) - now).total_seconds()) < 120
+
+
+def test_unreadable_progress_log_raises(spark, scratch):
+    import os
+
+    import pytest
+
+    from docmart.sources.sinks import ProgressLog, ensure_table, read_if_there
+
+    assert read_if_there(spark, f"{scratch}/none") is None
+    assert ProgressLog(spark, f"{scratch}/none").next_batch_id() == 1
+    os.makedirs(f"{scratch}/broken/batch_id=0")
+    with open(f"{scratch}/broken/batch_id=0/part-0.parquet", "w") as f:
+        f.write("not parquet")
+    schema = spark.range(1).schema
+    for call in (lambda: ProgressLog(spark, f"{scratch}/broken").next_batch_id(),
+                 lambda: ensure_table(spark, f"{scratch}/broken", schema)):
+        with pytest.raises(Exception):
+            call()
+    assert os.listdir(f"{scratch}/broken") == ["batch_id=0"]

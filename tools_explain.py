@@ -22,7 +22,7 @@ for name, fn in QUERIES.items():
         if not ln.strip():
             break
         tree.append(ln)
-    tree = tree[:60]
+    tree = tree
     scans = [ln.strip() for ln in lines if ln.startswith(("PushedFilters", "ReadSchema"))]
     out += [f"## {name}", "", "```", *tree, *scans, "```", ""]
 open("PLANS.md", "w").write("\n".join(out))
