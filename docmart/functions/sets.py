@@ -12,14 +12,15 @@ def _c(c):
     return F.col(c) if isinstance(c, str) else c
 
 
-def null_keeping_set(value) -> Column:
-    """Aggregate: sorted distinct values, NULL kept (sorted last).
+def null_keeping_set(value, present: Column | None = None) -> Column:
+    """Aggregate: sorted distinct values (of the rows ``present``), NULL kept (sorted last).
 
     ``collect_set`` drops NULLs; wrapping the value in a struct keeps it,
     because the struct itself is never NULL.  ``array_sort`` puts NULL last.
     """
-    v = _c(value)
-    return F.array_sort(F.transform(F.collect_set(F.struct(v.alias("v"))), lambda s: s["v"]))
+    v = F.struct(_c(value).alias("v"))
+    kept = v if present is None else F.when(present, v)
+    return F.array_sort(F.transform(F.collect_set(kept), lambda s: s["v"]))
 
 
 def sorted_set(value) -> Column:

@@ -3,8 +3,8 @@ filters and orderings.
 
 The API row is a film with name sets per genre and per role.  As in the
 documents, the branches are reduced to distinct (film, group, name) entries
-before joining, so the genre x person product is never built, and a hot
-film is split into parts.  Pages select their 50 film ids
+before joining, so the genre x person product is never built; an API body
+is one row per film.  Pages select their 50 film ids
 first (a top-k over the film table), then aggregate only those films' links.
 """
 
@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 from ..functions.search import all_terms_match
 from ..schemas import PAGE_SIZE, ROLE_ACTOR, ROLE_DIRECTOR, ROLE_WRITER
-from .skew import DEFAULT_MAX_ITEMS, group_parts, hot_keys, with_parts
 
 API_COLUMNS = ("id", "title", "description", "creation_date", "rating", "type")
 API_ROLE_GROUPS = {"actors": ROLE_ACTOR, "directors": ROLE_DIRECTOR, "writers": ROLE_WRITER}
@@ -29,9 +28,8 @@ def _name_set(group: str):
         lambda s: s["v"]))
 
 
-def api_films(cat, film_ids: DataFrame | None = None, max_items: int = DEFAULT_MAX_ITEMS) -> DataFrame:
-    """API rows: film columns + genres, actors, directors, writers name sets,
-    one row per (film, part) (part 0 unless the film is a hot key, see ``skew``).
+def api_films(cat, film_ids: DataFrame | None = None) -> DataFrame:
+    """API rows: film columns + genres, actors, directors, writers name sets, one row per film.
 
     As with the SQL left joins, a film without genre links gets genres=[NULL];
     without people of a role, [].  Names are distinct sets.
@@ -58,16 +56,11 @@ def api_films(cat, film_ids: DataFrame | None = None, max_items: int = DEFAULT_M
                 .select("film_work_id", F.lit("genres").alias("group"), F.lit(None).cast("string").alias("name")))
     # duplicates collapse map-side in the partial collect_set (no distinct shuffle)
     entries = people.unionByName(genres).unionByName(unlinked)
-    hot = hot_keys(pfw.select("film_work_id").unionByName(gfw.select("film_work_id")), "film_work_id", max_items)
-    parted, split = with_parts(entries.withColumnRenamed("film_work_id", "id"), "id", hot.withColumnRenamed(
-        "film_work_id", "id"), ["name"])
-    per_part = group_parts(parted, "id", split,
-                           _name_set("genres").alias("genres"), *[_name_set(g).alias(g) for g in API_ROLE_GROUPS])
-    rows = films.join(per_part, "id", "left")
+    per_film = (entries.withColumnRenamed("film_work_id", "id").groupBy("id")
+                .agg(_name_set("genres").alias("genres"), *[_name_set(g).alias(g) for g in API_ROLE_GROUPS]))
     empty = F.array().cast("array<string>")
-    return rows.select(
-        *API_COLUMNS[:1], F.coalesce("part", F.lit(0)).alias("part"), *API_COLUMNS[1:],
-        F.coalesce("genres", empty).alias("genres"),
+    return films.join(per_film, "id", "left").select(
+        *API_COLUMNS, F.coalesce("genres", empty).alias("genres"),
         *[F.coalesce(g, empty).alias(g) for g in API_ROLE_GROUPS])
 
 
@@ -89,7 +82,7 @@ def catalog_page(cat, page: int | str = 1, size: int = PAGE_SIZE) -> DataFrame:
     page = resolve_page(cat, page, size)
     ids = page_ids(cat.film_work, page, size)
     # the page is at most `size` ids: a proven bound, safe to broadcast
-    return api_films(cat, F.broadcast(ids)).orderBy("id", "part")
+    return api_films(cat, F.broadcast(ids)).orderBy("id")
 
 
 def catalog_page_meta(cat, page: int | str = 1, size: int = PAGE_SIZE) -> DataFrame:
@@ -114,8 +107,7 @@ def catalog_detail(cat, film_id=None) -> DataFrame:
     if film_id is not None:
         films = films.where(F.col("id") == F.lit(film_id))
     rows = api_films(cat.with_(film_work=films), films.select("id") if film_id is not None else None)
-    fields = [c for c in rows.columns if c != "part"]
-    return rows.withColumn("body", F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}))
+    return rows.withColumn("body", F.to_json(F.struct(*rows.columns), {"ignoreNullFields": "false"}))
 
 
 FILM_SEARCH_FIELDS = ("title", "description", "id")

@@ -5,9 +5,9 @@ grain *before* it meets the film table, so the person x genre fan-out of the
 naive five-table join is never materialised.  Every aggregate is partial
 (map-side combine); the de-duplication step groups by (film, role, name) so a
 film with a huge cast is spread over many tasks before the final collect,
-which only sees already-distinct names, and at most ``max_items`` of them per
-document part (hot keys are split, see ``skew``).  The final join to the film
-table is on film id with one row per part, so neither side is skewed.
+which only sees already-distinct names.  A document is one row, or a fixed
+number of buckets that the caller sets for every key alike (see ``skew``); the
+entry rows (``film_entries``) are the form without any collected array.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from ..functions.sets import empty_if_null, null_keeping_set, ref_names, sorted_refs
 from ..schemas import ROLE_GROUPS
 from .quality import valid_films
-from .skew import DEFAULT_MAX_ITEMS, group_parts, hot_keys, with_parts
+from .skew import grouped, with_scalars
 
 
 def _people(person: DataFrame) -> DataFrame:
@@ -54,16 +54,8 @@ def genre_entries(genre_film_work: DataFrame, genre: DataFrame) -> DataFrame:
 DOC_GROUPS = ("actors", "writers", "directors", "genres")
 
 
-def film_documents(cat, film_ids: DataFrame | None = None, max_items: int = DEFAULT_MAX_ITEMS) -> DataFrame:
-    """Nested documents of valid films: one row per (film, part); part 0 unless
-    the film has more than ``max_items`` links (see ``skew``).
-
-    ``film_ids`` (a one-column DataFrame of ids) restricts the build to those
-    films; the restriction is applied to the film table *and* to both link
-    tables before any aggregation (left-semi joins), so an incremental rebuild
-    only touches the links of the changed films.
-    """
-    cat = cat.set_links()
+def _changed_only(cat, film_ids: DataFrame | None):
+    """(films, person links, genre links), restricted to ``film_ids`` before any aggregation."""
     films = valid_films(cat.film_work)
     pfw, gfw = cat.person_film_work, cat.genre_film_work
     if film_ids is not None:
@@ -71,40 +63,56 @@ def film_documents(cat, film_ids: DataFrame | None = None, max_items: int = DEFA
         films = films.join(keys.withColumnRenamed("film_work_id", "id"), "id", "left_semi")
         pfw = pfw.join(keys, "film_work_id", "left_semi")
         gfw = gfw.join(keys, "film_work_id", "left_semi")
-    # stored link rows per film bound its entries from above: hot films by that count
-    hot = hot_keys(pfw.select("film_work_id").unionByName(gfw.select("film_work_id")), "film_work_id", max_items)
+    return films, pfw, gfw
+
+
+def film_entries(cat, film_ids: DataFrame | None = None) -> DataFrame:
+    """(film_id, group, name, ref_id): the entries of the valid films' documents as rows.
+
+    Nothing is collected, so a film or person of any size spreads over tasks.
+    """
+    films, pfw, gfw = _changed_only(cat.set_links(), film_ids)
     entries = people_entries(pfw, cat.person).unionByName(genre_entries(gfw, cat.genre))
-    parted, split = with_parts(entries, "film_work_id", hot, ["name"])
+    return (entries.join(films.select(F.col("id").alias("film_work_id")), "film_work_id", "left_semi")
+            .select(F.col("film_work_id").alias("film_id"), "group", "name", F.col("id").alias("ref_id")))
+
+
+def film_documents(cat, film_ids: DataFrame | None = None, buckets: int = 1) -> DataFrame:
+    """Nested documents of valid films, ``buckets`` rows at most for each (see ``skew``).
+
+    ``film_ids`` (a one-column DataFrame of ids) restricts the build to those
+    films; the restriction is applied to the film table *and* to both link
+    tables before any aggregation (left-semi joins), so an incremental rebuild
+    only touches the links of the changed films.
+    """
+    films, pfw, gfw = _changed_only(cat.set_links(), film_ids)
+    entries = (people_entries(pfw, cat.person).unionByName(genre_entries(gfw, cat.genre))
+               .select(F.col("film_work_id").alias("fid"), "group", "name", "id"))
     aggs = [sorted_refs(F.collect_list(F.when(F.col("group") == g, F.struct("name", "id")))).alias(g)
             for g in DOC_GROUPS]
-    per_part = group_parts(parted.withColumnRenamed("film_work_id", "fid"), "fid", split, *aggs) \
-        .withColumnRenamed("fid", "id")
+    heads = films.select(F.col("id").alias("fid"))
+    per_part = grouped(entries, heads, "fid", "name", buckets, *aggs).withColumnRenamed("fid", "id")
     base = films.select("id", "title", "description", F.col("rating").alias("imdb_rating"))
-    docs = base.join(per_part, "id", "left")
+    docs = with_scalars(base, per_part, buckets)
     id_type = dict(cat.film_work.dtypes)["id"]
     ref_t = {g: f"struct<id:{dict(cat.person.dtypes)['id']},name:string>" for g in DOC_GROUPS}
     ref_t["genres"] = f"struct<id:{dict(cat.genre.dtypes)['id']},name:string>"
-    cols = [F.col("id").cast(id_type).alias("id"), F.coalesce("part", F.lit(0)).alias("part"),
-            "title", "description", "imdb_rating"]
+    cols = [F.col("id").cast(id_type).alias("id"), "part", "title", "description", "imdb_rating"]
     for g in DOC_GROUPS:
         arr = empty_if_null(F.col(g), ref_t[g])
         cols += [arr.alias(g), ref_names(arr).alias(f"{g}_names")]
     return docs.select(*cols)
 
 
-def _film_id_parts(links: DataFrame, key: str, max_items: int) -> DataFrame:
-    """(key, part, film_ids) from link rows (key, film_work_id); hot keys are
-    split into parts, duplicates collapse map-side in the partial set."""
-    pairs = links.select(key, "film_work_id")
-    hot = hot_keys(links.select(key), key, max_items)
-    parted, split = with_parts(pairs, key, hot, ["film_work_id"])
-    # struct wrapper keeps a NULL film id (a person without links)
-    return group_parts(parted, key, split, null_keeping_set("film_work_id").alias("film_ids"))
+def _film_id_parts(links: DataFrame, heads: DataFrame, buckets: int) -> DataFrame:
+    """(id, part, film_ids) from link rows (id, film_work_id); duplicates collapse map-side in the partial set."""
+    return grouped(links.select("id", "film_work_id"), heads, "id", "film_work_id", buckets,
+                   null_keeping_set("film_work_id", F.col("present")).alias("film_ids"))
 
 
-def person_documents(cat, person_ids: DataFrame | None = None, max_items: int = DEFAULT_MAX_ITEMS) -> DataFrame:
+def person_documents(cat, person_ids: DataFrame | None = None, buckets: int = 1) -> DataFrame:
     """person (left) links: distinct roles and film ids; NULL kept, so a person
-    without links gets role=[NULL], film_ids=[NULL].  One row per (person, part)."""
+    without links gets role=[NULL], film_ids=[NULL]."""
     cat = cat.set_links()
     people = cat.person.where(F.col("id").isNotNull() & F.col("full_name").isNotNull())
     links = cat.person_film_work.select(F.col("person_id").alias("id"), "role", "film_work_id")
@@ -114,19 +122,18 @@ def person_documents(cat, person_ids: DataFrame | None = None, max_items: int =
         links = links.join(keys, "id", "left_semi")
     # a person's role set has at most four values: partial aggregation keeps it tiny
     roles = links.groupBy("id").agg(null_keeping_set("role").alias("role"))
-    films = _film_id_parts(links, "id", max_items)
-    joined = (people.select("id", F.col("full_name").alias("name"))
-              .join(roles, "id", "left").join(films, "id", "left"))
     none = F.array(F.lit(None))
     id_t = dict(cat.film_work.dtypes)["id"]
-    return joined.select(
-        "id", F.coalesce("part", F.lit(0)).alias("part"), "name",
-        F.coalesce(F.col("role"), none.cast("array<string>")).alias("role"),
-        F.coalesce(F.col("film_ids"), none.cast(f"array<{id_t}>")).alias("film_ids"))
+    base = people.select("id", F.col("full_name").alias("name")).join(roles, "id", "left").select(
+        "id", "name", F.coalesce("role", none.cast("array<string>")).alias("role"), F.col("role").isNull().alias("alone"))
+    films = _film_id_parts(links, people.select("id"), buckets)
+    return with_scalars(base, films, buckets).select(
+        "id", "part", "name", "role",
+        F.when(F.col("alone"), none.cast(f"array<{id_t}>")).otherwise(F.col("film_ids")).alias("film_ids"))
 
 
-def genre_documents(cat, genre_ids: DataFrame | None = None, max_items: int = DEFAULT_MAX_ITEMS) -> DataFrame:
-    """genre (inner) links: genres without films produce no document.  One row per (genre, part)."""
+def genre_documents(cat, genre_ids: DataFrame | None = None, buckets: int = 1) -> DataFrame:
+    """genre (inner) links: genres without films produce no document."""
     cat = cat.set_links()
     genres = cat.genre.where(F.col("id").isNotNull() & F.col("name").isNotNull())
     links = cat.genre_film_work.where(F.col("film_work_id").isNotNull()) \
@@ -135,8 +142,8 @@ def genre_documents(cat, genre_ids: DataFrame | None = None, max_items: int = DE
         keys = genre_ids.select(F.col(genre_ids.columns[0]).alias("id"))
         genres = genres.join(keys, "id", "left_semi")
         links = links.join(keys, "id", "left_semi")
-    films = _film_id_parts(links, "id", max_items)
-    return genres.select("id", "name", "description").join(films, "id", "inner") \
+    films = _film_id_parts(links, links.select("id").distinct(), buckets)
+    return with_scalars(genres.select("id", "name", "description"), films, buckets, "inner") \
         .select("id", "part", "name", "description", "film_ids")
 
 
@@ -174,7 +181,8 @@ def film_link_rows(cat, film_ids: DataFrame | None = None) -> DataFrame:
     # side); films without links come from an anti join against the distinct
     # link keys, which partial aggregation keeps small and 1:1.
     linked = links.join(films, "fw_id", "inner")
-    keys = links.select("fw_id").distinct()
+    keys = (pfw.select(F.col("film_work_id").alias("fw_id"))
+            .union(gfw.select("film_work_id")).distinct())     # straight from the links, before their joins
     unlinked = films.join(keys, "fw_id", "left_anti")
     for c, t in links.dtypes:
         if c != "fw_id":

@@ -1,15 +1,13 @@
-"""Hot-key handling for set-valued documents.
-
-A document whose set would collect a huge group (a genre linked to a third
-of all films) is split into parts: entries of a key with more than
-``max_items`` stored rows are spread over ``ceil(n / max_items)`` parts by a
-hash of the entry, so no task ever collects more than about ``max_items``
-values for one output row.  Ordinary keys keep a single part 0.
-
-The hot-key table has at most ``rows / max_items`` rows by construction.  It
-is counted first; when some key is hot it is written once to the shared work
-folder and broadcast only after that count has been checked (otherwise it is
-shuffle-joined).  When no key is hot, nothing is joined or written.
+"""Fixed buckets for set-valued documents.
+
+A document may be stored in ``buckets`` rows, a number that the caller sets
+per index and that holds for every key alike; nothing is counted and no key
+is treated apart.  An entry belongs to the bucket that a hash of its value
+names, so repeated links change nothing.  Bucket 0 is the head: it exists for
+every document and alone carries the scalar fields; other buckets exist if they
+hold an entry.  With one bucket (the default) a document is one row.  Where
+even a bucket of a key is too large, the entry rows (``documents.film_entries``
+and the link tables) are the form to use: they are never collected.
 """
 
 from __future__ import annotations
@@ -17,46 +15,42 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialize
 
-DEFAULT_MAX_ITEMS = 50_000          # entries per document part
-HOT_BROADCAST_MAX_ROWS = 1_000_000  # hot-key rows (key, parts) allowed in a broadcast
+def bucket_of(value: Column, buckets: int) -> Column:
+    """0 to buckets - 1, from the first 32 bits of the md5 of the value's text (null: 0)."""
+    bits = F.conv(F.substring(F.md5(value.cast("string").cast("binary")), 1, 8), 16, 10).cast("long")
+    return F.coalesce(F.pmod(bits, F.lit(buckets)), F.lit(0)).cast("int")
 
 
-def hot_keys(rows: DataFrame, key: str, max_items: int = DEFAULT_MAX_ITEMS) -> DataFrame:
-    """(key, _parts) for keys with more than ``max_items`` rows (partial count; lazy)."""
-    counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    return counts.where(F.col("_n") > max_items).select(
-        key, F.ceil(F.col("_n") / F.lit(max_items)).cast("int").alias("_parts"))
+def grouped(entries: DataFrame, heads: DataFrame, key: str, value: str, buckets: int, *aggs: Column) -> DataFrame:
+    """``aggs`` per (key, part), with a head (part 0) for each key of ``heads``.
 
-
-def part_of(salt: list[str]) -> Column:
-    return F.when(F.col("_parts").isNull(), F.lit(0)).otherwise(
-        F.pmod(F.xxhash64(*[F.col(c) for c in salt]), F.col("_parts")).cast("int"))
-
-
-def with_parts(entries: DataFrame, key: str, hot: DataFrame, salt: list[str]) -> tuple[DataFrame, bool]:
-    """Add ``part`` to every entry: 0 for ordinary keys, a hash bucket for hot ones.
-
-    Returns (entries, split).  When no key is hot (``split`` False) callers
-    group by the key alone, so the aggregate keeps the key's hash
-    partitioning and the following join on the key needs no extra shuffle.
+    Head rows carry NULL in every other column and in ``present``, which is
+    true for entries; aggregates have to skip rows that are not present.
     """
-    n_hot = hot.count()
-    if n_hot == 0:               # the usual case: no join, nothing written
-        return entries.withColumn("part", F.lit(0)), False
-    hot = materialize(hot, f"hot-{key}")   # computed once, size now known
-    side = F.broadcast(hot) if n_hot <= HOT_BROADCAST_MAX_ROWS else hot
-    return entries.join(side, key, "left").withColumn("part", part_of(salt)).drop("_parts"), True
-
-
-def group_parts(parted: DataFrame, key, split: bool, *aggs: Column) -> DataFrame:
-    """Aggregate per (key, part), or per key when nothing was split."""
-    if split:
-        return parted.groupBy(key, "part").agg(*aggs)
-    return parted.groupBy(key).agg(*aggs).withColumn("part", F.lit(0))
-
-
-def max_part_size(docs: DataFrame, array_cols: list[str]) -> DataFrame:
-    """Metric: the largest array per column over all document parts."""
-    return docs.agg(*[F.max(F.size(c)).alias(f"max_{c}") for c in array_cols])
+    if buckets < 1:
+        raise ValueError("buckets must be at least 1")
+    entries = entries.withColumn("present", F.lit(True))
+    if buckets == 1:     # every key has its one row from the join with the scalar fields
+        return entries.groupBy(key).agg(*aggs).withColumn("part", F.lit(0))
+    parted = entries.withColumn("part", bucket_of(F.col(value), buckets)).unionByName(
+        heads.select(key).withColumn("part", F.lit(0)), allowMissingColumns=True)
+    return parted.groupBy(key, "part").agg(*aggs)
+
+
+def with_scalars(scalars: DataFrame, parts: DataFrame, buckets: int, how: str = "left") -> DataFrame:
+    """Scalar fields joined to the parts of their document; beyond the head they are NULL."""
+    if buckets > 1:
+        how = "inner"    # each document has its head in ``parts``
+    out = scalars.join(parts, "id", how).withColumn("part", F.coalesce("part", F.lit(0)))
+    for c in scalars.columns:
+        if c != "id":
+            out = out.withColumn(c, F.when(F.col("part") == 0, F.col(c)))
+    return out
+
+
+def array_sizes(docs: DataFrame, array_cols: list[str], kind: str) -> DataFrame:
+    """Metric rows (metric, value): the largest array per column, in one pass over the documents."""
+    largest = docs.agg(*[F.max(F.size(c)).alias(c) for c in array_cols])
+    return largest.select(F.inline(F.array(*[
+        F.struct(F.lit(f"{kind}.{c}").alias("metric"), F.col(c).alias("value")) for c in array_cols])))

@@ -83,17 +83,14 @@ def film_field_tokens(docs: DataFrame, fields=ANALYSED_FILM_FIELDS, **analyser)
     Each value of a multi-valued field (a name list) is analysed on its own;
     ``value_index`` is its place in the list, ``pos`` the position inside it.
     """
-    parts = []
-    for f in fields:
+    def values_of(f):
         if dict(docs.dtypes)[f].startswith("array"):
-            parts.append(docs.select("id", F.lit(f).alias("field"),
-                                     F.posexplode(f).alias("value_index", "value")))
-        else:
-            parts.append(docs.select("id", F.lit(f).alias("field"), F.lit(0).alias("value_index"),
-                                     F.col(f).alias("value")))
-    values = parts[0]
-    for p in parts[1:]:
-        values = values.unionByName(p)
+            return F.transform(f, lambda v, i: F.struct(
+                F.lit(f).alias("field"), i.alias("value_index"), v.alias("value")))
+        return F.array(F.struct(F.lit(f).alias("field"), F.lit(0).alias("value_index"), F.col(f).alias("value")))
+
+    # one pass over the documents: all fields leave in one explode
+    values = docs.select("id", F.inline(F.concat(*[values_of(f) for f in fields])))
     return analysed_tokens(values.where(F.col("value").isNotNull()), ["id", "field", "value_index"],
                            "value", **analyser)
 
@@ -123,14 +120,14 @@ def nested_match(docs: DataFrame, group: str, name_term: str, id_term: str) -> D
                 .select("id", "title", F.filter(group, hit).alias("matched")))
 
 
-def same_person_in(docs: DataFrame, group: str, other: str) -> DataFrame:
-    """Nested match across two arrays: films where an element of ``group`` equals an
-    element of ``other`` on id AND name together (e.g. actors who also direct)."""
-    def both(x):
-        return F.exists(other, lambda y: (y["id"] == x["id"]) & (y["name"] == x["name"]))
-
-    return (docs.where(F.exists(group, both))
-                .select("id", "part", "title", F.filter(group, both).alias("matched")))
+def same_person_in(entries: DataFrame, group: str, other: str) -> DataFrame:
+    """Nested match across two arrays, from the entry rows of ``documents.film_entries``:
+    (film_id, name, ref_id) of the elements of ``group`` that equal an element of
+    ``other`` on id AND name together (e.g. actors who also direct).  Linear: the
+    rows of one film, name and id are grouped, no element is compared with another."""
+    both = entries.where(F.col("group").isin(group, other)).groupBy("film_id", "name", "ref_id").agg(
+        F.max(F.col("group") == group).alias("in_group"), F.max(F.col("group") == other).alias("in_other"))
+    return both.where("in_group and in_other").select("film_id", "name", "ref_id")
 
 
 def flat_names_match(docs: DataFrame, group: str, term: str) -> DataFrame:
@@ -138,12 +135,6 @@ def flat_names_match(docs: DataFrame, group: str, term: str) -> DataFrame:
     return docs.where(F.exists(f"{group}_names", lambda n: F.lower(n).contains(term.lower())))
 
 
-def films_of_person(docs: DataFrame, groups=("actors", "writers", "directors")) -> DataFrame:
-    """Keyword lookup rows (person id, film id, group) from the nested documents,
-    in one pass over the documents (one explode of the concatenated groups)."""
-    def tagged(group):
-        return F.transform(group, lambda p: F.struct(p["id"].alias("person_id"), F.lit(group).alias("group")))
-
-    entries = F.flatten(F.array(*[tagged(g) for g in groups]))
-    return (docs.select(F.col("id").alias("film_id"), F.explode(entries).alias("e"))
-                .select("e.person_id", "film_id", "e.group"))
+def films_of_person(entries: DataFrame, groups=("actors", "writers", "directors")) -> DataFrame:
+    """Keyword lookup rows (person id, film id, group), from the entry rows of ``documents.film_entries``."""
+    return entries.where(F.col("group").isin(list(groups))).select(F.col("ref_id").alias("person_id"), "film_id", "group")

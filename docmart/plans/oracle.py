@@ -211,7 +211,7 @@ API_CTES = [
         FROM genre_film_work l LEFT JOIN genre g ON g.id = l.genre_id)
   GROUP BY id)""",
     """api AS (
-  SELECT f.id, 0 AS part, f.title, f.description, CAST(f.creation_date AS VARCHAR) AS creation_date, f.rating, f.type,
+  SELECT f.id, f.title, f.description, CAST(f.creation_date AS VARCHAR) AS creation_date, f.rating, f.type,
     coalesce(ag.genres, '<null>') AS genres, coalesce(ap.actors, '') AS actors,
     coalesce(ap.directors, '') AS directors, coalesce(ap.writers, '') AS writers
   FROM film_work f LEFT JOIN api_genres ag ON ag.id = f.id LEFT JOIN api_people ap ON ap.id = f.id)""",
@@ -372,12 +372,10 @@ postings AS (SELECT token AS term, doc_id, count(*) AS tf FROM tokens GROUP BY 1
 SELECT term, doc_id, tf, count(*) OVER (PARTITION BY term) AS df FROM postings"""
 
 ORACLE_SQL["nested_match"] = _with(*film_docs_ctes()) + """
-SELECT f.id, 0 AS part, f.title,
-  string_agg(CAST(a.id AS VARCHAR) || ':' || a.name, ',' ORDER BY a.name, a.id) AS matched
+SELECT f.id AS film_id, a.name, a.id AS ref_id
 FROM valid_film f
 JOIN people a ON a.film_work_id = f.id AND a.role = 'actor'
-JOIN people d ON d.film_work_id = f.id AND d.role = 'director' AND d.id = a.id AND d.name = a.name
-GROUP BY 1, 2, 3"""
+JOIN people d ON d.film_work_id = f.id AND d.role = 'director' AND d.id = a.id AND d.name = a.name"""
 
 ORACLE_SQL["films_of_person"] = _with(*film_docs_ctes()) + """
 SELECT p.id AS person_id, p.film_work_id AS film_id,
@@ -420,7 +418,7 @@ api_genres_l AS (
   FROM (SELECT DISTINCT l.film_work_id AS id, g.name
         FROM genre_film_work l LEFT JOIN genre g ON g.id = l.genre_id)
   GROUP BY id)""") + """
-SELECT f.id, 0 AS part, CAST(to_json({'id': f.id, 'title': f.title, 'description': f.description,
+SELECT f.id, CAST(to_json({'id': f.id, 'title': f.title, 'description': f.description,
   'creation_date': f.creation_date, 'rating': f.rating, 'type': f.type,
   'genres': coalesce(ag.genres, [NULL]::VARCHAR[]), 'actors': coalesce(ap.actors, []::VARCHAR[]),
   'directors': coalesce(ap.directors, []::VARCHAR[]), 'writers': coalesce(ap.writers, []::VARCHAR[])}) AS VARCHAR) AS body
@@ -459,3 +457,36 @@ SELECT 'movies' AS _index, CAST(f.id AS VARCHAR) AS _id,
     'genres': coalesce(g.genres, []::STRUCT(id BIGINT, name VARCHAR)[]),
     'genres_names': coalesce(g.genres_names, []::VARCHAR[])}) AS VARCHAR) AS _source
 FROM valid_film f LEFT JOIN people_l p ON p.film_work_id = f.id LEFT JOIN genres_l g ON g.film_work_id = f.id"""
+
+
+ORACLE_SQL["catalog_detail_by_id"] = f"SELECT * FROM ({ORACLE_SQL['catalog_detail_json']}) WHERE id = {P.DETAIL_ID}"
+
+
+# ---- entry rows and fixed buckets ------------------------------------------------
+ORACLE_SQL["film_entries"] = _with(*film_docs_ctes()) + """
+SELECT p.film_work_id AS film_id, CASE p.role WHEN 'actor' THEN 'actors' WHEN 'producer' THEN 'writers'
+    ELSE 'directors' END AS "group", p.name, p.id AS ref_id
+FROM people p WHERE p.film_work_id IN (SELECT id FROM valid_film)
+UNION ALL SELECT g.film_work_id, 'genres', g.name, g.id
+FROM genres g WHERE g.film_work_id IN (SELECT id FROM valid_film)"""
+
+ORACLE_SQL["person_documents_bucketed"] = _with(f"""
+listed AS (
+  SELECT p.id, l.film_work_id,
+    CASE WHEN l.film_work_id IS NULL THEN 0
+         ELSE CAST(CAST('0x' || substr(md5(CAST(l.film_work_id AS VARCHAR)), 1, 8) AS BIGINT) % {P.BUCKETS} AS INTEGER)
+    END AS part
+  FROM person p LEFT JOIN (SELECT DISTINCT person_id, film_work_id FROM person_film_work) l ON l.person_id = p.id
+  WHERE p.full_name IS NOT NULL)""", """
+parted AS (
+  SELECT id, part, string_agg(coalesce(CAST(film_work_id AS VARCHAR), '<null>'), ',' ORDER BY film_work_id) AS film_ids
+  FROM listed GROUP BY id, part
+  UNION ALL
+  SELECT id, 0, '' FROM listed GROUP BY id HAVING count(*) FILTER (WHERE part = 0) = 0)""", """
+roles AS (
+  SELECT p.id, p.full_name AS name, string_agg(coalesce(r.role, '<null>'), ',' ORDER BY r.role NULLS LAST) AS role
+  FROM person p LEFT JOIN (SELECT DISTINCT person_id, role FROM person_film_work) r ON r.person_id = p.id
+  WHERE p.full_name IS NOT NULL GROUP BY 1, 2)""") + """
+SELECT d.id, d.part, CASE WHEN d.part = 0 THEN r.name END AS name, CASE WHEN d.part = 0 THEN r.role END AS role,
+  d.film_ids
+FROM parted d JOIN roles r ON r.id = d.id"""

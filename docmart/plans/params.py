@@ -26,3 +26,5 @@ GENRE_NAME_MAX = 9
 
 # strict body keys for the events feed
 EVENT_KEYS = ("k",)
+DETAIL_ID = 7              # a film of every scale
+BUCKETS = 4                # rows at most per document of the bucketed index

@@ -73,18 +73,27 @@ def film_wide_rows(spark, sf_dir):
 
 @query
 def document_array_metrics(spark, sf_dir):
-    """Skew metric: the largest array of each document kind (per part), as rows."""
-    from functools import reduce
-
-    from ..operators.skew import max_part_size
+    """The largest array of each document kind, as rows."""
+    from ..operators.skew import array_sizes
 
     cat = load_test_catalog(spark, sf_dir)
-    groups = ["actors", "writers", "directors", "genres"]
-    parts = [(D.film_documents(cat), groups, "film"), (D.person_documents(cat), ["film_ids"], "person"),
-             (D.genre_documents(cat), ["film_ids"], "genre")]
-    rows = [max_part_size(docs, cols).select(F.lit(f"{kind}.{c}").alias("metric"), F.col(f"max_{c}").alias("value"))
-            for docs, cols, kind in parts for c in cols]
-    return reduce(DataFrame.unionByName, rows)
+    return (array_sizes(D.film_documents(cat), ["actors", "writers", "directors", "genres"], "film")
+            .unionByName(array_sizes(D.person_documents(cat), ["film_ids"], "person"))
+            .unionByName(array_sizes(D.genre_documents(cat), ["film_ids"], "genre")))
+
+
+@query
+def film_entries(spark, sf_dir):
+    """The stored form without collected arrays: one row per film, group and name."""
+    return D.film_entries(load_test_catalog(spark, sf_dir))
+
+
+@query
+def person_documents_bucketed(spark, sf_dir):
+    """Person documents in a fixed number of buckets, the same for every person."""
+    docs = D.person_documents(load_test_catalog(spark, sf_dir), buckets=P.BUCKETS)
+    return docs.select("id", "part", "name", join_values("role").alias("role"),
+                       join_values("film_ids").alias("film_ids"))
 
 
 # ---- change detection -------------------------------------------------------
@@ -158,7 +167,7 @@ def incremental_genre_documents(spark, sf_dir):
 
 
 def flat_api(rows: DataFrame) -> DataFrame:
-    return rows.select("id", "part", "title", "description",
+    return rows.select("id", "title", "description",
                        F.col("creation_date").cast("string").alias("creation_date"),
                        "rating", "type", *[join_values(c).alias(c) for c in ("genres", "actors", "directors", "writers")])
 
@@ -342,20 +351,25 @@ def film_field_tokens(spark, sf_dir):
 def nested_match(spark, sf_dir):
     """Nested match: films with an actor who also directs them (same id and name
     on one element of each array)."""
-    docs = D.film_documents(load_test_catalog(spark, sf_dir))
-    m = TX.same_person_in(docs, "actors", "directors")
-    return m.select("id", "part", "title", join_refs("matched").alias("matched"))
+    cat = load_test_catalog(spark, sf_dir)
+    return TX.same_person_in(D.film_entries(cat), "actors", "directors")
 
 
 @query
 def films_of_person(spark, sf_dir):
-    return TX.films_of_person(D.film_documents(load_test_catalog(spark, sf_dir)))
+    return TX.films_of_person(D.film_entries(load_test_catalog(spark, sf_dir)))
+
+
+@query
+def catalog_detail_by_id(spark, sf_dir):
+    """The API detail body of one film, its id pushed to the scans."""
+    return K.catalog_detail(load_test_catalog(spark, sf_dir), P.DETAIL_ID).select("id", "body")
 
 
 @query
 def catalog_detail_json(spark, sf_dir):
     """The API detail body of every film as JSON text (NULLs kept)."""
-    return K.catalog_detail(load_test_catalog(spark, sf_dir)).select("id", "part", "body")
+    return K.catalog_detail(load_test_catalog(spark, sf_dir)).select("id", "body")
 
 
 @query

@@ -22,8 +22,8 @@ from pyspark.sql import types as T
 def bulk_actions(docs: DataFrame, index: str, key: str = "id", part: str = "part") -> DataFrame:
     """Bulk index actions: _index, _id, _source (JSON, NULL fields kept).
 
-    A document split into parts (hot keys) gets ``_id`` = ``id#part`` for parts
-    above 0; the part number itself is not a document field.
+    A document in several buckets gets ``_id`` = ``id#part`` for parts above 0 (the
+    head always has the plain id); the part number itself is not a document field.
     """
     _id = F.col(key).cast("string")
     fields = [c for c in docs.columns if c != part]
