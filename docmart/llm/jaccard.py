@@ -5,6 +5,9 @@ with 100 * |x & y| >= t * |x | y| share, under ANY global order of the tokens,
 a token among their first |x| - ceil(t|x|/100) + 1.  Two independent orders
 are used: a pair has to share a prefix token under the first (which finds it
 by an equi-join) and under the second, before the whole sets are compared.
+The first order puts the tokens that most prefixes hold last, so a passage that
+many documents share stays out of the prefixes of those with other words; any
+order loses no link, so how many tokens are put last changes the work only.
 Two more lossless tests ride in the join condition: sizes, and the distance of
 parity bitmaps, which never exceeds the symmetric difference.
 
@@ -39,6 +42,7 @@ _SECOND = np.uint64(0x5851F42D4C957F2D)
 PIVOTS, PARTNERS = 4, 2     # first pass: pivots of a bucket, partners checked for a document
 BROADCAST_IDS = 2_000_000   # candidate documents (16 MB of ids) up to which their texts are picked without a shuffle
 _BUCKETS = 128
+COMMON, MOST_COMMON = 16, 200_000   # tokens in more prefixes than COMMON come last; the MOST_COMMON most frequent (3 MB)
 
 
 def _prefix(n: int, percent: int) -> int:
@@ -62,6 +66,22 @@ def _sketcher(k: int, percent: int) -> Callable[[Iterator[pd.DataFrame]], Iterat
     return run
 
 
+def _prefixes(k: int, percent: int, last: np.ndarray, rank: np.ndarray) \
+        -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """Prefix under the first order: by ``rank`` (0 unless the token is in the sorted ``last``), then by hash."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        hashes = WordHashes()
+        for batch in batches:
+            out = []
+            for doc_id, text in zip(batch["doc_id"], batch["text"]):
+                s = np.unique(windows(hashes.of(words(text)), k))
+                at = np.minimum(np.searchsorted(last, s), len(last) - 1)
+                order = np.argsort(np.where(last[at] == s, rank[at], 0), kind="stable")
+                out.append((doc_id, s[order[:_prefix(len(s), percent)]].view(np.int64)))
+            yield pd.DataFrame(out, columns=["doc_id", "pa"])
+    return run
+
+
 def _sets(k: int, percent: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
     """Prefix under the second order, counts per bucket, and the set itself."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -88,6 +108,34 @@ def _may_link(percent: int) -> Column:
             & ((100 - percent) * (nx + ny) >= (100 + percent) * apart))
 
 
+def _sized(ids: DataFrame) -> DataFrame:
+    """Stored ids, broadcast if they are few; else the join shuffles."""
+    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+
+
+def _heads(reps: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
+    """(doc_id, token): the prefixes under the first order, common tokens last.
+
+    A prefix by hash alone that holds no common token is the prefix under the
+    first order too, so only the other documents are read again.
+    """
+    heads = reps.select("doc_id", F.explode("pa").alias("token"))
+    common = stored(heads.groupBy("token").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > COMMON)
+                    .orderBy(F.desc("n"), "token").limit(MOST_COMMON), "common")
+    listed = common.toPandas()              # at most MOST_COMMON rows
+    if listed.empty:
+        return heads
+    last, rank = listed["token"].to_numpy().view(np.uint64), np.frexp(listed["n"].to_numpy())[1]
+    by_hash = np.argsort(last)
+    again = stored(heads.join(F.broadcast(common.select("token")), "token", "left_semi").select("doc_id").distinct(), "again")
+    ids = _sized(again)
+    redone = docs.select("doc_id", "text").join(ids, "doc_id", "left_semi").mapInPandas(
+        _prefixes(k, percent, last[by_hash], rank[by_hash]), "doc_id long, pa array<long>")
+    # a doc_id with several texts has the prefixes of them all
+    redone = redone.select("doc_id", F.explode("pa").alias("token")).join(reps.select("doc_id"), "doc_id", "left_semi")
+    return heads.join(ids, "doc_id", "left_anti").unionByName(redone).distinct()
+
+
 def _verified(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
     """The pairs (a, b) that also share a prefix token under the second order and whose whole sets link.
 
@@ -97,10 +145,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFr
     """
     pairs = stored(pairs, "candidates")
     ids = pairs.select("a").union(pairs.select("b")).toDF("doc_id").distinct()
-    ids = stored(ids, "candidate_ids")
-    if ids.count() <= BROADCAST_IDS:
-        ids = F.broadcast(ids)
-    texts = docs.select("doc_id", "text").join(ids, "doc_id", "left_semi")
+    texts = docs.select("doc_id", "text").join(_sized(stored(ids, "candidate_ids")), "doc_id", "left_semi")
     sets = stored(texts.mapInPandas(_sets(k, percent), _SET), "sets")
     counts, prefixes = sets.select("doc_id", "n", "counts"), sets.select("doc_id", "pb")
     apart = F.aggregate(F.zip_with("ca", "cb", lambda x, y: F.abs(x - y).cast("long")), F.lit(0).cast("long"),
@@ -120,7 +165,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFr
 def _links(reps: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
     """Links (a, b) between classes that connect the same classes as all links do."""
     bits = reps.select("doc_id", "n_shingles", "b0", "b1", "b2", "b3")
-    heads = reps.select("doc_id", F.explode("pa").alias("token"))
+    heads = _heads(reps, docs, k, percent)
     shared = (heads.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy("token")))
               .where("_n > 1").drop("_n"))
     rows = stored(shared.join(bits, "doc_id"), "prefixes")
