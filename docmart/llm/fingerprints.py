@@ -95,8 +95,9 @@ def with_next_tail(docs: DataFrame) -> DataFrame:
     larger distinct id (its row of smallest text hash).  Rows with a null
     doc_id have no next document and an empty tail.
     """
-    texts = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text")) \
-        .withColumn("h", F.xxhash64("text"))
+    # a cast that changes nothing would leave an alias on one side of the joins alone, and two shuffles of the texts
+    doc_id = F.col("doc_id") if dict(docs.dtypes)["doc_id"] == "bigint" else F.col("doc_id").cast("long")
+    texts = docs.select(doc_id, F.coalesce("text", F.lit("")).alias("text")).withColumn("h", F.xxhash64("text"))
     meta = stored(texts.where("doc_id is not null").select(
         "doc_id", "h", F.floor(F.char_length("text") / 4).cast("int").alias("cut")).distinct(), "lengths")
     after = following_id(meta, "doc_id")

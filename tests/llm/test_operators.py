@@ -39,6 +39,19 @@ def test_jaccard_groups_match_brute_force(docs, none):
     assert jaccard.jaccard_groups(none).count() == 0
 
 
+@pytest.mark.parametrize("k, percent", [(3, 90), (5, 80)])
+def test_jaccard_links_among_texts_that_share_a_passage(spark, k, percent):
+    """More prefixes than COMMON hold the passage's tokens; near copies of every kind still link."""
+    passage = " ".join(f"shared{i}" for i in range(60))
+    rows = [(i, " ".join(f"own{i}x{j}" for j in range(20 + i)) + " " + passage) for i in range(60)]
+    rows += [(100 + i, t + " more") for i, t in rows[::3]]                    # near copies of some
+    rows += [(200 + i, passage + f" tail{i}") for i in range(40)]             # nothing but the passage and a word
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.jaccard_groups(
+        spark.createDataFrame(rows, "doc_id long, text string"), k, percent).collect()}
+    assert got == components(rows, k, percent)
+    assert got[239][1] == 200 and got[103][1] == 3 and got[1][1] == 1
+
+
 def test_fingerprints_of_edited_texts(docs, none):
     rows = fingerprints.edited_fingerprints(docs).collect()
     assert len(rows) == len(texts())
