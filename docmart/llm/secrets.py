@@ -22,6 +22,8 @@ exclusive.  Only DataFrame functions are used.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -54,7 +56,6 @@ STRATA = (16, 24, 32, 48, 96)
 Z_RANDOM, RATE, STEPS = 3.5, 0.01, 200
 
 
-
 def _located(text: Column, pattern: str, group: int, least: int, holds: str) -> Column:
     """array<struct<start, end, s>> of the matches, left to right, whose group is long enough."""
     pat = F.lit(pattern)
@@ -78,6 +79,11 @@ def _upper_tail(z: Column) -> Column:
     return 1 / (1 + F.exp(1.5976 * z + 0.07056 * z * z * z))
 
 
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, however often it is used."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def _tested(s: Column, encoding: str) -> Column:
     """The grid step of the p-value of string s (0: p near 1), or -1 where it does not look random."""
     alphabet, ones = ENCODINGS[encoding]
@@ -93,22 +99,33 @@ def _tested(s: Column, encoding: str) -> Column:
         x, F.struct(F.lit(0.0).alias("s"), F.lit(0.0).alias("ss"), F.lit(0.0).alias("lag"), F.lit(0.0).alias("last")),
         lambda acc, v: F.struct((acc["s"] + v).alias("s"), (acc["ss"] + v * v).alias("ss"),
                                 (acc["lag"] + acc["last"] * v).alias("lag"), v.alias("last")))
-    mean, var = sums["s"] / n, sums["ss"] / n - (sums["s"] / n) * (sums["s"] / n)
-    r = F.when(var > 0, (sums["lag"] / (n - 1) - mean * mean) / var).otherwise(1.0)
-    # random symbols
-    share = len(ones) / a
-    flip = 2 * share * (1 - share)
-    z_chi = (F.cbrt(F.greatest(chi, F.lit(0.0)) / (a - 1)) - (1 - 2 / (9 * (a - 1)))) / (2 / (9 * (a - 1))) ** 0.5
-    z_one = (n1 - n * share) / F.sqrt(n * share * (1 - share))
-    z_runs = (changes - (n - 1) * flip) / F.sqrt((n - 1) * flip * (1 - flip))
-    z_corr = r * F.sqrt(n)
-    random = (z_chi <= Z_RANDOM) & (F.abs(z_one) <= Z_RANDOM) & (F.abs(z_runs) <= Z_RANDOM) & (F.abs(z_corr) <= Z_RANDOM)
-    # ordinary strings
-    y_chi = (a - 1 + n * excess - chi) / F.sqrt(2.0 * (a - 1) + 4 * excess * n)
-    y_runs = (changes - (n - 1) * changing) / F.sqrt((n - 1) * changing * (1 - changing))
-    y_corr = (corr - F.abs(r)) * F.sqrt(n)
-    p = _upper_tail((y_chi + F.least(y_runs, F.lit(6.0)) + F.least(y_corr, F.lit(6.0))) / 3 ** 0.5)
-    return F.when(random, F.least(F.floor(-F.log10(p) * 20), F.lit(STEPS))).otherwise(-1).cast("int")
+
+    def moments(t: Column) -> Column:
+        mean = t["sums"]["s"] / t["n"]
+        return F.struct(t["n"].alias("n"), t["chi"].alias("chi"), t["n1"].alias("n1"), t["changes"].alias("changes"),
+                        (t["sums"]["lag"] / (t["n"] - 1) - mean * mean).alias("cov"),
+                        (t["sums"]["ss"] / t["n"] - mean * mean).alias("var"))
+
+    def judged(t: Column) -> Column:
+        n, chi, n1, changes = t["n"], t["chi"], t["n1"], t["changes"]
+        r = F.when(t["var"] > 0, t["cov"] / t["var"]).otherwise(1.0)
+        # random symbols
+        share = len(ones) / a
+        flip = 2 * share * (1 - share)
+        z_chi = (F.cbrt(F.greatest(chi, F.lit(0.0)) / (a - 1)) - (1 - 2 / (9 * (a - 1)))) / (2 / (9 * (a - 1))) ** 0.5
+        z_one = (n1 - n * share) / F.sqrt(n * share * (1 - share))
+        z_runs = (changes - (n - 1) * flip) / F.sqrt((n - 1) * flip * (1 - flip))
+        z_corr = r * F.sqrt(n)
+        random = (z_chi <= Z_RANDOM) & (F.abs(z_one) <= Z_RANDOM) & (F.abs(z_runs) <= Z_RANDOM) & (F.abs(z_corr) <= Z_RANDOM)
+        # ordinary strings
+        y_chi = (a - 1 + n * excess - chi) / F.sqrt(2.0 * (a - 1) + 4 * excess * n)
+        y_runs = (changes - (n - 1) * changing) / F.sqrt((n - 1) * changing * (1 - changing))
+        y_corr = (corr - F.abs(r)) * F.sqrt(n)
+        p = _let((y_chi + F.least(y_runs, F.lit(6.0)) + F.least(y_corr, F.lit(6.0))) / 3 ** 0.5, _upper_tail)
+        return F.when(random, F.least(F.floor(-F.log10(p) * 20), F.lit(STEPS))).otherwise(-1).cast("int")
+
+    seen = F.struct(n.alias("n"), chi.alias("chi"), n1.alias("n1"), changes.alias("changes"), sums.alias("sums"))
+    return _let(_let(seen, moments), judged)
 
 
 def _step(s: Column) -> Column:
@@ -178,22 +195,27 @@ def scan(docs: DataFrame) -> DataFrame:
 def redact(docs: DataFrame, mask: str = "[SECRET]") -> DataFrame:
     """``docs`` with every span (overlapping ones as one) replaced by ``mask``; n_chars follows, where it exists.
 
-    The columns are those of ``docs``.  Two scans: one gathers the counts of
-    the false-discovery control, the other rewrites.
+    The columns are those of ``docs``.  Rows and their candidates are written
+    once; one pass over them gathers the counts of the false-discovery control,
+    the other rewrites the texts.
     """
-    accepted = thresholds(candidates(docs.select("text")))
-    df = with_spans(candidates(docs), accepted)
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    found = stored(candidates(docs.select(row, "text")).drop("text"), "secrets")
+    df = with_spans(found, thresholds(found)).select("row", "_spans")
+    old = F.col("row")["text"]
     cut = F.aggregate(
         "_spans", F.struct(F.lit("").alias("out"), F.lit(0).alias("at")),
         lambda acc, s: F.struct(
             F.when(s["start"] >= acc["at"], F.concat(
-                acc["out"], F.substring(F.col("text"), acc["at"] + 1, s["start"] - acc["at"]), F.lit(mask)))
+                acc["out"], F.substring(old, acc["at"] + 1, s["start"] - acc["at"]), F.lit(mask)))
             .otherwise(acc["out"]).alias("out"),
-            F.greatest(acc["at"], s["end"]).alias("at")))
-    text = F.when(F.size("_spans") == 0, F.col("text")).otherwise(
-        F.concat(F.col("_cut.out"), F.substring(F.col("text"), F.col("_cut.at") + 1, F.length("text"))))
-    out = df.withColumn("_cut", F.when(F.size("_spans") > 0, cut)).withColumn("text", text)
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.size("_spans") > 0, F.char_length("text").cast(docs.schema["n_chars"].dataType))
-                             .otherwise(F.col("n_chars")))
-    return out.select(docs.columns)
+            F.greatest(acc["at"], s["end"]).alias("at")),
+        lambda acc: F.concat(acc["out"], F.substring(old, acc["at"] + 1, F.length(old))))
+    hit = F.size("_spans") > 0
+    df = df.withColumn("_new", F.when(hit, cut).otherwise(old)).withColumn("_hit", hit)
+    values = {c: F.col("row")[c] for c in docs.columns}
+    values["text"] = F.col("_new")
+    if "n_chars" in values:
+        values["n_chars"] = F.when(F.col("_hit"), F.char_length("_new").cast(docs.schema["n_chars"].dataType)) \
+            .otherwise(values["n_chars"])
+    return df.select(*[v.alias(c) for c, v in values.items()])
