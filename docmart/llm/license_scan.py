@@ -4,9 +4,10 @@ Texts and templates become words ([a-z0-9]+ of the lower-cased text) and runs
 of ``K`` words (shingles).  For every size of template (8, 16, 32, ... words) a
 text is cut into windows half as long again as that size, starting every quarter
 of it.  Only texts that hold one of a few long words without which no template
-can be contained are cut at all.  A whole template of the size lies in some window and makes up over
-half of the template's window or nearly so.  Windows without any shingle of a
-template cannot contain one and are skipped.  The others get ``BANDS`` MinHash
+can be contained are cut at all.  A whole template of the size lies in some
+window and makes up over half of the template's window or nearly so.  Windows
+that hold fewer template shingles than the shortest template of their size
+needs for a match cannot contain one and are skipped.  The others get ``BANDS`` MinHash
 values of one row each; equal values retrieve templates.  With likeness J a
 window and a template meet with probability 1 - (1 - J) ** BANDS, over 0.9999
 at J = 0.35.  A retrieved template is a match if at least ``CONTAINED`` of its
@@ -21,6 +22,7 @@ of them are bounded.  Only DataFrame functions are used.
 from __future__ import annotations
 
 import re
+from math import ceil
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -89,6 +91,15 @@ def _around(size: int) -> Column:
         F.lit(size).alias("size"), (j * step).alias("at"), F.lit(width).alias("width")))
 
 
+def _fewest(listed: list[tuple[str, list[str]]], size_of) -> Column:
+    """By window size: the shingles that the shortest template of that size needs for a match."""
+    fewest: dict[int, int] = {}
+    for _, w in listed:
+        distinct = len({tuple(w[i:i + K]) for i in range(len(w) - K + 1)})
+        fewest[size_of(len(w))] = min(fewest.get(size_of(len(w)), distinct), ceil(CONTAINED * distinct))
+    return F.create_map(*[F.lit(x) for pair in fewest.items() for x in pair])[F.col("size")]
+
+
 def scan(docs: DataFrame, licenses: dict[str, str] | None = None) -> DataFrame:
     """(doc_id, license, containment, first_word, last_word, n_windows): one row per license found in a document."""
     licenses = LICENSES if licenses is None else licenses
@@ -124,7 +135,9 @@ def scan(docs: DataFrame, licenses: dict[str, str] | None = None) -> DataFrame:
     cuts = [_around(size) for size in sorted({size_of(len(w)) for _, w in listed})]
     windows = marked.select("doc_id", "shingles", F.explode(F.concat(*cuts)).alias("c")).select(
         "doc_id", "c.size", "c.at", F.array_distinct(F.slice("shingles", F.col("c.at") + 1, F.col("c.width"))).alias("window"))
-    windows = windows.where(F.size("window") > 0).withColumn("b", F.explode(_bands("window"))).select(
+    # a match needs so many shingles of one template, so windows with fewer of all templates together have none
+    windows = windows.where(F.size(F.array_intersect("window", literal)) >= _fewest(listed, size_of))
+    windows = windows.withColumn("b", F.explode(_bands("window"))).select(
         "doc_id", "size", "at", "window", "b.band", "b.value")
     met = (windows.join(F.broadcast(table), ["size", "band", "value"])
            .withColumn("containment", F.size(F.array_intersect("own", "window")) / F.size("own"))
