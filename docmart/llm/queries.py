@@ -12,6 +12,7 @@ from .fingerprints import edited_fingerprints
 from .jaccard import jaccard_groups
 from .license_scan import scan as license_scan
 from .mixing import mix
+from .oracle import ORACLE_SQL  # noqa: F401
 from .quality import quality
 from .secrets import scan
 from .toxicity import toxicity
@@ -62,4 +63,3 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_fingerprints, op2_decontamination, op3_quality, op4_secrets, op5_gru_scores, op6_url_rules, op7_jaccard_groups, op8_mix,
     op9_license_scan, op10_toxicity)}
-ORACLE_SQL: dict[str, str] = {}
