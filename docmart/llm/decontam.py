@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import stored
-from .tokens import mix
+from .tokens import mix, pieces
 
 WINDOW, COVER, RUN, CONSISTENT = 8, 0.5, 12, 0.9
 BROADCAST_WINDOWS = 2_000_000     # of the benchmark (16 MB of hashes); beyond, all windows are shuffled
@@ -115,7 +115,7 @@ def _windows(lengths: list[int], only: np.ndarray | None, short: bool):
         if only is not None:
             bloom = np.zeros(1 << 20, bool)
             bloom[(only & np.uint64((1 << 20) - 1)).astype(np.int64)] = True
-        for batch in batches:
+        for batch in pieces(batches):
             out = []
             for id_, text in zip(batch["id"], batch["text"]):
                 if not text:

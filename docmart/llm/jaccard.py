@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import components, stored
-from .tokens import WordHashes, mix, windows, words
+from .tokens import WordHashes, mix, pieces, windows, words
 
 _SKETCH = "doc_id long, n_shingles long, sig string, pa array<long>, b0 long, b1 long, b2 long, b3 long"
 _SET = "doc_id long, n long, pb array<long>, counts array<short>, tokens array<long>"
@@ -53,7 +53,7 @@ def _sketcher(k: int, percent: int) -> Callable[[Iterator[pd.DataFrame]], Iterat
     """Size, signature, prefix under the first order and parity bitmap of every set."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hashes = WordHashes()
-        for batch in batches:
+        for batch in pieces(batches):
             out = []
             for doc_id, text in zip(batch["doc_id"], batch["text"]):
                 s = np.unique(windows(hashes.of(words(text)), k))
@@ -71,7 +71,7 @@ def _prefixes(k: int, percent: int, last: np.ndarray, rank: np.ndarray) \
     """Prefix under the first order: by ``rank`` (0 unless the token is in the sorted ``last``), then by hash."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hashes = WordHashes()
-        for batch in batches:
+        for batch in pieces(batches):
             out = []
             for doc_id, text in zip(batch["doc_id"], batch["text"]):
                 s = np.unique(windows(hashes.of(words(text)), k))
@@ -86,7 +86,7 @@ def _sets(k: int, percent: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[p
     """Prefix under the second order, counts per bucket, and the set itself."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hashes = WordHashes()
-        for batch in batches:
+        for batch in pieces(batches):
             out = []
             for doc_id, text in zip(batch["doc_id"], batch["text"]):
                 s = np.unique(windows(hashes.of(words(text)), k))
@@ -133,7 +133,8 @@ def _heads(reps: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
         _prefixes(k, percent, last[by_hash], rank[by_hash]), "doc_id long, pa array<long>")
     # a doc_id with several texts has the prefixes of them all
     redone = redone.select("doc_id", F.explode("pa").alias("token")).join(reps.select("doc_id"), "doc_id", "left_semi")
-    return heads.join(ids, "doc_id", "left_anti").unionByName(redone).distinct()
+    # the shuffle by token serves both this distinct and the counts that follow
+    return heads.join(ids, "doc_id", "left_anti").unionByName(redone).repartition("token").distinct()
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pandas as pd
 import xxhash
 
 _LIMIT = 500_000          # entries of a task's word cache (memory only, results do not depend on it)
@@ -46,3 +49,10 @@ def windows(h: np.ndarray, k: int) -> np.ndarray:
     for j in range(1, k):
         acc = mix(acc) * _P + h[j: n - k + 1 + j]
     return mix(acc)
+
+
+def pieces(batches: Iterator[pd.DataFrame], rows: int = 500) -> Iterator[pd.DataFrame]:
+    """The same rows in smaller frames, so what a task holds of its results at once stays small."""
+    for batch in batches:
+        for i in range(0, len(batch), rows):
+            yield batch.iloc[i:i + rows]

@@ -28,6 +28,7 @@ from pyspark.sql.types import DoubleType, StringType, StructType
 
 from .common import crc_mod, labelled_sample
 from .quality import class_weights, fit_logistic
+from .tokens import pieces
 
 PER_CLASS, WINDOWS, RADIUS, VOCABULARY = 1500, 4, 12, 4000
 _STRIP = b".,!?;:\"'()[]{}<>*#%$&|-_~`"
@@ -267,7 +268,7 @@ def tag(docs: DataFrame, model: dict, score: str = "score", spans: str = "spans"
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         curve, table = np.array(model["curve"]), Ids(model["ids"])
-        for batch in batches:
+        for batch in pieces(batches):
             texts = list(batch["text"])
             points, found = np.zeros((len(texts), 2)), [""] * len(texts)
             for k, p in _tagged(texts, model["field"], table):
