@@ -48,15 +48,15 @@ WITH RECURSIVE worded AS (
   SELECT doc_id, regexp_extract_all(
     translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_WORD}') AS w
   FROM documents),
-shingles AS (
+shingles AS MATERIALIZED (
   SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
     ELSE list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END) AS s
   FROM worded),
-sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
-shared AS (
+sizes AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+shared AS MATERIALIZED (
   SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS common
   FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY 1, 2),
-links AS (
+links AS MATERIALIZED (
   SELECT a, b FROM shared JOIN sizes sa ON sa.doc_id = a JOIN sizes sb ON sb.doc_id = b
   WHERE 100 * common >= 90 * (sa.n + sb.n - common)),
 reach AS (
