@@ -79,12 +79,39 @@ def resolve_page(cat, page: int | str, size: int = PAGE_SIZE) -> int:
 
 def catalog_page(cat, page: int | str = 1, size: int = PAGE_SIZE) -> DataFrame:
     """``results`` of GET /movies/?page=N (or page=last): the page's films, ordered by id."""
-    page = resolve_page(cat, page, size)
-    ids = page_ids(cat.film_work, page, size)
+    if page == "last":      # from the far end, so no task sorts more than a page
+        n = cat.film_work.count()
+        rest = n - max(0, -(-n // size) - 1) * size
+        ids = cat.film_work.select("id").orderBy(F.desc("id")).limit(rest)
+    else:
+        ids = page_ids(cat.film_work, int(page), size)
     # the page is at most `size` ids: a proven bound, safe to broadcast
     return api_films(cat, F.broadcast(ids)).orderBy("id")
 
 
+def catalog_page_after(cat, last_id=None, size: int = PAGE_SIZE) -> DataFrame:
+    """The films that follow ``last_id`` (None: the first page), ordered by id.
+
+    The way to read page after page however deep: every task keeps ``size`` ids
+    and the id range is pushed to the scan.
+    """
+    films = cat.film_work if last_id is None else cat.film_work.where(F.col("id") > F.lit(last_id))
+    return api_films(cat, F.broadcast(page_ids(films, 1, size))).orderBy("id")
+
+
+def catalog_response(cat, page: int | str = 1, size: int = PAGE_SIZE) -> DataFrame:
+    """(page, exists, body): the whole list response as one JSON text of count,
+    total_pages, prev, next and results (the page's films, at most ``size``)."""
+    number = resolve_page(cat, page, size)
+    film = F.struct(*API_COLUMNS, "genres", *API_ROLE_GROUPS)
+    films = catalog_page(cat, page, size).select(F.lit(number).alias("page"), film.alias("film"))
+    head = ["count", "total_pages", "prev", "next"]
+    rows = catalog_page_meta(cat, number, size).join(films, "page", "left")
+    whole = rows.groupBy("page", "exists", *head).agg(F.array_sort(F.collect_list("film")).alias("results"))
+    return whole.select("page", "exists", F.to_json(
+        F.struct(*head, "results"), {"ignoreNullFields": "false"}).alias("body"))
+
+
 def catalog_page_meta(cat, page: int | str = 1, size: int = PAGE_SIZE) -> DataFrame:
     """count, total_pages (>= 1), page, prev, next (NULL at the ends), exists."""
     page = resolve_page(cat, page, size)

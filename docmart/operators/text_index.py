@@ -15,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 # Token pattern: runs of letters/digits, inner apostrophes followed by letters kept.
 TOKEN_PATTERN = r"[\p{L}\p{N}]+(?:['’]\p{L}+)*"
 POSSESSIVE_PATTERN = r"['’]s$"   # applied after lowercasing
@@ -75,10 +77,13 @@ def analysed_tokens(docs: DataFrame, id_col: str | list[str] = "doc_id", text_co
 
 ANALYSED_FILM_FIELDS = ("title", "description", "actors_names", "writers_names", "directors_names",
                         "genres_names")
+ANALYSED_PERSON_FIELDS = ("name",)
+ANALYSED_GENRE_FIELDS = ("name", "description")
 
 
 def film_field_tokens(docs: DataFrame, fields=ANALYSED_FILM_FIELDS, **analyser) -> DataFrame:
-    """Analysed tokens of the film index's text fields: (id, field, value_index, pos, token).
+    """Analysed tokens of an index's text fields (the film index's unless others are
+    given): (id, field, value_index, pos, token).
 
     Each value of a multi-valued field (a name list) is analysed on its own;
     ``value_index`` is its place in the list, ``pos`` the position inside it.
@@ -99,10 +104,12 @@ def term_postings(tokens: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """(term, doc, tf, df): one row per term and document.
 
     Postings stay rows (a term in every document would make a single
-    collected list unbounded).  ``df`` is a partial count joined back on the
+    collected list unbounded).  They are written once to the shared folder, so
+    the corpus is tokenised once.  ``df`` is a partial count joined back on the
     term; AQE's skew join splits the postings of very frequent terms.
     """
-    postings = tokens.groupBy(F.col("token").alias("term"), F.col(id_col)).agg(F.count(F.lit(1)).alias("tf"))
+    postings = materialize(
+        tokens.groupBy(F.col("token").alias("term"), F.col(id_col)).agg(F.count(F.lit(1)).alias("tf")), "postings")
     dfreq = postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     # the vocabulary grows with the corpus and the planner's size estimate does
     # not see the explode, so no static broadcast: a sort-merge join, which

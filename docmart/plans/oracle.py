@@ -462,6 +462,35 @@ FROM valid_film f LEFT JOIN people_l p ON p.film_work_id = f.id LEFT JOIN genres
 ORACLE_SQL["catalog_detail_by_id"] = f"SELECT * FROM ({ORACLE_SQL['catalog_detail_json']}) WHERE id = {P.DETAIL_ID}"
 
 
+# ---- list response and last page --------------------------------------------------
+ORACLE_SQL["catalog_response"] = f"""
+SELECT CAST({P.PAGE} AS INTEGER) AS page, {P.PAGE} BETWEEN 1 AND t AS "exists",
+  '{{"count":' || c || ',"total_pages":' || t
+  || ',"prev":' || CASE WHEN {P.PAGE} > 1 THEN CAST({P.PAGE} - 1 AS VARCHAR) ELSE 'null' END
+  || ',"next":' || CASE WHEN {P.PAGE} < t THEN CAST({P.PAGE} + 1 AS VARCHAR) ELSE 'null' END
+  || ',"results":[' || coalesce((
+    SELECT string_agg(body, ',' ORDER BY id) FROM (
+      SELECT * FROM ({ORACLE_SQL['catalog_detail_json']}) ORDER BY id LIMIT 50 OFFSET {(P.PAGE - 1) * 50})), '')
+  || ']}}' AS body
+FROM (SELECT count(*) AS c, greatest(1, CAST(ceil(count(*) / 50.0) AS INTEGER)) AS t FROM orders)"""
+
+ORACLE_SQL["catalog_last_page"] = f"""
+SELECT * FROM ({ORACLE_SQL['catalog_detail']})
+WHERE id IN (SELECT id FROM (SELECT o_orderkey AS id, row_number() OVER (ORDER BY o_orderkey) - 1 AS place,
+                               count(*) OVER () AS n FROM orders)
+             WHERE place // 50 = (n - 1) // 50)"""
+
+# ---- text fields of the persons and genres indexes --------------------------------
+ORACLE_SQL["person_field_tokens"] = _with(*text_ctes(_sql_list(RUSSIAN_STOP), """(
+  SELECT id, 'name' AS field, 0 AS value_index, full_name AS value FROM person WHERE full_name IS NOT NULL)""",
+    "id, field, value_index", "value")) + "SELECT id, field, value_index, pos, token FROM tokens"
+
+ORACLE_SQL["genre_field_tokens"] = _with(*text_ctes(_sql_list(RUSSIAN_STOP), """(
+  SELECT id, 'name' AS field, 0 AS value_index, name AS value FROM genre WHERE name IS NOT NULL
+  UNION ALL SELECT id, 'description', 0, description FROM genre WHERE name IS NOT NULL AND description IS NOT NULL)""",
+    "id, field, value_index", "value")) + "SELECT id, field, value_index, pos, token FROM tokens"
+
+
 # ---- entry rows and fixed buckets ------------------------------------------------
 ORACLE_SQL["film_entries"] = _with(*film_docs_ctes()) + """
 SELECT p.film_work_id AS film_id, CASE p.role WHEN 'actor' THEN 'actors' WHEN 'producer' THEN 'writers'

@@ -177,6 +177,17 @@ def catalog_list(spark, sf_dir):
     return flat_api(K.catalog_page(load_test_catalog(spark, sf_dir), P.PAGE))
 
 
+@query
+def catalog_response(spark, sf_dir):
+    """The list response of one page as a single JSON body."""
+    return K.catalog_response(load_test_catalog(spark, sf_dir), P.PAGE)
+
+
+@query
+def catalog_last_page(spark, sf_dir):
+    return flat_api(K.catalog_page(load_test_catalog(spark, sf_dir), "last"))
+
+
 @query
 def catalog_page_meta(spark, sf_dir):
     return K.catalog_page_meta(load_test_catalog(spark, sf_dir), P.PAGE)
@@ -347,6 +358,20 @@ def film_field_tokens(spark, sf_dir):
     return TX.film_field_tokens(D.film_documents(load_test_catalog(spark, sf_dir)))
 
 
+@query
+def person_field_tokens(spark, sf_dir):
+    """Analysis of the persons index's text field."""
+    docs = D.person_documents(load_test_catalog(spark, sf_dir))
+    return TX.film_field_tokens(docs, TX.ANALYSED_PERSON_FIELDS)
+
+
+@query
+def genre_field_tokens(spark, sf_dir):
+    """Analysis of the genres index's text fields."""
+    docs = D.genre_documents(load_test_catalog(spark, sf_dir))
+    return TX.film_field_tokens(docs, TX.ANALYSED_GENRE_FIELDS)
+
+
 @query
 def nested_match(spark, sf_dir):
     """Nested match: films with an actor who also directs them (same id and name

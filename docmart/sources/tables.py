@@ -159,22 +159,27 @@ def with_ingest_defaults(rows: DataFrame, existing: DataFrame | None = None, key
                .drop("_stored_created"))
 
 
-def hash_predicates(column: str, n: int) -> list[str]:
-    """``n`` disjoint WHERE clauses covering every row (NULL keys in the first),
-    for a partitioned JDBC read of a table keyed by text/uuid ids."""
-    preds = [f"mod(abs(hashtext(CAST({column} AS text))), {n}) = {i}" for i in range(n)]
-    preds[0] = f"({preds[0]} OR {column} IS NULL)"
-    return preds
+def uuid_ranges(column: str, n: int) -> list[str]:
+    """``n`` disjoint ranges of a uuid key that together cover every row (NULL keys
+    in the first), for a partitioned JDBC read: each is a range scan of the key's index."""
+    def bound(i: int) -> str:
+        h = f"{(i << 128) // n:032x}"
+        return f"'{h[:8]}-{h[8:12]}-{h[12:16]}-{h[16:20]}-{h[20:]}'"
+
+    if n == 1:
+        return ["1 = 1"]
+    middle = [f"{column} >= {bound(i)} AND {column} < {bound(i + 1)}" for i in range(1, n - 1)]
+    return [f"({column} < {bound(1)} OR {column} IS NULL)", *middle, f"{column} >= {bound(n - 1)}"]
 
 
 def load_catalog_jdbc(spark: SparkSession, url: str, properties: dict, schema_name: str = "content",
                       partitions: int = 64) -> Catalog:
     """Read the five entity tables over JDBC, each split into ``partitions``
-    parallel reads by hash of the key (needs the database's JDBC driver jar).
+    parallel range reads of the uuid key (needs the database's JDBC driver jar).
     Spark pushes projections and simple filters into each partition query."""
     keys = {"film_work": "id", "person": "id", "genre": "id",
             "person_film_work": "film_work_id", "genre_film_work": "film_work_id"}
-    frames = {t: spark.read.jdbc(url, f"{schema_name}.{t}", predicates=hash_predicates(k, partitions),
+    frames = {t: spark.read.jdbc(url, f"{schema_name}.{t}", predicates=uuid_ranges(k, partitions),
                                  properties=properties)
               for t, k in keys.items()}
     return Catalog(**frames, person_film_work_raw=frames["person_film_work"],

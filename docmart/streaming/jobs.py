@@ -4,8 +4,10 @@
 ``incremental`` one high-water-mark run (changes since the last committed mark)
 ``stream``      Structured Streaming over change folders (one per table)
 
-Sources: ``--tables DIR`` (the five entity tables as parquet folders) or
-``--test-sf DIR`` (the synthetic test tables through the test mapping).
+Sources: ``--tables DIR`` (the five entity tables as parquet folders),
+``--jdbc-url URL`` (the same tables in a database, with ``--jdbc-property``
+for its user and driver) or ``--test-sf DIR`` (the synthetic test tables
+through the test mapping).
 Output: ``--out DIR`` holds the three versioned indexes and the progress log;
 it should be on the cluster's shared storage.
 """
@@ -22,7 +24,7 @@ from pyspark.sql import functions as F
 from ..operators import documents as D
 from ..schemas import INDEX_GENRES, INDEX_MOVIES, INDEX_PERSONS
 from ..sources.sinks import ProgressLog, upsert
-from ..sources.tables import load_catalog, load_test_catalog
+from ..sources.tables import load_catalog, load_catalog_jdbc, load_test_catalog
 from ..operators.changes import current_mark
 from ..session import JOB_CONF
 from .incremental import CHANGE_SOURCES, DocumentSinks, run_incremental, start_document_stream
@@ -31,6 +33,9 @@ from .incremental import CHANGE_SOURCES, DocumentSinks, run_incremental, start_d
 def _loader(spark: SparkSession, args):
     if args.test_sf:
         return lambda: load_test_catalog(spark, args.test_sf)
+    if args.jdbc_url:
+        properties = dict(x.split("=", 1) for x in args.jdbc_property)
+        return lambda: load_catalog_jdbc(spark, args.jdbc_url, properties, partitions=args.jdbc_partitions)
     return lambda: load_catalog(spark, args.tables)
 
 
@@ -54,6 +59,9 @@ def main(argv=None) -> None:
     src = p.add_mutually_exclusive_group(required=True)
     src.add_argument("--tables")
     src.add_argument("--test-sf")
+    src.add_argument("--jdbc-url", help="read the five tables over JDBC, by ranges of their uuid keys")
+    p.add_argument("--jdbc-property", action="append", default=[], metavar="KEY=VALUE")
+    p.add_argument("--jdbc-partitions", type=int, default=64)
     p.add_argument("--out", required=True)
     p.add_argument("--changes", help="stream: folder with one sub-folder of (id) change files per table")
     p.add_argument("--trigger-seconds", type=int, default=60)

@@ -157,10 +157,19 @@ def test_h5_ingest_defaults(spark):
     assert out["New"]["id"] and len(out["New"]["id"]) == 36 and out["New"]["created"] is not None
 
 
-def test_jdbc_hash_predicates_cover_once():
-    from docmart.sources.tables import hash_predicates
-    preds = hash_predicates("id", 4)
-    assert len(preds) == 4 and "IS NULL" in preds[0] and all("= %d" % i in p for i, p in enumerate(preds))
+def test_jdbc_ranges_cover_every_key_once(spark):
+    import uuid
+
+    from docmart.sources.tables import uuid_ranges
+    ids = [str(uuid.UUID(int=i * (2 ** 128 - 1) // 40)) for i in range(41)] + [None]
+    keys = spark.createDataFrame([(i,) for i in ids], "id string")
+    for n in (1, 2, 5, 64):
+        parts = [[r["id"] for r in keys.where(p).collect()] for p in uuid_ranges("id", n)]
+        assert len(parts) == n and sorted(str(i) for p in parts for i in p) == sorted(map(str, ids))
+        assert None in parts[0]
+    # bounds are plain uuids, so the key's own index serves them
+    assert uuid_ranges("id", 4)[1] == ("id >= '40000000-0000-0000-0000-000000000000' "
+                                       "AND id < '80000000-0000-0000-0000-000000000000'")
 
 
 def test_full_then_incremental_jobs(spark, scratch):
