@@ -101,6 +101,17 @@ def test_licenses(docs, none):
     assert license_scan.scan(none).count() == 0
 
 
+def test_every_license_is_found_by_its_wording(spark):
+    filler = " ".join(f"w{i}" for i in range(40))
+    rows = [(name, f"{filler}. {text}. {filler}") for name, text in license_scan.LICENSES.items()]
+    rows += [("line", f"{filler}.\nAll rights reserved.\n{filler}"), ("owner", "Copyright 2021 Acme. All rights reserved."), ("bare", filler)]
+    got = license_scan.scan(spark.createDataFrame(rows, "doc_id string, text string")).collect()
+    found = {(r["doc_id"], r["license"]): r["containment"] for r in got}
+    assert all(found.get((name, name)) == 1.0 for name in license_scan.LICENSES)
+    assert found["line", "All rights reserved"] == found["owner", "All rights reserved"] == 1.0
+    assert not [k for k in found if k[0] == "bare"]
+
+
 def test_url_rules(spark):
     urls = {1: "http://a.net/x", 2: "https://m.EXAMPLE.net/en/1", 3: "http://example.com/de/", 4: "http://x.org/fr/a?b",
             5: "http://spam-farm.example.org/en/", 6: None, 7: "no scheme", 8: "http://a.net", 9: "http://a.net/x"}
