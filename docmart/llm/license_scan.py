@@ -10,7 +10,7 @@ that hold fewer template shingles than the shortest template of their size
 needs for a match cannot contain one and are skipped.  The others get ``BANDS`` MinHash
 values of one row each; equal values retrieve templates.  With likeness J a
 window and a template meet with probability 1 - (1 - J) ** BANDS, over 0.9999
-at J = 0.35, and a template in its window has more.  A retrieved template is a match if at least ``CONTAINED`` of its
+at J = 0.35, and a template in its window has more.  A retrieved template is a match if at least ``CONTAINED`` per cent of its
 shingles are in the window.
 
 Null and empty texts match nothing.  Repeated rows of a doc_id are one
@@ -25,7 +25,6 @@ import pkgutil
 import re
 from collections import Counter
 from functools import reduce
-from math import ceil
 from operator import or_
 
 from pyspark.sql import Column, DataFrame
@@ -33,7 +32,7 @@ from pyspark.sql import functions as F
 
 from .common import stored
 
-K, BANDS, CONTAINED = 3, 24, 0.8
+K, BANDS, CONTAINED = 3, 24, 80     # CONTAINED is in per cent
 MOST_TEMPLATE_WORDS = 200_000      # of all templates together
 
 # Notices by which public licenses ask to be named, and whole licenses.
@@ -139,11 +138,16 @@ def _bands(shingles: str) -> Column:
     return F.array(*[F.struct(F.lit(i).alias("band"), smallest(i).alias("value")) for i in range(BANDS)])
 
 
+def _enough(n: int) -> int:
+    """How many of n shingles make a match."""
+    return -(-CONTAINED * n // 100)
+
+
 def _needed(w: list[str]) -> list[str]:
     """Words of a template of which every match holds at least one: without them, over a fifth of its shingles is missing."""
     runs = {tuple(w[i:i + K]) for i in range(len(w) - K + 1)}
     left, chosen = set(runs), []
-    while len(runs) - len(left) <= (1 - CONTAINED) * len(runs):
+    while len(left) >= _enough(len(runs)):
         held = Counter(x for r in left for x in set(r))
         word = min(held, key=lambda x: (-min(len(x), 7), -held[x], x))       # long ones are rare
         chosen.append(word)
@@ -170,7 +174,7 @@ def _fewest(listed: list[tuple[str, list[str]]]) -> dict[int, int]:
     fewest: dict[int, int] = {}
     for _, w in listed:
         distinct = len({tuple(w[i:i + K]) for i in range(len(w) - K + 1)})
-        fewest[_size(len(w))] = min(fewest.get(_size(len(w)), distinct), ceil(CONTAINED * distinct))
+        fewest[_size(len(w))] = min(fewest.get(_size(len(w)), distinct), _enough(distinct))
     return fewest
 
 
@@ -222,8 +226,9 @@ def scan(docs: DataFrame, licenses: dict[str, str] | None = None) -> DataFrame:
     windows = windows.withColumn("b", F.explode(_bands("window"))).select(
         "doc_id", "size", "at", "window", "b.band", "b.value")
     met = (windows.join(F.broadcast(table), ["size", "band", "value"])
-           .withColumn("containment", F.size(F.array_intersect("own", "window")) / F.size("own"))
-           .where(F.col("containment") >= CONTAINED)
+           .withColumn("both", F.size(F.array_intersect("own", "window")))
+           .where(100 * F.col("both") >= CONTAINED * F.size("own"))
+           .withColumn("containment", F.col("both") / F.size("own"))
            .withColumn("last", F.col("at") + F.size("window") + K - 2))
     found = met.groupBy("doc_id", "license", "at").agg(F.max("containment").alias("containment"), F.max("last").alias("last"))
     return found.groupBy("doc_id", "license").agg(

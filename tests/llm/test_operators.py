@@ -112,6 +112,15 @@ def test_every_license_is_found_by_its_wording(spark):
     assert not [k for k in found if k[0] == "bare"]
 
 
+def test_licenses_at_exactly_the_least_containment(spark):
+    notices = {"five": "Licensed under CC BY-NC 4.0", "ten": "alphabet beta gamma delta epsilon zeta eta theta iota kappa lambda mutable"}
+    rows = [(1, "Available under CC BY-NC 4.0"), (2, "beta gamma delta epsilon zeta eta theta iota kappa lambda"),
+            (3, "under one CC BY-NC 4.0"), (4, "gamma delta epsilon zeta eta theta iota kappa lambda")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r["doc_id"], r["license"], r["containment"]) for r in license_scan.scan(docs, notices).collect()}
+    assert got == {(1, "five", 0.8), (2, "ten", 0.8)}
+
+
 def test_url_rules(spark):
     urls = {1: "http://a.net/x", 2: "https://m.EXAMPLE.net/en/1", 3: "http://example.com/de/", 4: "http://x.org/fr/a?b",
             5: "http://spam-farm.example.org/en/", 6: None, 7: "no scheme", 8: "http://a.net", 9: "http://a.net/x"}
