@@ -163,3 +163,39 @@ def test_gru_scores_match_counts(spark):
         assert got[i]["n_known"] == sum(c[w] > 0 for w in tokens)
         assert got[i]["base_score"] == pytest.approx(sum(log10((c[w] + 1) / (n + v + 1)) for w in tokens))
         assert got[i]["score"] < 0
+
+
+def test_gru_trains_on_whole_texts_and_its_words_grow():
+    import numpy as np
+    import pandas as pd
+
+    from docmart.llm import gru_lm
+    texts = [" ".join(f"w{(i + j) % 50}" for j in range(n)) for i, n in enumerate([5, 400, 1, 0, 97])]
+    common = [(f"w{i}".encode(), 60 - i) for i in range(50)]
+    first = gru_lm._first(np.ones(gru_lm.WORDS + 2))
+    got = pd.concat(gru_lm._trainer(first, common)([pd.DataFrame({"seed": range(5), "text": texts})]))
+    assert set(got["tokens"]) == {sum(len(t.split()) + 1 for t in texts)}
+    assert gru_lm.vocabulary(4_000_000) == 8000 and gru_lm.vocabulary(10) == gru_lm.WORDS
+
+
+def test_gru_gradients_match_differences_and_the_scorer():
+    import numpy as np
+
+    from docmart.llm import gru_lm
+    rng = np.random.default_rng(1)
+    m = {k: v.astype(np.float64) for k, v in gru_lm._first(rng.integers(1, 90, 5000)).items()}
+    ids = np.append(rng.integers(1, 5000, 11), gru_lm.END).astype(np.int32)
+    x, y, h = np.append(gru_lm.END, ids[:-1])[:, None], ids[:, None], np.zeros((1, gru_lm.HIDDEN))
+    loss, g, _ = gru_lm.window_gradients(m, x, y, np.ones_like(y, bool), h)
+    assert loss == pytest.approx(-gru_lm.log_probabilities(m, [ids])[0], rel=1e-4)
+    for k in m:
+        rows, d = g[k]
+        dense = np.zeros_like(m[k])
+        dense[rows] = d
+        at = np.unravel_index(np.abs(dense).argmax(), dense.shape)
+        near = []
+        for e in (1e-5, -1e-5):
+            moved = {**m, k: m[k].copy()}
+            moved[k][at] += e
+            near.append(gru_lm.window_gradients(moved, x, y, np.ones_like(y, bool), h)[0])
+        assert (near[0] - near[1]) / 2e-5 == pytest.approx(dense[at], rel=1e-2)
