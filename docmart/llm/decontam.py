@@ -2,14 +2,17 @@
 
 Texts become templates: words are lower-cased and stripped of punctuation,
 numbers, units after numbers and names (capitalised inside a sentence) become
-typed placeholders that keep their value as a slot.  Windows of ``WINDOW``
-template words of a document are hash-joined with those of the benchmark
-items; windows of fewer than half literal words never count.  Items shorter
-than a window are one window of their own length.
+typed placeholders that keep their value as a slot; a run of capitalised words
+is one name.  Windows of ``WINDOW`` template words of a document are hash-joined
+with those of the benchmark items; windows of fewer than half literal words meet
+only if the values of their slots are equal.  Items shorter than a window are one
+window of their own length.
 
 Matches are gathered per document, item and alignment (document position minus
-item position).  An alignment is a leak if it covers at least ``COVER`` of the
-item's windows, or ``RUN`` windows, and its slots are consistent: one value of
+item position), and also over alignments that lie within ``NEAR`` words of each
+other, as a longer value moves the rest of a text.  They are a leak if they cover
+at least ``COVER`` of the item's windows, or of those with half literal words, or
+``RUN`` windows, and their slots are consistent: one value of
 the item always stands for one value of the document, as in a question that
 only had its numbers or names exchanged.
 
@@ -32,7 +35,7 @@ from pyspark.sql import functions as F
 from .common import stored
 from .tokens import mix, pieces
 
-WINDOW, COVER, RUN, CONSISTENT = 8, 0.5, 12, 0.9
+WINDOW, COVER, RUN, CONSISTENT, NEAR = 8, 0.5, 12, 0.9, 8
 BROADCAST_WINDOWS = 2_000_000     # of the benchmark (16 MB of hashes); beyond, all windows are shuffled
 # Units that follow a number.
 UNITS = frozenset("""mm cm m km in ft mi mg g kg lb oz ml l s sec min h hr hours hour day days week weeks month months
@@ -56,32 +59,35 @@ class _Words(dict):
         self.clear()
         self.cores: list[str] = []
         self.hashes, self.kinds, self.ends = np.zeros(1 << 12, np.uint64), np.zeros(1 << 12, np.int8), np.zeros(1 << 12, bool)
+        self.closes = np.zeros(1 << 12, bool)
 
     def __missing__(self, word: str) -> int:
         core = _EDGE.sub("", word)
         low = core.lower()
         row = len(self.cores)
         if row == len(self.hashes):
-            self.hashes, self.kinds, self.ends = (np.concatenate([a, np.zeros_like(a)])
-                                                  for a in (self.hashes, self.kinds, self.ends))
+            self.hashes, self.kinds, self.ends, self.closes = (
+                np.concatenate([a, np.zeros_like(a)]) for a in (self.hashes, self.kinds, self.ends, self.closes))
         self.kinds[row] = _NUM if _NUMBER.fullmatch(core) else _UNIT if low in UNITS else _CAP \
             if core[:1].isupper() and core[1:].islower() else _LIT
         self.cores.append(low)
         self.hashes[row] = xxhash.xxh3_64_intdigest(low.encode("utf-8", "surrogatepass")) if low else 0
         self.ends[row] = word[-1] in ".!?:;" or not core
+        self.closes[row] = not word[-1].isalnum()       # a name ends here
         self[word] = row
         return row
 
-    def capital(self, row: int) -> bool:
-        return self.kinds[row] == _CAP
+    def of(self, text: str, inside: bool = False):
+        """Template of a text: hashes, hashes with values and kinds of its entries, their first words, and the rows of all words.
 
-    def of(self, text: str):
-        """Template of a text: hashes and literal flags of its non-empty words, and their rows."""
+        With ``inside`` the text does not start a sentence.
+        """
         if len(self) > _KEEP:
             self.forget()
         rows = np.fromiter(map(self.__getitem__, text.split()), np.int64)
         hashes, kinds, ends = self.hashes[rows], self.kinds[rows], self.ends[rows]
         start = np.ones(len(rows), bool)            # of a sentence: a capital says nothing there
+        start[:1] = not inside
         start[1:] = ends[:-1]
         kinds[(kinds == _CAP) & start] = _LIT
         after = np.zeros(len(rows), bool)
@@ -89,23 +95,40 @@ class _Words(dict):
         kinds[(kinds == _UNIT) & ~after] = _LIT
         full = hashes != 0
         rows, hashes, kinds = rows[full], hashes[full], kinds[full]
-        return rows, np.where(kinds == _LIT, hashes, kinds.astype(np.uint64) * _P), kinds
+        name = np.zeros(len(rows), bool)            # goes on
+        name[1:] = (kinds[1:] == _CAP) & (kinds[:-1] == _CAP) & ~self.closes[rows[:-1]]
+        first = np.flatnonzero(~name)
+        nth = (np.arange(len(rows)) - np.repeat(first, np.diff(np.append(first, len(rows))))).astype(np.uint64)
+        exact = np.add.reduceat(mix(hashes + nth * _P), first) if len(first) else hashes
+        kinds = kinds[first]
+        exact = mix(exact + kinds.astype(np.uint64) * _P)       # a word and the same word as a name are two
+        return np.where(kinds == _LIT, hashes[first], kinds.astype(np.uint64) * _P), exact, kinds, first, rows
+
+
+def _rolled(h: np.ndarray, at: np.ndarray, w: int) -> np.ndarray:
+    acc = h[at]
+    for j in range(1, w):
+        acc = mix(acc) * _P + h[at + j]
+    return acc
 
 
-def _window_hashes(h: np.ndarray, kinds: np.ndarray, w: int) -> tuple[np.ndarray, np.ndarray]:
+def _window_hashes(h: np.ndarray, exact: np.ndarray, kinds: np.ndarray, w: int) -> tuple[np.ndarray, np.ndarray]:
+    """A hash for every window, and which have fewer than half literal words: their hash holds the values."""
     n = len(h) - w + 1
-    acc = h[:n].copy()
-    for j in range(1, w):
-        acc = mix(acc) * _P + h[j: n + j]
+    acc = _rolled(h, np.arange(n), w)
     literal = np.concatenate([[0], np.cumsum(kinds == _LIT)])
-    return acc, np.flatnonzero(2 * (literal[w:] - literal[:-w])[:n] >= w)
+    heavy = 2 * (literal[w:] - literal[:-w])[:n] < w
+    at = np.flatnonzero(heavy)
+    acc[at] = mix(_rolled(exact, at, w) + _P)
+    return acc, heavy
 
 
-def _slots(table: _Words, rows: np.ndarray, kinds: np.ndarray, at: int, w: int) -> list[str]:
-    return [table.cores[rows[i]] for i in range(at, at + w) if kinds[i] != _LIT]
+def _slots(table: _Words, kinds: np.ndarray, first: np.ndarray, rows: np.ndarray, at: int, w: int) -> list[str]:
+    last = np.append(first[1:], len(rows))
+    return [" ".join(table.cores[x] for x in rows[first[i]:last[i]]) for i in range(at, at + w) if kinds[i] != _LIT]
 
 
-_OUT = "id long, pos int, n int, w int, hash long, slots array<string>"
+_OUT = "id long, pos int, n int, w int, hash long, heavy boolean, slots array<string>"
 
 
 def _windows(lengths: list[int], only: np.ndarray | None, short: bool):
@@ -120,28 +143,26 @@ def _windows(lengths: list[int], only: np.ndarray | None, short: bool):
             for id_, text in zip(batch["id"], batch["text"]):
                 if not text:
                     continue
-                rows, h, kinds = table.of(text)
-                n = len(h)
-                sizes = ([WINDOW] if n >= WINDOW else [n] * (n > 0)) if short else [w for w in lengths if w <= n]
-                for w in sizes:
-                    acc, at = _window_hashes(h, kinds, w)
-                    if only is not None and len(at):
-                        at = at[bloom[(acc[at] & np.uint64((1 << 20) - 1)).astype(np.int64)]]
-                        if len(at):
-                            x = acc[at]
-                            i = np.minimum(np.searchsorted(only, x), len(only) - 1)
-                            at = at[only[i] == x]
-                    for p in at:
-                        out.append((id_, p, n, w, acc[p].view(np.int64), _slots(table, rows, kinds, p, w)))
                 # an item's first word may stand inside a sentence of the document, where its capital reads as a name
-                if short and n and kinds[0] == _LIT and table.capital(rows[0]):
-                    kinds[0] = _CAP
-                    h[:1] = kinds[:1].astype(np.uint64) * _P
+                for inside in ((False, True) if short else (False,)):
+                    h, exact, kinds, first, rows = table.of(text, inside)
+                    n = len(h)
+                    sizes = ([WINDOW] if n >= WINDOW else [n] * (n > 0)) if short else [w for w in lengths if w <= n]
+                    if inside and n and kinds[0] != _CAP:
+                        continue
                     for w in sizes:
-                        acc, at = _window_hashes(h[:w], kinds[:w], w)
+                        acc, heavy = _window_hashes(h, exact, kinds, w)
+                        at = np.arange(len(acc))
+                        if only is not None:
+                            at = at[bloom[(acc & np.uint64((1 << 20) - 1)).astype(np.int64)]]
+                            if len(at):
+                                x = acc[at]
+                                i = np.minimum(np.searchsorted(only, x), len(only) - 1)
+                                at = at[only[i] == x]
                         for p in at:
-                            out.append((id_, p, n, w, acc[p].view(np.int64), _slots(table, rows, kinds, p, w)))
-            yield pd.DataFrame(out, columns=["id", "pos", "n", "w", "hash", "slots"])
+                            if not inside or p == 0:
+                                out.append((id_, p, n, w, acc[p].view(np.int64), heavy[p], _slots(table, kinds, first, rows, p, w)))
+            yield pd.DataFrame(out, columns=["id", "pos", "n", "w", "hash", "heavy", "slots"])
     return run
 
 
@@ -162,12 +183,18 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     if only is not None and not len(only):
         named = named.limit(0)
     found = stored(named.mapInPandas(_windows(lengths, only, False), _OUT).distinct(), "document_windows")
-    total = items.groupBy(F.col("id").alias("item_id")).agg(F.countDistinct("pos").alias("item_windows"))
+    total = items.groupBy(F.col("id").alias("item_id")).agg(
+        F.countDistinct("pos").alias("item_windows"), F.countDistinct(F.when(~F.col("heavy"), F.col("pos"))).alias("item_plain"))
     hits = (found.select(F.col("id").alias("doc_id"), F.col("pos").alias("at"), "w", "hash", F.col("slots").alias("there"))
-            .join(items.select(F.col("id").alias("item_id"), "pos", "w", "hash", "slots"), ["hash", "w"])
+            .join(items.select(F.col("id").alias("item_id"), "pos", "w", "hash", "heavy", "slots"), ["hash", "w"])
             .withColumn("shift", F.col("at") - F.col("pos")))
+    # each alignment by itself, and in two rows of ranges, so any that span NEAR words meet in a range
+    ranges = [F.struct(F.lit(i).alias("row"), F.floor((F.col("shift") + F.lit(i * NEAR)) / (2 * NEAR)).alias("at")) for i in range(2)]
+    alone = F.struct(F.lit(2).alias("row"), F.col("shift").cast("long").alias("at"))
+    hits = hits.withColumn("shift", F.explode(F.array(alone, *ranges)))
     by = ["doc_id", "item_id", "shift"]
-    seen = hits.groupBy(by).agg(F.countDistinct("pos").alias("windows"))
+    seen = hits.groupBy(by).agg(F.countDistinct("pos").alias("windows"),
+                                F.countDistinct(F.when(~F.col("heavy"), F.col("pos"))).alias("plain"))
     pairs = (hits.select(*by, "at", F.posexplode(F.arrays_zip("slots", "there")).alias("i", "v"))
              .groupBy(*by, F.col("v.slots").alias("old"), F.col("v.there").alias("new")).agg(F.count(F.lit(1)).alias("n")))
     slots = (pairs.groupBy(*by, "old").agg(F.max("n").alias("most"), F.sum("n").alias("all"),
@@ -178,7 +205,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
              .withColumn("slots", F.coalesce("slots", F.lit(0)))
              .withColumn("consistency", F.coalesce("consistency", F.lit(1.0)))
              .withColumn("verbatim", F.coalesce("verbatim", F.lit(True)))
-             .where(((F.col("windows") >= COVER * F.col("item_windows")) | (F.col("windows") >= RUN))
+             .where(((F.col("windows") >= COVER * F.col("item_windows")) | (F.col("windows") >= RUN)
+                     | ((F.col("plain") > 0) & (F.col("plain") >= COVER * F.col("item_plain"))))
                     & (F.col("consistency") >= CONSISTENT)))
     best = F.max(F.struct("windows", "consistency", "verbatim", "item_windows", "slots")).alias("b")
     return found.groupBy("doc_id", "item_id").agg(best).select(

@@ -101,6 +101,28 @@ def test_licenses(docs, none):
     assert license_scan.scan(none).count() == 0
 
 
+def test_items_of_placeholders_and_longer_names_leak(spark):
+    ask = ("On Monday {0} gave nine apples to the teacher and then {0} took four pears from the basket while {1} was "
+           "watching the birds near the river and at last {0} asked how many of the fruits {1} had left over")
+    items = [(1, "What is 12 + 15 * 3 - 4?"), (2, "They said 12 14 17 19 23 29 31 37 41 43"), (3, ask.format("Mary", "Tom"))]
+    rows = [(1, "So. What is 12 + 15 * 3 - 4? Well."), (2, "So. What is 13 + 15 * 3 - 4? Well."),
+            (3, "Figures: they had 12 14 17 19 23 29 31 37 41 43 in all."), (4, ask.format("John Smith", "Anna Lee Jones")),
+            (5, "On Monday Mary gave nothing at all to John Smith and nobody asked"),
+            (6, "The sum 12 + 15 * 3 is known")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    table = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"], r["verbatim"]) for r in decontam.leaks(docs, table).collect()}
+    assert got == {(1, 1, True), (3, 2, True), (4, 3, False)}
+
+
+def test_matches_add_up_over_neighbouring_shifts(spark):
+    words = [f"word{i}" for i in range(48)]
+    moved = [*words[:16], "very", *words[16:32], "very", *words[32:]]             # 9 windows stay whole in each part
+    docs = spark.createDataFrame([(1, " ".join(moved)), (2, " ".join(words[:16]))], "doc_id long, text string")
+    items = spark.createDataFrame([(1, " ".join(words))], "item_id long, text string")
+    assert [(r["doc_id"], r["windows"], r["item_windows"]) for r in decontam.leaks(docs, items).collect()] == [(1, 27, 41)]
+
+
 def test_every_license_is_found_by_its_wording(spark):
     filler = " ".join(f"w{i}" for i in range(40))
     rows = [(name, f"{filler}. {text}. {filler}") for name, text in license_scan.LICENSES.items()]
