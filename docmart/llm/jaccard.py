@@ -18,6 +18,9 @@ all other pairs of a bucket are met, but only across components of the first
 pass, so a group of near copies is never written out as pairs and no link
 between different components is lost.
 
+``jaccard_links`` is the join itself: every link between representatives, with no
+filter by component.  ``jaccard_groups`` takes the two passes as a short cut.
+
 Null or empty texts have the empty set and are linked with nothing.  Rows that
 share a doc_id are one document for the links.  Rows with a null doc_id have a
 set size but no component.
@@ -163,14 +166,18 @@ def _verified(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFr
             .select("a", "b").distinct())
 
 
-def _links(reps: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """Links (a, b) between classes that connect the same classes as all links do."""
+def _prefix_rows(reps: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
+    """(token, doc_id, n_shingles, b0..b3): the prefixes under the first order, of tokens that several hold."""
     bits = reps.select("doc_id", "n_shingles", "b0", "b1", "b2", "b3")
     heads = _heads(reps, docs, k, percent)
     shared = (heads.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy("token")))
               .where("_n > 1").drop("_n"))
-    rows = stored(shared.join(bits, "doc_id"), "prefixes")
+    return stored(shared.join(bits, "doc_id"), "prefixes")
 
+
+def _links(reps: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
+    """Links (a, b) between classes that connect the same classes as all links do."""
+    rows = _prefix_rows(reps, docs, k, percent)
     picks = [F.min_by(F.struct("doc_id", "n_shingles", "b0", "b1", "b2", "b3"),
                       F.xxhash64("doc_id", "token", F.lit(i))).alias(f"p{i}") for i in range(PIVOTS)]
     pivots = (rows.groupBy("token").agg(*picks)
@@ -195,15 +202,35 @@ def _links(reps: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
     return first.union(_verified(rest, docs, k, percent))
 
 
-def jaccard_groups(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
-    """(doc_id, n_shingles, component_id) for every row of ``docs``."""
-    docs = docs.select(F.col("doc_id").cast("long"), "text")
+def _classes(docs: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Sketches of all rows, the representatives of equal sets, and (doc_id, rep) of the named documents."""
     sketches = stored(docs.mapInPandas(_sketcher(k, percent), _SKETCH), "sketches")
     named = sketches.where("doc_id is not null and n_shingles > 0")
     whole = F.struct("doc_id", "n_shingles", "pa", "b0", "b1", "b2", "b3")
     reps = stored(named.groupBy("sig").agg(F.min_by(whole, "doc_id").alias("r")).select("sig", "r.*"), "reps")
     member = stored(named.select("doc_id", "sig").join(reps.select("sig", F.col("doc_id").alias("rep")), "sig")
                     .select("doc_id", "rep").distinct(), "members")
+    return sketches, reps, member
+
+
+def jaccard_links(docs: DataFrame, k: int = 5, percent: int = 80) -> tuple[DataFrame, DataFrame]:
+    """The join: (a, b) with a < b of every two representatives whose sets link, and (doc_id, rep) of all documents.
+
+    Two documents link if they have the same representative or theirs are a pair.
+    """
+    docs = docs.select(F.col("doc_id").cast("long"), "text")
+    _, reps, member = _classes(docs, k, percent)
+    rows = _prefix_rows(reps, docs, k, percent)
+    x, y = rows.alias("x"), rows.alias("y")
+    pairs = (x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.doc_id") < F.col("y.doc_id")) & _may_link(percent))
+             .select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b")).distinct())
+    return _verified(pairs, docs, k, percent), member
+
+
+def jaccard_groups(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
+    """(doc_id, n_shingles, component_id) for every row of ``docs``."""
+    docs = docs.select(F.col("doc_id").cast("long"), "text")
+    sketches, reps, member = _classes(docs, k, percent)
     # an id with several texts joins their classes
     twice = (member.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b"))
              .where("a <> b").select("doc_id"))

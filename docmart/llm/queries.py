@@ -9,7 +9,7 @@ from . import gru_lm
 from .common import read
 from .decontam import leaks
 from .fingerprints import edited_fingerprints
-from .jaccard import jaccard_groups
+from .jaccard import jaccard_groups, jaccard_links
 from .license_scan import scan as license_scan
 from .mixing import mix
 from .oracle import ORACLE_SQL  # noqa: F401
@@ -47,6 +47,10 @@ def op7_jaccard_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_groups(read(spark, sf_dir, "documents"), k=3, percent=90)
 
 
+def op7_jaccard_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_links(read(spark, sf_dir, "documents"), k=3, percent=90)[0]
+
+
 def op8_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(read(spark, sf_dir, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken", "copies")
@@ -61,5 +65,6 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_fingerprints, op2_decontamination, op3_quality, op4_secrets, op5_gru_scores, op6_url_rules, op7_jaccard_groups, op8_mix,
+    op1_fingerprints, op2_decontamination, op3_quality, op4_secrets, op5_gru_scores, op6_url_rules, op7_jaccard_groups,
+    op7_jaccard_links, op8_mix,
     op9_license_scan, op10_toxicity)}

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from docmart.llm import decontam, fingerprints, jaccard, license_scan, mixing, quality, secrets, toxicity, url_rules
-from tests.llm.brute import components, words
+from tests.llm.brute import components, shingles, words
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, score double, label int"
 BASE = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi rho sigma tau upsilon"
@@ -52,6 +52,20 @@ def test_jaccard_links_among_texts_that_share_a_passage(spark, k, percent):
     assert got[239][1] == 200 and got[103][1] == 3 and got[1][1] == 1
 
 
+def test_jaccard_links_are_all_found(spark):
+    base = [f"t{i}" for i in range(60)]
+    rows = [(i, " ".join([*base, f"end{i}"])) for i in range(12)]                 # all link with all
+    rows += [(20, rows[3][1]), (21, rows[3][1] + " x y z"), (30, "nothing alike here at all"), (31, ""), (32, None)]
+    sets = [(i, shingles(t, 3)) for i, t in rows]
+    want = {(i, j) for i, x in sets for j, y in sets if i < j and x and y and 100 * len(x & y) >= 90 * len(x | y)}
+    links, member = jaccard.jaccard_links(spark.createDataFrame(rows, "doc_id long, text string"), 3, 90)
+    rep = {r["doc_id"]: r["rep"] for r in member.collect()}
+    pairs = {(r["a"], r["b"]) for r in links.collect()}
+    assert {(i, j) for i in rep for j in rep if i < j and (
+        rep[i] == rep[j] or tuple(sorted((rep[i], rep[j]))) in pairs)} == want
+    assert len(pairs) > 66
+
+
 def test_fingerprints_of_edited_texts(docs, none):
     rows = fingerprints.edited_fingerprints(docs).collect()
     assert len(rows) == len(texts())
