@@ -102,3 +102,72 @@ SELECT doc_id, size, source_size, target,
   CAST(size * (whole + CASE WHEN part > 0 AND size > 0 AND so_far + size / 2 <= missing THEN 1 ELSE 0 END) AS BIGINT) AS taken,
   CAST(whole + CASE WHEN part > 0 AND size > 0 AND so_far + size / 2 <= missing THEN 1 ELSE 0 END AS INTEGER) AS copies
 FROM ordered"""
+
+# ---- op11: every failure pattern under every order, step by step ------------------
+ORACLE_SQL["op11_filter_audit"] = rf"""
+WITH worded AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+    regexp_extract_all(coalesce(text, ''), '{_WORD}') AS w
+  FROM documents),
+failing AS (
+  SELECT doc_id, part,
+    CASE WHEN len(w) < 200 THEN 'A' ELSE '' END
+    || CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 'B' ELSE '' END
+    || CASE WHEN 100 * len(regexp_replace(t, '[^A-Z]', '', 'g')) > 2 * len(t) THEN 'C' ELSE '' END
+    || CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END
+    || CASE WHEN coalesce(min(doc_id) OVER (PARTITION BY t) < doc_id, false) THEN 'E' ELSE '' END AS fails
+  FROM worded),
+known AS (
+  SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS bad
+  FROM labels GROUP BY doc_id),
+patterns AS (
+  SELECT part, fails, coalesce(good, 0) AS good, coalesce(bad, 0) AS bad, count(*) AS n
+  FROM failing LEFT JOIN known USING (doc_id) GROUP BY 1, 2, 3, 4),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS l),
+orders AS (
+  SELECT a.l || b.l || c.l || d.l || e.l AS filter_order
+  FROM letters a, letters b, letters c, letters d, letters e
+  WHERE len(list_distinct([a.l, b.l, c.l, d.l, e.l])) = 5),
+steps AS (
+  SELECT p.*, filter_order, step, filter_order[step] AS l,
+    least(CASE WHEN contains(fails, 'A') THEN strpos(filter_order, 'A') END,
+          CASE WHEN contains(fails, 'B') THEN strpos(filter_order, 'B') END,
+          CASE WHEN contains(fails, 'C') THEN strpos(filter_order, 'C') END,
+          CASE WHEN contains(fails, 'D') THEN strpos(filter_order, 'D') END,
+          CASE WHEN contains(fails, 'E') THEN strpos(filter_order, 'E') END) AS gone
+  FROM patterns p, orders, (SELECT unnest([1, 2, 3, 4, 5]) AS step)),
+counted AS (
+  SELECT part, filter_order, step, l,
+    coalesce(sum(n) FILTER (gone IS NULL OR gone > step), 0) AS kept,
+    coalesce(sum(n) FILTER (gone = step), 0) AS removed,
+    coalesce(sum(n) FILTER (contains(fails, l) AND gone < step), 0) AS redundant,
+    coalesce(sum(n) FILTER (fails = l), 0) AS unique_fails,
+    coalesce(sum(n) FILTER (gone = step AND good = 1), 0) AS good_lost,
+    coalesce(sum(n) FILTER (gone = step AND bad = 1), 0) AS toxic_lost
+  FROM steps GROUP BY part, filter_order, step, l)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+  CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+  CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+  CAST(sum(removed) OVER (PARTITION BY part, l) AS BIGINT) AS shapley
+FROM counted"""
+
+# ---- op12: all pairs of one label, reachability by recursion -----------------------
+ORACLE_SQL["op12_embedding_dedup"] = """
+WITH RECURSIVE numbered AS (SELECT *, row_number() OVER () AS r FROM embeddings),
+usable AS MATERIALIZED (
+  SELECT r, vec_id, label, CAST(embedding AS DOUBLE[]) AS v
+  FROM numbered
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS MATERIALIZED (
+  SELECT x.r, x.vec_id AS a, y.vec_id AS b
+  FROM usable x JOIN usable y ON x.label = y.label AND len(x.v) = len(y.v) AND x.r <> y.r
+  WHERE list_cosine_similarity(x.v, y.v) >= 0.93),
+reach AS (
+  SELECT vec_id, vec_id AS other FROM embeddings
+  UNION
+  SELECT c.vec_id, l.b FROM reach c JOIN links l ON l.a = c.other)
+SELECT n.vec_id, CAST((SELECT count(*) FROM links l WHERE l.r = n.r) AS BIGINT) AS n_links, c.component_id,
+  coalesce(n.vec_id = c.component_id, false) AS kept
+FROM numbered n LEFT JOIN (SELECT vec_id, min(other) AS component_id FROM reach GROUP BY vec_id) c ON c.vec_id = n.vec_id"""

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from . import gru_lm
 from .common import read
 from .decontam import leaks
+from .embedding_dedup import near_duplicates
+from .filter_audit import audit
 from .fingerprints import edited_fingerprints
 from .jaccard import jaccard_groups, jaccard_links
 from .license_scan import scan as license_scan
@@ -15,6 +17,7 @@ from .mixing import mix
 from .oracle import ORACLE_SQL  # noqa: F401
 from .quality import quality
 from .secrets import scan
+from .spelling import variants
 from .toxicity import toxicity
 from .url_rules import judge
 
@@ -64,7 +67,19 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op12_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(read(spark, sf_dir, "embeddings"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_fingerprints, op2_decontamination, op3_quality, op4_secrets, op5_gru_scores, op6_url_rules, op7_jaccard_groups,
     op7_jaccard_links, op8_mix,
-    op9_license_scan, op10_toxicity)}
+    op9_license_scan, op10_toxicity, op11_filter_audit, op12_embedding_dedup, op13_spelling_variants)}
