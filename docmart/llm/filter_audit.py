@@ -10,8 +10,8 @@ and toxic ones, into the (order, step) cells; a filter's failures with an
 earlier step are its redundant ones.
 
 The product has 32 rows whatever the corpus; Spark does the rest: one scan
-that reads each whole text once, texts named by their sha256, two small
-shuffles (by document for the labels, by text for repeats), and a table of at
+that reads each whole text once, texts named by their sha256, small shuffles
+(by document for the labels, by text for repeats), and a table of at
 most 128 counts a part, which tasks expand to 600 rows a part.
 
 A null text is empty; a null source is the part "".  A null doc_id has no
@@ -28,10 +28,10 @@ from itertools import permutations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import _AZ, stored, words
+from .common import _AZ, words
 
 FILTERS = "ABCDE"
 REPEAT = 1 << FILTERS.index("E")
@@ -63,14 +63,15 @@ def failure_patterns(docs: DataFrame, labels: DataFrame) -> DataFrame:
     rows = seen.join(known, "doc_id", "left").fillna(False, ["good", "toxic"]) \
         .groupBy("doc_id", *kind).agg(F.count(F.lit(1)).alias("n"))
     # a text held by a third of all rows leaves each map task as one row a kind
-    texts = stored(rows.groupBy(*kind).agg(
+    texts = rows.groupBy(*kind).agg(
         F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "n"))).alias("first"), F.sum("n").alias("n"),
-        F.sum(F.when(F.col("doc_id").isNull(), F.col("n")).otherwise(0)).alias("unnamed")), "audit_texts")
-    first = texts.groupBy("same").agg(F.min("first.doc_id").alias("smallest"))
+        F.sum(F.when(F.col("doc_id").isNull(), F.col("n")).otherwise(0)).alias("unnamed"))
+    # a text has at most four rows a part here, whatever the number of its copies
+    texts = texts.withColumn("smallest", F.min("first.doc_id").over(Window.partitionBy("same")))
     own = F.col("unnamed") + F.when(F.col("first.doc_id") == F.col("smallest"), F.col("first.n")).otherwise(0)
     split = F.array(F.struct(F.col("pattern"), own.alias("n")),
                     F.struct(F.col("pattern").bitwiseOR(REPEAT).alias("pattern"), (F.col("n") - own).alias("n")))
-    return (texts.join(first, "same").select("part", "good", "toxic", F.inline(split)).where("n > 0")
+    return (texts.select("part", "good", "toxic", F.inline(split)).where("n > 0")
             .groupBy("part", "pattern", "good", "toxic").agg(F.sum("n").alias("n")))
 
 
