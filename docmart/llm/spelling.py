@@ -107,25 +107,30 @@ def edges_at(walking: DataFrame, k: int) -> DataFrame:
 
 
 def step(states: DataFrame, edges: DataFrame, k: int) -> DataFrame:
-    """The frontier after one more character of the trie: (word, shift, edits, node, leaf, lo, hi)."""
+    """The frontier after one more character of the trie: (word, reversed, node, near, shift, edits), where ``near``
+    has the neighbours if the child is a leaf and is null else; leaves without neighbours end the walk."""
     word, c = F.col("word"), F.col("c")
     here = letter(word, F.lit(k) + F.col("shift"))
     after = letter(word, F.lit(k) + F.col("shift") + 1)
-    leaf = F.col("size") <= 2
     clean = F.col("edits") == 0
-    goes_on = lambda needed: leaf | (F.col("next").bitwiseAND(bit(needed)) != 0)
+    goes_on = lambda needed: F.col("next").bitwiseAND(bit(needed)) != 0
     same = c == here
     replaced = clean & (c != here) & (c != END) & (here != END) & goes_on(after)
     added = clean & (c != here) & (c != END) & goes_on(here)
-    dropped = clean & (c != here) & (here != END) & (c == after) & goes_on(letter(word, F.lit(k + 2)))
+    dropped = clean & (c != here) & (here != END) & (c == after) & ((c == END) | goes_on(letter(word, F.lit(k + 2))))
     move = lambda when, shift, edits: F.when(when, F.struct(
         (F.col("shift") + shift).cast("int").alias("shift"), F.lit(edits).alias("edits")))
     edited = F.array(move(replaced, 0, 1), move(added, -1, 1), move(dropped, 1, 1))
     moves = F.when(same, F.array(F.struct(F.col("shift"), F.col("edits")))).otherwise(edited)
-    joined = states.join(edges, (states["node"] == edges["node"]) & (same | replaced | added | dropped))
-    return (joined.select("word", states["reversed"], F.col("child").alias("node"), leaf.alias("leaf"), "lo", "hi",
-                          F.explode(F.filter(moves, lambda m: m.isNotNull())).alias("move"))
-            .select("word", "reversed", "node", "leaf", "lo", "hi", "move.*"))
+    leaf = F.col("size") <= 2
+    goal = ~leaf | one_edit(F.col("lo"), word) | one_edit(F.col("hi"), word)
+    joined = states.join(edges, (states["node"] == edges["node"]) & (same | replaced | added | dropped) & goal)
+    ends = F.filter(F.array_distinct(F.array("lo", "hi")), lambda w: one_edit(w, word))
+    # what a leaf's walk was does not matter, one row will do
+    left = F.when(leaf, F.array(F.struct(F.col("shift"), F.col("edits")))).otherwise(F.filter(moves, lambda m: m.isNotNull()))
+    return (joined.select("word", states["reversed"], F.col("child").alias("node"), F.when(leaf, ends).alias("near"),
+                          F.explode(left).alias("move"))
+            .select("word", "reversed", "node", "near", "move.*"))
 
 
 def chain_below(inner: DataFrame, k: int) -> int | None:
@@ -148,11 +153,6 @@ def along(states: DataFrame, inner: DataFrame, k: int, to: int) -> DataFrame:
             .select("word", "reversed", "shift", "edits", node_at(F.col("lo"), F.lit(to)).alias("node")))
 
 
-def leaf_words() -> Column:
-    """The words of a leaf that are one edit from ``word``."""
-    return F.filter(F.array_distinct(F.array("lo", "hi")), lambda w: one_edit(w, F.col("word")))
-
-
 def _plain(c: Column) -> Column:
     """The word as it is read: without END, turned back."""
     return F.when(F.col("reversed"), F.reverse(F.rtrim(c))).otherwise(F.rtrim(c))
@@ -173,7 +173,7 @@ def neighbours(words: DataFrame) -> DataFrame:
         while True:
             edges = stored(edges_at(walking, k), "edges")
             moved = stored(step(states, edges.drop("reversed"), k), "frontier")
-            pairs = moved.where("leaf").select("word", "reversed", F.explode(leaf_words()).alias("near"))
+            pairs = moved.where("near is not null").select("word", "reversed", F.explode("near").alias("near"))
             twins = edges.where("size = 2").withColumnRenamed("lo", "word").where(one_edit(F.col("word"), F.col("hi")))
             pairs = pairs.union(twins.select("word", "reversed", F.col("hi").alias("near"))) \
                 .union(twins.select(F.col("hi"), "reversed", "word"))
@@ -183,7 +183,7 @@ def neighbours(words: DataFrame) -> DataFrame:
             ahead = chain_below(inner, k + 1)
             if ahead is None:
                 break
-            states = moved.where("not leaf").select("word", "reversed", "shift", "edits", "node")
+            states = moved.where("near is null").select("word", "reversed", "shift", "edits", "node")
             k, at = k + 1 + ahead, k + 1
             if ahead:
                 states = along(states, inner, at, k)
