@@ -14,8 +14,8 @@ child of at most two words is a leaf and keeps both.  The frontier holds
 It joins the edges on the node; each character either matches, or, as long as
 there was no edit, replaces, is added to or stands behind a dropped character.
 An added or dropped character counts as the last of a run of equal ones, so no
-state is reached twice.  A state moves to an inner child only if a word below
-goes on with the character that it needs; at a leaf it is compared with the
+state is reached twice.  A state that has erred moves to a child only if words
+below go on with the next character and the next pair that it needs; at a leaf it is compared with the
 leaf's words, and those exactly one edit away are its neighbours.  Words of one
 leaf are compared with each other, as their walks would start below it.
 
@@ -87,6 +87,11 @@ def bit(c: Column) -> Column:
     return F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.ascii(c), F.lit(61)))
 
 
+def pair_bit(pair: Column) -> Column:
+    """One of 64 bits for two characters (one if the word ends with it)."""
+    return F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.xxhash64(pair), F.lit(64)).cast("int"))
+
+
 def node_at(word: Column, depth: Column) -> Column:
     return F.xxhash64("reversed", F.substring(word, F.lit(1), depth))
 
@@ -96,32 +101,38 @@ def one_edit(a: Column, b: Column) -> Column:
 
 
 def edges_at(walking: DataFrame, k: int) -> DataFrame:
-    """(node, c, child, size, lo, hi, next): the trie between the levels k and k + 1; ``lo`` and ``hi`` are all
-    words below if ``size`` is at most 2, ``next`` has the bits of the characters that follow."""
+    """(node, c, child, size, lo, hi, next, next_pair): the trie between the levels k and k + 1; ``lo`` and ``hi`` are
+    all words below if ``size`` is at most 2, ``next`` and ``next_pair`` have the bits of what follows."""
     word = F.col("word")
     return (walking.withColumn("child", node_at(word, F.lit(k + 1)))
             .withColumn("follows", F.when(F.char_length(word) > k + 1, bit(letter(word, F.lit(k + 1)))).otherwise(0))
+            .withColumn("pair", pair_bit(F.substring(word, k + 2, 2)))
             .groupBy("child", "node", "reversed", letter(word, F.lit(k)).alias("c")).agg(
                 F.count(F.lit(1)).alias("size"),
-                F.min("word").alias("lo"), F.max("word").alias("hi"), F.bit_or("follows").alias("next")))
+                F.min("word").alias("lo"), F.max("word").alias("hi"), F.bit_or("follows").alias("next"),
+                F.bit_or("pair").alias("next_pair")))
 
 
 def step(states: DataFrame, edges: DataFrame, k: int) -> DataFrame:
     """The frontier after one more character of the trie: (word, reversed, node, near, shift, edits), where ``near``
     has the neighbours if the child is a leaf and is null else; leaves without neighbours end the walk."""
-    word, c = F.col("word"), F.col("c")
-    here = letter(word, F.lit(k) + F.col("shift"))
-    after = letter(word, F.lit(k) + F.col("shift") + 1)
+    word, c, at = F.col("word"), F.col("c"), F.lit(k) + F.col("shift")
+    here, after = letter(word, at), letter(word, at + 1)
     clean = F.col("edits") == 0
-    goes_on = lambda needed: F.col("next").bitwiseAND(bit(needed)) != 0
-    same = c == here
-    replaced = clean & (c != here) & (c != END) & (here != END) & goes_on(after)
-    added = clean & (c != here) & (c != END) & goes_on(here)
-    dropped = clean & (c != here) & (here != END) & (c == after) & ((c == END) | goes_on(letter(word, F.lit(k + 2))))
+
+    def goes_on(place):     # some word below the child goes on with what ``word`` has from this place
+        return (F.col("next").bitwiseAND(bit(letter(word, place))) != 0) & (
+            F.col("next_pair").bitwiseAND(pair_bit(F.substring(word, place + 1, F.lit(2)))) != 0)
+
+    same = (c == here) & (clean | (c == END) | goes_on(at + 1))
+    other = clean & (c != here)
+    replaced = other & (c != END) & (here != END) & goes_on(at + 1)
+    added = other & (c != END) & goes_on(at)
+    dropped = other & (here != END) & (c == after) & ((c == END) | goes_on(at + 2))
     move = lambda when, shift, edits: F.when(when, F.struct(
         (F.col("shift") + shift).cast("int").alias("shift"), F.lit(edits).alias("edits")))
     edited = F.array(move(replaced, 0, 1), move(added, -1, 1), move(dropped, 1, 1))
-    moves = F.when(same, F.array(F.struct(F.col("shift"), F.col("edits")))).otherwise(edited)
+    moves = F.when(c == here, F.array(F.struct(F.col("shift"), F.col("edits")))).otherwise(edited)
     leaf = F.col("size") <= 2
     goal = ~leaf | one_edit(F.col("lo"), word) | one_edit(F.col("hi"), word)
     joined = states.join(edges, (states["node"] == edges["node"]) & (same | replaced | added | dropped) & goal)
