@@ -4,15 +4,17 @@ Chain: tokenize -> lowercase -> English stop -> English stem -> English
 possessive -> Russian stop -> Russian stem.  Everything is a built-in
 expression inside whole-stage codegen: the tokenizer is a Unicode regex
 (an approximation of the standard word-break tokenizer), stop lists are
-``isin`` sets, the possessive rule is a regex.  The stemmer algorithms are
-not built; a stem table ``(term, stem)`` can be supplied and is joined to the
-*distinct vocabulary*, never to the token stream.  Positions are those of the
+``isin`` sets, the possessive rule is a regex.  A stemmer is a column function
+(``stemming.english_stem``, ``stemming.russian_stem``) or a table ``(term, stem)``;
+either is applied to the *distinct vocabulary*, never to the token stream.  Positions are those of the
 token stream before stop removal (removed words leave gaps).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
@@ -45,19 +47,24 @@ def russian_stop_words() -> list[str]:
     return list(RUSSIAN_STOP)
 
 
-def _apply_stems(tokens: DataFrame, stems: DataFrame | None, col: str = "token") -> DataFrame:
+Stems = DataFrame | Callable[[Column], Column] | None
+
+
+def _apply_stems(tokens: DataFrame, stems: Stems, col: str = "token") -> DataFrame:
     if stems is None:
         return tokens
     vocab = tokens.select(col).distinct()
-    mapped = (vocab.join(stems.select(F.col("term").alias(col), F.col("stem")), col, "left")
-                   .select(col, F.coalesce("stem", col).alias("_stemmed")))
+    if callable(stems):
+        vocab = vocab.withColumn("stem", stems(F.col(col)))
+    else:
+        vocab = vocab.join(stems.select(F.col("term").alias(col), F.col("stem")), col, "left")
+    mapped = vocab.select(col, F.coalesce("stem", col).alias("_stemmed"))
     return tokens.join(mapped, col).drop(col).withColumnRenamed("_stemmed", col)
 
 
 def analysed_tokens(docs: DataFrame, id_col: str | list[str] = "doc_id", text_col: str = "text",
                     english_stop=ENGLISH_STOP, russian_stop=None,
-                    english_stems: DataFrame | None = None,
-                    russian_stems: DataFrame | None = None) -> DataFrame:
+                    english_stems: Stems = None, russian_stems: Stems = None) -> DataFrame:
     """(id..., pos, token) for every analysed token of every document."""
     rus = list(russian_stop) if russian_stop is not None else russian_stop_words()
     ids = [id_col] if isinstance(id_col, str) else list(id_col)

@@ -519,3 +519,113 @@ roles AS (
 SELECT d.id, d.part, CASE WHEN d.part = 0 THEN r.name END AS name, CASE WHEN d.part = 0 THEN r.role END AS role,
   d.film_ids
 FROM parted d JOIN roles r ON r.id = d.id"""
+
+
+# ---- one micro-batch of changes ----------------------------------------------------
+def _ids(values) -> str:
+    return ", ".join(map(str, values))
+
+
+BATCH_CTES = [f"""batch_films AS (
+  SELECT id FROM film_work WHERE modified >= TIMESTAMP '{P.BATCH_DAY}' AND modified < TIMESTAMP '{P.BATCH_NEXT_DAY}'
+  UNION SELECT film_work_id FROM person_film_work WHERE person_id IN ({_ids(P.BATCH_PERSONS)})
+  UNION SELECT film_work_id FROM genre_film_work WHERE genre_id IN ({_ids(P.BATCH_GENRES)}))"""]
+ORACLE_SQL["batch_film_documents"] = _with(
+    *BATCH_CTES, *film_docs_ctes("AND {fw} IN (SELECT id FROM batch_films)")) + \
+    "SELECT * FROM film_docs WHERE id IN (SELECT id FROM batch_films)"
+ORACLE_SQL["batch_person_documents"] = f"SELECT * FROM ({ORACLE_SQL['person_documents']}) WHERE id IN ({_ids(P.BATCH_PERSONS)})"
+ORACLE_SQL["batch_genre_documents"] = f"SELECT * FROM ({ORACLE_SQL['genre_documents']}) WHERE id IN ({_ids(P.BATCH_GENRES)})"
+
+# ---- element-level postings: names taken apart in every entry -----------------------
+_ENTRY_TERMS = f"""
+entry_terms AS (
+  SELECT film_id, "group", ref_id AS element, regexp_extract_all(lower(name), '[\\p{{L}}\\p{{N}}]+') AS terms
+  FROM ({ORACLE_SQL['film_entries']}))"""
+ORACLE_SQL["element_postings"] = f"""
+WITH {_ENTRY_TERMS}
+SELECT unnest(terms) AS term, film_id, "group", element, CAST(unnest(range(len(terms))) AS INTEGER) AS pos FROM entry_terms"""
+ORACLE_SQL["nested_name_and_id"] = f"""
+WITH {_ENTRY_TERMS}
+SELECT DISTINCT film_id, element FROM entry_terms
+WHERE "group" = '{P.NESTED_GROUP}' AND element = {P.NESTED_ID} AND list_contains(terms, '{P.NESTED_TEXT}')"""
+_NAMES_TERMS = ", ".join(f"'{t}'" for t in P.NAMES_TEXT.lower().split())
+ORACLE_SQL["nested_name_terms"] = f"""
+WITH {_ENTRY_TERMS}
+SELECT DISTINCT film_id, element FROM entry_terms
+WHERE "group" = '{P.NAMES_GROUP}' AND list_has_all(terms, [{_NAMES_TERMS}])"""
+ORACLE_SQL["flat_name_terms"] = f"""
+WITH {_ENTRY_TERMS}
+SELECT film_id, bool_or(list_has_all(terms, [{_NAMES_TERMS}])) AS nested
+FROM entry_terms WHERE "group" = '{P.NAMES_GROUP}'
+GROUP BY film_id HAVING list_has_all(flatten(list(terms)), [{_NAMES_TERMS}])"""
+
+# ---- strictness inside bodies: what the rule that makes the bodies puts in ------------
+ORACLE_SQL["strict_bodies"] = """
+SELECT id, unknown, unknown IS NULL AS valid FROM (
+  SELECT o_orderkey AS id, CASE o_orderkey % 5
+    WHEN 1 THEN CASE WHEN o_orderstatus IS NOT NULL THEN 'status' END
+    WHEN 2 THEN 'maker.since'
+    WHEN 3 THEN CASE WHEN o_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_linenumber = 2 AND l_quantity IS NOT NULL)
+                     THEN 'lines.quantity' END
+    WHEN 4 THEN '<body>' END AS unknown
+  FROM orders)"""
+
+
+# ---- stems: the Porter rules step by step ----------------------------------------------
+def _stem_ctes(source: str) -> list[str]:
+    """CTEs from ``source`` (t) to ``stems`` (t, stem)."""
+    one, two = "'[aeiouy][^aeiouy]'", "'[aeiouy][^aeiouy]+[aeiouy]+[^aeiouy]'"
+    short = "'[^aeiouy][aeiouy][^aeiouywxY]$'"
+
+    def cut(n, w="w"):
+        return f"substr({w}, 1, greatest(length({w}) - {n}, 0))"
+
+    def rules(pairs, measure):
+        cases = []
+        for pair in sorted(pairs.split(), key=lambda x: -len(x.split(">")[0])):
+            old, new = pair.split(">")
+            also = f" AND regexp_matches({cut(3)}, '[st]$')" if old == "ion" else ""
+            cases.append(f"WHEN ends_with(w, '{old}') THEN CASE WHEN regexp_matches({cut(len(old))}, {measure}){also} "
+                         f"THEN {cut(len(old))} || '{new}' ELSE w END")
+        return "CASE " + " ".join(cases) + " ELSE w END"
+
+    second = ("ational>ate tional>tion enci>ence anci>ance izer>ize bli>ble alli>al entli>ent eli>e ousli>ous ization>ize "
+              "ation>ate ator>ate alism>al iveness>ive fulness>ful ousness>ous aliti>al iviti>ive biliti>ble logi>log")
+    third = "icate>ic ative> alize>al iciti>ic ical>ic ful> ness>"
+    fourth = ("al> ance> ence> er> ic> able> ible> ant> ement> ment> ent> ion> ou> ism> ate> iti> ous> ive> ize>")
+    steps = [
+        f"CASE WHEN ends_with(w, 'sses') OR ends_with(w, 'ies') THEN {cut(2)} "
+        f"WHEN ends_with(w, 's') AND NOT ends_with(w, 'ss') THEN {cut(1)} ELSE w END",
+        f"""CASE WHEN ends_with(w, 'eed') THEN CASE WHEN regexp_matches({cut(3)}, {one}) THEN {cut(1)} ELSE w END
+  WHEN ends_with(w, 'ed') AND regexp_matches({cut(2)}, '[aeiouy]') THEN {cut(2)} || '|'
+  WHEN ends_with(w, 'ing') AND regexp_matches({cut(3)}, '[aeiouy]') THEN {cut(3)} || '|' ELSE w END""",
+        f"""CASE WHEN NOT ends_with(w, '|') THEN w
+  WHEN regexp_matches(w, '(at|bl|iz)\\|$') THEN {cut(1)} || 'e'
+  WHEN substr(w, length(w) - 1, 1) = substr(w, length(w) - 2, 1) AND regexp_matches(w, '[^aeiouy]\\|$')
+    THEN CASE WHEN regexp_matches(w, '[lsz]\\|$') THEN {cut(1)} ELSE {cut(2)} END
+  WHEN regexp_matches({cut(1)}, {one}) AND NOT regexp_matches({cut(1)}, {two}) AND regexp_matches({cut(1)}, {short})
+    THEN {cut(1)} || 'e' ELSE {cut(1)} END""",
+        f"CASE WHEN regexp_matches(w, '[aeiouy].*[yY]$') THEN {cut(1)} || 'i' ELSE w END",
+        rules(second, one), rules(third, one), rules(fourth, two),
+        f"CASE WHEN ends_with(w, 'e') AND (regexp_matches({cut(1)}, {two}) OR regexp_matches({cut(1)}, {one}) "
+        f"AND NOT regexp_matches({cut(1)}, {short})) THEN {cut(1)} ELSE w END",
+        f"CASE WHEN ends_with(w, 'll') AND regexp_matches(w, {two}) THEN {cut(1)} ELSE w END",
+    ]
+    out = ["stem0 AS (SELECT t, regexp_replace(regexp_replace(t, '(^|[aeiou])y', '\\1Y', 'g'), 'yy', 'yY', 'g') AS w "
+           f"FROM (SELECT DISTINCT t FROM {source}))"]
+    for i, step in enumerate(steps):
+        out.append(f"stem{i + 1} AS (SELECT t, {step} AS w FROM stem{i})")
+    out.append(f"stems AS (SELECT t, CASE WHEN length(t) <= 2 THEN t ELSE replace(w, 'Y', 'y') END AS stem FROM stem{len(steps)})")
+    return out
+
+
+_RAW = TEXT[0]
+ORACLE_SQL["term_stems"] = "WITH " + ",\n".join([_RAW, "words AS (SELECT token AS t FROM raw_tokens)", *_stem_ctes("words")]) + \
+    "\nSELECT t AS term, stem FROM stems"
+# no text of the test tables is Russian, so the Russian stemmer leaves their terms as they are
+ORACLE_SQL["stemmed_postings"] = "WITH " + ",\n".join([
+    _RAW, f"kept AS (SELECT doc_id, token AS t FROM raw_tokens WHERE token NOT IN ({_sql_list(ENGLISH_STOP)}))",
+    *_stem_ctes("kept"),
+    "final AS (SELECT doc_id, regexp_replace(stem, '[''’]s$', '') AS term FROM kept JOIN stems USING (t))",
+    f"postings AS (SELECT term, doc_id, count(*) AS tf FROM final WHERE term NOT IN ({_sql_list(RUSSIAN_STOP)}) AND term <> '' "
+    "GROUP BY 1, 2)"]) + "\nSELECT term, doc_id, tf, count(*) OVER (PARTITION BY term) AS df FROM postings"

@@ -28,3 +28,11 @@ GENRE_NAME_MAX = 9
 EVENT_KEYS = ("k",)
 DETAIL_ID = 7              # a film of every scale
 BUCKETS = 4                # rows at most per document of the bucketed index
+
+# a micro-batch of changes (source, id): films of one day, one person, two genres
+BATCH_DAY, BATCH_NEXT_DAY = "1998-03-02 00:00:00", "1998-03-03 00:00:00"
+BATCH_PERSONS, BATCH_GENRES = (3,), (7, 70)
+
+# nested and flat name conditions
+NESTED_GROUP, NESTED_TEXT, NESTED_ID = "actors", "supplier", 7
+NAMES_GROUP, NAMES_TEXT = "genres", "Blue bolt"

@@ -9,18 +9,24 @@ nested documents.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.sets import join_refs, join_values
 from ..operators import catalog as K
 from ..operators import changes as C
 from ..operators import documents as D
+from ..operators import element_index as EI
 from ..operators import quality as Q
+from ..operators import stemming as ST
+from ..operators import strict_json as SJ
 from ..operators import text_index as TX
-from ..session import materialize
+from ..session import materialize, subdir
+from ..sources import layouts as LY
 from ..sources import sinks as SK
 from ..sources.tables import load_test_catalog
 from . import params as P
@@ -401,3 +407,130 @@ def catalog_detail_json(spark, sf_dir):
 def bulk_actions_movies(spark, sf_dir):
     """Bulk index actions of the movies index: nested documents as JSON bodies."""
     return SK.bulk_actions(D.film_documents(load_test_catalog(spark, sf_dir)), "movies")
+
+
+# ---- links stored by key ---------------------------------------------------------
+
+
+def _with_layout(spark, sf_dir):
+    """The test catalog with its links stored by key: written on the first use in a session, read afterwards."""
+    cat = load_test_catalog(spark, sf_dir)
+    name = hashlib.md5(sf_dir.encode()).hexdigest()
+    prefix, base = f"links_{name}", subdir(spark, "link_layouts", f"{name}-{spark.sparkContext.applicationId}")
+    layout = LY.LinkLayout(spark, prefix) if LY.layout_exists(spark, prefix) else LY.write_link_layout(cat, base, prefix)
+    return cat.with_(layout=layout)
+
+
+def _batch_changes(cat) -> DataFrame:
+    films = C.changed_ids(cat.film_work, P.BATCH_DAY, P.BATCH_NEXT_DAY).select(F.lit("film_work").alias("source"), "id")
+    people = cat.person.where(F.col("id").isin(*P.BATCH_PERSONS)).select(F.lit("person").alias("source"), "id")
+    genres = cat.genre.where(F.col("id").isin(*P.BATCH_GENRES)).select(F.lit("genre").alias("source"), "id")
+    return films.unionByName(people).unionByName(genres)
+
+
+@query
+def batch_film_documents(spark, sf_dir):
+    """Film documents of one micro-batch of changes, links read by the changed keys."""
+    cat = _with_layout(spark, sf_dir)
+    films = cat.layout.changed_films(_batch_changes(cat))
+    return flat_film_documents(D.film_documents(cat.layout.only_films(cat, films)))
+
+
+@query
+def batch_person_documents(spark, sf_dir):
+    cat = _with_layout(spark, sf_dir)
+    ids = cat.person.where(F.col("id").isin(*P.BATCH_PERSONS)).select("id")
+    docs = D.person_documents(cat.layout.only_dimension(cat, "person_film_work", ids), ids)
+    return docs.select("id", "part", "name", join_values("role").alias("role"), join_values("film_ids").alias("film_ids"))
+
+
+@query
+def batch_genre_documents(spark, sf_dir):
+    cat = _with_layout(spark, sf_dir)
+    ids = cat.genre.where(F.col("id").isin(*P.BATCH_GENRES)).select("id")
+    docs = D.genre_documents(cat.layout.only_dimension(cat, "genre_film_work", ids), ids)
+    return docs.select("id", "part", "name", "description", join_values("film_ids").alias("film_ids"))
+
+
+# ---- element-level postings --------------------------------------------------------
+
+
+def _element_postings(spark, sf_dir):
+    return EI.element_postings(D.film_entries(load_test_catalog(spark, sf_dir)))
+
+
+@query
+def element_postings(spark, sf_dir):
+    """(term, film, group, element, pos) over the analysed names of every film's lists."""
+    return _element_postings(spark, sf_dir)
+
+
+@query
+def nested_name_and_id(spark, sf_dir):
+    """Films with one element whose name holds the text and that has the id."""
+    return EI.nested_films(_element_postings(spark, sf_dir), P.NESTED_GROUP, P.NESTED_TEXT, P.NESTED_ID)
+
+
+@query
+def nested_name_terms(spark, sf_dir):
+    """Films with one element whose name holds every term of the text."""
+    return EI.nested_films(_element_postings(spark, sf_dir), P.NAMES_GROUP, P.NAMES_TEXT)
+
+
+@query
+def flat_name_terms(spark, sf_dir):
+    """Films whose names together hold every term; ``nested`` tells whether one element does."""
+    postings = materialize(_element_postings(spark, sf_dir), "element-postings")
+    nested = EI.nested_films(postings, P.NAMES_GROUP, P.NAMES_TEXT).select("film_id").distinct().withColumn("nested", F.lit(True))
+    return (EI.flat_films(postings, P.NAMES_GROUP, P.NAMES_TEXT).join(nested, "film_id", "left")
+            .fillna(False, ["nested"]))
+
+
+# ---- strictness inside bodies --------------------------------------------------------
+
+_REF = T.StructType([T.StructField("id", T.LongType()), T.StructField("name", T.StringType())])
+BODY_SCHEMA = T.StructType([T.StructField("id", T.LongType()), T.StructField("title", T.StringType()),
+                            T.StructField("maker", _REF), T.StructField("lines", T.ArrayType(_REF))])
+
+
+def _bodies(spark, sf_dir):
+    """A JSON body per film; by the film's id a key too many at the top, in its object or in a list, or a cut text."""
+    kind = F.col("o_orderkey") % 5
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").groupBy("l_orderkey").agg(F.collect_list(F.struct(
+        F.col("l_partkey").alias("id"), F.col("l_returnflag").alias("name"),
+        F.when((F.col("l_orderkey") % 5 == 3) & (F.col("l_linenumber") == 2), F.col("l_quantity")).alias("quantity"))).alias("lines"))
+    body = F.to_json(F.struct(
+        F.col("o_orderkey").alias("id"), F.col("o_orderpriority").alias("title"),
+        F.when(kind == 1, F.col("o_orderstatus")).alias("status"),
+        F.struct(F.col("o_custkey").alias("id"), F.when(kind == 2, F.lit("now")).alias("since")).alias("maker"), "lines"))
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    cut = F.when(kind == 4, F.substring("body", F.lit(1), F.char_length("body") - 1)).otherwise(F.col("body"))
+    return orders.withColumn("body", body).select(F.col("o_orderkey").alias("id"), cut.alias("body"))
+
+
+@query
+def strict_bodies(spark, sf_dir):
+    """Every body with the undeclared keys that it holds at any depth."""
+    bodies = _bodies(spark, sf_dir)
+    unknown = SJ.unknown_keys(bodies, "id", "body", BODY_SCHEMA).groupBy("id").agg(
+        F.array_join(F.array_sort(F.collect_set("path")), ",").alias("unknown"))
+    return bodies.select("id").join(unknown, "id", "left").withColumn("valid", F.col("unknown").isNull())
+
+
+# ---- stems -----------------------------------------------------------------------------
+
+STEMMERS = {"english_stems": ST.english_stem, "russian_stems": ST.russian_stem}
+
+
+@query
+def term_stems(spark, sf_dir):
+    """(term, stem) of the English stemmer over the vocabulary of the documents."""
+    words = _documents(spark, sf_dir).select(F.explode(F.regexp_extract_all(
+        F.lower("text"), F.lit(TX.TOKEN_PATTERN), 0)).alias("term")).distinct()
+    return words.withColumn("stem", ST.english_stem(F.col("term")))
+
+
+@query
+def stemmed_postings(spark, sf_dir):
+    """Postings of the whole analyser chain, both stemmers included."""
+    return TX.term_postings(TX.analysed_tokens(_documents(spark, sf_dir), **STEMMERS))

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import entity_schemas
+from .layouts import LinkLayout
 
 ENTITY_TABLES = ("film_work", "person", "genre", "person_film_work", "genre_film_work")
 
@@ -29,6 +30,8 @@ class Catalog:
     # link rows as stored, before de-duplication (constraint reports read these)
     person_film_work_raw: DataFrame | None = None
     genre_film_work_raw: DataFrame | None = None
+    # the same links stored by key, for runs over a few changed keys (sources.layouts)
+    layout: LinkLayout | None = None
 
     def set_links(self) -> "Catalog":
         """Catalog whose link frames are the rows as stored.

@@ -54,8 +54,11 @@ def process_changes(cat, changes: DataFrame, sinks: DocumentSinks, batch_id: int
 
     genre -> genre documents + their films; person -> person documents + their
     films; film_work -> the films.  Films reached by several routes are
-    rebuilt once (union + distinct).
+    rebuilt once (union + distinct).  With a link layout the cost follows the
+    change: links are read by the changed keys only.
     """
+    if cat.layout is not None:
+        return _process_by_layout(cat, changes, sinks, batch_id)
     cat = cat.set_links()
     genre_ids = changes.where(F.col("source") == "genre").select("id")
     person_ids = changes.where(F.col("source") == "person").select("id")
@@ -72,6 +75,17 @@ def process_changes(cat, changes: DataFrame, sinks: DocumentSinks, batch_id: int
     upsert(D.film_documents(cat, film_ids), sinks.path(INDEX_MOVIES), batch_id)
 
 
+def _process_by_layout(cat, changes: DataFrame, sinks: DocumentSinks, batch_id: int) -> None:
+    layout = cat.layout
+    genre_ids, person_ids = (changes.where(F.col("source") == s).select("id").distinct() for s in ("genre", "person"))
+    film_ids = layout.changed_films(changes, f"{sinks.base}/_work/changed_films/batch_id={batch_id}")
+    upsert(D.genre_documents(layout.only_dimension(cat, "genre_film_work", genre_ids), genre_ids),
+           sinks.path(INDEX_GENRES), batch_id)
+    upsert(D.person_documents(layout.only_dimension(cat, "person_film_work", person_ids), person_ids),
+           sinks.path(INDEX_PERSONS), batch_id)
+    upsert(D.film_documents(layout.only_films(cat, film_ids)), sinks.path(INDEX_MOVIES), batch_id)
+
+
 def change_rows(cat, windows: dict[str, tuple]) -> DataFrame:
     """(source, id) rows of every table changed in its [lo, hi) window."""
     parts = [changed_ids(getattr(cat, t), lo, hi).select(F.lit(t).alias("source"), F.col("id"))

@@ -3,6 +3,9 @@
 ``full``        rebuild every document and write it as one version
 ``incremental`` one high-water-mark run (changes since the last committed mark)
 ``stream``      Structured Streaming over change folders (one per table)
+``layout``      store the link tables by film and by person or genre under ``--layout``
+
+With ``--layout DIR`` the incremental and stream jobs read links by the changed keys from there.
 
 Sources: ``--tables DIR`` (the five entity tables as parquet folders),
 ``--jdbc-url URL`` (the same tables in a database, with ``--jdbc-property``
@@ -23,6 +26,7 @@ from pyspark.sql import functions as F
 
 from ..operators import documents as D
 from ..schemas import INDEX_GENRES, INDEX_MOVIES, INDEX_PERSONS
+from ..sources.layouts import open_link_layout, write_link_layout
 from ..sources.sinks import ProgressLog, upsert
 from ..sources.tables import load_catalog, load_catalog_jdbc, load_test_catalog
 from ..operators.changes import current_mark
@@ -30,7 +34,21 @@ from ..session import JOB_CONF
 from .incremental import CHANGE_SOURCES, DocumentSinks, run_incremental, start_document_stream
 
 
+LAYOUT_TABLES = "docmart_links"
+
+
 def _loader(spark: SparkSession, args):
+    plain = _plain_loader(spark, args)
+    if not args.layout or args.command not in ("incremental", "stream"):
+        return plain
+
+    def with_layout():
+        cat = plain()
+        return cat.with_(layout=open_link_layout(spark, cat, args.layout, LAYOUT_TABLES, args.layout_buckets))
+    return with_layout
+
+
+def _plain_loader(spark: SparkSession, args):
     if args.test_sf:
         return lambda: load_test_catalog(spark, args.test_sf)
     if args.jdbc_url:
@@ -55,7 +73,7 @@ def full_rebuild(spark: SparkSession, catalog_loader, sinks: DocumentSinks, prog
 
 def main(argv=None) -> None:
     p = argparse.ArgumentParser(prog="docmart")
-    p.add_argument("command", choices=["full", "incremental", "stream"])
+    p.add_argument("command", choices=["full", "incremental", "stream", "layout"])
     src = p.add_mutually_exclusive_group(required=True)
     src.add_argument("--tables")
     src.add_argument("--test-sf")
@@ -63,6 +81,8 @@ def main(argv=None) -> None:
     p.add_argument("--jdbc-property", action="append", default=[], metavar="KEY=VALUE")
     p.add_argument("--jdbc-partitions", type=int, default=64)
     p.add_argument("--out", required=True)
+    p.add_argument("--layout", help="folder of the link tables stored by key")
+    p.add_argument("--layout-buckets", type=int, default=64, help="the same for writing and reading")
     p.add_argument("--changes", help="stream: folder with one sub-folder of (id) change files per table")
     p.add_argument("--trigger-seconds", type=int, default=60)
     p.add_argument("--available-now", action="store_true")
@@ -78,7 +98,12 @@ def main(argv=None) -> None:
     progress = ProgressLog(spark, f"{args.out}/progress")
     loader = _loader(spark, args)
     sinks.ensure(spark, loader().film_work.schema["id"].dataType)
-    if args.command == "full":
+    if args.command == "layout":
+        if not args.layout:
+            p.error("layout needs --layout")
+        write_link_layout(loader(), args.layout, LAYOUT_TABLES, args.layout_buckets)
+        print(json.dumps({"layout": args.layout}))
+    elif args.command == "full":
         batch = full_rebuild(spark, loader, sinks, progress)
         print(json.dumps({"batch_id": batch}))
     elif args.command == "incremental":
