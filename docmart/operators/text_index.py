@@ -50,36 +50,43 @@ def russian_stop_words() -> list[str]:
 Stems = DataFrame | Callable[[Column], Column] | None
 
 
-def _apply_stems(tokens: DataFrame, stems: Stems, col: str = "token") -> DataFrame:
+def _stemmed(vocab: DataFrame, stems: Stems) -> DataFrame:
+    """The vocabulary with its column ``term`` stemmed."""
     if stems is None:
-        return tokens
-    vocab = tokens.select(col).distinct()
+        return vocab
     if callable(stems):
-        vocab = vocab.withColumn("stem", stems(F.col(col)))
-    else:
-        vocab = vocab.join(stems.select(F.col("term").alias(col), F.col("stem")), col, "left")
-    mapped = vocab.select(col, F.coalesce("stem", col).alias("_stemmed"))
-    return tokens.join(mapped, col).drop(col).withColumnRenamed("_stemmed", col)
+        return vocab.withColumn("term", stems(F.col("term")))
+    known = stems.select("term", F.col("stem").alias("_stem"))
+    return vocab.join(known, "term", "left").withColumn("term", F.coalesce("_stem", "term")).drop("_stem")
+
+
+def _without_possessive(terms: DataFrame, col: str) -> DataFrame:
+    """A trailing 's / ’s dropped (plain string ops, no per-token regex)."""
+    tok = F.col(col)
+    possessive = tok.endswith("'s") | tok.endswith("’s")
+    return terms.withColumn(col, F.when(possessive, F.expr(f"substring({col}, 1, char_length({col}) - 2)")).otherwise(tok))
 
 
 def analysed_tokens(docs: DataFrame, id_col: str | list[str] = "doc_id", text_col: str = "text",
                     english_stop=ENGLISH_STOP, russian_stop=None,
                     english_stems: Stems = None, russian_stems: Stems = None) -> DataFrame:
-    """(id..., pos, token) for every analysed token of every document."""
+    """(id..., pos, token) for every analysed token of every document.
+
+    What follows the tokenizer depends on the token alone, so with a stemmer the
+    rest of the chain runs once per distinct token and is joined to the stream.
+    """
     rus = list(russian_stop) if russian_stop is not None else russian_stop_words()
     ids = [id_col] if isinstance(id_col, str) else list(id_col)
     toks = docs.select(*ids, F.posexplode(
         F.regexp_extract_all(F.lower(F.col(text_col)), F.lit(TOKEN_PATTERN), 0)).alias("pos", "token"))
     toks = toks.where(~F.col("token").isin(list(english_stop)))
-    toks = _apply_stems(toks, english_stems)
-    # possessive: drop a trailing 's / ’s (plain string ops, no per-token regex)
-    tok = F.col("token")
-    possessive = tok.endswith("'s") | tok.endswith("’s")
-    toks = toks.withColumn("token", F.when(possessive, F.expr("substring(token, 1, char_length(token) - 2)"))
-                                     .otherwise(tok))
-    toks = toks.where(~F.col("token").isin(rus) & (F.col("token") != ""))
-    toks = _apply_stems(toks, russian_stems)
-    return toks.select(*ids, "pos", "token")
+    if english_stems is None and russian_stems is None:
+        toks = _without_possessive(toks, "token")
+        return toks.where(~F.col("token").isin(rus) & (F.col("token") != "")).select(*ids, "pos", "token")
+    vocab = toks.select("token").distinct().withColumn("term", F.col("token"))
+    vocab = _without_possessive(_stemmed(vocab, english_stems), "term")
+    vocab = _stemmed(vocab.where(~F.col("term").isin(rus) & (F.col("term") != "")), russian_stems)
+    return toks.join(vocab, "token").select(*ids, "pos", F.col("term").alias("token"))
 
 
 ANALYSED_FILM_FIELDS = ("title", "description", "actors_names", "writers_names", "directors_names",

@@ -417,7 +417,7 @@ def _with_layout(spark, sf_dir):
     cat = load_test_catalog(spark, sf_dir)
     name = hashlib.md5(sf_dir.encode()).hexdigest()
     prefix, base = f"links_{name}", subdir(spark, "link_layouts", f"{name}-{spark.sparkContext.applicationId}")
-    layout = LY.LinkLayout(spark, prefix) if LY.layout_exists(spark, prefix) else LY.write_link_layout(cat, base, prefix)
+    layout = LY.LinkLayout(spark, prefix) if LY.layout_exists(spark, prefix) else LY.write_link_layout(cat, base, prefix, buckets=16)
     return cat.with_(layout=layout)
 
 
@@ -511,7 +511,7 @@ def _bodies(spark, sf_dir):
 @query
 def strict_bodies(spark, sf_dir):
     """Every body with the undeclared keys that it holds at any depth."""
-    bodies = _bodies(spark, sf_dir)
+    bodies = materialize(_bodies(spark, sf_dir), "bodies")
     unknown = SJ.unknown_keys(bodies, "id", "body", BODY_SCHEMA).groupBy("id").agg(
         F.array_join(F.array_sort(F.collect_set("path")), ",").alias("unknown"))
     return bodies.select("id").join(unknown, "id", "left").withColumn("valid", F.col("unknown").isNull())

@@ -31,7 +31,7 @@ def catalog(spark):
 
 @pytest.fixture(scope="module")
 def layout(catalog, tmp_path_factory):
-    return LY.write_link_layout(catalog, str(tmp_path_factory.mktemp("layout")), "test_links", buckets=16)
+    return LY.write_link_layout(catalog, str(tmp_path_factory.mktemp("layout")), "test_links", buckets=16, spread=2)
 
 
 def plan_of(df):
@@ -71,6 +71,7 @@ def test_a_layout_opens_from_its_files(spark, catalog, tmp_path):
     LY.write_link_layout(catalog, str(tmp_path), "written_links", buckets=8)
     again = LY.open_link_layout(spark, catalog, str(tmp_path), "opened_links", buckets=8)
     assert not LY.layout_exists(spark, "absent_links") and LY.layout_exists(spark, "opened_links")
+    assert len(list((tmp_path / "genre_film_work_by_genre_id").glob("*.parquet"))) <= 8
     keys = spark.createDataFrame([(5,)], "id long")
     rows = again.links("genre_film_work", "genre_id", keys)
     assert rows.count() == catalog.genre_film_work.where("genre_id = 5").count() > 0
