@@ -629,3 +629,54 @@ ORACLE_SQL["stemmed_postings"] = "WITH " + ",\n".join([
     "final AS (SELECT doc_id, regexp_replace(stem, '[''’]s$', '') AS term FROM kept JOIN stems USING (t))",
     f"postings AS (SELECT term, doc_id, count(*) AS tf FROM final WHERE term NOT IN ({_sql_list(RUSSIAN_STOP)}) AND term <> '' "
     "GROUP BY 1, 2)"]) + "\nSELECT term, doc_id, tf, count(*) OVER (PARTITION BY term) AS df FROM postings"
+
+
+# ---- documents in fixed buckets ----------------------------------------------------------
+def _bucket(value: str) -> str:
+    return f"CAST(CAST('0x' || substr(md5(CAST({value} AS VARCHAR)), 1, 8) AS BIGINT) % {P.BUCKETS} AS INTEGER)"
+
+
+def _bucketed_group(group: str, role: str) -> str:
+    return (f"coalesce(string_agg(CAST(e.ref AS VARCHAR) || ':' || e.name, ',' ORDER BY e.name, e.ref) FILTER (WHERE e.role = '{role}'), '') "
+            f"AS {group}, coalesce(string_agg(e.name, ',' ORDER BY e.name) FILTER (WHERE e.role = '{role}'), '') AS {group}_names")
+
+
+ORACLE_SQL["film_documents_bucketed"] = _with(*film_docs_ctes(), f"""
+entries AS (
+  SELECT film_work_id AS fid, role, name, id AS ref, {_bucket('name')} AS part FROM people
+  UNION ALL SELECT film_work_id, 'genre', name, id, {_bucket('name')} FROM genres)""", """
+parts AS (
+  SELECT fid, part FROM entries WHERE fid IN (SELECT id FROM valid_film)
+  UNION SELECT id, 0 FROM valid_film)""") + f"""
+SELECT p.fid AS id, p.part, any_value(CASE WHEN p.part = 0 THEN f.title END) AS title,
+  any_value(CASE WHEN p.part = 0 THEN f.description END) AS description,
+  any_value(CASE WHEN p.part = 0 THEN f.rating END) AS imdb_rating,
+  {_bucketed_group('actors', 'actor')}, {_bucketed_group('writers', 'producer')},
+  {_bucketed_group('directors', 'director')}, {_bucketed_group('genres', 'genre')}
+FROM parts p JOIN valid_film f ON f.id = p.fid LEFT JOIN entries e ON e.fid = p.fid AND e.part = p.part
+GROUP BY p.fid, p.part"""
+
+ORACLE_SQL["genre_documents_bucketed"] = _with(f"""
+listed AS (
+  SELECT DISTINCT genre_id AS id, film_work_id, {_bucket('film_work_id')} AS part
+  FROM genre_film_work WHERE film_work_id IS NOT NULL)""", """
+parted AS (
+  SELECT id, part, string_agg(CAST(film_work_id AS VARCHAR), ',' ORDER BY film_work_id) AS film_ids FROM listed GROUP BY id, part
+  UNION ALL SELECT id, 0, '' FROM listed GROUP BY id HAVING count(*) FILTER (WHERE part = 0) = 0)""") + """
+SELECT g.id, d.part, CASE WHEN d.part = 0 THEN g.name END AS name, CASE WHEN d.part = 0 THEN g.description END AS description,
+  d.film_ids
+FROM parted d JOIN genre g ON g.id = d.id WHERE g.name IS NOT NULL"""
+
+# ---- pages by place -----------------------------------------------------------------------
+ORACLE_SQL["change_feed_pages"] = _with(f"""
+feed AS (
+  SELECT row_number() OVER (ORDER BY modified, id) - 1 AS place, id, modified, count(*) OVER () AS n
+  FROM film_work WHERE id IS NOT NULL AND modified >= TIMESTAMP '{P.FILM_LO}')""") + f"""
+SELECT CAST(place AS BIGINT) AS place, CAST(place // {P.FEED_SIZE} AS INTEGER) AS page, id, CAST(modified AS VARCHAR) AS modified
+FROM feed
+WHERE place // {P.FEED_SIZE} IN (0, ((n - 1) // {P.FEED_SIZE}) // 2, (n - 1) // {P.FEED_SIZE})"""
+
+# ---- contains searches ----------------------------------------------------------------------
+ORACLE_SQL["search_films_by_trigrams"] = _with() + "\nUNION ALL\n".join(
+    f"SELECT '{q}' AS query, {ADMIN_COLS} FROM film_work WHERE {_terms(['title', 'description', 'id'], q)}"
+    for q in P.GRAM_SEARCHES)

@@ -36,3 +36,8 @@ BATCH_PERSONS, BATCH_GENRES = (3,), (7, 70)
 # nested and flat name conditions
 NESTED_GROUP, NESTED_TEXT, NESTED_ID = "actors", "supplier", 7
 NAMES_GROUP, NAMES_TEXT = "genres", "Blue bolt"
+
+# pages of the change feed by the index of ranges: the first, one in the middle, the last
+FEED_SIZE, FEED_RANGES = 100, 16
+# contains searches by trigrams: (query name, table, term text)
+GRAM_SEARCHES = ("urgent 7", "LOW 1", "high zzz", "9", "4-not 00")

@@ -10,7 +10,9 @@ nested documents.
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,10 +23,12 @@ from ..operators import catalog as K
 from ..operators import changes as C
 from ..operators import documents as D
 from ..operators import element_index as EI
+from ..operators import page_index as PI
 from ..operators import quality as Q
 from ..operators import stemming as ST
 from ..operators import strict_json as SJ
 from ..operators import text_index as TX
+from ..operators import trigram_index as TG
 from ..session import materialize, subdir
 from ..sources import layouts as LY
 from ..sources import sinks as SK
@@ -316,9 +320,6 @@ def latest_documents(spark, sf_dir):
 def stream_documents(spark, sf_dir):
     """File-source streams over the three entity tables -> foreachBatch document
     rebuild -> versioned sink; returns the sink's current film documents."""
-    import uuid
-
-    from ..session import subdir
     from ..sources.tables import TEST_MAPPING
     from ..streaming.incremental import DocumentSinks, start_document_stream
 
@@ -534,3 +535,46 @@ def term_stems(spark, sf_dir):
 def stemmed_postings(spark, sf_dir):
     """Postings of the whole analyser chain, both stemmers included."""
     return TX.term_postings(TX.analysed_tokens(_documents(spark, sf_dir), **STEMMERS))
+
+
+# ---- documents in fixed buckets ----------------------------------------------------------
+
+
+@query
+def film_documents_bucketed(spark, sf_dir):
+    return flat_film_documents(D.film_documents(load_test_catalog(spark, sf_dir), buckets=P.BUCKETS))
+
+
+@query
+def genre_documents_bucketed(spark, sf_dir):
+    docs = D.genre_documents(load_test_catalog(spark, sf_dir), buckets=P.BUCKETS)
+    return docs.select("id", "part", "name", "description", join_values("film_ids").alias("film_ids"))
+
+
+# ---- pages by an index of ranges -----------------------------------------------------------
+
+
+@query
+def change_feed_pages(spark, sf_dir):
+    """The first, a middle and the last page of the feed since a mark, each row with its place in the order."""
+    films = load_test_catalog(spark, sf_dir).film_work
+    index = PI.write_page_index(films, ["modified", "id"], subdir(spark, "page_index", uuid.uuid4().hex), P.FEED_RANGES)
+    since = C.ts(P.FILM_LO)
+    start, last = index.places_before(since), index.pages(P.FEED_SIZE, since) - 1
+    pages = [index.slice(start + n * P.FEED_SIZE, P.FEED_SIZE).withColumn("place", F.col("place") - start)
+             .withColumn("page", F.lit(n)) for n in sorted({0, last // 2, last})]
+    return _ts_str(reduce(DataFrame.unionByName, pages))
+
+
+# ---- contains search by trigrams -------------------------------------------------------------
+
+
+@query
+def search_films_by_trigrams(spark, sf_dir):
+    """Several admin searches over the films, candidates fetched by the rarest trigram of each term."""
+    cat = load_test_catalog(spark, sf_dir)
+    films = cat.film_work.select(*K.ADMIN_FILM_COLUMNS, "description")
+    fields = list(K.FILM_SEARCH_FIELDS)
+    postings = materialize(TG.trigram_postings(films, fields), "trigrams")
+    found = [TG.search(films, postings, fields, q).withColumn("query", F.lit(q)) for q in P.GRAM_SEARCHES]
+    return _admin(reduce(DataFrame.unionByName, found).select("query", *K.ADMIN_FILM_COLUMNS))

@@ -14,15 +14,16 @@ before the commit, so a lost executor or driver only causes a replay.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from dataclasses import dataclass
+from collections.abc import Callable, Mapping
+from dataclasses import dataclass, field
 from datetime import datetime, timedelta
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import documents as D
-from ..operators.changes import changed_ids, current_mark, film_ids_for
+from ..operators.changes import changed_ids, current_mark, film_ids_for, in_window
 from ..schemas import INDEX_GENRES, INDEX_MOVIES, INDEX_PERSONS
 from ..session import materialize
 from ..sources.sinks import ProgressLog, upsert
@@ -33,10 +34,15 @@ CHANGE_SOURCES = ("genre", "person", "film_work")
 @dataclass(frozen=True)
 class DocumentSinks:
     base: str
+    # rows at most per document, by index (see operators.skew); one where none is given
+    buckets: Mapping[str, int] = field(default_factory=dict)
 
     def path(self, index: str) -> str:
         return f"{self.base}/{index}"
 
+    def buckets_of(self, index: str) -> int:
+        return self.buckets.get(index, 1)
+
     def ensure(self, spark: SparkSession, id_type=None) -> None:
         """Create each index with its declared schema when missing."""
         from pyspark.sql import types as T
@@ -70,20 +76,20 @@ def process_changes(cat, changes: DataFrame, sinks: DocumentSinks, batch_id: int
     )
     # three consumers (film scan and both link scans): compute the keys once
     film_ids = materialize(film_ids, "changed-films", f"{sinks.base}/_work/changed_films/batch_id={batch_id}")
-    upsert(D.genre_documents(cat, genre_ids), sinks.path(INDEX_GENRES), batch_id)
-    upsert(D.person_documents(cat, person_ids), sinks.path(INDEX_PERSONS), batch_id)
-    upsert(D.film_documents(cat, film_ids), sinks.path(INDEX_MOVIES), batch_id)
+    upsert(D.genre_documents(cat, genre_ids, sinks.buckets_of(INDEX_GENRES)), sinks.path(INDEX_GENRES), batch_id)
+    upsert(D.person_documents(cat, person_ids, sinks.buckets_of(INDEX_PERSONS)), sinks.path(INDEX_PERSONS), batch_id)
+    upsert(D.film_documents(cat, film_ids, sinks.buckets_of(INDEX_MOVIES)), sinks.path(INDEX_MOVIES), batch_id)
 
 
 def _process_by_layout(cat, changes: DataFrame, sinks: DocumentSinks, batch_id: int) -> None:
     layout = cat.layout
     genre_ids, person_ids = (changes.where(F.col("source") == s).select("id").distinct() for s in ("genre", "person"))
     film_ids = layout.changed_films(changes, f"{sinks.base}/_work/changed_films/batch_id={batch_id}")
-    upsert(D.genre_documents(layout.only_dimension(cat, "genre_film_work", genre_ids), genre_ids),
+    upsert(D.genre_documents(layout.only_dimension(cat, "genre_film_work", genre_ids), genre_ids, sinks.buckets_of(INDEX_GENRES)),
            sinks.path(INDEX_GENRES), batch_id)
-    upsert(D.person_documents(layout.only_dimension(cat, "person_film_work", person_ids), person_ids),
+    upsert(D.person_documents(layout.only_dimension(cat, "person_film_work", person_ids), person_ids, sinks.buckets_of(INDEX_PERSONS)),
            sinks.path(INDEX_PERSONS), batch_id)
-    upsert(D.film_documents(layout.only_films(cat, film_ids)), sinks.path(INDEX_MOVIES), batch_id)
+    upsert(D.film_documents(layout.only_films(cat, film_ids), buckets=sinks.buckets_of(INDEX_MOVIES)), sinks.path(INDEX_MOVIES), batch_id)
 
 
 def change_rows(cat, windows: dict[str, tuple]) -> DataFrame:
@@ -96,27 +102,49 @@ def change_rows(cat, windows: dict[str, tuple]) -> DataFrame:
     return out
 
 
+def slice_marks(cat, windows: dict[str, tuple], slices: int) -> list[datetime]:
+    """Where to cut the windows so that each slice holds about as many changes: quantiles of ``modified``
+    over all tables from one sketch."""
+    parts = [getattr(cat, t).where(in_window("modified", lo, hi)).select(F.col("modified").cast("timestamp_ntz"))
+             for t, (lo, hi) in windows.items()]
+    shares = ", ".join(str(i / slices) for i in range(1, slices))
+    marks = reduce(DataFrame.unionByName, parts).agg(F.expr(f"approx_percentile(modified, array({shares}))")).first()[0]
+    return sorted(set(marks or []))
+
+
 def run_incremental(spark: SparkSession, catalog_loader: Callable[[], object], sinks: DocumentSinks,
                     progress: ProgressLog, now: datetime | None = None,
                     lookback: timedelta = timedelta(seconds=1),
-                    default_start: datetime | None = None) -> int:
+                    default_start: datetime | None = None, slices: int = 1) -> int:
     """One batch run: read each table's window [mark - lookback, now), write, commit.
 
     ``now`` (the new high mark) is fixed before the scan, so a row committed
-    during the run with an older ``modified`` is read by the next run.
+    during the run with an older ``modified`` is read by the next run.  With
+    ``slices`` the windows are cut at quantiles of ``modified``; every slice is
+    written and committed on its own, in time order, so a run that dies goes on
+    at the slice that it did not finish.
     """
     now = now or current_mark(spark)
     cat = catalog_loader()
     start = default_start or datetime(2021, 6, 13)
-    windows = {}
+    low = {}
     for t in CHANGE_SOURCES:
         mark = progress.last_mark(t)
-        lo = (mark - lookback) if mark is not None else start
-        windows[t] = (lo.strftime("%Y-%m-%d %H:%M:%S.%f"), now.strftime("%Y-%m-%d %H:%M:%S.%f"))
-    batch_id = progress.next_batch_id()
-    process_changes(cat, change_rows(cat, windows), sinks, batch_id)
-    for t in CHANGE_SOURCES:
-        progress.commit(t, datetime.fromisoformat(windows[t][0]), now, batch_id)
+        low[t] = (mark - lookback) if mark is not None else start
+
+    def text(at: datetime) -> str:
+        return at.strftime("%Y-%m-%d %H:%M:%S.%f")
+
+    cuts = slice_marks(cat, {t: (text(lo), text(now)) for t, lo in low.items()}, slices) if slices > 1 else []
+    batch_id = -1
+    for end in [*[c for c in cuts if c < now], now]:
+        batch_id = progress.next_batch_id()
+        windows = {t: (text(lo), text(end)) for t, lo in low.items() if lo < end}
+        if windows:
+            process_changes(cat, change_rows(cat, windows), sinks, batch_id)
+        for t in windows or CHANGE_SOURCES:
+            progress.commit(t, low[t], end, batch_id)
+        low = {t: max(lo, end) for t, lo in low.items()}
     return batch_id
 
 

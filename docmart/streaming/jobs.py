@@ -63,9 +63,9 @@ def full_rebuild(spark: SparkSession, catalog_loader, sinks: DocumentSinks, prog
     now = current_mark(spark)           # fixed before the read
     cat = catalog_loader()
     batch_id = progress.next_batch_id()
-    upsert(D.genre_documents(cat), sinks.path(INDEX_GENRES), batch_id)
-    upsert(D.person_documents(cat), sinks.path(INDEX_PERSONS), batch_id)
-    upsert(D.film_documents(cat), sinks.path(INDEX_MOVIES), batch_id)
+    upsert(D.genre_documents(cat, buckets=sinks.buckets_of(INDEX_GENRES)), sinks.path(INDEX_GENRES), batch_id)
+    upsert(D.person_documents(cat, buckets=sinks.buckets_of(INDEX_PERSONS)), sinks.path(INDEX_PERSONS), batch_id)
+    upsert(D.film_documents(cat, buckets=sinks.buckets_of(INDEX_MOVIES)), sinks.path(INDEX_MOVIES), batch_id)
     for table in CHANGE_SOURCES:
         progress.commit(table, datetime(1970, 1, 1), now, batch_id)
     return batch_id
@@ -81,6 +81,8 @@ def main(argv=None) -> None:
     p.add_argument("--jdbc-property", action="append", default=[], metavar="KEY=VALUE")
     p.add_argument("--jdbc-partitions", type=int, default=64)
     p.add_argument("--out", required=True)
+    p.add_argument("--buckets", action="append", default=[], metavar="INDEX=N", help="rows at most per document of an index")
+    p.add_argument("--slices", type=int, default=1, help="incremental: parts of a run that commit on their own")
     p.add_argument("--layout", help="folder of the link tables stored by key")
     p.add_argument("--layout-buckets", type=int, default=64, help="the same for writing and reading")
     p.add_argument("--changes", help="stream: folder with one sub-folder of (id) change files per table")
@@ -94,7 +96,8 @@ def main(argv=None) -> None:
         spark.conf.set(key, value)
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(f"{args.out}/_work")     # shared, like the output
-    sinks = DocumentSinks(f"{args.out}/indexes")
+    buckets = {index: int(n) for index, n in (x.split("=", 1) for x in args.buckets)}
+    sinks = DocumentSinks(f"{args.out}/indexes", buckets)
     progress = ProgressLog(spark, f"{args.out}/progress")
     loader = _loader(spark, args)
     sinks.ensure(spark, loader().film_work.schema["id"].dataType)
@@ -107,7 +110,7 @@ def main(argv=None) -> None:
         batch = full_rebuild(spark, loader, sinks, progress)
         print(json.dumps({"batch_id": batch}))
     elif args.command == "incremental":
-        batch = run_incremental(spark, loader, sinks, progress)
+        batch = run_incremental(spark, loader, sinks, progress, slices=args.slices)
         print(json.dumps({"batch_id": batch}))
     else:
         if not args.changes:
