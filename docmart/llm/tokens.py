@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 
-_LIMIT = 500_000          # entries of a task's word cache (memory only, results do not depend on it)
+_LIMIT = 100_000          # entries of a task's word cache (memory only, results do not depend on it)
 _P = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -51,8 +53,18 @@ def windows(h: np.ndarray, k: int) -> np.ndarray:
     return mix(acc)
 
 
+def give_back() -> None:
+    """Freed memory goes back to the system; a worker serves task after task and would hold it."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def pieces(batches: Iterator[pd.DataFrame], rows: int = 500) -> Iterator[pd.DataFrame]:
     """The same rows in smaller frames, so what a task holds of its results at once stays small."""
     for batch in batches:
         for i in range(0, len(batch), rows):
             yield batch.iloc[i:i + rows]
+        del batch
+        give_back()
