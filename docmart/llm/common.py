@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -25,6 +26,13 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return materialize(df, name)
 
 
+def drop_finished_shuffles(spark: SparkSession) -> None:
+    """Frees the disk of shuffles whose results are written: Spark deletes them when the driver's garbage is
+    collected, which a driver with room to spare puts off."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def lower_az(c: Column) -> Column:
     """Lower-case A-Z only."""
     return F.translate(c, _AZ, _az)

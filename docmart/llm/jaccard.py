@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import components, stored
+from .common import components, drop_finished_shuffles, stored
 from .tokens import WordHashes, mix, pieces, windows, words
 
 _SKETCH = "doc_id long, n_shingles long, sig string, pa array<long>, b0 long, b1 long, b2 long, b3 long"
@@ -151,6 +151,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFr
     ids = pairs.select("a").union(pairs.select("b")).toDF("doc_id").distinct()
     texts = docs.select("doc_id", "text").join(_sized(stored(ids, "candidate_ids")), "doc_id", "left_semi")
     sets = stored(texts.mapInPandas(_sets(k, percent), _SET), "sets")
+    drop_finished_shuffles(docs.sparkSession)
     counts, prefixes = sets.select("doc_id", "n", "counts"), sets.select("doc_id", "pb")
     apart = F.aggregate(F.zip_with("ca", "cb", lambda x, y: F.abs(x - y).cast("long")), F.lit(0).cast("long"),
                         lambda t, d: t + d)
@@ -159,6 +160,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFr
     near = (near.join(prefixes.toDF("a", "pa"), "a").join(prefixes.toDF("b", "pb"), "b")
             .where(F.arrays_overlap("pa", "pb")).select("a", "b").distinct())
     near = stored(near, "near")
+    drop_finished_shuffles(docs.sparkSession)
     tokens = sets.select("doc_id", "tokens")
     both = F.size(F.array_intersect("ta", "tb"))
     return (near.join(tokens.toDF("a", "ta"), "a").join(tokens.toDF("b", "tb"), "b")
@@ -172,7 +174,9 @@ def _prefix_rows(reps: DataFrame, docs: DataFrame, k: int, percent: int) -> Data
     heads = _heads(reps, docs, k, percent)
     shared = (heads.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy("token")))
               .where("_n > 1").drop("_n"))
-    return stored(shared.join(bits, "doc_id"), "prefixes")
+    rows = stored(shared.join(bits, "doc_id"), "prefixes")
+    drop_finished_shuffles(docs.sparkSession)
+    return rows
 
 
 def _links(reps: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
@@ -192,6 +196,7 @@ def _links(reps: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
     first = (met.withColumn("_r", F.row_number().over(nearest)).where(F.col("_r") <= PARTNERS)
              .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
     first = stored(_verified(first, docs, k, percent), "first_links")
+    drop_finished_shuffles(docs.sparkSession)
 
     part = components(first).toDF("doc_id", "component")
     rows = rows.join(part, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
