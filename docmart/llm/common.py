@@ -33,6 +33,17 @@ def drop_finished_shuffles(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def drop_stored(*tables: DataFrame) -> None:
+    """Deletes tables that ``stored`` wrote; whatever was derived from them has to be written by then."""
+    for table in tables:
+        folder = table.inputFiles()[0].rsplit("/", 1)[0]
+        if "/materialized/" not in folder:
+            raise ValueError(f"not a stored table: {folder}")
+        spark = table.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def lower_az(c: Column) -> Column:
     """Lower-case A-Z only."""
     return F.translate(c, _AZ, _az)

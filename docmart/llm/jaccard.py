@@ -36,14 +36,14 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import components, drop_finished_shuffles, stored
+from .common import components, drop_finished_shuffles, drop_stored, stored
 from .tokens import WordHashes, mix, pieces, windows, words
 
 _SKETCH = "doc_id long, n_shingles long, sig string, pa array<long>, b0 long, b1 long, b2 long, b3 long"
 _SET = "doc_id long, n long, pb array<long>, counts array<short>, tokens array<long>"
 _SECOND = np.uint64(0x5851F42D4C957F2D)
 PIVOTS, PARTNERS = 4, 2     # first pass: pivots of a bucket, partners checked for a document
-BROADCAST_IDS = 2_000_000   # candidate documents (16 MB of ids) up to which their texts are picked without a shuffle
+BROADCAST_IDS = 2_000_000   # ids (some 40 bytes each, 80 MB) up to which their texts are picked without a shuffle
 _BUCKETS = 128
 COMMON, MOST_COMMON = 16, 200_000   # tokens in more prefixes than COMMON come last; the MOST_COMMON most frequent (3 MB)
 
@@ -141,7 +141,7 @@ def _heads(reps: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """The pairs (a, b) that also share a prefix token under the second order and whose whole sets link.
+    """The stored pairs (a, b) that also share a prefix token under the second order and whose whole sets link.
 
     Small columns are compared first: the counts of both sets' tokens in 128
     buckets differ by no more than the sets do.  Whole sets travel only for
@@ -149,7 +149,8 @@ def _verified(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFr
     """
     pairs = stored(pairs, "candidates")
     ids = pairs.select("a").union(pairs.select("b")).toDF("doc_id").distinct()
-    texts = docs.select("doc_id", "text").join(_sized(stored(ids, "candidate_ids")), "doc_id", "left_semi")
+    ids = stored(ids, "candidate_ids")
+    texts = docs.select("doc_id", "text").join(_sized(ids), "doc_id", "left_semi")
     sets = stored(texts.mapInPandas(_sets(k, percent), _SET), "sets")
     drop_finished_shuffles(docs.sparkSession)
     counts, prefixes = sets.select("doc_id", "n", "counts"), sets.select("doc_id", "pb")
@@ -163,9 +164,13 @@ def _verified(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFr
     drop_finished_shuffles(docs.sparkSession)
     tokens = sets.select("doc_id", "tokens")
     both = F.size(F.array_intersect("ta", "tb"))
-    return (near.join(tokens.toDF("a", "ta"), "a").join(tokens.toDF("b", "tb"), "b")
-            .where(100 * both >= percent * (F.size("ta") + F.size("tb") - both))
-            .select("a", "b").distinct())
+    linked = (near.join(tokens.toDF("a", "ta"), "a").join(tokens.toDF("b", "tb"), "b")
+              .where(100 * both >= percent * (F.size("ta") + F.size("tb") - both))
+              .select("a", "b").distinct())
+    linked = stored(linked, "linked")
+    drop_stored(pairs, ids, sets, near)
+    drop_finished_shuffles(docs.sparkSession)
+    return linked
 
 
 def _prefix_rows(reps: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
@@ -181,7 +186,10 @@ def _prefix_rows(reps: DataFrame, docs: DataFrame, k: int, percent: int) -> Data
 
 def _links(reps: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
     """Links (a, b) between classes that connect the same classes as all links do."""
-    rows = _prefix_rows(reps, docs, k, percent)
+    prefixes = _prefix_rows(reps, docs, k, percent)
+    # one shuffle by token serves the pivots and the documents that meet them; it is reused as both sides
+    # read the same rows, none of which is null
+    rows = prefixes.where(" and ".join(f"{c} is not null" for c in prefixes.columns)).repartition("token")
     picks = [F.min_by(F.struct("doc_id", "n_shingles", "b0", "b1", "b2", "b3"),
                       F.xxhash64("doc_id", "token", F.lit(i))).alias(f"p{i}") for i in range(PIVOTS)]
     pivots = (rows.groupBy("token").agg(*picks)
@@ -195,16 +203,17 @@ def _links(reps: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
     nearest = Window.partitionBy("x").orderBy("apart", "y")       # at most PIVOTS * prefix rows each
     first = (met.withColumn("_r", F.row_number().over(nearest)).where(F.col("_r") <= PARTNERS)
              .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
-    first = stored(_verified(first, docs, k, percent), "first_links")
-    drop_finished_shuffles(docs.sparkSession)
+    first = _verified(first, docs, k, percent)
 
     part = components(first).toDF("doc_id", "component")
-    rows = rows.join(part, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
+    rows = prefixes.join(part, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
     x, y = rows.alias("x"), rows.alias("y")
     rest = (x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.doc_id") < F.col("y.doc_id"))
                    & (F.col("x.component") != F.col("y.component")) & _may_link(percent))
             .select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b")).distinct())
-    return first.union(_verified(rest, docs, k, percent))
+    second = _verified(rest, docs, k, percent)
+    drop_stored(prefixes)
+    return first.union(second)
 
 
 def _classes(docs: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -253,8 +262,10 @@ def one_of_each_group(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFra
     Repeated rows of a kept doc_id are one document and stay as one; rows with
     a null doc_id and documents without words stay.
     """
-    groups = jaccard_groups(docs, k, percent)
-    dropped = groups.where("component_id < doc_id").select("doc_id").distinct()
-    left = docs.join(dropped, "doc_id", "left_anti")
-    return left.where("doc_id is null").unionByName(
-        left.where("doc_id is not null").dropDuplicates(["doc_id"]))
+    groups = stored(jaccard_groups(docs, k, percent), "groups")
+    dropped = stored(groups.where("component_id < doc_id").select("doc_id").distinct(), "dropped")
+    twice = stored(groups.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"), "twice")
+    # only the texts of repeated ids have to meet
+    left = docs.join(_sized(dropped), "doc_id", "left_anti")
+    once = left.join(_sized(twice), "doc_id", "left_anti")
+    return once.unionByName(left.join(_sized(twice), "doc_id", "left_semi").dropDuplicates(["doc_id"]))

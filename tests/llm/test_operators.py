@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from docmart.llm import decontam, fingerprints, jaccard, license_scan, mixing, quality, secrets, toxicity, url_rules
+from docmart.llm.common import drop_stored, stored
 from tests.llm.brute import components, shingles, words
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, score double, label int"
@@ -52,6 +53,28 @@ def test_jaccard_links_among_texts_that_share_a_passage(spark, k, percent):
     assert got[239][1] == 200 and got[103][1] == 3 and got[1][1] == 1
 
 
+def test_one_of_each_group_stays(spark, docs, none):
+    kept = jaccard.one_of_each_group(docs)
+    assert kept.schema == docs.schema
+    known = [(i, t) for i, t in texts() if i is not None]
+    want = sorted(i for i, (_, c) in components(known, 5, 80).items() if i == c)
+    got = kept.collect()
+    assert sorted(r["doc_id"] for r in got if r["doc_id"] is not None) == want     # 11 is there twice, and stays once
+    assert [r["text"] for r in got if r["doc_id"] is None] == ["stray text here"]
+    assert {r["doc_id"]: r["text"] for r in got if r["doc_id"] is not None} == {i: t for i, t in known if i in want}
+    assert jaccard.one_of_each_group(none).count() == 0
+
+
+def test_stored_tables_are_deleted_and_no_others(spark, docs, scratch):
+    table = stored(docs, "spent")
+    drop_stored(table)
+    with pytest.raises(Exception):
+        spark.read.parquet(table.inputFiles()[0].rsplit("/", 1)[0]).count()
+    docs.write.parquet(f"{scratch}/kept")
+    with pytest.raises(ValueError):
+        drop_stored(spark.read.parquet(f"{scratch}/kept"))
+
+
 def test_jaccard_links_are_all_found(spark):
     base = [f"t{i}" for i in range(60)]
     rows = [(i, " ".join([*base, f"end{i}"])) for i in range(12)]                 # all link with all
