@@ -35,7 +35,7 @@ _STRIP = b".,!?;:\"'()[]{}<>*#%$&|-_~`"
 _TOKEN = re.compile(r"[^\x20\x09-\x0d]+")
 _STEPS = 80
 _SHORTEST, _LONGEST = 5, 9
-_REMEMBERED = 300_000      # tokens of a task's cache
+_REMEMBERED = 100_000      # tokens of a task's cache
 _CELLS = 400_000      # of a padded block of texts in a task's memory
 
 
@@ -50,7 +50,7 @@ def _beginnings(w: bytes) -> list[bytes]:
 
 
 def _distinct(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
+    for batch in pieces(batches, 50):         # a text has some thousand beginnings of words
         words = [set(_tokens(t)) for t in batch["text"]]
         words = [sorted(ws.union(*map(_beginnings, ws))) for ws in words]
         yield pd.DataFrame({"word": [w for ws in words for w in ws],
@@ -101,7 +101,7 @@ def _training_windows(toxic: list[bytes], ids: dict[bytes, int]):
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         table = Ids(ids)
-        for batch in batches:
+        for batch in pieces(batches):
             out = []
             for doc_id, text, label in zip(batch["doc_id"], batch["text"], batch["label"]):
                 word, shape = _features(text, table)
