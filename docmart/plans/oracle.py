@@ -680,3 +680,22 @@ WHERE place // {P.FEED_SIZE} IN (0, ((n - 1) // {P.FEED_SIZE}) // 2, (n - 1) //
 ORACLE_SQL["search_films_by_trigrams"] = _with() + "\nUNION ALL\n".join(
     f"SELECT '{q}' AS query, {ADMIN_COLS} FROM film_work WHERE {_terms(['title', 'description', 'id'], q)}"
     for q in P.GRAM_SEARCHES)
+
+# the same documents, built from tables without the removed rows and their links
+_LEFT = (MAPPING.replace("FROM orders)", f"FROM orders WHERE o_orderkey NOT IN ({', '.join(map(str, P.REMOVED_FILMS))}))")
+         .replace("FROM supplier)", f"FROM supplier WHERE s_suppkey NOT IN ({', '.join(map(str, P.REMOVED_PERSONS))}))")
+         .replace("FROM part)", f"FROM part WHERE p_partkey NOT IN ({', '.join(map(str, P.REMOVED_GENRES))}))")
+         .replace("FROM lineitem),\ngenre_film_work_raw",
+                  "FROM lineitem WHERE l_orderkey IN (SELECT id FROM film_work) AND l_suppkey IN (SELECT id FROM person)),\ngenre_film_work_raw")
+         .replace("AS genre_id FROM lineitem)",
+                  "AS genre_id FROM lineitem WHERE l_orderkey IN (SELECT id FROM film_work) AND l_partkey IN (SELECT id FROM genre))"))
+
+
+def _left(sql: str) -> str:
+    return sql.replace(MAPPING.strip(), _LEFT.strip())
+
+
+ORACLE_SQL["reconciled_documents"] = f"""
+SELECT 'movies' AS kind, id, concat_ws('|', actors, writers, directors, genres) AS entries FROM ({_left(ORACLE_SQL["film_documents"])})
+UNION ALL SELECT 'persons', id, concat_ws('|', role, film_ids) FROM ({_left(person_docs_sql())})
+UNION ALL SELECT 'genres', id, film_ids FROM ({_left(genre_docs_sql())})"""

@@ -41,3 +41,6 @@ NAMES_GROUP, NAMES_TEXT = "genres", "Blue bolt"
 FEED_SIZE, FEED_RANGES = 100, 16
 # contains searches by trigrams: (query name, table, term text)
 GRAM_SEARCHES = ("urgent 7", "LOW 1", "high zzz", "9", "4-not 00")
+
+# films, persons and genres that are removed from the tables behind the indexes
+REMOVED_FILMS, REMOVED_PERSONS, REMOVED_GENRES = (1, 7, 32, 130), (3,), (7, 70)

@@ -33,6 +33,8 @@ from ..session import materialize, subdir
 from ..sources import layouts as LY
 from ..sources import sinks as SK
 from ..sources.tables import load_test_catalog
+from ..streaming.incremental import DocumentSinks
+from ..streaming.reconcile import reconcile
 from . import params as P
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -578,3 +580,26 @@ def search_films_by_trigrams(spark, sf_dir):
     postings = materialize(TG.trigram_postings(films, fields), "trigrams")
     found = [TG.search(films, postings, fields, q).withColumn("query", F.lit(q)) for q in P.GRAM_SEARCHES]
     return _admin(reduce(DataFrame.unionByName, found).select("query", *K.ADMIN_FILM_COLUMNS))
+
+
+# ---- removals that reach the indexes -----------------------------------------------------------
+
+
+@query
+def reconciled_documents(spark, sf_dir):
+    """The documents left in all indexes after films, people and genres vanish from the tables."""
+    cat = load_test_catalog(spark, sf_dir)
+    sinks = DocumentSinks(subdir(spark, "reconciled", uuid.uuid4().hex))
+    SK.upsert(D.film_documents(cat), sinks.path("movies"), 0)
+    SK.upsert(D.person_documents(cat), sinks.path("persons"), 0)
+    SK.upsert(D.genre_documents(cat), sinks.path("genres"), 0)
+    left = cat.with_(film_work=cat.film_work.where(~F.col("id").isin(*P.REMOVED_FILMS)),
+                     person=cat.person.where(~F.col("id").isin(*P.REMOVED_PERSONS)),
+                     genre=cat.genre.where(~F.col("id").isin(*P.REMOVED_GENRES)))
+    reconcile(spark, left, sinks, 1)
+    movies, persons, genres = (SK.current_view(spark, sinks.path(i)) for i in ("movies", "persons", "genres"))
+    lists = F.concat_ws("|", *[join_refs(g) for g in D.DOC_GROUPS])
+    return reduce(DataFrame.unionByName, [
+        movies.select(F.lit("movies").alias("kind"), "id", lists.alias("entries")),
+        persons.select(F.lit("persons").alias("kind"), "id", F.concat_ws("|", join_values("role"), join_values("film_ids")).alias("entries")),
+        genres.select(F.lit("genres").alias("kind"), "id", join_values("film_ids").alias("entries"))])

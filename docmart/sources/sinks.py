@@ -77,12 +77,25 @@ def latest_by_key(df: DataFrame, key: str, version_cols: list[str]) -> DataFrame
     return latest.select(key, *[F.col(f"_row.{c}").alias(c) for c in payload])
 
 
+def remove(ids: DataFrame, path: str, batch_id: int, key: str = "id") -> None:
+    """Tombstones: the documents of ``ids`` are gone as of version ``batch_id`` (replay-safe like ``upsert``).
+
+    They lie beside the table, so the documents keep their schema; a later version of a key lives again.
+    """
+    upsert(ids.select(key), f"{path}.removed", batch_id)
+
+
 def current_view(spark: SparkSession, path: str, key: str = "id") -> DataFrame:
     """Current documents of a versioned table: every row (all parts) of the
     latest ``batch_id`` per key, so a document that shrank to fewer parts
-    leaves no stale part behind."""
+    leaves no stale part behind; none of a key removed since."""
     versions = spark.read.parquet(path)
     newest = versions.groupBy(key).agg(F.max("batch_id").alias("batch_id"))
+    removed = read_if_there(spark, f"{path}.removed")
+    if removed is not None:
+        last = removed.groupBy(key).agg(F.max("batch_id").alias("_removed"))
+        newest = (newest.join(last, key, "left").where(F.col("_removed").isNull() | (F.col("_removed") < F.col("batch_id")))
+                  .drop("_removed"))
     return versions.join(newest, [key, "batch_id"], "left_semi")
 
 

@@ -3,6 +3,7 @@
 ``full``        rebuild every document and write it as one version
 ``incremental`` one high-water-mark run (changes since the last committed mark)
 ``stream``      Structured Streaming over change folders (one per table)
+``reconcile``   compare every index with the tables, remove and rebuild what differs
 ``layout``      store the link tables by film and by person or genre under ``--layout``
 
 With ``--layout DIR`` the incremental and stream jobs read links by the changed keys from there.
@@ -32,6 +33,7 @@ from ..sources.tables import load_catalog, load_catalog_jdbc, load_test_catalog
 from ..operators.changes import current_mark
 from ..session import JOB_CONF
 from .incremental import CHANGE_SOURCES, DocumentSinks, run_incremental, start_document_stream
+from .reconcile import reconcile
 
 
 LAYOUT_TABLES = "docmart_links"
@@ -73,7 +75,7 @@ def full_rebuild(spark: SparkSession, catalog_loader, sinks: DocumentSinks, prog
 
 def main(argv=None) -> None:
     p = argparse.ArgumentParser(prog="docmart")
-    p.add_argument("command", choices=["full", "incremental", "stream", "layout"])
+    p.add_argument("command", choices=["full", "incremental", "stream", "reconcile", "layout"])
     src = p.add_mutually_exclusive_group(required=True)
     src.add_argument("--tables")
     src.add_argument("--test-sf")
@@ -109,6 +111,11 @@ def main(argv=None) -> None:
     elif args.command == "full":
         batch = full_rebuild(spark, loader, sinks, progress)
         print(json.dumps({"batch_id": batch}))
+    elif args.command == "reconcile":
+        batch = progress.next_batch_id()
+        done = reconcile(spark, loader(), sinks, batch)
+        progress.commit("reconcile", datetime(1970, 1, 1), current_mark(spark), batch)
+        print(json.dumps({"batch_id": batch, "rebuilt_removed": done}))
     elif args.command == "incremental":
         batch = run_incremental(spark, loader, sinks, progress, slices=args.slices)
         print(json.dumps({"batch_id": batch}))
