@@ -26,7 +26,7 @@ from ..operators import documents as D
 from ..operators.changes import changed_ids, current_mark, film_ids_for, in_window
 from ..schemas import INDEX_GENRES, INDEX_MOVIES, INDEX_PERSONS
 from ..session import materialize
-from ..sources.sinks import ProgressLog, upsert
+from ..sources.sinks import ProgressLog, read_if_there, upsert
 
 CHANGE_SOURCES = ("genre", "person", "film_work")
 
@@ -93,8 +93,8 @@ def _process_by_layout(cat, changes: DataFrame, sinks: DocumentSinks, batch_id:
 
 
 def change_rows(cat, windows: dict[str, tuple]) -> DataFrame:
-    """(source, id) rows of every table changed in its [lo, hi) window."""
-    parts = [changed_ids(getattr(cat, t), lo, hi).select(F.lit(t).alias("source"), F.col("id"))
+    """(source, id, modified) rows of every table changed in its [lo, hi) window."""
+    parts = [changed_ids(getattr(cat, t), lo, hi).select(F.lit(t).alias("source"), "id", F.col("modified").cast("timestamp_ntz"))
              for t, (lo, hi) in windows.items()]
     out = parts[0]
     for p in parts[1:]:
@@ -102,6 +102,28 @@ def change_rows(cat, windows: dict[str, tuple]) -> DataFrame:
     return out
 
 
+def _seen_path(sinks: DocumentSinks, batch_id: int) -> str:
+    return f"{sinks.base}/_work/seen/batch_id={batch_id}"
+
+
+def unseen(spark: SparkSession, rows: DataFrame, sinks: DocumentSinks, batch_id: int) -> DataFrame:
+    """``rows`` (source, id, modified) without those that the committed batch ``batch_id`` remembers."""
+    seen = read_if_there(spark, _seen_path(sinks, batch_id))
+    if seen is None:
+        return rows
+    return rows.join(seen, ["source", "id", "modified"], "left_anti")
+
+
+def remember(spark: SparkSession, rows: DataFrame, sinks: DocumentSinks, last: int, batch_id: int, since: str) -> None:
+    """Stores, for the batch after ``batch_id``, the rows from ``since`` on that this one and ``last`` have done.
+
+    The next windows begin at that mark, so nothing older can come again and the table holds one lookback only.
+    """
+    seen = read_if_there(spark, _seen_path(sinks, last))
+    rows = rows if seen is None else rows.unionByName(seen)
+    materialize(rows.where(in_window("modified", since, None)).distinct(), "seen", _seen_path(sinks, batch_id))
+
+
 def slice_marks(cat, windows: dict[str, tuple], slices: int) -> list[datetime]:
     """Where to cut the windows so that each slice holds about as many changes: quantiles of ``modified``
     over all tables from one sketch."""
@@ -119,7 +141,9 @@ def run_incremental(spark: SparkSession, catalog_loader: Callable[[], object], s
     """One batch run: read each table's window [mark - lookback, now), write, commit.
 
     ``now`` (the new high mark) is fixed before the scan, so a row committed
-    during the run with an older ``modified`` is read by the next run.  With
+    during the run with an older ``modified`` is read by the next run.  What the
+    lookback reads again is left out if the last batch has done it with the same
+    ``modified`` (``unseen``), so a row rebuilds its documents once.  With
     ``slices`` the windows are cut at quantiles of ``modified``; every slice is
     written and committed on its own, in time order, so a run that dies goes on
     at the slice that it did not finish.
@@ -136,12 +160,15 @@ def run_incremental(spark: SparkSession, catalog_loader: Callable[[], object], s
         return at.strftime("%Y-%m-%d %H:%M:%S.%f")
 
     cuts = slice_marks(cat, {t: (text(lo), text(now)) for t, lo in low.items()}, slices) if slices > 1 else []
-    batch_id = -1
+    batch_id = progress.next_batch_id() - 1
     for end in [*[c for c in cuts if c < now], now]:
-        batch_id = progress.next_batch_id()
+        last, batch_id = batch_id, progress.next_batch_id()
         windows = {t: (text(lo), text(end)) for t, lo in low.items() if lo < end}
         if windows:
-            process_changes(cat, change_rows(cat, windows), sinks, batch_id)
+            rows = materialize(unseen(spark, change_rows(cat, windows), sinks, last), "changes",
+                               f"{sinks.base}/_work/changes/batch_id={batch_id}")
+            process_changes(cat, rows.select("source", "id"), sinks, batch_id)
+            remember(spark, rows, sinks, last, batch_id, text(end - lookback))
         for t in windows or CHANGE_SOURCES:
             progress.commit(t, low[t], end, batch_id)
         low = {t: max(lo, end) for t, lo in low.items()}

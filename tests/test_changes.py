@@ -238,6 +238,23 @@ def test_i8_lookback_rereads_late_rows(spark, scratch):
     assert ids(spark.read.parquet(sinks.path("movies")).where(F.col("batch_id") == b)) == ["f1"]
 
 
+def test_i8_each_row_of_the_lookback_is_done_once(spark, scratch):
+    sinks, progress = DocumentSinks(f"{scratch}/idx"), SK.ProgressLog(spark, f"{scratch}/progress")
+    start, mark, back = datetime(2021, 7, 1), datetime(2021, 7, 2), timedelta(minutes=1)
+
+    def run(cat, now):
+        b = run_incremental(spark, lambda: cat, sinks, progress, now, back, start)
+        return ids(spark.read.parquet(sinks.path("movies")).where(F.col("batch_id") == b))
+
+    cat = _catalog(spark, f1_mod=mark - timedelta(seconds=30))
+    assert "f1" in run(cat, mark)
+    assert run(cat, mark + timedelta(seconds=10)) == []                  # read again, done already
+    moved = _catalog(spark, f1_mod=mark - timedelta(seconds=20))         # committed late, an older mark than the last run's
+    assert run(moved, mark + timedelta(seconds=20)) == ["f1"]
+    assert run(moved, mark + timedelta(seconds=30)) == []                # remembered through runs without changes
+    assert run(moved, mark + timedelta(hours=1)) == []
+
+
 def test_mark_is_in_the_session_zone(spark):
     from datetime import datetime, timezone
 
