@@ -22,13 +22,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructType
 
 from .common import crc_mod, labelled_sample
 from .quality import class_weights, fit_logistic
-from .tokens import pieces
+from .tokens import give_back, pieces
 
 PER_CLASS, WINDOWS, RADIUS, VOCABULARY = 1500, 4, 12, 4000
 _STRIP = b".,!?;:\"'()[]{}<>*#%$&|-_~`"
@@ -36,6 +37,7 @@ _TOKEN = re.compile(r"[^\x20\x09-\x0d]+")
 _STEPS = 80
 _SHORTEST, _LONGEST = 5, 9
 _REMEMBERED = 100_000      # tokens of a task's cache
+_TEXTS = 500          # tagged together
 _CELLS = 400_000      # of a padded block of texts in a task's memory
 
 
@@ -266,18 +268,23 @@ def tag(docs: DataFrame, model: dict, score: str = "score", spans: str = "spans"
     """``docs`` with the document's probability of being toxic and its toxic spans (start:end, code points)."""
     schema = StructType([f for f in docs.schema if f.name not in (score, spans)]).add(score, DoubleType()).add(spans, StringType())
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # only some texts at a time become Python strings; the other columns pass as they are
         curve, table = np.array(model["curve"]), Ids(model["ids"])
-        for batch in pieces(batches):
-            texts = list(batch["text"])
-            points, found = np.zeros((len(texts), 2)), [""] * len(texts)
-            for k, p in _tagged(texts, model["field"], table):
-                points[k] = _summary(p)
-                found[k] = _spans(texts[k] or "", p)
-            z = np.clip(points @ curve[:2] + curve[2], -30, 30)
-            yield batch.assign(**{score: 1 / (1 + np.exp(-z)), spans: found})[schema.names]
-
-    return docs.mapInPandas(run, schema)
+        for whole in batches:
+            for start in range(0, whole.num_rows, _TEXTS):
+                batch = whole.slice(start, _TEXTS)
+                texts = batch.column("text").to_pylist()
+                points, found = np.zeros((len(texts), 2)), [""] * len(texts)
+                for k, p in _tagged(texts, model["field"], table):
+                    points[k] = _summary(p)
+                    found[k] = _spans(texts[k] or "", p)
+                z = np.clip(points @ curve[:2] + curve[2], -30, 30)
+                new = {score: pa.array(1 / (1 + np.exp(-z))), spans: pa.array(found, pa.string())}
+                yield pa.RecordBatch.from_arrays([new[n] if n in new else batch.column(n) for n in schema.names], names=schema.names)
+            give_back()
+
+    return docs.mapInArrow(run, schema)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, mod: int = 4, held_out: int = 2, threshold: float = 0.3) -> DataFrame:
