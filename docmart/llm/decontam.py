@@ -3,7 +3,7 @@
 Texts become templates: words are lower-cased and stripped of punctuation,
 numbers, units after numbers and names (capitalised inside a sentence) become
 typed placeholders that keep their value as a slot; a run of capitalised words
-is one name.  Windows of ``WINDOW`` template words of a document are hash-joined
+is one name; a sign of arithmetic after a number or unit is a word.  Windows of ``WINDOW`` template words of a document are hash-joined
 with those of the benchmark items; windows of fewer than half literal words meet
 only if the values of their slots are equal.  Items shorter than a window are one
 window of their own length.
@@ -24,7 +24,7 @@ of the result (and kept by ``clean``).
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -42,7 +42,11 @@ UNITS = frozenset("""mm cm m km in ft mi mg g kg lb oz ml l s sec min h hr hours
 year years minutes minute seconds second meters metres miles inches feet grams kilograms pounds liters litres dollars
 cents euros percent degrees mph kmh""".split())
 
-_LIT, _NUM, _UNIT, _CAP = 0, 1, 2, 3
+# Signs of arithmetic that stand alone.
+SIGNS = frozenset("+ - * / = ^ < > × ÷ −".split())
+
+_LIT, _NUM, _UNIT, _CAP, _SIGN = 0, 1, 2, 3, 4
+_KIND, _ENDS, _CLOSES = 7, 8, 16        # parts of a word's flags: its kind, ends a sentence, ends a name
 _EDGE = re.compile(r"^[\W_]+|[\W_]+$")
 _NUMBER = re.compile(r"[+-]?[$€£]?\d+(?:[.,:/]\d+)*(?:%|st|nd|rd|th)?")
 _P = np.uint64(0x9E3779B97F4A7C15)
@@ -50,7 +54,7 @@ _KEEP = 300_000
 
 
 class _Words(dict):
-    """word -> row of what is known of it (core, hash, kind, ends a sentence); forgets all when full."""
+    """word -> row of what is known of it (core, hash, flags); forgets all when full."""
 
     def __init__(self) -> None:
         self.forget()
@@ -58,74 +62,90 @@ class _Words(dict):
     def forget(self) -> None:
         self.clear()
         self.cores: list[str] = []
-        self.hashes, self.kinds, self.ends = np.zeros(1 << 12, np.uint64), np.zeros(1 << 12, np.int8), np.zeros(1 << 12, bool)
-        self.closes = np.zeros(1 << 12, bool)
+        self.hashes, self.flags = np.zeros(1 << 12, np.uint64), np.zeros(1 << 12, np.int8)
 
     def __missing__(self, word: str) -> int:
-        core = _EDGE.sub("", word)
+        core = word if word.isalnum() or word in SIGNS else _EDGE.sub("", word)
         low = core.lower()
         row = len(self.cores)
         if row == len(self.hashes):
-            self.hashes, self.kinds, self.ends, self.closes = (
-                np.concatenate([a, np.zeros_like(a)]) for a in (self.hashes, self.kinds, self.ends, self.closes))
-        self.kinds[row] = _NUM if _NUMBER.fullmatch(core) else _UNIT if low in UNITS else _CAP \
-            if core[:1].isupper() and core[1:].islower() else _LIT
+            self.hashes, self.flags = (np.concatenate([a, np.zeros_like(a)]) for a in (self.hashes, self.flags))
+        kind = _SIGN if word in SIGNS else _NUM if core[:1].isdecimal() and _NUMBER.fullmatch(core) else _UNIT if low in UNITS \
+            else _CAP if core[:1].isupper() and core[1:].islower() else _LIT
         self.cores.append(low)
-        self.hashes[row] = xxhash.xxh3_64_intdigest(low.encode("utf-8", "surrogatepass")) if low else 0
-        self.ends[row] = word[-1] in ".!?:;" or not core
-        self.closes[row] = not word[-1].isalnum()       # a name ends here
+        if low:
+            self.hashes[row] = xxhash.xxh3_64_intdigest(low.encode("utf-8", "surrogatepass"))
+        self.flags[row] = (kind | (_ENDS if word[-1] in ".!?:;" or not core or kind == _SIGN else 0)
+                           | (0 if word[-1].isalnum() else _CLOSES))
         self[word] = row
         return row
 
     def of(self, text: str, inside: bool = False):
-        """Template of a text: hashes, hashes with values and kinds of its entries, their first words, and the rows of all words.
+        """Template of a text: hashes and kinds of its entries, their first words, and the rows of all words.
 
         With ``inside`` the text does not start a sentence.
         """
         if len(self) > _KEEP:
             self.forget()
-        rows = np.fromiter(map(self.__getitem__, text.split()), np.int64)
-        hashes, kinds, ends = self.hashes[rows], self.kinds[rows], self.ends[rows]
-        start = np.ones(len(rows), bool)            # of a sentence: a capital says nothing there
-        start[:1] = not inside
-        start[1:] = ends[:-1]
-        kinds[(kinds == _CAP) & start] = _LIT
-        after = np.zeros(len(rows), bool)
-        after[1:] = kinds[:-1] == _NUM
-        kinds[(kinds == _UNIT) & ~after] = _LIT
+        words = text.split()
+        rows = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+        hashes, flags = self.hashes[rows], self.flags[rows]
+        kinds = flags & _KIND
         full = hashes != 0
-        rows, hashes, kinds = rows[full], hashes[full], kinds[full]
+        if kinds.any():
+            start = np.ones(len(rows), bool)            # of a sentence: a capital says nothing there
+            start[:1] = not inside
+            start[1:] = flags[:-1] & _ENDS
+            kinds[(kinds == _CAP) & start] = _LIT
+            after = np.zeros(len(rows), bool)
+            after[1:] = kinds[:-1] == _NUM
+            kinds[(kinds == _UNIT) & ~after] = _LIT
+            after[1:] |= kinds[:-1] == _UNIT
+            sign = kinds == _SIGN
+            full &= ~sign | after
+            kinds[sign] = _LIT
+        if not full.all():
+            rows, hashes, flags, kinds = rows[full], hashes[full], flags[full], kinds[full]
         name = np.zeros(len(rows), bool)            # goes on
-        name[1:] = (kinds[1:] == _CAP) & (kinds[:-1] == _CAP) & ~self.closes[rows[:-1]]
+        name[1:] = (kinds[1:] == _CAP) & (kinds[:-1] == _CAP) & (flags[:-1] & _CLOSES == 0)
         first = np.flatnonzero(~name)
-        nth = (np.arange(len(rows)) - np.repeat(first, np.diff(np.append(first, len(rows))))).astype(np.uint64)
-        exact = np.add.reduceat(mix(hashes + nth * _P), first) if len(first) else hashes
-        kinds = kinds[first]
-        exact = mix(exact + kinds.astype(np.uint64) * _P)       # a word and the same word as a name are two
-        return np.where(kinds == _LIT, hashes[first], kinds.astype(np.uint64) * _P), exact, kinds, first, rows
-
+        if len(first) < len(rows):
+            hashes, kinds = hashes[first], kinds[first]
+        return np.where(kinds == _LIT, hashes, kinds.astype(np.uint64) * _P), kinds, first, rows
 
-def _rolled(h: np.ndarray, at: np.ndarray, w: int) -> np.ndarray:
-    acc = h[at]
+    def exact(self, kinds: np.ndarray, first: np.ndarray, rows: np.ndarray) -> np.ndarray:
+        """Hashes of a template's entries with their values."""
+        nth = (np.arange(len(rows)) - np.repeat(first, np.diff(np.append(first, len(rows))))).astype(np.uint64)
+        values = np.add.reduceat(mix(self.hashes[rows] + nth * _P), first)
+        return mix(values + kinds.astype(np.uint64) * _P)       # a word and the same word as a name are two
+
+    def windows(self, h: np.ndarray, kinds: np.ndarray, first: np.ndarray, rows: np.ndarray, w: int) -> tuple[np.ndarray, np.ndarray]:
+        """A hash for every window, and which have fewer than half literal words: their hash holds the values."""
+        n = len(h) - w + 1
+        acc = _rolled(lambda j: h[j:j + n], w)
+        heavy = np.zeros(n, bool)
+        if kinds.any():
+            literal = np.concatenate([[0], np.cumsum(kinds == _LIT)])
+            heavy = 2 * (literal[w:] - literal[:-w]) < w
+            at = np.flatnonzero(heavy)
+            if len(at):         # values matter in these windows alone
+                values = self.exact(kinds, first, rows)
+                acc[at] = mix(_rolled(lambda j: values[at + j], w) + _P)
+        return acc, heavy
+
+
+def _rolled(entries: Callable[[int], np.ndarray], w: int) -> np.ndarray:
+    """A polynomial hash of ``w`` entries; ``entries(j)`` are the j-th ones of all windows."""
+    acc = entries(0).copy()
     for j in range(1, w):
-        acc = mix(acc) * _P + h[at + j]
-    return acc
-
-
-def _window_hashes(h: np.ndarray, exact: np.ndarray, kinds: np.ndarray, w: int) -> tuple[np.ndarray, np.ndarray]:
-    """A hash for every window, and which have fewer than half literal words: their hash holds the values."""
-    n = len(h) - w + 1
-    acc = _rolled(h, np.arange(n), w)
-    literal = np.concatenate([[0], np.cumsum(kinds == _LIT)])
-    heavy = 2 * (literal[w:] - literal[:-w])[:n] < w
-    at = np.flatnonzero(heavy)
-    acc[at] = mix(_rolled(exact, at, w) + _P)
-    return acc, heavy
+        acc *= _P
+        acc += entries(j)
+    return mix(acc)
 
 
 def _slots(table: _Words, kinds: np.ndarray, first: np.ndarray, rows: np.ndarray, at: int, w: int) -> list[str]:
-    last = np.append(first[1:], len(rows))
-    return [" ".join(table.cores[x] for x in rows[first[i]:last[i]]) for i in range(at, at + w) if kinds[i] != _LIT]
+    last = np.append(first[at + 1:at + w + 1], len(rows))
+    return [" ".join(table.cores[x] for x in rows[first[at + i]:last[i]]) for i in range(w) if kinds[at + i] != _LIT]
 
 
 _OUT = "id long, pos int, n int, w int, hash long, heavy boolean, slots array<string>"
@@ -145,13 +165,13 @@ def _windows(lengths: list[int], only: np.ndarray | None, short: bool):
                     continue
                 # an item's first word may stand inside a sentence of the document, where its capital reads as a name
                 for inside in ((False, True) if short else (False,)):
-                    h, exact, kinds, first, rows = table.of(text, inside)
+                    h, kinds, first, rows = table.of(text, inside)
                     n = len(h)
                     sizes = ([WINDOW] if n >= WINDOW else [n] * (n > 0)) if short else [w for w in lengths if w <= n]
                     if inside and n and kinds[0] != _CAP:
                         continue
                     for w in sizes:
-                        acc, heavy = _window_hashes(h, exact, kinds, w)
+                        acc, heavy = table.windows(h, kinds, first, rows, w)
                         at = np.arange(len(acc))
                         if only is not None:
                             at = at[bloom[(acc & np.uint64((1 << 20) - 1)).astype(np.int64)]]
