@@ -2,7 +2,8 @@
 
 Candidates of the battery are runs of 16 or more characters of
 [A-Za-z0-9+/_=-].  Each gets the narrowest encoding that holds it (decimal,
-hex, lower or upper letters, base 32, base 64).  Three statistics are taken
+hex in either case, lower or upper letters, base 32 of
+A-Z and 2-7, upper letters with digits, base 64).  Three statistics are taken
 over its symbols: chi-squared of a uniform alphabet, the number of runs of
 letter class (or of low and high symbols), and the serial correlation of
 neighbouring symbols.
@@ -46,12 +47,14 @@ ENCODINGS = {
     "hex": (_DIGITS + "abcdef", "abcdef"),
     "lower": (_LOW, _LOW[13:]),
     "upper": (_UP, _UP[13:]),
-    "base32": (_UP + _DIGITS, _DIGITS),
+    "upperhex": (_DIGITS + "ABCDEF", "ABCDEF"),
+    "base32": (_UP + "234567", "234567"),
+    "base36": (_UP + _DIGITS, _DIGITS),
     "base64": (_UP + _LOW + _DIGITS + "+/_-=", _LOW),
 }
-# excess chi-squared per character, class changes per step, correlation of neighbours in ordinary strings
-ORDINARY = {"decimal": (0.6, 0.35, 0.5), "hex": (0.9, 0.2, 0.5), "lower": (0.8, 0.5, 0.3),
-            "upper": (0.8, 0.5, 0.3), "base32": (1.1, 0.1, 0.5), "base64": (3.0, 0.15, 0.5)}
+# excess chi-squared per character, class changes per step, correlation of neighbours in ordinary strings (set by hand)
+ORDINARY = {"decimal": (0.6, 0.35, 0.5), "hex": (0.9, 0.2, 0.5), "upperhex": (0.9, 0.2, 0.5), "lower": (0.8, 0.5, 0.3),
+            "upper": (0.8, 0.5, 0.3), "base32": (1.1, 0.1, 0.5), "base36": (1.1, 0.1, 0.5), "base64": (3.0, 0.15, 0.5)}
 STRATA = (16, 24, 32, 48, 96)
 Z_RANDOM, RATE, STEPS = 3.5, 0.01, 200
 
@@ -130,7 +133,8 @@ def _tested(s: Column, encoding: str) -> Column:
 
 def _step(s: Column) -> Column:
     out = F.when(s.rlike("^[0-9]+$"), _tested(s, "decimal"))
-    for enc, pat in (("hex", "^[0-9a-f]+$"), ("lower", "^[a-z]+$"), ("upper", "^[A-Z]+$"), ("base32", "^[A-Z0-9]+$")):
+    for enc, pat in (("hex", "^[0-9a-f]+$"), ("upperhex", "^[0-9A-F]+$"), ("lower", "^[a-z]+$"), ("upper", "^[A-Z]+$"),
+                     ("base32", "^[A-Z2-7]+$"), ("base36", "^[A-Z0-9]+$")):
         out = out.when(s.rlike(pat), _tested(s, enc))
     return out.otherwise(_tested(s, "base64"))
 
