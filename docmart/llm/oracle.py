@@ -88,20 +88,37 @@ goal AS (
   SELECT source, source_size, least(weight * (SELECT max(level) FROM filled), cap) AS target,
     CASE WHEN source_size > 0 THEN least(weight * (SELECT max(level) FROM filled), cap) / source_size ELSE 0.0::DOUBLE END AS ratio
   FROM filled),
-open AS (
+mean AS (
+  SELECT source, sum(greatest(floor(sqrt(size)), 1) * size) / sum(size) AS mean_w FROM sized GROUP BY source),
+ranked AS (
   SELECT s.doc_id, s.size, g.source_size, g.target, floor(g.ratio) AS whole, s.source,
-    g.ratio - floor(g.ratio) AS part, g.target - floor(g.ratio) * g.source_size AS missing,
-    least(greatest(g.ratio - floor(g.ratio), 1e-9::DOUBLE), 1 - 1e-9::DOUBLE) AS p, s.u
-  FROM sized s JOIN goal g ON s.source IS NOT DISTINCT FROM g.source),
-ordered AS (
-  SELECT *, coalesce(sum(size) OVER (PARTITION BY source, part > 0 AND size > 0
-      ORDER BY ((u / (1 - u)) / (p / (1 - p))) / (1 + (u / (1 - u)) / (p / (1 - p))), doc_id, size
-      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS so_far
-  FROM open)
-SELECT doc_id, size, source_size, target,
-  CAST(size * (whole + CASE WHEN part > 0 AND size > 0 AND so_far + size / 2 <= missing THEN 1 ELSE 0 END) AS BIGINT) AS taken,
-  CAST(whole + CASE WHEN part > 0 AND size > 0 AND so_far + size / 2 <= missing THEN 1 ELSE 0 END AS INTEGER) AS copies
-FROM ordered"""
+    g.ratio - floor(g.ratio) > 0 AND s.size > 0 AS open_row, g.target - floor(g.ratio) * g.source_size AS left0,
+    least(greatest((g.ratio - floor(g.ratio)) * greatest(floor(sqrt(s.size)), 1) / coalesce(m.mean_w, 1.0::DOUBLE), 1e-9::DOUBLE),
+          1 - 1e-9::DOUBLE) AS p, s.u
+  FROM sized s JOIN goal g ON s.source IS NOT DISTINCT FROM g.source JOIN mean m ON s.source IS NOT DISTINCT FROM m.source),
+odds AS (
+  SELECT * EXCLUDE (u, p), ((u / (1 - u)) / (p / (1 - p))) / (1 + (u / (1 - u)) / (p / (1 - p))) AS place FROM ranked),
+first AS (
+  SELECT *, open_row AND size <= left0 AS tries0, sum(size) OVER (PARTITION BY source, open_row AND size <= left0
+      ORDER BY place, doc_id, size) AS upto0 FROM odds),
+first_done AS (
+  SELECT *, tries0 AND upto0 <= left0 AS took0,
+    left0 - coalesce(sum(CASE WHEN tries0 AND upto0 <= left0 THEN size END) OVER (PARTITION BY source), 0) AS left1 FROM first),
+second AS (
+  SELECT *, open_row AND NOT took0 AND size <= left1 AS tries1,
+    sum(size) OVER (PARTITION BY source, open_row AND NOT took0 AND size <= left1 ORDER BY place, doc_id, size) AS upto1
+  FROM first_done),
+second_done AS (
+  SELECT *, tries1 AND upto1 <= left1 AS took1,
+    left1 - coalesce(sum(CASE WHEN tries1 AND upto1 <= left1 THEN size END) OVER (PARTITION BY source), 0) AS left2 FROM second),
+third AS (
+  SELECT *, open_row AND NOT took0 AND NOT took1 AND size <= 2 * left2 AS tries2,
+    sum(size) OVER (PARTITION BY source, open_row AND NOT took0 AND NOT took1 AND size <= 2 * left2
+      ORDER BY place, doc_id, size) AS upto2 FROM second_done),
+done AS (
+  SELECT *, CAST(whole + CASE WHEN took0 OR took1 OR (tries2 AND upto2 - size / 2 <= left2) THEN 1 ELSE 0 END AS INTEGER) AS copies
+  FROM third)
+SELECT doc_id, size, source_size, target, CAST(size * copies AS BIGINT) AS taken, copies FROM done"""
 
 # ---- op11: every failure pattern under every order, step by step ------------------
 ORACLE_SQL["op11_filter_audit"] = rf"""
