@@ -10,11 +10,12 @@ first (a top-k over the film table), then aggregate only those films' links.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.search import all_terms_match
 from ..schemas import PAGE_SIZE, ROLE_ACTOR, ROLE_DIRECTOR, ROLE_WRITER
+from ..session import materialize
 
 API_COLUMNS = ("id", "title", "description", "creation_date", "rating", "type")
 API_ROLE_GROUPS = {"actors": ROLE_ACTOR, "directors": ROLE_DIRECTOR, "writers": ROLE_WRITER}
@@ -179,6 +180,23 @@ def film_cast_ordered(cat) -> DataFrame:
                .orderBy("film_work_id", "full_name", "person_id", "role"))
 
 
+def film_genres_ordered(cat) -> DataFrame:
+    """Genre rows of every film ordered by (film, genre name), as the list of films prefetches them."""
+    genre = cat.genre.select(F.col("id").alias("genre_id"), "name")
+    return (cat.genre_film_work.join(genre, "genre_id", "left").select("film_work_id", "genre_id", "name")
+               .orderBy("film_work_id", "name", "genre_id"))
+
+
+def with_place(ordered: DataFrame, order: list[str]) -> DataFrame:
+    """Adds ``place``, the 0-based position in the total order by ``order``, without a sort in one task."""
+    parts = materialize(ordered.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()), "ordered")
+    counts = parts.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))        # a row per partition
+    before = counts.select("_part", (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_before"))
+    nth = F.row_number().over(Window.partitionBy("_part").orderBy(*order)) - 1
+    return (parts.withColumn("_nth", nth).join(F.broadcast(before), "_part")
+            .withColumn("place", (F.col("_before") + F.col("_nth")).cast("long")).drop("_part", "_nth", "_before"))
+
+
 def films_by_title(cat) -> DataFrame:
     """Films sorted by exact title (the `title.raw` sort key), id breaks ties."""
     return cat.film_work.select("id", "title").orderBy("title", "id")

@@ -37,6 +37,23 @@ def split_valid(df: DataFrame, checks: list[tuple[str, Column]]) -> tuple[DataFr
     return valid, rejects
 
 
+def person_checks() -> list[tuple[str, Column]]:
+    return [(f"{c} is null", F.col(c).isNull()) for c in PERSON_REQUIRED]
+
+
+def genre_checks() -> list[tuple[str, Column]]:
+    return [(f"{c} is null", F.col(c).isNull()) for c in GENRE_REQUIRED]
+
+
+def rejected_entities(cat) -> DataFrame:
+    """(table_name, key, reasons): films, persons and genres that cannot become documents."""
+    tables = (("film_work", cat.film_work, film_checks()), ("person", cat.person, person_checks()),
+              ("genre", cat.genre, genre_checks()))
+    return reduce(DataFrame.unionByName, [
+        split_valid(df, checks)[1].select(F.lit(name).alias("table_name"), F.col("id").cast("string").alias("key"), "reasons")
+        for name, df, checks in tables])
+
+
 def valid_films(film_work: DataFrame) -> DataFrame:
     return split_valid(film_work, film_checks())[0]
 

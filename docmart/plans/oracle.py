@@ -699,3 +699,37 @@ ORACLE_SQL["reconciled_documents"] = f"""
 SELECT 'movies' AS kind, id, concat_ws('|', actors, writers, directors, genres) AS entries FROM ({_left(ORACLE_SQL["film_documents"])})
 UNION ALL SELECT 'persons', id, concat_ws('|', role, film_ids) FROM ({_left(person_docs_sql())})
 UNION ALL SELECT 'genres', id, film_ids FROM ({_left(genre_docs_sql())})"""
+
+
+# ---- sets kept by counts, rejects, places ---------------------------------------------------------
+
+_GONE = ", ".join(map(str, P.REMOVED_FILMS))
+ORACLE_SQL["counted_genre_films"] = _with() + f"""
+SELECT genre_id AS id, film_work_id AS film_id, CAST(count(*) AS BIGINT) AS n
+FROM genre_film_work_raw WHERE film_work_id NOT IN ({_GONE}) GROUP BY 1, 2"""
+ORACLE_SQL["counted_genre_changes"] = _with() + f"""
+SELECT l.genre_id AS id, l.film_work_id AS film_id, 'added' AS change, 1 AS batch
+FROM genre_film_work l JOIN film_work f ON f.id = l.film_work_id WHERE f.modified >= TIMESTAMP '{P.FILM_LO}'
+UNION ALL SELECT genre_id, film_work_id, 'retracted', 2 FROM genre_film_work WHERE film_work_id IN ({_GONE})"""
+ORACLE_SQL["counted_genre_parts"] = _with(f"""
+placed AS (
+  SELECT genre_id AS id, film_work_id AS film_id,
+    CAST(CAST('0x' || substr(md5(CAST(film_work_id AS VARCHAR)), 1, 8) AS BIGINT) % {P.BUCKETS} AS INTEGER) AS part
+  FROM genre_film_work)""") + f"""
+SELECT id, part, coalesce(string_agg(CAST(film_id AS VARCHAR), ',' ORDER BY film_id)
+  FILTER (WHERE film_id NOT IN ({_GONE})), '') AS film_ids
+FROM placed WHERE (id, part) IN (SELECT (id, part) FROM placed WHERE film_id IN ({_GONE})) GROUP BY 1, 2"""
+ORACLE_SQL["rejected_entities"] = _with() + f"""
+SELECT 'film_work' AS table_name, CAST(id AS VARCHAR) AS key,
+  concat_ws(',', CASE WHEN title = '{P.LOST_TITLE}' THEN 'title is null' END, CASE WHEN type = '{P.LOST_TYPE}' THEN 'type is null' END) AS reasons
+FROM film_work WHERE title = '{P.LOST_TITLE}' OR type = '{P.LOST_TYPE}'
+UNION ALL SELECT 'person', CAST(id AS VARCHAR), 'full_name is null' FROM person WHERE modified < TIMESTAMP '{P.PERSON_LO}'
+UNION ALL SELECT 'genre', CAST(id AS VARCHAR), 'name is null' FROM genre WHERE name = '{P.FILTER_GENRE_NAME}'"""
+ORACLE_SQL["film_cast_places"] = _with() + """
+SELECT l.film_work_id, l.person_id, p.full_name, l.role, row_number() OVER (
+  ORDER BY l.film_work_id, p.full_name NULLS FIRST, l.person_id, l.role NULLS FIRST) - 1 AS place
+FROM person_film_work l LEFT JOIN person p ON p.id = l.person_id"""
+ORACLE_SQL["film_genres_places"] = _with() + """
+SELECT l.film_work_id, l.genre_id, g.name, row_number() OVER (
+  ORDER BY l.film_work_id, g.name NULLS FIRST, l.genre_id) - 1 AS place
+FROM genre_film_work l LEFT JOIN genre g ON g.id = l.genre_id"""

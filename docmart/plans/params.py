@@ -44,3 +44,6 @@ GRAM_SEARCHES = ("urgent 7", "LOW 1", "high zzz", "9", "4-not 00")
 
 # films, persons and genres that are removed from the tables behind the indexes
 REMOVED_FILMS, REMOVED_PERSONS, REMOVED_GENRES = (1, 7, 32, 130), (3,), (7, 70)
+
+# values that the rejects query takes away
+LOST_TITLE, LOST_TYPE = "5-LOW", "P"

@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 from ..functions.sets import join_refs, join_values
 from ..operators import catalog as K
 from ..operators import changes as C
+from ..operators import counted_sets as CS
 from ..operators import documents as D
 from ..operators import element_index as EI
 from ..operators import page_index as PI
@@ -603,3 +604,68 @@ def reconciled_documents(spark, sf_dir):
         movies.select(F.lit("movies").alias("kind"), "id", lists.alias("entries")),
         persons.select(F.lit("persons").alias("kind"), "id", F.concat_ws("|", join_values("role"), join_values("film_ids")).alias("entries")),
         genres.select(F.lit("genres").alias("kind"), "id", join_values("film_ids").alias("entries"))])
+
+
+# ---- sets kept by counts ------------------------------------------------------------------------
+
+
+def _counted_genres(spark, sf_dir):
+    """Films before FILM_LO, then the films since with the links of one day once more, then removals."""
+    cat = load_test_catalog(spark, sf_dir)
+    links = cat.genre_film_work_raw
+    dated = links.join(cat.film_work.select(F.col("id").alias("film_work_id"), "modified"), "film_work_id")
+    day = dated.where(F.col("modified").between(P.BATCH_DAY, P.BATCH_NEXT_DAY))
+    store = CS.CountedSets(spark, subdir(spark, "counted", uuid.uuid4().hex), files=8)
+    store.append(CS.signed(dated.where(F.col("modified") < P.FILM_LO), "genre_id"), 0)
+    store.append(CS.signed(dated.where(F.col("modified") >= P.FILM_LO), "genre_id").unionByName(CS.signed(day, "genre_id")), 1)
+    gone = links.where(F.col("film_work_id").isin(*P.REMOVED_FILMS))
+    again = day.where(~F.col("film_work_id").isin(*P.REMOVED_FILMS))
+    twice = day.where(F.col("film_work_id").isin(*P.REMOVED_FILMS))
+    store.append(reduce(DataFrame.unionByName, [CS.signed(x, "genre_id", -1) for x in (gone, again, twice)]), 2)
+    return store
+
+
+@query
+def counted_genre_films(spark, sf_dir):
+    """The films of every genre after inserts, repeats and removals, with the number of their links."""
+    return _counted_genres(spark, sf_dir).entries()
+
+
+@query
+def counted_genre_changes(spark, sf_dir):
+    """What each batch added to the sets and retracted from them."""
+    store = _counted_genres(spark, sf_dir)
+    return reduce(DataFrame.unionByName, [store.changes(b).withColumn("batch", F.lit(b)) for b in (1, 2)])
+
+
+@query
+def counted_genre_parts(spark, sf_dir):
+    """The parts of genre sets that the removals touched, rebuilt."""
+    parts = _counted_genres(spark, sf_dir).parts(P.BUCKETS, changed_in=2)
+    return parts.select("id", "part", join_values("film_ids").alias("film_ids"))
+
+
+# ---- rejects of every table, places in an order ---------------------------------------------------
+
+
+@query
+def rejected_entities(spark, sf_dir):
+    """Rejects of films, persons and genres, with values taken away so that there are some."""
+    cat = load_test_catalog(spark, sf_dir)
+    cat = cat.with_(film_work=cat.film_work.withColumn("title", F.nullif("title", F.lit(P.LOST_TITLE)))
+                    .withColumn("type", F.nullif("type", F.lit(P.LOST_TYPE))),
+                    person=cat.person.withColumn("full_name", F.when(F.col("modified") >= P.PERSON_LO, F.col("full_name"))),
+                    genre=cat.genre.withColumn("name", F.nullif("name", F.lit(P.FILTER_GENRE_NAME))))
+    return Q.rejected_entities(cat).withColumn("reasons", F.concat_ws(",", "reasons"))
+
+
+@query
+def film_cast_places(spark, sf_dir):
+    order = ["film_work_id", "full_name", "person_id", "role"]
+    return K.with_place(K.film_cast_ordered(load_test_catalog(spark, sf_dir)), order)
+
+
+@query
+def film_genres_places(spark, sf_dir):
+    order = ["film_work_id", "name", "genre_id"]
+    return K.with_place(K.film_genres_ordered(load_test_catalog(spark, sf_dir)), order)
