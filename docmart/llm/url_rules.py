@@ -39,7 +39,8 @@ class Rule:
 
 def host_rule(verdict: str, host: str, path: str) -> Rule:
     """Its literal tokens: the host's labels, and path tokens that the rule itself ends."""
-    held = re.findall(r"[a-z0-9]+", host) + re.findall(r"(?<![a-z0-9])[a-z0-9]+(?=[^a-z0-9])", path)
+    low = path.translate({c: c + 32 for c in range(ord("A"), ord("Z") + 1)})       # as the urls are before they are cut
+    held = re.findall(r"[a-z0-9]+", host) + re.findall(r"(?<![a-z0-9])[a-z0-9]+(?=[^a-z0-9])", low)
     return Rule(host + path, verdict, host=host, path=path, tokens=tuple(held) if host.isascii() else ())
 
 

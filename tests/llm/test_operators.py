@@ -225,6 +225,18 @@ def test_url_rules(spark):
     assert got[5][2:] == (None, "block") and got[6] == ("", "", None, "allow") and got[8] == ("a.net", "", None, "allow")
 
 
+def test_url_rules_with_capitals_in_the_path(spark):
+    rules = (url_rules.host_rule("block", "org", "/enUS/"), url_rules.host_rule("allow", "a.org", "/enUS/Ok"))
+    urls = ["http://a.org/enUS/x", "http://a.org/enus/x", "http://b.org/enUS/", "http://a.org/enUS/Okay", "http://a.org/enUS/ok",
+            "http://b.org/" + "long/" * 5000 + "enUS/"]
+    table = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = {r["page_id"]: (r["rule"], r["verdict"]) for r in url_rules.judge(table, rules).collect()}
+    assert got == {0: ("org/enUS/", "block"), 1: (None, "allow"), 2: ("org/enUS/", "block"), 3: ("a.org/enUS/Ok", "allow"),
+                   4: ("org/enUS/", "block"), 5: (None, "allow")}
+    empty = spark.createDataFrame([], "page_id long, url string, rule int, verdict int, token string")
+    assert url_rules.judge(empty, rules).count() == 0
+
+
 def test_classifiers(spark, docs, none):
     labels = spark.createDataFrame([(i, i % 2, i % 2) for i in range(400)] + [(None, 1, 1), (3, None, None)],
                                    "doc_id long, quality int, toxic int")
