@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from ..functions.sets import empty_if_null, null_keeping_set, ref_names, sorted_refs
 from ..schemas import ROLE_GROUPS
 from .quality import valid_films
-from .skew import grouped, with_scalars
+from .skew import grouped, tasks_for, with_scalars
 
 
 def _people(person: DataFrame) -> DataFrame:
@@ -55,11 +55,19 @@ DOC_GROUPS = ("actors", "writers", "directors", "genres")
 
 
 def _changed_only(cat, film_ids: DataFrame | None):
-    """(films, person links, genre links), restricted to ``film_ids`` before any aggregation."""
+    """(films, person links, genre links), restricted to ``film_ids`` before any aggregation.
+
+    What follows stays in the tasks of these joins, so for many ids their number grows with the links; few
+    ids are left to the planner, which sends them to the links.
+    """
     films = valid_films(cat.film_work)
     pfw, gfw = cat.person_film_work, cat.genre_film_work
     if film_ids is not None:
         keys = film_ids.select(F.col(film_ids.columns[0]).alias("film_work_id"))
+        if tasks_for(keys) > 1:
+            tasks = tasks_for(pfw, gfw)
+            films, keys = films.repartition(tasks, "id"), keys.repartition(tasks, "film_work_id")
+            pfw, gfw = pfw.repartition(tasks, "film_work_id"), gfw.repartition(tasks, "film_work_id")
         films = films.join(keys.withColumnRenamed("film_work_id", "id"), "id", "left_semi")
         pfw = pfw.join(keys, "film_work_id", "left_semi")
         gfw = gfw.join(keys, "film_work_id", "left_semi")
@@ -83,7 +91,8 @@ def film_documents(cat, film_ids: DataFrame | None = None, buckets: int = 1) ->
     ``film_ids`` (a one-column DataFrame of ids) restricts the build to those
     films; the restriction is applied to the film table *and* to both link
     tables before any aggregation (left-semi joins), so an incremental rebuild
-    only touches the links of the changed films.
+    only touches the links of the changed films.  The ids are counted, so they
+    should be stored.
     """
     films, pfw, gfw = _changed_only(cat.set_links(), film_ids)
     entries = (people_entries(pfw, cat.person).unionByName(genre_entries(gfw, cat.genre))

@@ -15,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+ROWS_PER_TASK = 250_000
+
 
 def bucket_of(value: Column, buckets: int) -> Column:
     """0 to buckets - 1, from the first 32 bits of the md5 of the value's text (null: 0)."""
@@ -38,6 +40,11 @@ def grouped(entries: DataFrame, heads: DataFrame, key: str, value: str, buckets:
     return parted.groupBy(key, "part").agg(*aggs)
 
 
+def tasks_for(*tables: DataFrame) -> int:
+    """Tasks for a shuffle of ``tables``: a task's rows stay as few however the tables grow (their rows are counted)."""
+    return max(1, -(-sum(t.count() for t in tables) // ROWS_PER_TASK))
+
+
 def with_scalars(scalars: DataFrame, parts: DataFrame, buckets: int, how: str = "left") -> DataFrame:
     """Scalar fields joined to the parts of their document; beyond the head they are NULL."""
     if buckets > 1:
