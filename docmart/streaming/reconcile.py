@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from ..operators import documents as D
 from ..operators.quality import drop_orphans, valid_films
+from ..operators.skew import tasks_for
 from ..schemas import INDEX_GENRES, INDEX_MOVIES, INDEX_PERSONS
 from ..session import materialize
 from ..sources.sinks import current_view, read_if_there, remove, upsert
@@ -103,6 +104,20 @@ def stale_keys(expected: DataFrame, held: DataFrame, n: int = ID_BUCKETS) -> Dat
     return differ.join(there, "id", "left").select("id", F.coalesce("gone", F.lit(True)).alias("gone"))
 
 
+def _whole_links(cat):
+    """The catalog with the links whose film, person and genre are there, written once: every index compares and
+    rebuilds with them.  Each task cuts down as many links, however many there are."""
+    cat = cat.set_links()
+    films, people, genres = cat.film_work, cat.person_film_work, cat.genre_film_work
+    if (tasks := tasks_for(people, genres)) > 1:
+        cat = cat.with_(film_work=films.repartition(tasks, "id"), person_film_work=people.repartition(tasks, "film_work_id"),
+                        genre_film_work=genres.repartition(tasks, "film_work_id"))
+    whole = drop_orphans(cat.with_(person_film_work_raw=None, genre_film_work_raw=None))
+    people, genres = materialize(whole.person_film_work, "whole-people"), materialize(whole.genre_film_work, "whole-genres")
+    return whole.with_(film_work=films, person_film_work=people, genre_film_work=genres,
+                       person_film_work_raw=people, genre_film_work_raw=genres)
+
+
 BUILDERS = {INDEX_MOVIES: D.film_documents, INDEX_PERSONS: D.person_documents, INDEX_GENRES: D.genre_documents}
 
 
@@ -111,7 +126,7 @@ def reconcile(spark: SparkSession, cat, sinks: DocumentSinks, batch_id: int) ->
 
     Links whose film, person or genre is gone count as gone too.  Repeating a batch changes nothing.
     """
-    cat, done = drop_orphans(cat), {}
+    cat, done = _whole_links(cat), {}
     for index, build in BUILDERS.items():
         path = sinks.path(index)
         if read_if_there(spark, path) is None:

@@ -54,3 +54,16 @@ def test_a_rebuild_of_many_films_is_cut_into_tasks_by_rows(spark, monkeypatch, s
     assert "REPARTITION_BY_NUM" not in plan_of(few, capsys)
     assert f"{-(-(cat.person_film_work.count() + cat.genre_film_work.count()) // 4)}), REPARTITION_BY_NUM" in plan_of(many, capsys)
     assert same(few, want) and same(many, want) and want.count() == 9
+
+
+def test_links_of_a_reconciliation_are_cut_down_once(spark, monkeypatch, scratch):
+    monkeypatch.setattr(skew, "ROWS_PER_TASK", 20)
+    cat, sinks, passes = catalog(spark), DocumentSinks(scratch), []
+    for index, build in BUILD.items():
+        SK.upsert(build(cat), sinks.path(index), 0)
+    monkeypatch.setattr("docmart.streaming.reconcile.drop_orphans", lambda c: passes.append(c) or drop_orphans(c))
+    left = cat.with_(film_work=cat.film_work.where("id <> 'f02'"), person=cat.person.where("id <> 'p1'"))
+    reconcile(spark, left, sinks, 1)
+    assert passes[0].person_film_work.rdd.getNumPartitions() > 4
+    for index, build in BUILD.items():
+        assert same(SK.current_view(spark, sinks.path(index)).drop("batch_id"), build(drop_orphans(left))), index
