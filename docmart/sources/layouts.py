@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from ..session import materialize
 
 FEW = 10_000
+ROWS_A_BUCKET = 1_000_000
 
 # link table -> its key on the dimension's side
 DIMENSION_KEY = {"person_film_work": "person_id", "genre_film_work": "genre_id"}
@@ -115,10 +116,16 @@ def layout_exists(spark: SparkSession, prefix: str) -> bool:
                for links, own in DIMENSION_KEY.items() for key in (own, FILM_KEY))
 
 
+def buckets_for(cat, least: int = 16) -> int:
+    """Buckets for the links of a catalog (both tables are counted): more with more rows, so that a bucket stays as large."""
+    cat = cat.set_links()
+    return max(least, *(-(-getattr(cat, links).count() // ROWS_A_BUCKET) for links in DIMENSION_KEY))
+
+
 def write_link_layout(cat, base: str, prefix: str, buckets: int = 64, spread: int = 1) -> LinkLayout:
     """Store both link tables by both their keys under ``base`` and register them as tables.
 
-    A bucket is written by ``spread`` tasks, so there are ``buckets * spread`` files a table.
+    A bucket is written by ``spread`` tasks, so there are ``buckets * spread`` files a table; no task has two of them.
     """
     spark = cat.film_work.sparkSession
     cat = cat.set_links()
@@ -127,7 +134,7 @@ def write_link_layout(cat, base: str, prefix: str, buckets: int = 64, spread: in
         for key in (own, FILM_KEY):
             other = FILM_KEY if key == own else own
             bucket, part = F.pmod(F.hash(key), F.lit(buckets)), F.pmod(F.xxhash64(other), F.lit(spread))
-            (rows.where(F.col(key).isNotNull()).repartition(buckets * spread, bucket, part)
+            (rows.where(F.col(key).isNotNull()).repartitionById(buckets * spread, (bucket * spread + part).cast("int"))
              .write.mode("overwrite").format("parquet").bucketBy(buckets, key).sortBy(key)
              .option("path", f"{base}/{links}_by_{key}").saveAsTable(f"{prefix}_{links}_{key}"))
     return LinkLayout(spark, prefix)

@@ -67,3 +67,18 @@ def test_links_of_a_reconciliation_are_cut_down_once(spark, monkeypatch, scratch
     assert passes[0].person_film_work.rdd.getNumPartitions() > 4
     for index, build in BUILD.items():
         assert same(SK.current_view(spark, sinks.path(index)).drop("batch_id"), build(drop_orphans(left))), index
+
+
+def test_no_task_writes_two_buckets_of_a_layout(spark, tmp_path):
+    cat = catalog(spark, films=90)
+    LY.write_link_layout(cat, str(tmp_path), "even_links", buckets=8, spread=2)
+    files = [re.match(r"part-(\d+)-.*_(\d+)\.c000", f) for f in os.listdir(tmp_path / "person_film_work_by_film_work_id") if f.endswith(".parquet")]
+    owners = [m[1] for m in files]
+    assert len(owners) == len(set(owners)) and {int(m[2]) for m in files} == set(range(8))
+
+
+def test_buckets_of_a_layout_grow_with_the_links(spark, monkeypatch):
+    cat = catalog(spark)
+    assert LY.buckets_for(cat) == 16
+    monkeypatch.setattr(LY, "ROWS_A_BUCKET", 10)
+    assert LY.buckets_for(cat) == -(-cat.person_film_work_raw.count() // 10)
