@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from ..functions.sets import empty_if_null, null_keeping_set, ref_names, sorted_refs
 from ..schemas import ROLE_GROUPS
 from .quality import valid_films
-from .skew import grouped, tasks_for, with_scalars
+from .skew import bucket_of, grouped, parts_of, tasks_for, with_scalars
 
 
 def _people(person: DataFrame) -> DataFrame:
@@ -27,6 +27,26 @@ def _people(person: DataFrame) -> DataFrame:
                   .select(F.col("id").alias("person_id"), F.col("full_name").alias("name")))
 
 
+def _once(named: DataFrame, *also: str) -> DataFrame:
+    """One entry per film, group and name, the smallest id."""
+    return named.groupBy("film_work_id", *also, "group", "name").agg(F.min("id").alias("id"))
+
+
+def named_people(person_film_work: DataFrame, person: DataFrame, groups=ROLE_GROUPS) -> DataFrame:
+    """(film_work_id, group, name, id) of every link with a known role to a person that exists."""
+    role_to_group = F.create_map(*[x for g, r in groups.items() for x in (F.lit(r), F.lit(g))])
+    links = person_film_work.where(F.col("role").isin(list(groups.values())))
+    return links.join(_people(person), "person_id").select(
+        "film_work_id", role_to_group[F.col("role")].alias("group"), "name", F.col("person_id").alias("id"))
+
+
+def named_genres(genre_film_work: DataFrame, genre: DataFrame) -> DataFrame:
+    """(film_work_id, 'genres', name, id) of every link to a genre with a name."""
+    g = (genre.where(F.col("id").isNotNull() & F.col("name").isNotNull() & (F.col("name") != ""))
+              .select(F.col("id").alias("genre_id"), "name"))
+    return genre_film_work.join(g, "genre_id").select("film_work_id", F.lit("genres").alias("group"), "name", F.col("genre_id").alias("id"))
+
+
 def people_entries(person_film_work: DataFrame, person: DataFrame, groups=ROLE_GROUPS) -> DataFrame:
     """(film_work_id, group, name, id): one entry per film, role group and name.
 
@@ -35,20 +55,12 @@ def people_entries(person_film_work: DataFrame, person: DataFrame, groups=ROLE_G
     entry, the smallest id wins.  Grouping by (film, role, name) spreads a
     film with a huge cast over many tasks; ``min`` combines map-side.
     """
-    role_to_group = F.create_map(*[x for g, r in groups.items() for x in (F.lit(r), F.lit(g))])
-    links = person_film_work.where(F.col("role").isin(list(groups.values())))
-    named = links.join(_people(person), "person_id")
-    dedup = named.groupBy("film_work_id", "role", "name").agg(F.min("person_id").alias("id"))
-    return dedup.select("film_work_id", role_to_group[F.col("role")].alias("group"), "name", "id")
+    return _once(named_people(person_film_work, person, groups))
 
 
 def genre_entries(genre_film_work: DataFrame, genre: DataFrame) -> DataFrame:
     """(film_work_id, 'genres', name, id): empty/NULL names skipped, by-name de-dup."""
-    g = (genre.where(F.col("id").isNotNull() & F.col("name").isNotNull() & (F.col("name") != ""))
-              .select(F.col("id").alias("genre_id"), "name"))
-    dedup = (genre_film_work.join(g, "genre_id")
-             .groupBy("film_work_id", "name").agg(F.min("genre_id").alias("id")))
-    return dedup.select("film_work_id", F.lit("genres").alias("group"), "name", "id")
+    return _once(named_genres(genre_film_work, genre))
 
 
 DOC_GROUPS = ("actors", "writers", "directors", "genres")
@@ -95,14 +107,20 @@ def film_documents(cat, film_ids: DataFrame | None = None, buckets: int = 1) ->
     should be stored.
     """
     films, pfw, gfw = _changed_only(cat.set_links(), film_ids)
-    entries = (people_entries(pfw, cat.person).unionByName(genre_entries(gfw, cat.genre))
-               .select(F.col("film_work_id").alias("fid"), "group", "name", "id"))
     aggs = [sorted_refs(F.collect_list(F.when(F.col("group") == g, F.struct("name", "id")))).alias(g)
             for g in DOC_GROUPS]
-    heads = films.select(F.col("id").alias("fid"))
-    per_part = grouped(entries, heads, "fid", "name", buckets, *aggs).withColumnRenamed("fid", "id")
     base = films.select("id", "title", "description", F.col("rating").alias("imdb_rating"))
-    docs = with_scalars(base, per_part, buckets)
+    if buckets > 1:
+        # one shuffle by film and part: names once, lists and scalars all meet in its tasks
+        named = (named_people(pfw, cat.person).unionByName(named_genres(gfw, cat.genre))
+                 .withColumn("part", bucket_of(F.col("name"), buckets)).repartition("film_work_id", "part"))
+        lists = _once(named, "part").groupBy("film_work_id", "part").agg(*aggs).withColumnRenamed("film_work_id", "id")
+        docs = parts_of(base, lists, "id", buckets)
+    else:
+        entries = (people_entries(pfw, cat.person).unionByName(genre_entries(gfw, cat.genre))
+                   .select(F.col("film_work_id").alias("fid"), "group", "name", "id"))
+        per_part = grouped(entries, films.select(F.col("id").alias("fid")), "fid", "name", buckets, *aggs).withColumnRenamed("fid", "id")
+        docs = with_scalars(base, per_part, buckets)
     id_type = dict(cat.film_work.dtypes)["id"]
     ref_t = {g: f"struct<id:{dict(cat.person.dtypes)['id']},name:string>" for g in DOC_GROUPS}
     ref_t["genres"] = f"struct<id:{dict(cat.genre.dtypes)['id']},name:string>"

@@ -45,6 +45,19 @@ def tasks_for(*tables: DataFrame) -> int:
     return max(1, -(-sum(t.count() for t in tables) // ROWS_PER_TASK))
 
 
+def parts_of(heads: DataFrame, entries: DataFrame, key: str, buckets: int) -> DataFrame:
+    """``heads`` (key, scalars) joined to the grouped ``entries`` (key, part, lists) of each of their parts.
+
+    Part 0 is there for every head and alone has the scalars.  The heads are sent to all their parts, ``buckets``
+    small rows for each, so the lists stay where they were collected.
+    """
+    scalars = [F.when(F.col("part") == 0, F.col(c)).alias(c) for c in heads.columns if c != key]
+    parts = (heads.where(F.col(key).isNotNull()).withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
+             .select(key, "part", *scalars))
+    found = entries.withColumn("_found", F.lit(True))
+    return parts.join(found, [key, "part"], "left").where((F.col("part") == 0) | F.col("_found")).drop("_found")
+
+
 def with_scalars(scalars: DataFrame, parts: DataFrame, buckets: int, how: str = "left") -> DataFrame:
     """Scalar fields joined to the parts of their document; beyond the head they are NULL."""
     if buckets > 1:

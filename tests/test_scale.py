@@ -82,3 +82,20 @@ def test_buckets_of_a_layout_grow_with_the_links(spark, monkeypatch):
     assert LY.buckets_for(cat) == 16
     monkeypatch.setattr(LY, "ROWS_A_BUCKET", 10)
     assert LY.buckets_for(cat) == -(-cat.person_film_work_raw.count() // 10)
+
+
+@pytest.mark.parametrize("buckets", [2, 5])
+def test_bucketed_film_documents_are_shuffled_once(spark, buckets, capsys):
+    cat = catalog(spark)
+    docs = D.film_documents(cat, buckets=buckets)
+    shuffled = re.findall(r"Exchange hashpartitioning\((?!person_id|genre_id)(\w+)#\d+, (\w+)", plan_of(docs, capsys))
+    assert sorted(shuffled) == [("film_work_id", "part"), ("id", "part")]         # the links, and the heads
+    whole = D.film_documents(cat).where("id is not null")
+    for group in D.DOC_GROUPS:
+        def entries(df):
+            return df.select("id", F.explode_outer(group)).where("col is not null").distinct()
+        assert same(entries(docs), entries(whole))
+    assert same(docs.where("part = 0").select("id", "title", "imdb_rating"), whole.select("id", "title", "imdb_rating"))
+    assert docs.where("part > 0 and (title is not null or size(actors) + size(directors) + size(genres) = 0)").count() == 0
+    parts = docs.groupBy("id", "part").count().where("count > 1")
+    assert {r["id"] for r in parts.collect()} == {"f01"}                # a repeated film repeats all its parts
