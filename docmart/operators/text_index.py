@@ -83,10 +83,12 @@ def analysed_tokens(docs: DataFrame, id_col: str | list[str] = "doc_id", text_co
     if english_stems is None and russian_stems is None:
         toks = _without_possessive(toks, "token")
         return toks.where(~F.col("token").isin(rus) & (F.col("token") != "")).select(*ids, "pos", "token")
-    vocab = toks.select("token").distinct().withColumn("term", F.col("token"))
+    # written, or the filters below, and the stemmers with them, are moved under the distinct to every token
+    vocab = materialize(toks.select("token").distinct(), "vocabulary").withColumn("term", F.col("token"))
     vocab = _without_possessive(_stemmed(vocab, english_stems), "term")
     vocab = _stemmed(vocab.where(~F.col("term").isin(rus) & (F.col("term") != "")), russian_stems)
-    return toks.join(vocab, "token").select(*ids, "pos", F.col("term").alias("token"))
+    # one row a word on the right: hashed, the token stream needs no sort
+    return toks.join(vocab.hint("shuffle_hash"), "token").select(*ids, "pos", F.col("term").alias("token"))
 
 
 ANALYSED_FILM_FIELDS = ("title", "description", "actors_names", "writers_names", "directors_names",
@@ -123,7 +125,8 @@ def term_postings(tokens: DataFrame, id_col: str = "doc_id") -> DataFrame:
     term; AQE's skew join splits the postings of very frequent terms.
     """
     postings = materialize(
-        tokens.groupBy(F.col("token").alias("term"), F.col(id_col)).agg(F.count(F.lit(1)).alias("tf")), "postings")
+        tokens.groupBy(F.col("token").alias("term"), F.col(id_col)).agg(F.count(F.lit(1)).alias("tf"))
+        .sortWithinPartitions("term"), "postings")      # equal terms side by side: fewer bytes, here and in the shuffle below
     dfreq = postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     # the vocabulary grows with the corpus and the planner's size estimate does
     # not see the explode, so no static broadcast: a sort-merge join, which

@@ -99,3 +99,11 @@ def test_bucketed_film_documents_are_shuffled_once(spark, buckets, capsys):
     assert docs.where("part > 0 and (title is not null or size(actors) + size(directors) + size(genres) = 0)").count() == 0
     parts = docs.groupBy("id", "part").count().where("count > 1")
     assert {r["id"] for r in parts.collect()} == {"f01"}                # a repeated film repeats all its parts
+
+
+def test_stemmers_run_over_the_vocabulary_alone(spark, capsys):
+    docs = spark.createDataFrame([(1, "running runs Runner's running"), (2, "the runs"), (3, None)], "doc_id long, text string")
+    tokens = TX.analysed_tokens(docs, english_stems=english_stem)
+    assert "Aggregate" not in plan_of(tokens, capsys)      # the distinct words are written: no filter on stems gets below them
+    assert sorted((r.doc_id, r.pos, r.token) for r in tokens.collect()) == [
+        (1, 0, "run"), (1, 1, "run"), (1, 2, "runner'"), (1, 3, "run"), (2, 1, "run")]
