@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import stored
-from .tokens import mix, pieces
+from .tokens import map_pieces, mix
 
 WINDOW, COVER, RUN, CONSISTENT, NEAR = 8, 0.5, 12, 0.9, 8
 BROADCAST_WINDOWS = 2_000_000     # of the benchmark (16 MB of hashes); beyond, all windows are shuffled
@@ -50,7 +50,7 @@ _KIND, _ENDS, _CLOSES = 7, 8, 16        # parts of a word's flags: its kind, end
 _EDGE = re.compile(r"^[\W_]+|[\W_]+$")
 _NUMBER = re.compile(r"[+-]?[$€£]?\d+(?:[.,:/]\d+)*(?:%|st|nd|rd|th)?")
 _P = np.uint64(0x9E3779B97F4A7C15)
-_KEEP = 300_000
+_KEEP = 100_000           # words of a task's cache (memory only, results do not depend on it)
 
 
 class _Words(dict):
@@ -158,7 +158,7 @@ def _windows(lengths: list[int], only: np.ndarray | None, short: bool):
         if only is not None:
             bloom = np.zeros(1 << 20, bool)
             bloom[(only & np.uint64((1 << 20) - 1)).astype(np.int64)] = True
-        for batch in pieces(batches):
+        for batch in batches:
             out = []
             for id_, text in zip(batch["id"], batch["text"]):
                 if not text:
@@ -188,7 +188,7 @@ def _windows(lengths: list[int], only: np.ndarray | None, short: bool):
 
 def benchmark_windows(benchmark: DataFrame) -> DataFrame:
     items = benchmark.select(F.col("item_id").cast("long").alias("id"), "text").where("item_id is not null and text is not null")
-    return stored(items.mapInPandas(_windows([], None, True), _OUT), "benchmark_windows")
+    return stored(map_pieces(items, _windows([], None, True), _OUT), "benchmark_windows")
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -202,7 +202,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     named = docs.select(F.col("doc_id").cast("long").alias("id"), "text").where("doc_id is not null and text is not null")
     if only is not None and not len(only):
         named = named.limit(0)
-    found = stored(named.mapInPandas(_windows(lengths, only, False), _OUT).distinct(), "document_windows")
+    found = stored(map_pieces(named, _windows(lengths, only, False), _OUT).distinct(), "document_windows")
     total = items.groupBy(F.col("id").alias("item_id")).agg(
         F.countDistinct("pos").alias("item_windows"), F.countDistinct(F.when(~F.col("heavy"), F.col("pos"))).alias("item_plain"))
     hits = (found.select(F.col("id").alias("doc_id"), F.col("pos").alias("at"), "w", "hash", F.col("slots").alias("there"))

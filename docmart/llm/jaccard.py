@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import components, drop_finished_shuffles, drop_stored, stored
-from .tokens import WordHashes, mix, pieces, windows, words
+from .tokens import WordHashes, map_pieces, mix, windows, words
 
 _SKETCH = "doc_id long, n_shingles long, sig string, pa array<long>, b0 long, b1 long, b2 long, b3 long"
 _SET = "doc_id long, n long, pb array<long>, counts array<short>, tokens array<long>"
@@ -56,7 +56,7 @@ def _sketcher(k: int, percent: int) -> Callable[[Iterator[pd.DataFrame]], Iterat
     """Size, signature, prefix under the first order and parity bitmap of every set."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hashes = WordHashes()
-        for batch in pieces(batches):
+        for batch in batches:
             out = []
             for doc_id, text in zip(batch["doc_id"], batch["text"]):
                 s = np.unique(windows(hashes.of(words(text)), k))
@@ -74,7 +74,7 @@ def _prefixes(k: int, percent: int, last: np.ndarray, rank: np.ndarray) \
     """Prefix under the first order: by ``rank`` (0 unless the token is in the sorted ``last``), then by hash."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hashes = WordHashes()
-        for batch in pieces(batches):
+        for batch in batches:
             out = []
             for doc_id, text in zip(batch["doc_id"], batch["text"]):
                 s = np.unique(windows(hashes.of(words(text)), k))
@@ -89,7 +89,7 @@ def _sets(k: int, percent: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[p
     """Prefix under the second order, counts per bucket, and the set itself."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hashes = WordHashes()
-        for batch in pieces(batches):
+        for batch in batches:
             out = []
             for doc_id, text in zip(batch["doc_id"], batch["text"]):
                 s = np.unique(windows(hashes.of(words(text)), k))
@@ -132,8 +132,8 @@ def _heads(reps: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
     by_hash = np.argsort(last)
     again = stored(heads.join(F.broadcast(common.select("token")), "token", "left_semi").select("doc_id").distinct(), "again")
     ids = _sized(again)
-    redone = docs.select("doc_id", "text").join(ids, "doc_id", "left_semi").mapInPandas(
-        _prefixes(k, percent, last[by_hash], rank[by_hash]), "doc_id long, pa array<long>")
+    redone = map_pieces(docs.select("doc_id", "text").join(ids, "doc_id", "left_semi"),
+                        _prefixes(k, percent, last[by_hash], rank[by_hash]), "doc_id long, pa array<long>")
     # a doc_id with several texts has the prefixes of them all
     redone = redone.select("doc_id", F.explode("pa").alias("token")).join(reps.select("doc_id"), "doc_id", "left_semi")
     # the shuffle by token serves both this distinct and the counts that follow
@@ -151,7 +151,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFr
     ids = pairs.select("a").union(pairs.select("b")).toDF("doc_id").distinct()
     ids = stored(ids, "candidate_ids")
     texts = docs.select("doc_id", "text").join(_sized(ids), "doc_id", "left_semi")
-    sets = stored(texts.mapInPandas(_sets(k, percent), _SET), "sets")
+    sets = stored(map_pieces(texts, _sets(k, percent), _SET), "sets")
     drop_finished_shuffles(docs.sparkSession)
     counts, prefixes = sets.select("doc_id", "n", "counts"), sets.select("doc_id", "pb")
     apart = F.aggregate(F.zip_with("ca", "cb", lambda x, y: F.abs(x - y).cast("long")), F.lit(0).cast("long"),
@@ -218,7 +218,7 @@ def _links(reps: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
 
 def _classes(docs: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Sketches of all rows, the representatives of equal sets, and (doc_id, rep) of the named documents."""
-    sketches = stored(docs.mapInPandas(_sketcher(k, percent), _SKETCH), "sketches")
+    sketches = stored(map_pieces(docs, _sketcher(k, percent), _SKETCH), "sketches")
     named = sketches.where("doc_id is not null and n_shingles > 0")
     whole = F.struct("doc_id", "n_shingles", "pa", "b0", "b1", "b2", "b3")
     reps = stored(named.groupBy("sig").agg(F.min_by(whole, "doc_id").alias("r")).select("sig", "r.*"), "reps")
