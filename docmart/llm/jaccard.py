@@ -140,6 +140,12 @@ def _heads(reps: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
     return heads.join(ids, "doc_id", "left_anti").unionByName(redone).repartition("token").distinct()
 
 
+def _few_files(pairs: DataFrame) -> DataFrame:
+    """The same pairs in tasks by their size: tasks that joined whole sets would write a file of a few pairs each,
+    and every file is a child process of the executor where Hadoop has no native library."""
+    return pairs.repartition("a", "b")
+
+
 def _verified(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
     """The stored pairs (a, b) that also share a prefix token under the second order and whose whole sets link.
 
@@ -160,14 +166,14 @@ def _verified(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFr
             .where((100 - percent) * (F.col("na") + F.col("nb")) >= (100 + percent) * apart).select("a", "b").distinct())
     near = (near.join(prefixes.toDF("a", "pa"), "a").join(prefixes.toDF("b", "pb"), "b")
             .where(F.arrays_overlap("pa", "pb")).select("a", "b").distinct())
-    near = stored(near, "near")
+    near = stored(_few_files(near), "near")
     drop_finished_shuffles(docs.sparkSession)
     tokens = sets.select("doc_id", "tokens")
     both = F.size(F.array_intersect("ta", "tb"))
     linked = (near.join(tokens.toDF("a", "ta"), "a").join(tokens.toDF("b", "tb"), "b")
               .where(100 * both >= percent * (F.size("ta") + F.size("tb") - both))
               .select("a", "b").distinct())
-    linked = stored(linked, "linked")
+    linked = stored(_few_files(linked), "linked")
     drop_stored(pairs, ids, sets, near)
     drop_finished_shuffles(docs.sparkSession)
     return linked

@@ -37,3 +37,27 @@ def test_no_batch_of_whole_texts_becomes_python_strings_at_once(spark, monkeypat
     text = " ".join(f"w{i}" for i in range(30))
     run(spark.createDataFrame([(1, text), (2, text + " end"), (3, None)], "doc_id long, text string")).collect()
     assert any("MapInArrow" in p for p in plans) and not any("MapInPandas" in p for p in plans)
+
+
+def test_pairs_of_large_sets_are_written_to_few_files(spark, monkeypatch):
+    files, stored = {}, jaccard.stored
+
+    def noted(df, name):
+        out = stored(df, name)
+        files.setdefault(name, []).append(len(out.inputFiles()))
+        return out
+
+    monkeypatch.setattr(jaccard, "stored", noted)
+    conf = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+            "spark.sql.adaptive.coalescePartitions.minPartitionSize": "16k", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        rows = [(2 * i + j, " ".join(f"w{i}x{n}" for n in range(300)) + " end" * j) for i in range(150) for j in (0, 1)]
+        got = {r["doc_id"]: r["component_id"] for r in jaccard.jaccard_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert got == {i: i // 2 * 2 for i in range(300)}
+    assert files["near"][0] <= 3 and files["linked"][0] <= 3, files
